@@ -6,7 +6,7 @@ narrow pass over the data: no join, no window, no shuffle of the listings.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcela.functions.numbers import python_round
@@ -483,8 +483,6 @@ def percentile_rank_exact(df: DataFrame, value: str, out: str = "rang_exact") ->
     placed = counts.withColumn("_cuts", cuts).withColumn(
         "_p", F.size(F.filter("_cuts", lambda x: x < F.col(value)))
     ).drop("_cuts")
-    from pyspark.sql import Window
-
     sizes = placed.groupBy("_p").agg(F.sum("_n").alias("_size"))
     running = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(running), F.lit(0)))
