@@ -12,17 +12,20 @@ from parcela.schemas import DATE_PATHS, REQUIRED_PATHS
 INSERTED, SKIPPED, ERROR = "inserted", "skipped", "error"
 
 
-def classify_by_key(target: DataFrame, batch: DataFrame, key: str = "reference") -> DataFrame:
-    """The batch with a ``statut`` per row: blank key, already known, repeated, or new.
+def classify_by_key(
+    target: DataFrame, batch: DataFrame, key: str = "reference", order: str | None = None
+) -> DataFrame:
+    """One row per non-blank key of the batch with its ``statut`` and the number of its rows.
 
-    One row per key is compared with the target, chosen by the smallest row hash and reduced on
-    the map side, so a key that fills a third of the batch travels as one row per task.
+    The row kept for a key is the first by ``order`` and then by row hash, so the choice does not
+    depend on partitioning.  It is reduced on the map side: a key that fills a third of the batch
+    travels as one row per task.
     """
     trimmed = batch.withColumn(key, strip(F.coalesce(F.col(key), F.lit(""))))
     others = [c for c in batch.columns if c != key]
-    body = F.struct(F.xxhash64(*others).alias("_h"), *others) if others else F.struct(F.lit(0).alias("_h"))
+    rank = F.struct(*([order] if order else []), F.xxhash64(*batch.columns))
     keyed = trimmed.filter(F.col(key) != "").groupBy(key).agg(
-        F.count("*").alias("_rows"), F.min_by(body, body["_h"]).alias("_row")
+        F.count("*").alias("_rows"), F.min_by(F.struct(F.lit(0), *others), rank).alias("_row")
     )
     known = target.select(strip(F.col(key)).alias(key)).distinct().withColumn("_known", F.lit(True))
     return keyed.join(known, key, "left").select(
@@ -31,10 +34,12 @@ def classify_by_key(target: DataFrame, batch: DataFrame, key: str = "reference")
     )
 
 
-def new_rows(target: DataFrame, batch: DataFrame, key: str = "reference") -> DataFrame:
+def new_rows(
+    target: DataFrame, batch: DataFrame, key: str = "reference", order: str | None = None
+) -> DataFrame:
     """One row per key the target does not hold."""
     return (
-        classify_by_key(target, batch, key).filter(F.col("statut") == INSERTED)
+        classify_by_key(target, batch, key, order).filter(F.col("statut") == INSERTED)
         .select(*batch.columns)
     )
 
