@@ -51,18 +51,16 @@ def python_round(x: Column, digits: int = 2) -> Column:
     """Round a double half-even on its exact binary value, as the listing documents do.
 
     ``round`` and ``bround`` look at the decimal text of the double and differ on about half a
-    percent of price/surface quotients.  Here ``x * 10^digits`` is split into a rounded product
-    and its exact error (Dekker's product), so a tie is seen as a tie only if it is one.
+    percent of price/surface quotients.  Here the fraction is taken as a 64-bit integer, so the
+    scaled fraction is exact (from 1/16 upwards) and a tie is seen as a tie only if it is one.
     """
-    scale = F.lit(float(10**digits))
-    product = x * scale
-    upper = x * F.lit(134217729.0)
-    high = upper - (upper - x)
-    error = (high * scale - product) + (x - high) * scale
-    whole = F.floor(product).cast("double")
-    rest = product - whole
-    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 != 0))))
-    return (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+    scale = 10**digits
+    bits = 63 - scale.bit_length()
+    size = F.abs(x)
+    fraction = ((size - F.floor(size)) * F.lit(float(2**bits))).cast("bigint") * F.lit(scale)
+    odd = F.shiftright(fraction, bits).bitwiseAND(F.lit(1))
+    rounded = F.shiftright(fraction + F.lit(2 ** (bits - 1) - 1) + odd, bits)
+    return F.signum(x) * (F.floor(size) * F.lit(scale) + rounded) / F.lit(float(scale))
 
 
 def normalise_price(c: Column) -> Column:

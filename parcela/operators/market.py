@@ -184,7 +184,7 @@ def market_stats(prepared: DataFrame, width: float = 1.0) -> DataFrame:
         _stable_mean("prix").alias("prix_moyen"),
         *_distribution(m2),
     ).withColumns({
-        "prix_m2_median": python_round(median.select("mediane").scalar()),
+        "prix_m2_median": median.select(python_round(F.col("mediane"))).scalar(),
         "arrondissements_uniques": codes.select("codes").scalar(),
     })
 
@@ -339,7 +339,7 @@ def market_trends(aggregated: DataFrame, width: float = 0.05) -> DataFrame:
         .agg(
             _stable_mean("score").alias("score_global_moyen"),
             _stable_mean("prix_m2").alias("prix_m2_moyen"),
-            python_round(F.corr("score", "prix_m2"), 3).alias("correlation_score_prix"),
+            python_round(F.nullif(F.corr("score", "prix_m2"), F.lit(float("nan"))), 3).alias("correlation_score_prix"),
             F.count_if(top).alias("top_nombre_biens"),
             python_round(F.try_divide(top_sum, F.count_if(top))).alias("top_prix_m2_moyen"),
         )

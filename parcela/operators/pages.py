@@ -18,7 +18,7 @@ CARD_RULES = {
     "prix": FieldRule(r"(?is)<(?:p|strong)[^>]*>([^<]*€[^<]*)</(?:p|strong)>"),
     "image_url": FieldRule(r"(?is)<img[^>]*src=\"([^\"]*property[^\"]*)\"", attribute=True),
     "badges": FieldRule(r"(?is)<span[^>]*class=\"[^\"]*badge[^\"]*\"[^>]*>(.*?)</span>", multiple=True),
-    "caracteristiques": FieldRule(r"(?is)<li[^>]*>(.*?)</li>", regex=r"(?U)^[•\s]*(.*?)\s*$", multiple=True),
+    "caracteristiques": FieldRule(r"(?is)<li>(.*?)</li>", regex=r"(?U)^[•\s]*(.*?)\s*$", multiple=True),
 }
 
 

@@ -34,8 +34,10 @@ def _text(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def prepare_listings(raw: DataFrame, as_of_year: int, invert_procedures: bool = True) -> DataFrame:
-    """One nested document per raw listing.
+def prepare_listings(
+    raw: DataFrame, as_of_year: int, invert_procedures: bool = True, keep: list[str] | None = None
+) -> DataFrame:
+    """One nested document per raw listing; ``keep`` names columns to carry along.
 
     ``invert_procedures`` keeps the known quirk that an empty text means a running procedure.
     Optional index columns ``dpe_score`` and ``ges_score`` are read when present.
@@ -71,6 +73,7 @@ def prepare_listings(raw: DataFrame, as_of_year: int, invert_procedures: bool =
         ).alias(kind)
 
     return parsed.select(
+        *(keep or []),
         "reference",
         "titre",
         F.struct(

@@ -50,6 +50,13 @@ def exact_quantiles(
         held = held | ((pos >= before) & (pos < F.col("_upto")))
     targets = ranked.filter(held).select(*by, "_b", before.alias("_before"), "_total")
 
+    if not by:
+        # without groups the buckets in question are a range, known before the second pass
+        span = targets.agg(F.struct(F.min("_b").alias("low"), F.max("_b").alias("high"))).scalar()
+        keyed = keyed.withColumn("_span", span).filter(
+            F.col("_b").between(F.col("_span.low"), F.col("_span.high"))
+        ).drop("_span")
+
     keys = [*by, "_b"]
     null_safe = None
     right = targets.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], "_before", "_total")

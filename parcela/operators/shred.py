@@ -244,16 +244,17 @@ def shred_aggregates(aggregated: DataFrame, key: str = "reference") -> dict[str,
 def shred_recommendations(aggregated: DataFrame, key: str = "reference") -> DataFrame:
     """One row per recommendation, with its priority, action, impact and delay."""
     kinds = ["prix", "marketing", "amelioration", "ciblage"]
-    tagged = F.concat(*[
-        F.transform(
-            F.coalesce(F.col(f"aggregats.recommandations.{k}"), F.array().cast("array<string>")),
-            lambda text, k=k: F.struct(F.lit(k).alias("type_recommandation"), text.alias("description")),
+
+    def tagged(name: str) -> Column:
+        texts = F.coalesce(F.col(f"aggregats.recommandations.{name}"), F.array().cast("array<string>"))
+        return F.transform(
+            texts,
+            lambda text: F.struct(F.lit(name).alias("type_recommandation"), text.alias("description")),
         )
-        for k in kinds
-    ])
+
     kind, text = F.col("type_recommandation"), F.col("description")
     return (
-        aggregated.select(key, F.inline(tagged))
+        aggregated.select(key, F.inline(F.concat(*[tagged(k) for k in kinds])))
         .filter(text != "")
         .withColumns({
             "priorite": mkt.recommendation_priority(kind),
