@@ -134,17 +134,17 @@ def add(name: str, build: Callable[[Source], DataFrame]) -> None:
     query(name)(build)
 
 
-def _raw(name: str, **columns: Column) -> None:
+def _raw(name: str, columns: Callable[[], dict[str, Column]]) -> None:
     """Register a projection of column expressions over the raw listings."""
-    add(name, lambda s: s.raw.select(KEY, *[c.alias(n) for n, c in columns.items()]))
+    add(name, lambda s: s.raw.select(KEY, *[c.alias(n) for n, c in columns().items()]))
 
 
-def _prep(name: str, **columns: Column) -> None:
-    add(name, lambda s: s.prepared.select(KEY, *[c.alias(n) for n, c in columns.items()]))
+def _prep(name: str, columns: Callable[[], dict[str, Column]]) -> None:
+    add(name, lambda s: s.prepared.select(KEY, *[c.alias(n) for n, c in columns().items()]))
 
 
-def _agg(name: str, **columns: Column) -> None:
-    add(name, lambda s: s.aggregated.select(KEY, *[c.alias(n) for n, c in columns.items()]))
+def _agg(name: str, columns: Callable[[], dict[str, Column]]) -> None:
+    add(name, lambda s: s.aggregated.select(KEY, *[c.alias(n) for n, c in columns().items()]))
 
 
 def _fields(c: Column, *names: str) -> dict[str, Column]:
@@ -152,22 +152,22 @@ def _fields(c: Column, *names: str) -> dict[str, Column]:
 
 
 # --- numbers, booleans, dates -------------------------------------------------------------
-FEATURES = C("caracteristiques_detaillees")
-PRICE, SURFACE = C("prix.valeur"), C("surface.valeur")
-
-_raw("p01_normalise_price", prix=num.normalise_price(C("prix")), au_m2=num.normalise_price(C("prix_au_m2")))
-_raw("p02_clean_price", prix=num.clean_price(C("prix")), au_m2=num.clean_price(C("prix_au_m2")))
-_raw("p03_price_to_decimal", prix=num.price_to_decimal(C("prix")), surface=num.price_to_decimal(C("surface")))
-_raw("p04_price_digits", prix=num.price_digits(C("prix")), au_m2=num.price_digits(C("prix_au_m2")))
-_raw("p05_normalise_number", surface=num.normalise_number(C("surface")), pieces=num.normalise_number(C("pieces")))
-_raw("p06_extract_first_int", photos=num.extract_first_int(C("media_info")), lots=num.extract_first_int(C("copropriete_nb_lots")))
-_raw("p07_extract_surface", surface=num.extract_surface(C("surface")), terrain=num.extract_surface(C("surface_terrain")))
-_raw("p08_extract_year", annee=num.extract_year(C("annee_construction"), bind.AS_OF_YEAR), reference_annee=num.extract_year(C("annee_reference"), bind.AS_OF_YEAR))
-_raw("p09_extract_energy_class", dpe=num.extract_energy_class(C("dpe_classe_active")), ges=num.extract_energy_class(C("ges_classe_active")))
-_raw("p10_normalise_boolean", video=num.normalise_boolean(C("has_video")), visite=num.normalise_boolean(C("has_visite_virtuelle")))
-_raw("p11_extract_boolean", video=num.extract_boolean(C("has_video")), visite=num.extract_boolean(C("has_visite_virtuelle")))
-_raw("p12_parse_iso_timestamp", horodatage=num.parse_iso_timestamp(C("date_extraction")), nombre=num.to_float(C("surface")))
-_raw("p13_parse_extraction_date", horodatage=num.parse_extraction_date(C("date_extraction"), bind.AS_OF))
+FEATURES = "caracteristiques_detaillees"
+PRICE, SURFACE = "prix.valeur", "surface.valeur"
+
+_raw("p01_normalise_price", lambda: dict(prix=num.normalise_price(C("prix")), au_m2=num.normalise_price(C("prix_au_m2"))))
+_raw("p02_clean_price", lambda: dict(prix=num.clean_price(C("prix")), au_m2=num.clean_price(C("prix_au_m2"))))
+_raw("p03_price_to_decimal", lambda: dict(prix=num.price_to_decimal(C("prix")), surface=num.price_to_decimal(C("surface"))))
+_raw("p04_price_digits", lambda: dict(prix=num.price_digits(C("prix")), au_m2=num.price_digits(C("prix_au_m2"))))
+_raw("p05_normalise_number", lambda: dict(surface=num.normalise_number(C("surface")), pieces=num.normalise_number(C("pieces"))))
+_raw("p06_extract_first_int", lambda: dict(photos=num.extract_first_int(C("media_info")), lots=num.extract_first_int(C("copropriete_nb_lots"))))
+_raw("p07_extract_surface", lambda: dict(surface=num.extract_surface(C("surface")), terrain=num.extract_surface(C("surface_terrain"))))
+_raw("p08_extract_year", lambda: dict(annee=num.extract_year(C("annee_construction"), bind.AS_OF_YEAR), reference_annee=num.extract_year(C("annee_reference"), bind.AS_OF_YEAR)))
+_raw("p09_extract_energy_class", lambda: dict(dpe=num.extract_energy_class(C("dpe_classe_active")), ges=num.extract_energy_class(C("ges_classe_active"))))
+_raw("p10_normalise_boolean", lambda: dict(video=num.normalise_boolean(C("has_video")), visite=num.normalise_boolean(C("has_visite_virtuelle"))))
+_raw("p11_extract_boolean", lambda: dict(video=num.extract_boolean(C("has_video")), visite=num.extract_boolean(C("has_visite_virtuelle"))))
+_raw("p12_parse_iso_timestamp", lambda: dict(horodatage=num.parse_iso_timestamp(C("date_extraction")), nombre=num.to_float(C("surface"))))
+_raw("p13_parse_extraction_date", lambda: dict(horodatage=num.parse_extraction_date(C("date_extraction"), bind.AS_OF)))
 
 
 @query("p14_price_per_m2")
@@ -180,11 +180,11 @@ def _(s: Source) -> DataFrame:
     return a.join(b, KEY)
 
 
-_prep("p15_surface_per_room", par_piece=num.surface_per_room(SURFACE, C("composition.pieces")))
-_raw("p16_building_age", age=num.building_age(C("annee_construction"), bind.AS_OF_YEAR))
-_raw("p17_energy_score", dpe=num.energy_score(C("dpe_classe_active")), ges=num.energy_score(C("ges_classe_active")))
-_raw("p18_energy_index", indice=num.digits_to_int(C("annee_construction")), photos=num.digits_to_int(C("nombre_photos")))
-_raw("p19_bedrooms_or_fallback", chambres=num.bedrooms_or_fallback(txt.bedroom_count(FEATURES), num.normalise_number(C("pieces"))))
+_prep("p15_surface_per_room", lambda: dict(par_piece=num.surface_per_room(C(SURFACE), C("composition.pieces"))))
+_raw("p16_building_age", lambda: dict(age=num.building_age(C("annee_construction"), bind.AS_OF_YEAR)))
+_raw("p17_energy_score", lambda: dict(dpe=num.energy_score(C("dpe_classe_active")), ges=num.energy_score(C("ges_classe_active"))))
+_raw("p18_energy_index", lambda: dict(indice=num.digits_to_int(C("annee_construction")), photos=num.digits_to_int(C("nombre_photos"))))
+_raw("p19_bedrooms_or_fallback", lambda: dict(chambres=num.bedrooms_or_fallback(txt.bedroom_count(FEATURES), num.normalise_number(C("pieces")))))
 add("p20_collapse_whitespace", lambda s: s.table("documents").select(
     "doc_id", F.md5(txt.collapse_whitespace(C("text"))).alias("empreinte"),
     F.length(txt.collapse_whitespace(C("text"))).alias("longueur")))
@@ -203,22 +203,22 @@ add("p26_truncate_localisation", lambda s: s.base["annonces"].select(
     KEY, num.truncate_localisation(C("localisation")).alias("localisation_secure")))
 
 # --- text, arrays, addresses --------------------------------------------------------------
-_raw("t01_split_localisation", **_fields(txt.split_localisation(C("localisation")), "ville", "code_postal"))
-_raw("t02_extract_district", quartier=txt.extract_district(C("description")))
-_raw("t03_extract_proximity", proximite=txt.extract_proximity(C("description")))
-_raw("t04_floor_info", **_fields(txt.floor_info(FEATURES), "etage", "etage_total", "ascenseur"))
-_raw("t05_bedroom_count", chambres=txt.bedroom_count(FEATURES))
-_raw("t06_clean_features", caracteristiques=txt.clean_features(FEATURES))
-_raw("t07_clean_images", images=txt.clean_images(C("images")), nombre=F.size(txt.clean_images(C("images"))))
-_raw("t08_parse_service_charge", **_fields(txt.parse_service_charge(C("copropriete_charges_previsionnelles")), "valeur", "unite", "periode"))
-_raw("t09_extract_charge_amount", charges=txt.extract_charge_amount(C("copropriete_charges_previsionnelles")))
+_raw("t01_split_localisation", lambda: dict(**_fields(txt.split_localisation(C("localisation")), "ville", "code_postal")))
+_raw("t02_extract_district", lambda: dict(quartier=txt.extract_district(C("description"))))
+_raw("t03_extract_proximity", lambda: dict(proximite=txt.extract_proximity(C("description"))))
+_raw("t04_floor_info", lambda: dict(**_fields(txt.floor_info(FEATURES), "etage", "etage_total", "ascenseur")))
+_raw("t05_bedroom_count", lambda: dict(chambres=txt.bedroom_count(FEATURES)))
+_raw("t06_clean_features", lambda: dict(caracteristiques=txt.clean_features(FEATURES)))
+_raw("t07_clean_images", lambda: dict(images=txt.clean_images(C("images")), nombre=F.size(txt.clean_images(C("images")))))
+_raw("t08_parse_service_charge", lambda: dict(**_fields(txt.parse_service_charge(C("copropriete_charges_previsionnelles")), "valeur", "unite", "periode")))
+_raw("t09_extract_charge_amount", lambda: dict(charges=txt.extract_charge_amount(C("copropriete_charges_previsionnelles"))))
 add("t10_categorise_feature", lambda s: s.raw.select(F.explode(FEATURES).alias("v")).groupBy(
     txt.categorise_feature(C("v")).alias("categorie")).agg(F.count("*").alias("nombre")))
-_raw("t11_parse_media_text", **_fields(txt.parse_media_text(C("media_info")), "media_description", "nombre_photos", "has_video", "has_visite_virtuelle"))
-_raw("t12_absolute_url", lien=txt.absolute_url(C("lien"), "https://listings.example"))
-_raw("t13_clean_photo_url", url=txt.clean_photo_url(C("image_url")), premiere=txt.clean_photo_url(F.replace(F.get(C("images"), F.lit(0)), F.lit("format=auto&"), F.lit(""))))
-_raw("t14_contact_photo_url", photo=txt.contact_photo_url(C("conseiller_photo")))
-_raw("t15_postal_code_anywhere", code=txt.postal_code_anywhere(C("titre"), C("localisation_complete")))
+_raw("t11_parse_media_text", lambda: dict(**_fields(txt.parse_media_text(C("media_info")), "media_description", "nombre_photos", "has_video", "has_visite_virtuelle")))
+_raw("t12_absolute_url", lambda: dict(lien=txt.absolute_url(C("lien"), "https://listings.example")))
+_raw("t13_clean_photo_url", lambda: dict(url=txt.clean_photo_url(C("image_url")), premiere=txt.clean_photo_url(F.replace(F.get(C("images"), F.lit(0)), F.lit("format=auto&"), F.lit("")))))
+_raw("t14_contact_photo_url", lambda: dict(photo=txt.contact_photo_url(C("conseiller_photo"))))
+_raw("t15_postal_code_anywhere", lambda: dict(code=txt.postal_code_anywhere(C("titre"), C("localisation_complete"))))
 add("t16_extract_listing_fields", lambda s: pages.extract_listing_fields_from_pages(s.html).drop("html"))
 add("t17_extract_coownership_fields", lambda s: pages.extract_coownership_fields(s.html).drop("html"))
 add("t18_word_count", lambda s: s.table("documents").select(
@@ -249,8 +249,8 @@ def _(s: Source) -> DataFrame:
     return flat.join(medias, KEY)
 
 
-_prep("q02_missing_fields", champs_manquants=C("metadata.champs_manquants"))
-_prep("q03_quality_score", score_qualite=C("metadata.score_qualite"))
+_prep("q02_missing_fields", lambda: dict(champs_manquants=C("metadata.champs_manquants")))
+_prep("q03_quality_score", lambda: dict(score_qualite=C("metadata.score_qualite")))
 
 
 @query("q04_prune_empty")
@@ -334,25 +334,25 @@ add("n09_shred_recommendations", lambda s: s.details["recommandations"])
 
 # --- market -------------------------------------------------------------------------------
 B = "batiment"
-_prep("m01_segment_price_m2", segment=market.segment_price_m2(C("prix.au_m2")))
-_prep("m02_segment_surface", segment=market.segment_surface(SURFACE))
-_prep("m03_segment_age", segment=market.segment_age(C(f"{B}.age_bien")))
-_prep("m04_profitability", **_fields(
-    market.profitability(PRICE, SURFACE, C("copropriete.charges.valeur")),
-    "prix_m2", "loyer_estime_mensuel", "rendement_annuel_estime", "charges_annuelles", "rentabilite_nette"))
-_prep("m05_profitability_sql", **_fields(
-    market.profitability_sql(PRICE, C("prix.au_m2"), SURFACE, C("copropriete.charges.valeur")),
-    "loyer_estime", "rendement_annuel", "rentabilite_nette"))
-_prep("m06_location_score", **{
+_prep("m01_segment_price_m2", lambda: dict(segment=market.segment_price_m2(C("prix.au_m2"))))
+_prep("m02_segment_surface", lambda: dict(segment=market.segment_surface(C(SURFACE))))
+_prep("m03_segment_age", lambda: dict(segment=market.segment_age(C(f"{B}.age_bien"))))
+_prep("m04_profitability", lambda: dict(**_fields(
+    market.profitability(C(PRICE), C(SURFACE), C("copropriete.charges.valeur")),
+    "prix_m2", "loyer_estime_mensuel", "rendement_annuel_estime", "charges_annuelles", "rentabilite_nette")))
+_prep("m05_profitability_sql", lambda: dict(**_fields(
+    market.profitability_sql(C(PRICE), C("prix.au_m2"), C(SURFACE), C("copropriete.charges.valeur")),
+    "loyer_estime", "rendement_annuel", "rentabilite_nette")))
+_prep("m06_location_score", lambda: dict(**{
     f"score_{d}": market.location_score(C("localisation.code_postal"), C("localisation.quartier"), C("localisation.proximite"), d)
-    for d in ("suffix", "prefix")})
-_prep("m07_modernity_score", score=market.modernity_score(
-    C("diagnostics.dpe.score"), C(f"{B}.age_bien"), C("caracteristiques"), C(f"{B}.ascenseur")))
+    for d in ("suffix", "prefix")}))
+_prep("m07_modernity_score", lambda: dict(score=market.modernity_score(
+    C("diagnostics.dpe.score"), C(f"{B}.age_bien"), C("caracteristiques"), C(f"{B}.ascenseur"))))
 add("m08_market_stats", lambda s: market.market_stats(s.prepared))
 add("m09_price_distribution", lambda s: market.price_distribution(s.prepared))
-_agg("m10_compare_to_market", **_fields(C("aggregats.analyse_marche"),
-     "z_score_prix_m2", "positionnement_marche", "ecart_pourcentage", "prix_m2_marche_reference"))
-_agg("m11_recommendations", **_fields(C("aggregats.recommandations"), "prix", "marketing", "amelioration", "ciblage"))
+_agg("m10_compare_to_market", lambda: dict(**_fields(C("aggregats.analyse_marche"),
+     "z_score_prix_m2", "positionnement_marche", "ecart_pourcentage", "prix_m2_marche_reference")))
+_agg("m11_recommendations", lambda: dict(**_fields(C("aggregats.recommandations"), "prix", "marketing", "amelioration", "ciblage")))
 
 
 @query("m12_aggregate_listings")
@@ -370,28 +370,28 @@ add("m13_market_trends", lambda s: market.market_trends(s.aggregated))
 add("m13b_segment_distribution", lambda s: market.segment_distribution(s.aggregated))
 for _name in ("biens_sous_cotes", "biens_sur_cotes", "opportunites_amelioration"):
     add(f"m14_{_name}", lambda s, n=_name: market.optimisation_report(s.aggregated)[n])
-_agg("m15_yield_level", niveau=market.yield_level(C("aggregats.performance.rendement_annuel_estime")),
-     ratio=market.profit_ratio(C("aggregats.performance.rentabilite_nette")))
-_agg("m16_target_segment", cible=market.target_segment(
-    C("aggregats.segmentation.prix_m2"), C(f"{B}.age_bien"), C(f"{B}.ascenseur"), C(f"{B}.etage")))
-_prep("m17_potential_segment", potentiel=market.potential_segment(C("diagnostics.dpe.score"), C(f"{B}.age_bien")))
-_agg("m18_global_segment_label", segment=market.global_segment_label(
-    C("aggregats.segmentation.prix_m2"), C("aggregats.segmentation.surface"), C("aggregats.segmentation.age")))
-_prep("m19_market_segment_sql", segment=market.market_segment_sql(
-    C("prix.au_m2"), SURFACE, C(f"{B}.age_bien"), C("diagnostics.dpe.score")))
-_prep("m20_attractiveness_score", score=market.attractiveness_score(
-    C("diagnostics.dpe.score"), C(f"{B}.ascenseur"), C(f"{B}.etage"), C(f"{B}.age_bien"), C("medias.nombre_photos")))
-_agg("m21_weighted_attractiveness", **{
+_agg("m15_yield_level", lambda: dict(niveau=market.yield_level(C("aggregats.performance.rendement_annuel_estime")),
+     ratio=market.profit_ratio(C("aggregats.performance.rentabilite_nette"))))
+_agg("m16_target_segment", lambda: dict(cible=market.target_segment(
+    C("aggregats.segmentation.prix_m2"), C(f"{B}.age_bien"), C(f"{B}.ascenseur"), C(f"{B}.etage"))))
+_prep("m17_potential_segment", lambda: dict(potentiel=market.potential_segment(C("diagnostics.dpe.score"), C(f"{B}.age_bien"))))
+_agg("m18_global_segment_label", lambda: dict(segment=market.global_segment_label(
+    C("aggregats.segmentation.prix_m2"), C("aggregats.segmentation.surface"), C("aggregats.segmentation.age"))))
+_prep("m19_market_segment_sql", lambda: dict(segment=market.market_segment_sql(
+    C("prix.au_m2"), C(SURFACE), C(f"{B}.age_bien"), C("diagnostics.dpe.score"))))
+_prep("m20_attractiveness_score", lambda: dict(score=market.attractiveness_score(
+    C("diagnostics.dpe.score"), C(f"{B}.ascenseur"), C(f"{B}.etage"), C(f"{B}.age_bien"), C("medias.nombre_photos"))))
+_agg("m21_weighted_attractiveness", lambda: dict(**{
     f"score_{scale}": market.weighted_attractiveness(
         C("aggregats.scores.emplacement"), C("aggregats.scores.modernite"),
         C("diagnostics.dpe.score"), F.lit(6.0), scale=scale)
-    for scale in (10, 1)})
-_prep("m22_renovation_potential", **_fields(
-    market.renovation_potential(C("diagnostics.dpe.classe"), C(f"{B}.age_bien"), PRICE),
-    "potentiel", "gain_valeur_estime", "investissement_estime"))
-_prep("m23_accessibility_score", score=market.accessibility_score(C(f"{B}.ascenseur"), C(f"{B}.etage")))
-_prep("m24_media_score", score=market.media_score(C("medias.nombre_photos"), C("medias.has_video"), C("medias.has_visite_virtuelle")))
-_agg("m25_percentile_rank_approx", rang=market.percentile_rank_approx(C("aggregats.analyse_marche.z_score_prix_m2")))
+    for scale in (10, 1)}))
+_prep("m22_renovation_potential", lambda: dict(**_fields(
+    market.renovation_potential(C("diagnostics.dpe.classe"), C(f"{B}.age_bien"), C(PRICE)),
+    "potentiel", "gain_valeur_estime", "investissement_estime")))
+_prep("m23_accessibility_score", lambda: dict(score=market.accessibility_score(C(f"{B}.ascenseur"), C(f"{B}.etage"))))
+_prep("m24_media_score", lambda: dict(score=market.media_score(C("medias.nombre_photos"), C("medias.has_video"), C("medias.has_visite_virtuelle"))))
+_agg("m25_percentile_rank_approx", lambda: dict(rang=market.percentile_rank_approx(C("aggregats.analyse_marche.z_score_prix_m2"))))
 add("m25b_percentile_rank_exact", lambda s: market.percentile_rank_exact(
     s.prepared.select(KEY, C("prix.au_m2").alias("au_m2")), "au_m2"))
 
@@ -724,8 +724,8 @@ def _(s: Source) -> DataFrame:
 # --- privacy ------------------------------------------------------------------------------
 add("g01_detect_sensitive", lambda s: privacy.detect_sensitive(s.table("documents"), "text").select(
     "doc_id", "sensible", "nb_telephone", "nb_email", "nb_carte"))
-_raw("g02_anonymise_names", conseiller_nom=priv.anonymise_name(C("conseiller_nom_complet")))
-_raw("g03_clean_location", localisation_complete=priv.clean_location(C("localisation_complete")))
+_raw("g02_anonymise_names", lambda: dict(conseiller_nom=priv.anonymise_name(C("conseiller_nom_complet"))))
+_raw("g03_clean_location", lambda: dict(localisation_complete=priv.clean_location(C("localisation_complete"))))
 RETENTION_NOW = "1999-06-15"
 
 

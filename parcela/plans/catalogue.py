@@ -107,7 +107,7 @@ def run_query_catalogue(
     """Every ``.sql`` file of a folder as a named frame; a failing query gives an empty one."""
     if tables:
         register_views(tables)
-    files = spark.read.option("wholetext", True).text(path, pathGlobFilter="*.sql").selectExpr(
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.sql").selectExpr(
         "regexp_extract(_metadata.file_name, '^(.*)\\\\.sql$', 1) AS name", "value"
     )
     out: dict[str, DataFrame] = {}

@@ -1,4 +1,4 @@
-"""Explicit schemas of the data model."""
+"""Explicit schemas of the data model, as DDL texts where no type object is needed."""
 
 from __future__ import annotations
 
@@ -40,12 +40,12 @@ REQUIRED_OUTPUT_FIELDS = [
     "reference", "titre", "prix", "localisation", "code_postal", "lien", "date_extraction",
 ]
 
-SNAPSHOT = T.StructType.fromDDL(
+SNAPSHOT = (
     "reference STRING, titre STRING, prix STRING, localisation STRING, surface STRING, "
     "pieces STRING, image_url STRING, media_info STRING, lien STRING, date_extraction STRING"
 )
 
-PREPARED_LISTING = T.StructType.fromDDL(
+PREPARED_LISTING = (
     "reference STRING, titre STRING, "
     "prix STRUCT<valeur DOUBLE, devise STRING, au_m2 DOUBLE>, "
     "surface STRUCT<valeur DOUBLE, unite STRING>, "
@@ -78,16 +78,14 @@ AGGREGATES = (
     "metadata_aggregation STRUCT<date_aggregation STRING, algorithme_version STRING, "
     "marche_reference STRUCT<prix_m2_moyen DOUBLE, nombre_biens_reference INT>>>"
 )
-AGGREGATED_LISTING = T.StructType(
-    PREPARED_LISTING.fields + [T.StructField("aggregats", T.DataType.fromDDL(AGGREGATES))]
-)
+AGGREGATED_LISTING = f"{PREPARED_LISTING}, aggregats {AGGREGATES}"
 
-ENVELOPE = T.StructType.fromDDL(
+ENVELOPE = (
     "source STRING, data STRING, timestamp STRING, type STRING, format_origine STRING, "
     "taille_fichier STRING"
 )
 
-CATALOGUE_CSV = T.StructType.fromDDL(
+CATALOGUE_CSV = (
     "dbms STRING, table_catalog STRING, table_schema STRING, table_name STRING, "
     "column_name STRING, ordinal_position INT, data_type STRING, character_maximum_length INT, "
     "constraint_type STRING, table_schema_2 STRING, table_name_2 STRING, column_name_2 STRING"

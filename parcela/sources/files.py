@@ -20,11 +20,18 @@ def read_listings_json(
     A file that holds one JSON array is read by one task.  Large inputs should be JSON lines
     (``multiline=False``), which split.
     """
+    if multiline:
+        parsed = spark.read.text(path, wholetext=True).select(
+            "value", F.from_json("value", T.ArrayType(schema)).alias("_rows")
+        )
+        rows = parsed.select("value", F.explode_outer("_rows").alias("_r"), F.col("_rows").isNull().alias("_bad"))
+        return rows.filter(F.col("_bad") | F.col("_r").isNotNull()).select(
+            "_r.*", F.when(F.col("_bad"), F.col("value")).alias(CORRUPT)
+        )
     wanted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(wanted).option("multiLine", multiline)
-        .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    )
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).filter(F.col("value") != "")
+    return lines.select(F.from_json("value", wanted, options).alias("_r")).select("_r.*")
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
