@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcela.functions.numbers import price_per_m2_decimal
+from parcela.session import spread
 
 AS_OF = "2025-11-15T00:00:00"
 AS_OF_YEAR = 2025
@@ -212,7 +213,8 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 8 == 6, _cat("Charges annuel ", _s(k % 1000)))
         .otherwise("néant")
     )
-    return _orders(spark, sf_dir).select(
+    # parsing is the work here, so a small input is spread over the cores first
+    return spread(_orders(spark, sf_dir), "o_orderkey").select(
         k.alias("id_annonce"),
         _cat("R", _s(k)).alias("reference"),
         _cat(home, " à ", place).alias("titre"),

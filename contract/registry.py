@@ -23,6 +23,7 @@ from parcela.sources import files, profile
 from parcela.streaming import events, ingest, layers
 
 Query = Callable[[SparkSession, str], DataFrame]
+STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 KEY = "id_annonce"
 C = F.col
 
@@ -56,13 +57,33 @@ class Source:
     def prepared(self) -> DataFrame:
         return prepare.prepare_listings(self.raw, bind.AS_OF_YEAR, keep=[KEY])
 
+    def stored(self, layer: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A layer as a written table, built once per session and data folder.
+
+        Everything behind a layer reads the table: texts are parsed once, and a lost executor
+        costs a re-read, not a re-parse.
+        """
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, layer)
+        if key not in STORED:
+            path = shared_dir(self.spark, layer)
+            df = build()
+            df.write.parquet(path)
+            STORED[key] = (path, df.schema)
+        path, schema = STORED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        """Prepared listings as a stored table."""
+        return self.stored("silver", lambda: self.prepared)
+
     @cached_property
     def aggregated(self) -> DataFrame:
-        return market.aggregate_listings(self.prepared, bind.AS_OF)
+        return market.aggregate_listings(self.silver, bind.AS_OF)
 
     @cached_property
     def modules(self) -> dict[str, DataFrame]:
-        m = shred.shred_modules(self.prepared, KEY)
+        m = shred.shred_modules(self.silver, KEY)
         return {**m, "annonces_prep": m["annonces"], "copropriete_module": m["copropriete"]}
 
     @cached_property
@@ -71,10 +92,11 @@ class Source:
 
     @cached_property
     def gold(self) -> dict[str, DataFrame]:
-        """Module and aggregate tables with the views built on them."""
-        t = {**self.modules, **self.details}
-        t["annonces_preparees"] = views.annonces_preparees_from_documents(self.prepared)
-        t["aggregats"] = shred.flat_aggregates(self.aggregated, KEY)
+        """Module and aggregate tables with the views built on them, from stored aggregates."""
+        listings = self.stored("gold", lambda: self.aggregated)
+        t = {**self.modules, **shred.shred_aggregates(listings, KEY)}
+        t["annonces_preparees"] = views.annonces_preparees_from_documents(self.silver)
+        t["aggregats"] = shred.flat_aggregates(listings, KEY)
         t["annonces_aggregats"] = views.annonces_aggregats(t)
         t["v_aggregats_complets"] = views.aggregats_complets(t)
         return t
@@ -140,7 +162,7 @@ def _raw(name: str, columns: Callable[[], dict[str, Column]]) -> None:
 
 
 def _prep(name: str, columns: Callable[[], dict[str, Column]]) -> None:
-    add(name, lambda s: s.prepared.select(KEY, *[c.alias(n) for n, c in columns().items()]))
+    add(name, lambda s: s.silver.select(KEY, *[c.alias(n) for n, c in columns().items()]))
 
 
 def _agg(name: str, columns: Callable[[], dict[str, Column]]) -> None:
@@ -244,9 +266,8 @@ add("t23_extract_fields", lambda s: pages.extract_fields(s.table("pages"), PAGE_
 
 @query("q01_prepare_listings")
 def _(s: Source) -> DataFrame:
-    flat = views.annonces_preparees_from_documents(s.prepared)
-    medias = s.prepared.select(KEY, "medias.nombre_photos", "medias.has_video", "medias.has_photo", "caracteristiques")
-    return flat.join(medias, KEY)
+    return views.annonces_preparees_from_documents(
+        s.prepared, KEY, ["medias.nombre_photos", "medias.has_video", "medias.has_photo", "caracteristiques"])
 
 
 _prep("q02_missing_fields", lambda: dict(champs_manquants=C("metadata.champs_manquants")))
@@ -348,8 +369,8 @@ _prep("m06_location_score", lambda: dict(**{
     for d in ("suffix", "prefix")}))
 _prep("m07_modernity_score", lambda: dict(score=market.modernity_score(
     C("diagnostics.dpe.score"), C(f"{B}.age_bien"), C("caracteristiques"), C(f"{B}.ascenseur"))))
-add("m08_market_stats", lambda s: market.market_stats(s.prepared))
-add("m09_price_distribution", lambda s: market.price_distribution(s.prepared))
+add("m08_market_stats", lambda s: market.market_stats(s.silver))
+add("m09_price_distribution", lambda s: market.price_distribution(s.silver))
 _agg("m10_compare_to_market", lambda: dict(**_fields(C("aggregats.analyse_marche"),
      "z_score_prix_m2", "positionnement_marche", "ecart_pourcentage", "prix_m2_marche_reference")))
 _agg("m11_recommendations", lambda: dict(**_fields(C("aggregats.recommandations"), "prix", "marketing", "amelioration", "ciblage")))
@@ -393,7 +414,7 @@ _prep("m23_accessibility_score", lambda: dict(score=market.accessibility_score(C
 _prep("m24_media_score", lambda: dict(score=market.media_score(C("medias.nombre_photos"), C("medias.has_video"), C("medias.has_visite_virtuelle"))))
 _agg("m25_percentile_rank_approx", lambda: dict(rang=market.percentile_rank_approx(C("aggregats.analyse_marche.z_score_prix_m2"))))
 add("m25b_percentile_rank_exact", lambda s: market.percentile_rank_exact(
-    s.prepared.select(KEY, C("prix.au_m2").alias("au_m2")), "au_m2"))
+    s.silver.select(KEY, C("prix.au_m2").alias("au_m2")), "au_m2"))
 
 
 @query("m26_completion_stats")
@@ -474,15 +495,16 @@ for _name, _view in _GOLD_VIEWS.items():
 
 
 def _flat(s: Source) -> DataFrame:
-    return quality.add_quality_metrics(prepare.flatten_listing(s.prepared, bind.AS_OF))
+    return quality.add_quality_metrics(prepare.flatten_listing(s.silver, bind.AS_OF))
 
 
 for _name in ("types", "prix", "surface", "qualite"):
-    add(f"v40_flat_{_name}", lambda s, n=_name: views.flat_statistics(_flat(s))[n])
-add("v41_top_villes", lambda s: views.top_villes(_flat(s)))
+    add(f"v40_flat_{_name}", lambda s, n=_name: views.flat_statistics(_flat(s))[n].withColumn(
+        "stddev", F.round("stddev", 6)) if n != "types" else views.flat_statistics(_flat(s))[n])
+add("v41_top_villes", lambda s: views.top_villes(_flat(s)).withColumn("prix_m2_moyen", F.round("prix_m2_moyen", 6)))
 for _name in ("types", "villes", "prix"):
-    add(f"v42_document_{_name}", lambda s, n=_name: views.document_statistics(s.prepared)[n])
-add("v43_document_sample", lambda s: views.document_sample(s.prepared, 3).select("reference", "titre"))
+    add(f"v42_document_{_name}", lambda s, n=_name: views.document_statistics(s.silver)[n])
+add("v43_document_sample", lambda s: views.document_sample(s.silver, 3).select("reference", "titre"))
 
 # --- commerce -----------------------------------------------------------------------------
 _SHOP: dict[str, Callable] = {
@@ -688,7 +710,7 @@ def _(s: Source) -> DataFrame:
     out = shared_dir(s.spark, "dedup")
     ingest.run_available(
         _event_stream(s), events.dedup_into(out, "user_id", "ts", "31 days"), shared_dir(s.spark, "ckpt"))
-    return s.spark.read.schema("user_id BIGINT, ts TIMESTAMP").parquet(out)
+    return s.spark.read.schema("user_id BIGINT, ts TIMESTAMP").parquet(out).select("user_id", "ts")
 
 
 @query("i13_windowed_counts")

@@ -58,7 +58,7 @@ def extract_field(html: Column, rule: FieldRule) -> Column:
 
 def definition(html: Column, label: str) -> Column:
     """Text of the ``<dd>`` that follows the ``<dt>`` holding the label, "" when absent."""
-    found = first_match(html, rf"(?isU)<dt[^>]*>[^<]*{label}[^<]*</dt>\s*<dd[^>]*>(.*?)</dd>")
+    found = first_match(html, rf"(?isu)<dt[^>]*>[^<]*{label}[^<]*</dt>\s*<dd[^>]*>(.*?)</dd>")
     return F.coalesce(strip(text_of(found)), F.lit(""))
 
 
@@ -73,44 +73,44 @@ def coownership_fields(html: Column) -> Column:
 # The agent block of a detail page.
 AGENT_RULES = {
     "conseiller_nom_complet": FieldRule(
-        r"(?isU)<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>.*?<p[^>]*class=\"[^\"]*text-xl[^\"]*\"[^>]*>(.*?)</p>"
+        r"(?is)<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>.*?<p[^>]*class=\"[^\"]*text-xl[^\"]*\"[^>]*>(.*?)</p>"
     ),
     "conseiller_telephone": FieldRule(
-        r"(?isU)<button[^>]*>\s*<span[^>]*>([^<]*\+33[^<]*)</span>", regex=r"(\+33[\d\s]+)"
+        r"(?is)<button[^>]*>\s*<span[^>]*>([^<]*\+33[^<]*)</span>", regex=r"(\+33[\d\s]+)"
     ),
     "conseiller_lien": FieldRule(
-        r"(?isU)<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*href=\"([^\"]*)\"", attribute=True
+        r"(?is)<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*href=\"([^\"]*)\"", attribute=True
     ),
     "conseiller_photo": FieldRule(
-        r"(?isU)<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>.*?<img[^>]*class=\"[^\"]*size-full[^\"]*\"[^>]*src=\"([^\"]*)\"",
+        r"(?is)<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>.*?<img[^>]*class=\"[^\"]*size-full[^\"]*\"[^>]*src=\"([^\"]*)\"",
         attribute=True,
     ),
-    "conseiller_note": FieldRule(r"(?isU)<[a-z]+[^>]*class=\"[^\"]*rating[^\"]*\"[^>]*>(.*?)</"),
-    "conseiller_nombre_avis": FieldRule(r"(?isU)<[a-z]+[^>]*class=\"[^\"]*avis[^\"]*\"[^>]*>(.*?)</"),
+    "conseiller_note": FieldRule(r"(?is)<[a-z]+[^>]*class=\"[^\"]*rating[^\"]*\"[^>]*>(.*?)</"),
+    "conseiller_nombre_avis": FieldRule(r"(?is)<[a-z]+[^>]*class=\"[^\"]*avis[^\"]*\"[^>]*>(.*?)</"),
 }
 
 # The energy panel of a detail page.
-_PANEL = r"(?isU)<div[^>]*class=\"[^\"]*{kind}[^\"]*\"[^>]*>.*?<li[^>]*class=\"[^\"]*border-white[^\"]*\"[^>]*>\s*<span[^>]*>(.*?)</span>"
+_PANEL = r"(?is)<div[^>]*class=\"[^\"]*{kind}[^\"]*\"[^>]*>.*?<li[^>]*class=\"[^\"]*border-white[^\"]*\"[^>]*>\s*<span[^>]*>(.*?)</span>"
 ENERGY_RULES = {
     "dpe_classe_active": FieldRule(_PANEL.replace("{kind}", "panel-dpe")),
     "ges_classe_active": FieldRule(_PANEL.replace("{kind}", "panel-ges")),
     "dpe_consommation_energie_primaire": FieldRule(
-        r"(?isU)border-epc-[A-G][^>]*>.*?<p[^>]*class=\"flex\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"(?is)border-epc-[A-G][^>]*>.*?<p[^>]*class=\"flex\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
     ),
     "dpe_consommation_energie_finale": FieldRule(
-        r"(?isU)border-epc-[A-G][^>]*>.*?</p>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"(?is)border-epc-[A-G][^>]*>.*?</p>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
     ),
     "dpe_emissions": FieldRule(
-        r"(?isU)border-epc-[A-G][^>]*>.*?<p[^>]*class=\"grid\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"(?is)border-epc-[A-G][^>]*>.*?<p[^>]*class=\"grid\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
     ),
     "ges_emissions": FieldRule(
-        r"(?isU)border-ges-[A-G][^>]*>.*?<p[^>]*class=\"grid\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"(?is)border-ges-[A-G][^>]*>.*?<p[^>]*class=\"grid\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
     ),
     "depenses_energie_min": FieldRule(
-        r"(?isU)<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
+        r"(?is)<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
     ),
     "depenses_energie_max": FieldRule(
-        r"(?isU)<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>.*?</p>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
+        r"(?is)<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>.*?</p>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
     ),
     "annee_reference": FieldRule(literal="2025"),
 }
@@ -123,8 +123,8 @@ def agent_fields(html: Column, base_url: str) -> Column:
 
 
 def _legend(html: Column, kind: str) -> Column:
-    block = first_match(html, rf"(?isU)<div[^>]*class=\"[^\"]*{kind}[^\"]*\"[^>]*>(.*?)</div>")
-    hits = F.regexp_extract_all(block, F.lit(r"(?isU)<em[^>]*>(.*?)</em>"), 1)
+    block = first_match(html, rf"(?is)<div[^>]*class=\"[^\"]*{kind}[^\"]*\"[^>]*>(.*?)</div>")
+    hits = F.regexp_extract_all(block, F.lit(r"(?is)<em[^>]*>(.*?)</em>"), 1)
     texts = F.filter(F.transform(hits, lambda x: strip(text_of(x))), lambda x: x != "")
     return F.coalesce(texts, F.array().cast("array<string>"))
 

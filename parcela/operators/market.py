@@ -470,38 +470,34 @@ def percentile_rank_approx(z: Column) -> Column:
     return F.greatest(F.lit(1), F.least(F.lit(99), F.lit(50) + shift))
 
 
-def percentile_rank_exact(df: DataFrame, value: str, out: str = "rang_exact") -> DataFrame:
+def percentile_rank_exact(
+    df: DataFrame, value: str, out: str = "rang_exact", width: float = 1.0
+) -> DataFrame:
     """Share of rows with a smaller value, in percent (``percent_rank``), over the whole table.
 
-    Ranks come from counts per distinct value: a range-partitioned sort of the distinct values,
-    running counts inside each partition, and the partition offsets added back.  No task holds
-    more than its range, however often one value occurs.
+    Values are counted per bucket of fixed width.  The running count over buckets is short; the
+    running count inside a bucket meets one row per distinct value, however often it occurs.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    # the partition of a value is fixed by cut points, so every later step agrees on it
-    cuts = counts.agg(F.percentile_approx(value, [i / 64 for i in range(1, 64)], 1000)).scalar()
-    placed = counts.withColumn("_cuts", cuts).withColumn(
-        "_p", F.size(F.filter("_cuts", lambda x: x < F.col(value)))
-    ).drop("_cuts")
-    sizes = placed.groupBy("_p").agg(F.sum("_n").alias("_size"))
-    running = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(running), F.lit(0)))
-    within = Window.partitionBy("_p").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
-        placed.withColumn("_before", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-        .join(F.broadcast(offsets.select("_p", "_offset")), "_p")  # 64 rows
-        .select(value, (F.col("_before") + F.col("_offset")).alias("_smaller"))
+    counts = (
+        df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v"))
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_b", F.floor(F.col("_v").cast("double") / F.lit(float(width))))
     )
-    total = sizes.agg(F.sum("_size")).scalar()
-    return (
-        df.join(ranked, value, "left")
-        .withColumn("_total", total)
-        .withColumn(out, F.coalesce(
-            F.try_divide(F.col("_smaller"), F.nullif(F.col("_total") - 1, F.lit(0))) * 100.0,
-            F.when(F.col("_smaller").isNotNull(), F.lit(0.0)),
-        ))
-        .drop("_smaller", "_total")
+    buckets = counts.groupBy("_b").agg(F.sum("_n").alias("_size"))
+    one = Window.partitionBy(F.lit(0))
+    upto = one.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = buckets.select(
+        "_b", F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_offset"),
+        F.sum("_size").over(one).alias("_total"),
     )
+    inside = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    smaller = counts.withColumn("_before", before).join(offsets, "_b")
+    rank = (F.col("_before") + F.col("_offset")).cast("double") / F.nullif(
+        F.col("_total") - 1, F.lit(0)
+    ) * F.lit(100.0)
+    ranked = smaller.select("_v", F.coalesce(rank, F.lit(0.0)).alias(out))
+    return df.join(ranked, F.col(value) == F.col("_v"), "left").drop("_v")
 
 
 # How a recommendation of each type is ranked, and by when it should be done.

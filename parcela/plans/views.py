@@ -430,8 +430,13 @@ def annonces_preparees(t: Tables) -> DataFrame:
     return out
 
 
-def annonces_preparees_from_documents(prepared: DataFrame, key: str = KEY) -> DataFrame:
-    """The same view straight from the nested documents: one projection, no join."""
+def annonces_preparees_from_documents(
+    prepared: DataFrame, key: str = KEY, more: list[str] | None = None
+) -> DataFrame:
+    """The same view straight from the nested documents: one projection, no join.
+
+    ``more`` names further columns to show.
+    """
     c = F.col
     contact = (
         (F.coalesce(c("contact.conseiller"), F.lit("")) != "")
@@ -460,6 +465,7 @@ def annonces_preparees_from_documents(prepared: DataFrame, key: str = KEY) -> Da
         c("copropriete.charges.unite").alias("charges_unite"),
         F.when(contact, c("contact.conseiller")).alias("conseiller_nom"),
         F.when(contact, c("contact.telephone")).alias("conseiller_telephone"),
+        *(more or []),
     )
 
 
