@@ -45,8 +45,10 @@ def _null_when(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str, parse: bool = False) -> DataFrame:
+    """Orders with their customer; ``parse`` says that much text work follows."""
     o = table(spark, sf_dir, "orders")
+    o = spread(o, "o_orderkey") if parse else o
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     return o.join(c, F.col("o_custkey") == F.col("c_custkey")).drop("c_custkey")
 
@@ -213,8 +215,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 8 == 6, _cat("Charges annuel ", _s(k % 1000)))
         .otherwise("néant")
     )
-    # parsing is the work here, so a small input is spread over the cores first
-    return spread(_orders(spark, sf_dir), "o_orderkey").select(
+    return _orders(spark, sf_dir, parse=True).select(
         k.alias("id_annonce"),
         _cat("R", _s(k)).alias("reference"),
         _cat(home, " à ", place).alias("titre"),

@@ -188,10 +188,15 @@ SHOWN = "id_annonce, reference, CAST(prix AS DOUBLE) AS prix, CAST(surface AS DO
 base("q10_search_filter", f"SELECT {SHOWN} FROM annonces WHERE type_bien ILIKE '%urgent%' AND prix >= 100000 AND prix <= 300000 AND surface <= 150 AND (localisation ILIKE '%build%' OR localisation_complete ILIKE '%build%')")
 base("q11_page_results", f"SELECT {SHOWN} FROM annonces ORDER BY id_annonce DESC LIMIT 50 OFFSET 25")
 base("q12_text_search", f"SELECT {SHOWN} FROM annonces WHERE titre ILIKE '%machin%' OR description ILIKE '%machin%' OR localisation ILIKE '%machin%' ORDER BY id_annonce DESC LIMIT 100")
-base("q13_listing_detail", """SELECT a.id_annonce, a.reference,
+base("q13_all_details", """SELECT id_annonce, 'caracteristiques' AS section, 0 AS ordre, 'valeur' AS champ, valeur FROM caracteristiques WHERE id_annonce IN (SELECT id_annonce FROM annonces)
+  UNION ALL SELECT id_annonce, 'images', ordre, 'url', url FROM images WHERE id_annonce IN (SELECT id_annonce FROM annonces) """ + "".join(
+    f"UNION ALL SELECT id_annonce, '{t}', 0, '{c}', CAST({c} AS VARCHAR) FROM {t} WHERE {c} IS NOT NULL "
+    for t, columns in {"conseiller": ["nom_complet", "photo", "note"], "dpe": ["classe_energie", "indice_energie", "classe_climat", "indice_climat"],
+                       "copropriete": ["nb_lots", "charges_previsionnelles", "procedures"]}.items() for c in columns))
+base("q13b_listing_detail", """SELECT a.id_annonce, a.reference,
   (SELECT STRING_AGG(valeur, ', ' ORDER BY valeur) FROM caracteristiques c WHERE c.id_annonce = a.id_annonce) AS caracteristiques,
   CAST((SELECT COUNT(*) FROM images i WHERE i.id_annonce = a.id_annonce) AS INTEGER) AS nb_images, x.nom_complet AS conseiller, x.note,
-  d.classe_energie, cp.nb_lots FROM annonces a LEFT JOIN conseiller x USING (id_annonce) LEFT JOIN dpe d USING (id_annonce) LEFT JOIN copropriete cp USING (id_annonce)""")
+  d.classe_energie, cp.nb_lots FROM annonces a LEFT JOIN conseiller x USING (id_annonce) LEFT JOIN dpe d USING (id_annonce) LEFT JOIN copropriete cp USING (id_annonce) WHERE a.id_annonce = 42""")
 base("q14_listing_by_reference", f"SELECT {SHOWN} FROM annonces WHERE reference = 'R42'")
 base("q15_public_sample", f"SELECT reference, titre, {dbl('prix')} AS prix, {dbl('surface')} AS surface, localisation FROM annonces ORDER BY id_annonce DESC LIMIT 10")
 base("q16_distinct_types", "SELECT DISTINCT type_bien FROM annonces WHERE type_bien IS NOT NULL")
@@ -747,6 +752,11 @@ prep("v41_top_villes", f"ville AS localisation_ville, round({STABLE.format('(pv
 prep("v42_document_types", "type_bien, COUNT(*) AS count", "GROUP BY 1")
 prep("v42_document_villes", "ville, COUNT(*) AS count", "GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST LIMIT 5")
 prep("v42_document_prix", f"{STABLE.format('pv')} AS prix_moyen", "WHERE pv IS NOT NULL")
+raw("v43_document_count", "COUNT(*) AS total")
+raw("v43_first_documents", "reference, titre", "ORDER BY reference LIMIT 5")
+SQL["s02_read_snapshots"] = f"""WITH {RAW}, runs AS (SELECT unnest([0, 1, 2]) AS i)
+  SELECT TIMESTAMP '2025-11-10 02:15:00' + INTERVAL 1 DAY * CAST(i AS INTEGER) AS horodatage, COUNT(*) AS lignes,
+  CAST(SUM(CASE WHEN k % 3 <> 2 THEN k % 7 ELSE 0 END) AS BIGINT) AS photos, MIN(reference) AS premiere FROM raw JOIN runs ON k % 3 <> i GROUP BY i"""
 SQL["p14_price_per_m2"] = f"""WITH {ANNONCES}, {PREP.split('),', 1)[1]}, x AS (SELECT id_annonce, {loader_price('prix_au_m2')} AS given, {loader_price('prix')} AS p, {loader_surface('surface')} AS s FROM raw)
   SELECT a.id_annonce, CASE WHEN a.prix > 0 AND a.surface > 0 THEN CAST((200 * CAST(a.prix * 100 AS BIGINT) + CAST(a.surface * 100 AS BIGINT)) // (2 * CAST(a.surface * 100 AS BIGINT)) AS DOUBLE) / 100 END AS sql,
   {py2('a.prix::DOUBLE / a.surface::DOUBLE')} AS document, COALESCE(x.given, CASE WHEN x.p <> 0 THEN {py2('x.p / x.s')} END) AS chargeur

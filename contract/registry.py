@@ -23,7 +23,6 @@ from parcela.sources import files, profile
 from parcela.streaming import events, ingest, layers
 
 Query = Callable[[SparkSession, str], DataFrame]
-STORED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 KEY = "id_annonce"
 C = F.col
 
@@ -63,14 +62,9 @@ class Source:
         Everything behind a layer reads the table: texts are parsed once, and a lost executor
         costs a re-read, not a re-parse.
         """
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, layer)
-        if key not in STORED:
-            path = shared_dir(self.spark, layer)
-            df = build()
-            df.write.parquet(path)
-            STORED[key] = (path, df.schema)
-        path, schema = STORED[key]
-        return self.spark.read.schema(schema).parquet(path)
+        df, path = build(), shared_dir(self.spark, layer)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
     def silver(self) -> DataFrame:
@@ -86,17 +80,21 @@ class Source:
         m = shred.shred_modules(self.silver, KEY)
         return {**m, "annonces_prep": m["annonces"], "copropriete_module": m["copropriete"]}
 
+    @cached_property
+    def gold_listings(self) -> DataFrame:
+        """Aggregated listings as a stored table."""
+        return self.stored("gold", lambda: self.aggregated)
+
     @cached_property
     def details(self) -> dict[str, DataFrame]:
-        return shred.shred_aggregates(self.aggregated, KEY)
+        return shred.shred_aggregates(self.gold_listings, KEY)
 
     @cached_property
     def gold(self) -> dict[str, DataFrame]:
-        """Module and aggregate tables with the views built on them, from stored aggregates."""
-        listings = self.stored("gold", lambda: self.aggregated)
-        t = {**self.modules, **shred.shred_aggregates(listings, KEY)}
+        """Module and aggregate tables with the views built on them."""
+        t = {**self.modules, **self.details}
         t["annonces_preparees"] = views.annonces_preparees_from_documents(self.silver)
-        t["aggregats"] = shred.flat_aggregates(listings, KEY)
+        t["aggregats"] = shred.flat_aggregates(self.gold_listings, KEY)
         t["annonces_aggregats"] = views.annonces_aggregats(t)
         t["v_aggregats_complets"] = views.aggregats_complets(t)
         return t
@@ -144,9 +142,20 @@ def plain(df: DataFrame) -> DataFrame:
 QUERIES: dict[str, Query] = {}
 
 
+SOURCES: dict[tuple[str, str], Source] = {}
+
+
+def source(spark: SparkSession, sf_dir: str) -> Source:
+    """The source of a session and folder; keeps the derived plans, not their data."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in SOURCES:
+        SOURCES[key] = Source(spark, sf_dir)
+    return SOURCES[key]
+
+
 def query(name: str) -> Callable:
     def register(build: Callable[[Source], DataFrame]) -> Callable:
-        QUERIES[name] = lambda spark, sf_dir: plain(build(Source(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: plain(build(source(spark, sf_dir)))
         return build
 
     return register
@@ -211,7 +220,7 @@ add("p20_collapse_whitespace", lambda s: s.table("documents").select(
     "doc_id", F.md5(txt.collapse_whitespace(C("text"))).alias("empreinte"),
     F.length(txt.collapse_whitespace(C("text"))).alias("longueur")))
 add("p21_flatten_listing", lambda s: prepare.flatten_listing(s.prepared, bind.AS_OF))
-add("p22_map_fields", lambda s: prepare.map_fields(s.aggregated).select(
+add("p22_map_fields", lambda s: prepare.map_fields(s.gold_listings).select(
     "reference", "prix_valeur", "prix_au_m2", "surface_valeur", "composition_pieces", "batiment_ascenseur",
     "diagnostics_dpe_score", "medias_has_video", "metadata_date_extraction", "metadata_score_qualite",
     "aggregats_scores_global", "aggregats_segmentation_surface"))
@@ -322,12 +331,15 @@ add("q11_page_results", lambda s: search.page_results(s.base["annonces"], 50, 25
 add("q12_text_search", lambda s: search.text_search(s.base["annonces"], "machin").select(*SHOWN))
 
 
-@query("q13_listing_detail")
+add("q13_all_details", lambda s: search.all_details(s.base))
+
+
+@query("q13b_listing_detail")
 def _(s: Source) -> DataFrame:
-    d = search.listing_detail(s.base)
+    d = search.listing_detail(s.base, 42)
     return d.select(
         KEY, "reference", F.array_join(C("caracteristiques.valeur"), ", ").alias("caracteristiques"),
-        F.size(F.coalesce("images", F.array().cast("array<struct<ordre:int,url:string>>"))).alias("nb_images"),
+        F.size("images").alias("nb_images"),
         C("conseiller.nom_complet").alias("conseiller"), C("conseiller.note").alias("note"),
         C("dpe.classe_energie").alias("classe_energie"), C("copropriete.nb_lots").alias("nb_lots"))
 
@@ -387,10 +399,10 @@ def _(s: Source) -> DataFrame:
         C("aggregats.metadata_aggregation.marche_reference.nombre_biens_reference").alias("nombre_reference"))
 
 
-add("m13_market_trends", lambda s: market.market_trends(s.aggregated))
-add("m13b_segment_distribution", lambda s: market.segment_distribution(s.aggregated))
+add("m13_market_trends", lambda s: market.market_trends(s.gold_listings))
+add("m13b_segment_distribution", lambda s: market.segment_distribution(s.gold_listings))
 for _name in ("biens_sous_cotes", "biens_sur_cotes", "opportunites_amelioration"):
-    add(f"m14_{_name}", lambda s, n=_name: market.optimisation_report(s.aggregated)[n])
+    add(f"m14_{_name}", lambda s, n=_name: market.optimisation_report(s.gold_listings)[n])
 _agg("m15_yield_level", lambda: dict(niveau=market.yield_level(C("aggregats.performance.rendement_annuel_estime")),
      ratio=market.profit_ratio(C("aggregats.performance.rentabilite_nette"))))
 _agg("m16_target_segment", lambda: dict(cible=market.target_segment(
@@ -504,6 +516,8 @@ for _name in ("types", "prix", "surface", "qualite"):
 add("v41_top_villes", lambda s: views.top_villes(_flat(s)).withColumn("prix_m2_moyen", F.round("prix_m2_moyen", 6)))
 for _name in ("types", "villes", "prix"):
     add(f"v42_document_{_name}", lambda s, n=_name: views.document_statistics(s.silver)[n])
+add("v43_document_count", lambda s: views.document_count(s.silver))
+add("v43_first_documents", lambda s: views.first_documents(s.silver).select("reference", "titre"))
 add("v43_document_sample", lambda s: views.document_sample(s.silver, 3).select("reference", "titre"))
 
 # --- commerce -----------------------------------------------------------------------------
@@ -537,6 +551,21 @@ def _(s: Source) -> DataFrame:
     return good.select("reference", "prix", "surface", "localisation", "images")
 
 
+@query("s02_read_snapshots")
+def _(s: Source) -> DataFrame:
+    """Three runs, each with two thirds of the listings; rows per run and listings in all."""
+    base = shared_dir(s.spark, "runs")
+    media = F.to_json(txt.parse_media_text(C("media_info")))
+    fields = ["reference", "titre", "prix", "localisation", "surface", "pieces", "image_url", "lien", "date_extraction"]
+    for i in range(3):
+        rows = s.raw.filter(C(KEY) % 3 != i).select(*fields, media.alias("media_info"))
+        files.write_json(rows, f"{base}/annonces_2025111{i}_021500")
+    runs = files.read_snapshots(s.spark, f"{base}/annonces_*", multiline=False)
+    photos = files.media_info(runs)["nombre_photos"]
+    return runs.groupBy("horodatage").agg(
+        F.count("*").alias("lignes"), F.sum(photos).alias("photos"), F.min("reference").alias("premiere"))
+
+
 @query("s03_write_parquet")
 def _(s: Source) -> DataFrame:
     path = files.write_parquet(s.prepared, shared_dir(s.spark, "prepared"), "20251115_000000")
@@ -579,7 +608,7 @@ add("s07b_new_rows", lambda s: load.new_rows(*_batch(s)).select("reference", "ti
 def _(s: Source) -> DataFrame:
     k = C(KEY)
     listings = s.base["annonces"].select(KEY, "reference").filter(k % 3 == 0)
-    main = shred.flat_aggregates(s.aggregated).select("reference", "score_global")
+    main = shred.flat_aggregates(s.gold_listings).select("reference", "score_global")
     existing = main.filter(F.substring("reference", -1, 1) == "6")
     return load.insert_aggregates_if_absent(listings, existing, main)
 

@@ -53,17 +53,13 @@ def mask_contact(df: DataFrame, allowed: bool = False, keep: list[str] | None =
     return df.select(*(keep or [KEY]), *names)
 
 
-def listing_detail(
-    tables: dict[str, DataFrame], listing: int | None = None, mask: bool = True
-) -> DataFrame:
-    """Listings with features, images and agent, energy and co-ownership structs.
+def listing_detail(tables: dict[str, DataFrame], listing: int, mask: bool = True) -> DataFrame:
+    """One listing with features, images and agent, energy and co-ownership structs.
 
-    ``listing`` narrows every table before anything is joined; without it all listings come.
-    Children arrive as arrays of one listing, which is what a detail page shows.
+    The id narrows every table at its scan; the arrays hold the children of this listing only.
     """
     def rows(name: str) -> DataFrame:
-        df = tables[name]
-        return df if listing is None else df.filter(F.col(KEY) == listing)
+        return tables[name].filter(F.col(KEY) == listing)
 
     def many(name: str, *columns: str) -> DataFrame:
         return rows(name).groupBy(KEY).agg(
@@ -84,6 +80,37 @@ def listing_detail(
     )
 
 
+def all_details(tables: dict[str, DataFrame], mask: bool = True) -> DataFrame:
+    """The details of every listing in long form: one row per listing, section, rank and field.
+
+    Nothing is grouped, so a listing with very many features or images stays many rows.
+    """
+    def field_rows(name: str, df: DataFrame) -> DataFrame:
+        names = [c for c in df.columns if c != KEY]
+        pairs = [F.struct(F.lit(n).alias("champ"), F.col(n).cast("string").alias("valeur")) for n in names]
+        return df.select(
+            KEY, F.lit(name).alias("section"), F.lit(0).alias("ordre"), F.inline(F.array(*pairs))
+        )
+
+    singles = [
+        field_rows("conseiller", mask_contact(tables["conseiller"], not mask)),
+        field_rows("dpe", tables["dpe"]),
+        field_rows("copropriete", tables["copropriete"]),
+    ]
+    listed = [
+        tables["caracteristiques"].select(
+            KEY, F.lit("caracteristiques").alias("section"), F.lit(0).alias("ordre"),
+            F.lit("valeur").alias("champ"), "valeur"),
+        tables["images"].select(
+            KEY, F.lit("images").alias("section"), "ordre", F.lit("url").alias("champ"),
+            F.col("url").alias("valeur")),
+    ]
+    out = listed[0]
+    for part in [*listed[1:], *singles]:
+        out = out.unionByName(part)
+    return out.join(tables["annonces"].select(KEY), KEY, "left_semi").filter(F.col("valeur").isNotNull())
+
+
 def listing_by_reference(df: DataFrame, reference: str) -> DataFrame:
     return df.filter(F.col("reference") == reference)
 

@@ -718,6 +718,15 @@ def document_statistics(documents: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def document_count(documents: DataFrame) -> DataFrame:
+    return documents.agg(_count("total"))
+
+
+def first_documents(documents: DataFrame, n: int = 5, key: str = "reference") -> DataFrame:
+    """The first ``n`` documents by key."""
+    return documents.orderBy(key).limit(n)
+
+
 def document_sample(documents: DataFrame, n: int = 3, seed: int = 0, key: str = "reference") -> DataFrame:
     """A random sample of ``n`` documents, the same for every run with one seed."""
     return documents.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)

@@ -39,11 +39,12 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a small input over all cores by a unique key; leave a large one as it is.
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Hash a small table over all cores by a unique key; leave a large one as it is.
 
-    A file of one row group is one task, however many texts have to be parsed in it.  Inputs that
-    already have a partition per core are not shuffled.
+    A file of one row group is one task, however many texts have to be parsed in it.  A table that
+    already has a partition per core is not shuffled.  ``scan`` must be a plain table scan: its
+    partitions are known from the file listing, without running anything.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

@@ -41,11 +41,11 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_snapshots(spark: SparkSession, glob: str, multiline: bool = True) -> DataFrame:
-    """Rows of all run files with file name and the run's stamp taken from it.
+    """Rows of all run files with the run's stamp (``_yyyyMMdd_HHmmss``) from their path.
 
     ``media_info`` is text in some files and an object in others; it stays as JSON text.
     """
-    stamp = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{8}_\d{6})\.json$", 1)
+    stamp = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{8}_\d{6})(?:\.json|/)", 1)
     return (
         spark.read.schema(SNAPSHOT).option("multiLine", multiline).json(glob)
         .select("*", F.col("_metadata.file_name").alias("fichier"),
