@@ -140,7 +140,8 @@ def describe_catalogue_csv(spark: SparkSession, path: str) -> DataFrame:
 def list_input_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Name, size and rows of the files of a folder.
 
-    Sizes come from the listing; the contents are read as lines only to count them.
+    Sizes come from the listing; the contents are read as lines only to count them.  The file
+    source leaves out empty files.
     """
     sizes = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
