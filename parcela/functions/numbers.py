@@ -13,6 +13,12 @@ NARROW_SPACE = "\u202f"
 HARD_SPACE = "\u00a0"
 EURO = "€"
 
+# Characters that count as whitespace, all of Unicode's and the ASCII separators.
+WHITESPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Texts read as booleans.
 TRUE_WORDS = ["true", "vrai", "oui", "yes", "1", "t"]
 LOADER_TRUE_WORDS = ["true", "1", "yes", "oui", "vrai"]
@@ -28,8 +34,13 @@ _ISO = (
 
 
 def strip(c: Column) -> Column:
-    """Remove Unicode whitespace at both ends (``trim`` removes U+0020 only)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Remove whitespace at both ends (``trim`` without characters removes U+0020 only)."""
+    return F.btrim(c, F.lit(WHITESPACE))
+
+
+def without(c: Column, characters: str) -> Column:
+    """Remove every occurrence of the characters."""
+    return F.translate(c, characters, "")
 
 
 def blank_to_null(c: Column) -> Column:
@@ -65,13 +76,13 @@ def python_round(x: Column, digits: int = 2) -> Column:
 
 def normalise_price(c: Column) -> Column:
     """Price text to double: currency and hard spaces dropped, comma read as point."""
-    text = strip(F.regexp_replace(c, f"[{NARROW_SPACE}{HARD_SPACE}{EURO}]", ""))
+    text = strip(without(c, f"{NARROW_SPACE}{HARD_SPACE}{EURO}"))
     return to_float(F.replace(text, F.lit(","), F.lit(".")))
 
 
 def clean_price(c: Column) -> Column:
     """Loader variant: ordinary spaces go too, and the whole text must be one number."""
-    text = strip(F.regexp_replace(c, f"[ {NARROW_SPACE}{EURO}]", ""))
+    text = strip(without(c, f" {NARROW_SPACE}{EURO}"))
     return F.when(
         text.rlike(r"^[0-9]+[,.]?[0-9]*$"),
         F.replace(text, F.lit(","), F.lit(".")).try_cast("double"),
@@ -80,7 +91,7 @@ def clean_price(c: Column) -> Column:
 
 def price_to_decimal(c: Column) -> Column:
     """SQL function of the base schema: decimal price, null when unreadable."""
-    text = F.regexp_replace(c, f"[ {NARROW_SPACE}{EURO}]", "")
+    text = without(c, f" {NARROW_SPACE}{EURO}")
     return F.nullif(text, F.lit("")).try_cast("decimal(12,2)")
 
 
@@ -90,7 +101,7 @@ def price_digits(c: Column) -> Column:
 
 
 def normalise_number(c: Column) -> Column:
-    return to_float(F.regexp_replace(c, f"[{NARROW_SPACE}{HARD_SPACE}]", ""))
+    return to_float(without(c, f"{NARROW_SPACE}{HARD_SPACE}"))
 
 
 def extract_first_int(c: Column) -> Column:

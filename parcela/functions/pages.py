@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcela.functions.numbers import first_match, strip
-from parcela.functions.text import absolute_url, clean_photo_url
+from parcela.functions.text import clean_photo_url
 
 # Entities that page texts use, with what they stand for.
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
@@ -31,29 +31,54 @@ class FieldRule:
 
 
 def text_of(inner_html: Column) -> Column:
-    """Text content: tags removed, entities decoded."""
+    """Text content: tags removed, entities decoded; plain text is passed through."""
     text = F.regexp_replace(inner_html, r"(?s)<[^>]*>", "")
     for entity, char in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    return F.when(inner_html.contains("<") | inner_html.contains("&"), text).otherwise(inner_html)
 
 
-def _refine(value: Column, rule: FieldRule) -> Column:
-    text = value if rule.attribute else text_of(value)
+def found(html: Column, rule: FieldRule) -> Column:
+    """What the pattern of a rule finds: the first hit, or all of them."""
+    if rule.literal is not None:
+        return F.lit(rule.literal)
+    if rule.multiple:
+        return F.regexp_extract_all(html, F.lit(rule.pattern), 1)
+    return first_match(html, rule.pattern)
+
+
+def refined(value: Column, rule: FieldRule) -> Column:
+    """Text of one hit.  The regex keeps its first group; text it does not match stays whole."""
+    text = value if rule.attribute or rule.literal is not None else text_of(value)
     if rule.regex:
-        text = F.when(text.rlike(rule.regex), F.regexp_extract(text, rule.regex, 1)).otherwise(text)
-    return F.nullif(strip(text), F.lit(""))
+        text = F.regexp_replace(text, f"(?s:^.*?)(?:{rule.regex})(?s:.*)$", "$1")
+    return strip(text)
 
 
-def extract_field(html: Column, rule: FieldRule) -> Column:
-    """Value of one rule, null when the page has no such element."""
-    if rule.literal is not None:
-        return F.lit(rule.literal)
+def field(hit: Column, rule: FieldRule) -> Column:
+    """Value of a rule from what was found; null when the page has no such element."""
     if rule.multiple:
-        hits = F.regexp_extract_all(html, F.lit(rule.pattern), 1)
-        found = F.filter(F.transform(hits, lambda x: _refine(x, rule)), lambda x: x.isNotNull())
-        return F.when(F.size(found) > 0, found)
-    return _refine(first_match(html, rule.pattern), rule)
+        texts = F.filter(F.transform(hit, lambda x: refined(x, rule)), lambda x: x != "")
+        return F.when(F.size(texts) > 0, texts)
+    return F.nullif(refined(hit, rule), F.lit(""))
+
+
+def select_fields(
+    pages: DataFrame, html: str, rules: dict[str, FieldRule], default: str | None = None
+) -> DataFrame:
+    """The pages with one column per rule.
+
+    The hits are one projection and their texts the next, so each pattern runs once per page.
+    """
+    hits = pages.select(
+        "*", *[found(F.col(html), rule).alias(f"_hit_{name}") for name, rule in rules.items()]
+    )
+
+    def value(name: str, rule: FieldRule) -> Column:
+        text = field(F.col(f"_hit_{name}"), rule)
+        return F.coalesce(text, F.lit(default)) if default is not None and not rule.multiple else text
+
+    return hits.select(*pages.columns, *[value(n, r).alias(n) for n, r in rules.items()])
 
 
 def definition(html: Column, label: str) -> Column:
@@ -62,13 +87,12 @@ def definition(html: Column, label: str) -> Column:
     return F.coalesce(strip(text_of(found)), F.lit(""))
 
 
-def coownership_fields(html: Column) -> Column:
-    return F.struct(
-        definition(html, "Nombre de lots").alias("copropriete_nb_lots"),
-        definition(html, "Charges prévisionnelles").alias("copropriete_charges_previsionnelles"),
-        definition(html, "Procédures").alias("copropriete_procedures"),
-    )
-
+# Labels of the co-ownership block.
+COOWNERSHIP_LABELS = {
+    "copropriete_nb_lots": "Nombre de lots",
+    "copropriete_charges_previsionnelles": "Charges prévisionnelles",
+    "copropriete_procedures": "Procédures",
+}
 
 # The agent block of a detail page.
 AGENT_RULES = {
@@ -116,26 +140,14 @@ ENERGY_RULES = {
 }
 
 
-def agent_fields(html: Column, base_url: str) -> Column:
-    fields = {name: F.coalesce(extract_field(html, r), F.lit("")) for name, r in AGENT_RULES.items()}
-    fields["conseiller_lien"] = absolute_url(fields["conseiller_lien"], base_url)
-    return F.struct(*[value.alias(name) for name, value in fields.items()])
-
-
-def _legend(html: Column, kind: str) -> Column:
+def legend(html: Column, kind: str) -> Column:
+    """Captions of an energy panel ("panel-dpe", "panel-ges")."""
     block = first_match(html, rf"(?is)<div[^>]*class=\"[^\"]*{kind}[^\"]*\"[^>]*>(.*?)</div>")
     hits = F.regexp_extract_all(block, F.lit(r"(?is)<em[^>]*>(.*?)</em>"), 1)
     texts = F.filter(F.transform(hits, lambda x: strip(text_of(x))), lambda x: x != "")
     return F.coalesce(texts, F.array().cast("array<string>"))
 
 
-def energy_fields(html: Column) -> Column:
-    fields = {name: F.coalesce(extract_field(html, r), F.lit("")) for name, r in ENERGY_RULES.items()}
-    fields["legende_dpe"] = _legend(html, "panel-dpe")
-    fields["legende_ges"] = _legend(html, "panel-ges")
-    return F.struct(*[value.alias(name) for name, value in fields.items()])
-
-
 def gallery(html: Column) -> Column:
     """Photos of the page's gallery as an array of structs, in page order."""
     block = first_match(html, r"(?is)<ul[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>(.*?)</ul>")

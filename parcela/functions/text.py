@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from parcela.functions.numbers import (
-    EURO, HARD_SPACE, NARROW_SPACE, first_match, strip, to_float,
+    EURO, HARD_SPACE, NARROW_SPACE, first_match, strip, to_float, without,
 )
 
 # Features that the structured fields already hold.
@@ -109,7 +109,7 @@ def clean_images(images: Column) -> Column:
 
 def parse_service_charge(c: Column) -> Column:
     """Amount, unit and period of a service charge; all null when no amount is found."""
-    text = F.regexp_replace(c, f"[{NARROW_SPACE}{HARD_SPACE}]", "")
+    text = without(c, f"{NARROW_SPACE}{HARD_SPACE}")
     low = F.lower(text)
     amount = F.replace(first_match(text, r"([0-9]+(?:[.,][0-9]+)?)"), F.lit(","), F.lit("."))
     yearly = contains_any(low, ["/ an", "annuel"])
@@ -136,7 +136,7 @@ def parse_service_charge(c: Column) -> Column:
 
 def extract_charge_amount(c: Column) -> Column:
     """Loader variant: first number once spaces are removed."""
-    text = F.regexp_replace(c, f"[ {NARROW_SPACE}]", "")
+    text = without(c, f" {NARROW_SPACE}")
     number = first_match(text, r"(?U)([0-9]+\s?[0-9]*[,.]?[0-9]*)")
     return to_float(F.replace(number, F.lit(","), F.lit(".")))
 

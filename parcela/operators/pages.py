@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from parcela.functions.numbers import first_match, strip
 from parcela.functions.pages import (
-    FieldRule, agent_fields, coownership_fields, energy_fields, extract_field, gallery, text_of,
+    AGENT_RULES, COOWNERSHIP_LABELS, ENERGY_RULES, FieldRule, definition, gallery, legend,
+    select_fields,
 )
 from parcela.functions.text import absolute_url, postal_code_anywhere
 
@@ -26,10 +27,7 @@ def extract_listing_fields_from_pages(
     pages: DataFrame, html: str = "html", base_url: str = "https://listings.example"
 ) -> DataFrame:
     """Raw listing fields of each card page; a missing element gives null."""
-    page = F.col(html)
-    out = pages.select(
-        "*", *[extract_field(page, rule).alias(name) for name, rule in CARD_RULES.items()]
-    )
+    out = select_fields(pages, html, CARD_RULES)
     features = F.col("caracteristiques")
 
     def feature(word: str, pattern: str, suffix: str):
@@ -52,17 +50,22 @@ def extract_listing_fields_from_pages(
 
 
 def extract_coownership_fields(pages: DataFrame, html: str = "html") -> DataFrame:
-    return pages.withColumn("_f", coownership_fields(F.col(html))).select("*", "_f.*").drop("_f")
+    """Lots, expected charges and procedures of each page, "" when absent."""
+    return pages.withColumns({n: definition(F.col(html), label) for n, label in COOWNERSHIP_LABELS.items()})
 
 
 def extract_agent_fields(
     pages: DataFrame, html: str = "html", base_url: str = "https://listings.example"
 ) -> DataFrame:
-    return pages.withColumn("_f", agent_fields(F.col(html), base_url)).select("*", "_f.*").drop("_f")
+    """Name, phone, link, photo, rating and number of reviews of the agent, "" when absent."""
+    out = select_fields(pages, html, AGENT_RULES, default="")
+    return out.withColumn("conseiller_lien", absolute_url(F.col("conseiller_lien"), base_url))
 
 
 def extract_energy_panel(pages: DataFrame, html: str = "html") -> DataFrame:
-    return pages.withColumn("_f", energy_fields(F.col(html))).select("*", "_f.*").drop("_f")
+    """Active classes, consumptions, emissions, spending and legends, "" or empty when absent."""
+    out = select_fields(pages, html, ENERGY_RULES, default="")
+    return out.withColumns({f"legende_{k}": legend(F.col(html), f"panel-{k}") for k in ("dpe", "ges")})
 
 
 def extract_gallery(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
@@ -91,21 +94,9 @@ def extract_fields(
             flat.update({f"{name}_{inner}": r for inner, r in rule.items()})
         else:
             flat[name] = rule
-    page = F.col(html)
-    found = pages.select(
-        "*",
-        *[
-            (F.lit("") if name == "honoraires" else extract_field(page, rule)).alias(name)
-            for name, rule in flat.items()
-        ],
-    )
+    found = select_fields(pages, html, {n: r for n, r in flat.items() if n != "honoraires"})
+    if "honoraires" in flat:
+        found = found.withColumn("honoraires", F.lit(""))
     missing = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in flat]))
     filled = {n: F.coalesce(F.col(n), F.lit("")) for n, r in flat.items() if not r.multiple}
     return found.withColumn("champs_manquants", missing).withColumns(filled)
-
-
-__all__ = [
-    "CARD_RULES", "FieldRule", "extract_agent_fields", "extract_coownership_fields",
-    "extract_energy_panel", "extract_fields", "extract_gallery",
-    "extract_listing_fields_from_pages", "photo_count", "text_of",
-]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcela.functions.numbers import strip, truncate_localisation
 from parcela.functions.privacy import (
-    SENSITIVE_PATTERNS, anonymise_name, clean_location, is_sensitive, pattern,
+    SENSITIVE_PATTERNS, anonymise_name, clean_location, has_sensitive, sensitive_count,
 )
 
 KEY = "id_annonce"
@@ -29,12 +29,9 @@ POLICY = {
 
 def detect_sensitive(df: DataFrame, text: str, out: str = "sensible") -> DataFrame:
     """Flag of sensitive text and the number of hits of each pattern."""
-    c = F.col(text)
-    counts = {
-        f"nb_{name}": F.coalesce(F.regexp_count(c, F.lit(pattern(name))), F.lit(0))
-        for name in SENSITIVE_PATTERNS
-    }
-    return df.withColumns({out: is_sensitive(c), **counts})
+    counts = {f"nb_{name}": sensitive_count(F.col(text), name) for name in SENSITIVE_PATTERNS}
+    total = sum((F.col(name) for name in counts), F.lit(0))
+    return df.withColumns(counts).withColumn(out, total > 0)
 
 
 def anonymise_names(df: DataFrame, column: str = "conseiller_nom") -> DataFrame:
@@ -104,7 +101,7 @@ def audit_sensitive_data(df: DataFrame, columns: list[str]) -> DataFrame:
     """Hits of each pattern per text column: one pass, one row per column and pattern."""
     names = [(c, p) for c in columns for p in SENSITIVE_PATTERNS]
     counts = df.agg(*[
-        F.count_if(F.col(c).rlike(pattern(p))).alias(f"{c}|{p}") for c, p in names
+        F.count_if(has_sensitive(F.col(c), p)).alias(f"{c}|{p}") for c, p in names
     ])
     long = counts.unpivot([], [f"`{c}|{p}`" for c, p in names], "_k", "nombre")
     return long.select(

@@ -104,14 +104,13 @@ def meilleures_boites_chiffre(t: Tables, top: int = 5) -> DataFrame:
 def _per_dimension(t: Tables, dimension: str, key: str, name: str) -> DataFrame:
     """Distinct orders and revenue per material or colour.
 
-    Lines are reduced to one row per order and dimension value first; counting those rows is
-    counting distinct orders.
+    Lines are reduced to one row per order and dimension value; counting those rows is counting
+    distinct orders.
     """
     value = t["boites"].select("id_boite", key)
-    per_box = _per(t["lignes_commande"], "id_commande", "id_boite")
     per_order = (
-        per_box.join(value, "id_boite").groupBy(key, "id_commande")
-        .agg(F.sum("_montant").alias("_montant"))
+        t["lignes_commande"].join(value, "id_boite").groupBy(key, "id_commande")
+        .agg(F.sum(line_amount()).alias("_montant"))
         .join(t["commandes"].select("id_commande"), "id_commande", "left_semi")
     )
     totals = per_order.groupBy(key).agg(
