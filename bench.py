@@ -2,8 +2,8 @@
 
 Environment: BENCH_SF_DIR (data folder), BENCH_CPUS (cores), BENCH_QUERIES (comma-separated names
 or prefixes, all headline queries by default).  Each query is run twice into a no-op sink; the
-better run counts.  Queries behind a stored layer share it: its writing is timed as the first run
-of ``silver`` and ``gold``.
+better run counts.  The stored layers (raw listings, pages, silver, gold) are written once, each
+timed on its own, and read by the queries behind them.
 """
 
 from __future__ import annotations
@@ -59,7 +59,8 @@ def main() -> None:
 
     run("c01_commandes_par_client")  # warm-up
     tables = source(spark, SF_DIR)
-    seconds = {"silver": timed(lambda: tables.silver), "gold": timed(lambda: tables.gold_listings)}
+    layers = {"raw": "raw", "pages": "html", "silver": "silver", "gold": "gold_listings"}
+    seconds = {f"store_{n}": timed(lambda a=a: getattr(tables, a)) for n, a in layers.items()}
     for name in chosen:
         seconds[name] = min(timed(lambda n=name: run(n)) for _ in range(2))
     print(json.dumps({

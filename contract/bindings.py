@@ -267,7 +267,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def detail_pages(raw: DataFrame) -> DataFrame:
     """One HTML page per raw listing, holding its fields in the markup of a detail page."""
     c = F.col
     photos = F.array_join(F.transform(
@@ -309,4 +309,4 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             _s(k % 900 + 1100), " € par an</p></div>")).otherwise(""),
         "</body></html>",
     )
-    return raw_listings(spark, sf_dir).select(k, html.alias("html"))
+    return raw.select(k, html.alias("html"))

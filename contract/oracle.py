@@ -753,6 +753,7 @@ prep("v42_document_types", "type_bien, COUNT(*) AS count", "GROUP BY 1")
 prep("v42_document_villes", "ville, COUNT(*) AS count", "GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST LIMIT 5")
 prep("v42_document_prix", f"{STABLE.format('pv')} AS prix_moyen", "WHERE pv IS NOT NULL")
 raw("v43_document_count", "COUNT(*) AS total")
+raw("v43_document_sample", "reference, titre", "ORDER BY md5('0' || reference), reference LIMIT 3")
 raw("v43_first_documents", "reference, titre", "ORDER BY reference LIMIT 5")
 SQL["s02_read_snapshots"] = f"""WITH {RAW}, runs AS (SELECT unnest([0, 1, 2]) AS i)
   SELECT TIMESTAMP '2025-11-10 02:15:00' + INTERVAL 1 DAY * CAST(i AS INTEGER) AS horodatage, COUNT(*) AS lignes,
@@ -836,6 +837,7 @@ def retention(names: tuple[str, ...]) -> str:
 
 
 SQL["g04_apply_retention"] = f"WITH {ANNONCES}, {KEPT} " + retention(("annonces", "caracteristiques", "images", "conseiller", "dpe", "copropriete"))
+SQL["g04b_retained_rows"] = f"SELECT nom_table, apres AS nombre, 'ok' AS statut FROM ({SQL['g04_apply_retention']})"
 SQL["g07_compliance_report"] = (
     f"WITH {ANNONCES}, {KEPT}, r AS ({retention(('annonces', 'dpe', 'copropriete'))}), u AS ({audit('text', 'conversations')}) "
     "SELECT 'retention' AS volet, nom_table AS objet, 'supprimes' AS mesure, supprimes AS nombre FROM r UNION ALL SELECT 'audit', colonne, motif, nombre FROM u")

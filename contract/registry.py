@@ -46,7 +46,8 @@ class Source:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return bind.raw_listings(self.spark, self.sf_dir)
+        """Raw listings as a stored table, as a scraper would leave them."""
+        return self.stored("raw", lambda: bind.raw_listings(self.spark, self.sf_dir))
 
     @cached_property
     def cleaned(self) -> DataFrame:
@@ -57,7 +58,7 @@ class Source:
         return prepare.prepare_listings(self.raw, bind.AS_OF_YEAR, keep=[KEY])
 
     def stored(self, layer: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A layer as a written table, built once per session and data folder.
+        """A layer as a written table in the shared folder, built once per session and data folder.
 
         Everything behind a layer reads the table: texts are parsed once, and a lost executor
         costs a re-read, not a re-parse.
@@ -101,7 +102,8 @@ class Source:
 
     @cached_property
     def html(self) -> DataFrame:
-        return bind.detail_pages(self.spark, self.sf_dir)
+        """Detail pages as a stored table, as a scraper would leave them."""
+        return self.stored("pages", lambda: bind.detail_pages(self.raw))
 
     @cached_property
     def log(self) -> DataFrame:
@@ -148,6 +150,7 @@ SOURCES: dict[tuple[str, str], Source] = {}
 def source(spark: SparkSession, sf_dir: str) -> Source:
     """The source of a session and folder; keeps the derived plans, not their data."""
     key = (spark.sparkContext.applicationId, sf_dir)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # the tables hold times without zone
     if key not in SOURCES:
         SOURCES[key] = Source(spark, sf_dir)
     return SOURCES[key]
@@ -782,7 +785,12 @@ RETENTION_NOW = "1999-06-15"
 
 @query("g04_apply_retention")
 def _(s: Source) -> DataFrame:
-    return privacy.retention_counts(s.base, privacy.apply_retention(s.base, RETENTION_NOW))
+    return privacy.retention_counts(s.base, RETENTION_NOW)
+
+
+@query("g04b_retained_rows")
+def _(s: Source) -> DataFrame:
+    return profile.table_count_report(privacy.apply_retention(s.base, RETENTION_NOW))
 
 
 add("g05_annonces_anonymisees", lambda s: privacy.annonces_anonymisees(s.base["annonces"], RETENTION_NOW))
@@ -792,7 +800,7 @@ add("g06_audit_sensitive_data", lambda s: privacy.audit_sensitive_data(s.table("
 @query("g07_compliance_report")
 def _(s: Source) -> DataFrame:
     base = {n: s.base[n] for n in ("annonces", "dpe", "copropriete")}
-    kept = privacy.retention_counts(base, privacy.apply_retention(base, RETENTION_NOW))
+    kept = privacy.retention_counts(base, RETENTION_NOW)
     return privacy.compliance_report(kept, privacy.audit_sensitive_data(s.table("conversations"), ["text"]))
 
 

@@ -6,19 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def mean_rounded(c: Column, digits: int = 2, scale: int = 2) -> Column:
-    """``ROUND(AVG(c), digits)`` on exact decimals, half away from zero, as a double.
+def rounded_quotient(total: Column, n: Column, digits: int = 2) -> Column:
+    """``ROUND(total / n, digits)`` of a decimal sum and a count, half away from zero, as a double.
 
-    The sum is a decimal and the rounding is one integer division, so ties are exact and no
-    order of the input can change the last digit.
+    The rounding is one integer division, so ties are exact.
     """
-    total = F.sum(c.cast(f"decimal(18,{scale})"))
-    n = F.count(c).cast("decimal(20,0)")
+    n = n.cast("decimal(20,0)")
     doubled = F.abs(total) * F.lit(2 * 10**digits) + n
     rounded = F.call_function("div", doubled, F.nullif(n * 2, F.lit(0).cast("decimal(20,0)")))
     return F.signum(total.cast("double")) * rounded / F.lit(float(10**digits))
 
 
+def mean_rounded(c: Column, digits: int = 2, scale: int = 2) -> Column:
+    """``ROUND(AVG(c), digits)``; the sum is a decimal, so no order of the input can change it."""
+    return rounded_quotient(F.sum(c.cast(f"decimal(18,{scale})")), F.count(c), digits)
+
+
 def share_of(part: Column, total: Column, digits: int = 2) -> Column:
     """Percentage of two counts, rounded half up, as a double; null for an empty total."""
     scaled = part.cast("decimal(20,0)") * F.lit(200 * 10**digits) + total

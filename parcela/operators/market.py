@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from parcela.functions.numbers import python_round
 from parcela.functions.text import contains_any
-from parcela.operators.quantiles import exact_quantiles
+from parcela.operators.quantiles import exact_quantiles, value_distribution
 
 # Upper limits of the segments and their labels, the last one open.
 PRICE_LIMITS = [5000, 7000, 10000, 15000]
@@ -325,13 +325,13 @@ def document_view(aggregated: DataFrame) -> DataFrame:
     return aggregated.withColumn("aggregats", a)
 
 
-def market_trends(aggregated: DataFrame, width: float = 0.05) -> DataFrame:
+def market_trends(aggregated: DataFrame) -> DataFrame:
     """One row: means, correlation, top-decile count and price.  Missing values count as 0."""
     rows = aggregated.select(
         F.coalesce(F.col("aggregats.scores.global"), F.lit(0.0)).alias("score"),
         F.coalesce(F.col("aggregats.performance.prix_m2"), F.lit(0.0)).alias("prix_m2"),
     )
-    cut = exact_quantiles(rows, "score", {"seuil": 0.9}, width=width).select("seuil").scalar()
+    cut = value_distribution(rows, "score", {"seuil": 0.9}).select("seuil").scalar()
     top = F.col("score") >= F.col("seuil")
     top_sum = F.sum(F.when(top, F.col("prix_m2")).cast("decimal(28,8)")).cast("double")
     return (

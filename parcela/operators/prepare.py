@@ -134,13 +134,16 @@ def prepare_listings(
 def clean_loader_row(raw: DataFrame, as_of: str) -> DataFrame:
     """Flat cleaned row of the relational load; ``as_of`` replaces unreadable dates."""
     year = int(as_of[:4])
+    parsed = raw.withColumns({
+        "_prix": num.clean_price(F.col("prix")),
+        "_au_m2": num.clean_price(F.col("prix_au_m2")),
+        "_surface": num.extract_surface(F.col("surface")),
+    })
     cleaned = {name: num.strip(_text(name)) for name in RAW_TEXT_FIELDS}
-    price = num.clean_price(F.col("prix"))
-    surface = num.extract_surface(F.col("surface"))
     cleaned |= {
-        "prix": price,
-        "prix_au_m2": num.price_per_m2_or_given(num.clean_price(F.col("prix_au_m2")), price, surface),
-        "surface": surface,
+        "prix": F.col("_prix"),
+        "prix_au_m2": num.price_per_m2_or_given(F.col("_au_m2"), F.col("_prix"), F.col("_surface")),
+        "surface": F.col("_surface"),
         "surface_terrain": num.extract_surface(F.col("surface_terrain")),
         "pieces": num.extract_first_int(F.col("pieces")),
         "annee_construction": num.extract_year(F.col("annee_construction"), year),
@@ -154,7 +157,7 @@ def clean_loader_row(raw: DataFrame, as_of: str) -> DataFrame:
         "copropriete_nb_lots": num.extract_first_int(F.col("copropriete_nb_lots")),
     }
     extra = [c for c in raw.columns if c not in RAW_TEXT_FIELDS and c not in RAW_ARRAY_FIELDS]
-    return raw.select(
+    return parsed.select(
         *extra,
         *[c.alias(n) for n, c in cleaned.items()],
         F.col("caracteristiques_detaillees").alias("caracteristiques"),

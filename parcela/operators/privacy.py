@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcela.functions.numbers import strip, truncate_localisation
@@ -52,6 +52,11 @@ def anonymise_personal_data(df: DataFrame) -> DataFrame:
     return out
 
 
+def _is_kept(date: str, as_of: str, days: int) -> Column:
+    """Not older than the term; a row without a date is not older."""
+    return (F.col(date) >= F.date_sub(F.lit(as_of).cast("date"), days)) | F.col(date).isNull()
+
+
 def apply_retention(
     tables: dict[str, DataFrame],
     as_of: str,
@@ -63,11 +68,9 @@ def apply_retention(
     """Tables without expired listings and without children that lost their parent.
 
     The parent is a range filter on its date, which prunes month partitions.  Children keep
-    their rows by a semi join, null keys included in what is removed.
+    their rows by a semi join; rows with a null key go.
     """
-    cutoff = F.date_sub(F.lit(as_of).cast("date"), days)
-    # a row without a date is not older than the cutoff, so it stays
-    kept = tables[parent].filter((F.col(date) >= cutoff) | F.col(date).isNull())
+    kept = tables[parent].filter(_is_kept(date, as_of, days))
     keys = kept.select(key)
     out = {
         name: df.join(keys, key, "left_semi") for name, df in tables.items() if name != parent
@@ -75,17 +78,34 @@ def apply_retention(
     return {parent: kept, **out}
 
 
-def retention_counts(tables: dict[str, DataFrame], kept: dict[str, DataFrame]) -> DataFrame:
-    """Rows before, after and removed, per table."""
-    def counted(frames: dict[str, DataFrame], name: str) -> DataFrame:
-        return reduce(DataFrame.unionByName, [
-            df.agg(F.count("*").alias(name)).select(F.lit(n).alias("nom_table"), name)
-            for n, df in frames.items()
-        ])
+def retention_counts(
+    tables: dict[str, DataFrame],
+    as_of: str,
+    days: int = RETENTION_DAYS,
+    parent: str = "annonces",
+    date: str = "date_extraction",
+    key: str = KEY,
+) -> DataFrame:
+    """Rows before, after and removed, per table, each table read once.
 
-    return counted(tables, "avant").join(counted(kept, "apres"), "nom_table").withColumn(
-        "supprimes", F.col("avant") - F.col("apres")
-    )
+    Children are counted per listing before they meet the listings, so a listing with very many
+    children is one row of the join.
+    """
+    keys = tables[parent].filter(_is_kept(date, as_of, days)).select(key).withColumn("_kept", F.lit(True))
+
+    def counted(name: str, df: DataFrame) -> DataFrame:
+        if name == parent:
+            counts = df.agg(F.count("*").alias("avant"), F.count_if(_is_kept(date, as_of, days)).alias("apres"))
+        else:
+            per_listing = df.groupBy(key).agg(F.count("*").alias("_n")).join(keys, key, "left")
+            counts = per_listing.agg(
+                F.coalesce(F.sum("_n"), F.lit(0)).alias("avant"),
+                F.coalesce(F.sum(F.when(F.col("_kept"), F.col("_n"))), F.lit(0)).alias("apres"),
+            )
+        return counts.select(F.lit(name).alias("nom_table"), "avant", "apres")
+
+    rows = reduce(DataFrame.unionByName, [counted(n, df) for n, df in tables.items()])
+    return rows.withColumn("supprimes", F.col("avant") - F.col("apres"))
 
 
 def annonces_anonymisees(df: DataFrame, as_of: str, months: int = RAW_MONTHS) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcela.functions.numbers import strip
-from parcela.operators.quantiles import exact_quantiles
+from parcela.operators.quantiles import quantile_of, rank_counts
 
 # Constraints of the base model.
 ENERGY_CLASSES = ["A", "B", "C", "D", "E", "F", "G"]
@@ -99,20 +99,27 @@ def quality_summary(
     missing: str = "metadata.champs_manquants",
 ) -> DataFrame:
     """One row: mean, median and distribution of the quality score, missing-field counts."""
-    rows = prepared.select(F.col(score).alias("score"), F.size(F.col(missing)).alias("manquants"))
+    # the score has one value per number of filled fields, so the cells are few
+    cells = prepared.groupBy(F.col(score).alias("score"), F.size(F.col(missing)).alias("manquants")).agg(
+        F.count("*").alias("_n")
+    )
     s, m = F.col("score"), F.col("manquants")
-    median = exact_quantiles(rows, "score", {"score_median": 0.5}, width=0.5)
-    return rows.agg(
-        F.count("*").alias("nombre"),
-        F.avg("score").alias("score_moyen"),
-        F.count_if(s == 10).alias("score_10"),
-        F.count_if(s >= 7.5).alias("score_75_10"),
-        F.count_if((s >= 5) & (s < 7.5)).alias("score_5_75"),
-        F.count_if(s < 5).alias("score_moins_5"),
-        F.count_if(m == 0).alias("manquants_0"),
-        F.count_if(m.between(1, 2)).alias("manquants_1_2"),
-        F.count_if(m >= 3).alias("manquants_3_plus"),
-    ).withColumn("score_median", median.select("score_median").scalar())
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0))
+
+    return rank_counts(cells, "score", "_n").agg(
+        rows(F.lit(True)).alias("nombre"),
+        F.try_divide(F.sum(s * F.col("_n")), F.sum("_n")).alias("score_moyen"),
+        quantile_of("score", "_n", 0.5).alias("score_median"),
+        rows(s == 10).alias("score_10"),
+        rows(s >= 7.5).alias("score_75_10"),
+        rows((s >= 5) & (s < 7.5)).alias("score_5_75"),
+        rows(s < 5).alias("score_moins_5"),
+        rows(m == 0).alias("manquants_0"),
+        rows(m.between(1, 2)).alias("manquants_1_2"),
+        rows(m >= 3).alias("manquants_3_plus"),
+    )
 
 
 def integrity_report(df: DataFrame, rules: dict[str, str]) -> DataFrame:

@@ -1,17 +1,65 @@
-"""Exact quantiles that never hold a whole group in one task.
+"""Exact quantiles that never hold the rows of a group in one task.
 
-``percentile`` keeps every distinct value of a group in one aggregation buffer.  Here a first
-pass counts values per group and bucket of fixed width (partially aggregated before the shuffle),
-the running count over buckets finds the one or two buckets that hold each wanted rank, and a
-second pass counts single values in those buckets only.  Quantiles are interpolated linearly.
+``percentile`` keeps every distinct value of a group in one aggregation buffer.  Here values are
+counted before the shuffle, and ranks come from running counts over the counted values.
+
+* :func:`value_distribution` counts distinct values.  It reads the data once and suits columns
+  with a small domain (scores, surfaces with two decimals).
+* :func:`exact_quantiles` suits columns with very many distinct values.  A first pass counts per
+  bucket of fixed width; the running count finds the buckets that hold the wanted ranks; a second
+  pass counts single values in those buckets only.
+
+Quantiles are interpolated linearly, as ``PERCENTILE_CONT`` does.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _group(by: list[str]):
+    return Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+
+
+def rank_counts(counts: DataFrame, value: str, n: str, by: list[str] | None = None) -> DataFrame:
+    """Counted values with ``_end``, the rank after the last of them, and ``_total`` of the group."""
+    group = _group(by or [])
+    running = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.withColumns({"_end": F.sum(n).over(running), "_total": F.sum(n).over(group)})
+
+
+def quantile_of(value: str, n: str, p: float) -> Column:
+    """Aggregate over ranked counts: the interpolated quantile."""
+    position = (F.col("_total") - 1) * F.lit(float(p))
+
+    def at(rank: Column) -> Column:
+        hit = (rank >= F.col("_end") - F.col(n)) & (rank < F.col("_end"))
+        return F.max(F.when(hit, F.col(value).cast("double")))
+
+    low, high = at(F.floor(position)), at(F.ceil(position))
+    return low + (high - low) * F.max(position - F.floor(position))
+
+
+def value_distribution(
+    df: DataFrame, value: str, quantiles: dict[str, float], by: list[str] | None = None
+) -> DataFrame:
+    """Count, sum, extremes and quantiles of the non-null values per group, from one scan."""
+    by = by or []
+    counts = (
+        df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v"))
+        .agg(F.count("*").alias("_n"))
+    )
+    weight = F.col("_n").cast("decimal(20,0)")
+    return rank_counts(counts, "_v", "_n", by).groupBy(*by).agg(
+        F.sum("_n").alias("nombre"),
+        F.sum(F.col("_v").cast("decimal(18,4)") * weight).alias("somme"),
+        F.min("_v").alias("minimum"),
+        F.max("_v").alias("maximum"),
+        *[quantile_of("_v", "_n", p).alias(name) for name, p in quantiles.items()],
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -30,65 +78,32 @@ def exact_quantiles(
         F.floor(F.col(value).cast("double") / F.lit(float(width))).alias("_b"),
     )
     buckets = keyed.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
-    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    ordered = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = buckets.select(
-        "*",
-        F.sum("_n").over(ordered).alias("_upto"),
-        F.sum("_n").over(group).alias("_total"),
-    )
-
-    # 0-based positions below and above each quantile
-    def wanted(p: float):
-        position = (F.col("_total") - 1) * F.lit(float(p))
-        return [F.floor(position).cast("bigint"), F.ceil(position).cast("bigint")]
-
-    positions = [pos for p in quantiles.values() for pos in wanted(p)]
-    before = F.col("_upto") - F.col("_n")
+    ranked = rank_counts(buckets, "_b", "_n", by)
+    before = F.col("_end") - F.col("_n")
     held = F.lit(False)
-    for pos in positions:
-        held = held | ((pos >= before) & (pos < F.col("_upto")))
-    targets = ranked.filter(held).select(*by, "_b", before.alias("_before"), "_total")
-
-    if not by:
-        # without groups the buckets in question are a range, known before the second pass
-        span = targets.agg(F.struct(F.min("_b").alias("low"), F.max("_b").alias("high"))).scalar()
-        keyed = keyed.withColumn("_span", span).filter(
-            F.col("_b").between(F.col("_span.low"), F.col("_span.high"))
-        ).drop("_span")
-
+    for p in quantiles.values():
+        position = (F.col("_total") - 1) * F.lit(float(p))
+        for rank in (F.floor(position), F.ceil(position)):
+            held = held | ((rank >= before) & (rank < F.col("_end")))
     keys = [*by, "_b"]
-    null_safe = None
-    right = targets.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], "_before", "_total")
-    for i, k in enumerate(keys):
-        match = F.col(k).eqNullSafe(F.col(f"_t{i}"))
-        null_safe = match if null_safe is None else null_safe & match
-    values = (
-        keyed.groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
-        .join(right, null_safe, "inner")
-        .drop(*[f"_t{i}" for i in range(len(keys))])
+    targets = ranked.filter(held).select(
+        *[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)], before.alias("_before"), "_total"
     )
-    in_bucket = Window.partitionBy(*keys).orderBy("_v").rowsBetween(
+    match = F.lit(True)
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_t{i}"))
+    if by:
+        # the number of groups is open: count first, so equal values travel as one row
+        counted = keyed.groupBy(*keys, "_v").agg(F.count("*").alias("_c")).join(targets, match)
+    else:
+        # at most two buckets per quantile: rows outside them are dropped where they are read
+        counted = keyed.join(F.broadcast(targets), match).groupBy(*keys, "_v", "_before", "_total").agg(
+            F.count("*").alias("_c")
+        )
+    inside = Window.partitionBy(*keys).orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    placed = values.withColumn("_end", F.col("_before") + F.sum("_c").over(in_bucket))
-
-    def at(pos):
-        hit = (pos >= F.col("_end") - F.col("_c")) & (pos < F.col("_end"))
-        return F.max(F.when(hit, F.col("_v").cast("double")))
-
-    parts = []
-    for i, p in enumerate(quantiles.values()):
-        low, high = wanted(p)
-        position = (F.col("_total") - 1) * F.lit(float(p))
-        parts += [
-            at(low).alias(f"_low{i}"),
-            at(high).alias(f"_high{i}"),
-            F.max(position - F.floor(position)).alias(f"_frac{i}"),
-        ]
-    out = placed.groupBy(*by).agg(*parts)
-    interpolated = {
-        name: F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_frac{i}")
-        for i, name in enumerate(quantiles)
-    }
-    return out.select(*by, *[c.alias(n) for n, c in interpolated.items()])
+    placed = counted.withColumn("_end", F.col("_before") + F.sum("_c").over(inside))
+    return placed.groupBy(*by).agg(
+        *[quantile_of("_v", "_c", p).alias(name) for name, p in quantiles.items()]
+    )

@@ -12,10 +12,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcela.functions.aggregates import as_double, mean_rounded, share_of
+from parcela.functions.aggregates import as_double, mean_rounded, rounded_quotient, share_of
 from parcela.functions.numbers import price_per_m2_decimal, surface_per_room
 from parcela.functions.text import description_length_bucket
-from parcela.operators.quantiles import exact_quantiles
+from parcela.operators.quantiles import value_distribution
 
 Tables = dict[str, DataFrame]
 
@@ -47,6 +47,11 @@ def _high(column: str, name: str) -> Column:
     return as_double(F.max(column)).alias(name)
 
 
+def _all(count: str) -> Column:
+    """Sum of the counts over the (few) groups of a result."""
+    return F.sum(count).over(Window.partitionBy(F.lit(0)))
+
+
 def stats_type_bien(t: Tables, variant: str = "rich") -> DataFrame:
     """Statistics per property type.
 
@@ -98,18 +103,16 @@ def stats_communes_cheres(t: Tables, least: int = 5, top: int = 10) -> DataFrame
 
 
 def stats_distribution_surfaces(t: Tables) -> DataFrame:
+    """Count, mean, extremes and median of the surface per type, from one scan."""
     a = t["annonces"].filter(F.col("surface") > 0)
-    spread = a.groupBy("type_bien").agg(
-        _count("total"), _mean("surface", "moyenne"), _low("surface", "minimum"),
-        _high("surface", "maximum"),
-    )
-    medians = exact_quantiles(a, "surface", {"_mediane": 0.5}, by=["type_bien"]).withColumnRenamed(
-        "type_bien", "_type"
-    )
     return (
-        spread.join(medians, F.col("type_bien").eqNullSafe(F.col("_type")))
-        .select("type_bien", "total", "moyenne", "minimum", "maximum",
-                F.round("_mediane", 2).alias("mediane"))
+        value_distribution(a, "surface", {"_mediane": 0.5}, by=["type_bien"])
+        .select(
+            "type_bien", F.col("nombre").alias("total"),
+            rounded_quotient(F.col("somme"), F.col("nombre")).alias("moyenne"),
+            as_double(F.col("minimum")).alias("minimum"), as_double(F.col("maximum")).alias("maximum"),
+            F.round("_mediane", 2).alias("mediane"),
+        )
         .orderBy(F.desc("total"), "type_bien")
     )
 
@@ -247,12 +250,10 @@ def stats_saisonnalite(t: Tables) -> DataFrame:
 
 
 def stats_visites_virtuelles(t: Tables) -> DataFrame:
-    a = t["annonces"]
-    total = a.agg(F.count("*")).scalar()
     return (
-        a.groupBy(F.col("has_visite_virtuelle").alias("visite_virtuelle_disponible"))
+        t["annonces"].groupBy(F.col("has_visite_virtuelle").alias("visite_virtuelle_disponible"))
         .agg(_count(), _mean("prix", "prix_moyen"), _mean("nombre_photos", "photos_moyennes", 1))
-        .withColumn("pourcentage_total", share_of(F.col("nombre_annonces"), total))
+        .withColumn("pourcentage_total", share_of(F.col("nombre_annonces"), _all("nombre_annonces")))
         .orderBy(F.desc("nombre_annonces"))
     )
 
@@ -645,11 +646,11 @@ def api_statistics(t: Tables) -> dict[str, DataFrame]:
 
 
 def part_par_type(t: Tables) -> DataFrame:
-    a = t["annonces"]
-    total = a.agg(F.count("*")).scalar()
+    """Share of each type in all listings, those without a type included in the total."""
     return (
-        _with(a, "type_bien").groupBy("type_bien").agg(_count("count"))
-        .withColumn("percentage", share_of(F.col("count"), total))
+        t["annonces"].groupBy("type_bien").agg(_count("count"))
+        .withColumn("percentage", share_of(F.col("count"), _all("count")))
+        .filter(F.col("type_bien").isNotNull())
         .orderBy(F.desc("count"), "type_bien")
     )
 
@@ -729,4 +730,4 @@ def first_documents(documents: DataFrame, n: int = 5, key: str = "reference") ->
 
 def document_sample(documents: DataFrame, n: int = 3, seed: int = 0, key: str = "reference") -> DataFrame:
     """A random sample of ``n`` documents, the same for every run with one seed."""
-    return documents.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return documents.orderBy(F.md5(F.concat(F.lit(str(seed)), F.col(key))), key).limit(n)

@@ -67,6 +67,16 @@ def write_parquet(df: DataFrame, path: str, stamp: str | None = None, partition_
     return target
 
 
+def write_bucketed(df: DataFrame, name: str, key: str = "id_annonce", buckets: int = 512) -> str:
+    """A catalogue table bucketed and sorted by its key.
+
+    Tables of one listing model written with the same key and number of buckets join on the key
+    without a shuffle.
+    """
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return name
+
+
 def _flat_columns(schema: T.StructType, prefix: str = "") -> list[Column]:
     out = []
     for field in schema.fields:

@@ -156,3 +156,35 @@ def test_mean_rounded_is_exact_on_ties(spark):
     assert got == {1: 0.02, 2: -0.02, 3: None}
     one = spark.range(1).select(share_of(F.lit(1), F.lit(8)), share_of(F.lit(1), F.lit(0))).first()
     assert tuple(one) == (12.5, None)
+
+
+def test_value_distribution(spark):
+    from parcela.operators.quantiles import value_distribution
+
+    rows = [("a", random.choice([1.5, 2.0, 9.25])) for _ in range(500)] + [("b", 4.0), ("b", 5.0), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r for r in value_distribution(df, "v", {"m": 0.5, "q": 0.9}, ["g"]).collect()}
+    assert set(got) == {"a", "b"}
+    for g in got:
+        items = [v for k, v in rows if k == g]
+        assert got[g]["nombre"] == len(items)
+        assert float(got[g]["somme"]) == pytest.approx(sum(items))
+        assert (got[g]["minimum"], got[g]["maximum"]) == (min(items), max(items))
+        assert got[g]["m"] == statistics.median(items)
+        assert got[g]["q"] == pytest.approx(_quantile(items, 0.9))
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    from parcela.sources.files import write_bucketed
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS essai LOCATION '{tmp_path}/essai'")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("essai.a", "essai.b"):
+            write_bucketed(spark.range(1000).withColumnRenamed("id", "id_annonce"), name, buckets=4)
+        joined = spark.table("essai.a").join(spark.table("essai.b"), "id_annonce", "left")
+        assert joined.count() == 1000
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE essai CASCADE")

@@ -161,7 +161,7 @@ def test_privacy_operators(spark, tmp_path):
     tables = {"annonces": a, "images": child}
     kept = privacy.apply_retention(tables, "2025-11-15")
     assert [r["id_annonce"] for r in kept["images"].collect()] == [2]
-    counts = {r["nom_table"]: r["supprimes"] for r in privacy.retention_counts(tables, kept).collect()}
+    counts = {r["nom_table"]: r["supprimes"] for r in privacy.retention_counts(tables, "2025-11-15").collect()}
     assert counts == {"annonces": 1, "images": 3}
     data = spark.createDataFrame([("Jean Petit", "a@b.fr", "06"), (None, "c", "07"), ("Ana", "d", "08")], "nom_complet string, email string, telephone string")
     ask = spark.createDataFrame([("Jean Petit", "12")], "nom_complet string, telephone string")
