@@ -296,9 +296,10 @@ def detail_pages(raw: DataFrame) -> DataFrame:
             '<span class="rating">', _s(k % 5), '</span><span class="avis">', _s(k % 40),
             " avis</span>")).otherwise(""),
         F.when(k % 3 != 0, _cat(
-            '<div class="panel-dpe"><em>très performant</em><li class="border-white"><span>',
+            '<section class="flex"><h3>Performances</h3><div class="panel-dpe"><p>Indice ', _s(k % 9),
+            '</p><em>très performant</em><li class="border-white"><span>',
             _letter(k), "</span></li><em> très consommateur </em></div>",
-            '<div class="panel-ges"><em>peu d\'émissions</em><li class="border-white"><span>',
+            '<div class="panel-ges"><p>Climat</p><em>peu d\'émissions</em><li class="border-white"><span>',
             _letter(k * 3), "</span></li></div>",
             '<aside class="border-epc-C"><p class="flex"><span class="text-base">', _s(k % 400 + 50),
             '</span></p><span class="text-base">', _s(k % 300 + 40),
@@ -306,7 +307,7 @@ def detail_pages(raw: DataFrame) -> DataFrame:
             '<aside class="border-ges-A"><p class="grid"><span class="text-base">', _s(k % 60),
             "</span></p></aside>",
             '<div class="text-sm"><p>entre ', _s(k % 900 + 100), " € par an</p><p>et ",
-            _s(k % 900 + 1100), " € par an</p></div>")).otherwise(""),
+            _s(k % 900 + 1100), " € par an</p></div></section>")).otherwise(""),
         "</body></html>",
     )
     return raw.select(k, html.alias("html"))

@@ -451,6 +451,7 @@ raw("t22_extract_energy_panel", f"""id_annonce, {PANEL.format("substr('ABCDEFG',
   {PANEL.format('CAST(k % 400 + 50 AS VARCHAR)')} AS dpe_consommation_energie_primaire, {PANEL.format('CAST(k % 300 + 40 AS VARCHAR)')} AS dpe_consommation_energie_finale,
   {PANEL.format('CAST(k % 70 AS VARCHAR)')} AS dpe_emissions, {PANEL.format('CAST(k % 60 AS VARCHAR)')} AS ges_emissions,
   {PANEL.format("(k % 900 + 100) || ' €'")} AS depenses_energie_min, {PANEL.format("(k % 900 + 1100) || ' €'")} AS depenses_energie_max,
+  {PANEL.format("'Indice ' || (k % 9)")} AS dpe_description, {PANEL.format("'Climat'")} AS ges_description, {PANEL.format("'Performances'")} AS titre_section,
   '2025' AS annee_reference, {PANEL.format("'très performant|très consommateur'")} AS legende_dpe, {PANEL.format("'peu d''émissions'")} AS legende_ges""")
 UNESCAPE = "replace(replace(replace(replace(replace(replace({0}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&amp;', '&')"
 TITLE = UNESCAPE.format("regexp_replace(regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1), '<[^>]*>', '', 'gs')")
@@ -645,7 +646,7 @@ agg("m13_market_trends", f"""{py2(STABLE.format('gscore'))} AS score_global_moye
   {py2('corr(gscore, COALESCE(prix_m2, 0))', 3)} AS correlation_score_prix,
   COUNT(*) FILTER (gscore >= (SELECT quantile_cont(gscore, 0.9) FROM agg)) AS top_nombre_biens,
   {py2("CAST(SUM(CAST(COALESCE(prix_m2, 0) AS DECIMAL(28,8))) FILTER (gscore >= (SELECT quantile_cont(gscore, 0.9) FROM agg)) AS DOUBLE) / COUNT(*) FILTER (gscore >= (SELECT quantile_cont(gscore, 0.9) FROM agg))")} AS top_prix_m2_moyen""")
-agg("m13b_segment_distribution", "seg_p AS segment, COUNT(*) AS nombre", "GROUP BY 1")
+agg("m13b_segment_distribution", "seg_p AS segment, COUNT(*) AS nombre", "WHERE seg_p IS NOT NULL GROUP BY 1")
 SQL["i14_medallion_layers"] = SQL["m13b_segment_distribution"]
 agg("m14_biens_sous_cotes", "reference, pos AS positionnement, gap AS ecart_pourcentage", "WHERE pos IN ('tres_sous_cote', 'sous_cote')")
 agg("m14_biens_sur_cotes", "reference, pos AS positionnement, gap AS ecart_pourcentage", "WHERE pos IN ('tres_sur_cote', 'sur_cote')")
@@ -672,7 +673,8 @@ prep("m20_attractiveness_score", """id_annonce, greatest(1::DOUBLE, least(10::DO
 def weighted(scale: int) -> str:
     # scores are multiples of 1/4 and weights of 1/20: all in whole units of 1/80, weight sum 48/80
     units = f"(CAST(empl * 4 AS BIGINT) * 4 + CAST(mode_ * 4 AS BIGINT) * 3 + dpe_score * 12 + 48)"
-    hundredths = f"((200 * {scale} * {units} + 48) // 96)"
+    total = f"((200 * {units} + 80) // 160)"
+    hundredths = f"((200 * {scale} * {total} + 60) // 120)"
     return f"CAST((least(1000, {hundredths}) + 5) // 10 AS DOUBLE) / 10"
 
 
@@ -787,7 +789,7 @@ SQL["i04_aggregate_stream"] = f"SELECT CAST(COUNT(*) AS BIGINT) AS total_records
 LOG = """WITH log AS (SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS id, date_trunc('hour', ts) AS created_at, COUNT(*) AS total_records,
   '["' || STRING_AGG(DISTINCT event_type, '","' ORDER BY event_type) || '"]' AS sources FROM events GROUP BY 1, 2)"""
 SQL["i05_aggregation_log"] = f"{LOG} SELECT id, created_at, total_records, sources FROM log"
-SQL["i06_latest_aggregations"] = f"{LOG} SELECT id, CAST(total_records AS VARCHAR) AS total_records, sources, 'stream_auto' AS aggregation_type, created_at FROM log ORDER BY created_at DESC LIMIT 5"
+SQL["i06_latest_aggregations"] = f"{LOG} SELECT id, CAST(total_records AS VARCHAR) AS total_records, sources, 'stream_auto' AS aggregation_type, strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS aggregation_time, created_at FROM log ORDER BY created_at DESC LIMIT 5"
 SQL["i07_aggregation_report"] = f"{LOG} SELECT COUNT(*) AS total_aggregations, CAST(SUM(total_records) AS BIGINT) AS total_records_processed, CAST(SUM(total_records) AS DOUBLE) / COUNT(*) AS avg_records_per_aggregation, MIN(created_at) AS first_aggregation, MAX(created_at) AS last_aggregation, (SELECT COUNT(DISTINCT event_type) FROM events) AS unique_sources FROM log"
 SQL["i07b_distinct_sources"] = "SELECT DISTINCT event_type AS source FROM events"
 SQL["i08_hourly_activity"] = f"{LOG} SELECT created_at AS hour, COUNT(*) AS count FROM log WHERE created_at >= TIMESTAMP '2024-01-19 12:00:00' GROUP BY 1 ORDER BY 1 DESC LIMIT 6"

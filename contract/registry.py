@@ -111,7 +111,7 @@ class Source:
         e = self.table("events").select(
             C("event_type").alias("source"), F.date_trunc("hour", "ts").alias("h")
         )
-        return ingest.aggregate_messages(e, by=["h"]).select(
+        return ingest.aggregate_messages(e, by=["h"], at=C("h")).select(
             F.unix_seconds(C("h").cast("timestamp")).alias("id"), "metadata",
             C("h").alias("created_at"),
         )

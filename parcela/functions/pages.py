@@ -136,6 +136,9 @@ ENERGY_RULES = {
     "depenses_energie_max": FieldRule(
         r"(?is)<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>.*?</p>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
     ),
+    "titre_section": FieldRule(r"(?is)<section[^>]*class=\"[^\"]*flex[^\"]*\"[^>]*>.*?<h3[^>]*>(.*?)</h3>"),
+    "dpe_description": FieldRule(r"(?is)<div[^>]*class=\"[^\"]*panel-dpe[^\"]*\"[^>]*>.*?<p[^>]*>(.*?)</p>"),
+    "ges_description": FieldRule(r"(?is)<div[^>]*class=\"[^\"]*panel-ges[^\"]*\"[^>]*>.*?<p[^>]*>(.*?)</p>"),
     "annee_reference": FieldRule(literal="2025"),
 }
 

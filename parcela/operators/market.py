@@ -347,8 +347,9 @@ def market_trends(aggregated: DataFrame) -> DataFrame:
 
 
 def segment_distribution(aggregated: DataFrame) -> DataFrame:
-    """Listings per price segment; a missing segment is counted as null."""
-    return aggregated.groupBy(F.col("aggregats.segmentation.prix_m2").alias("segment")).agg(
+    """Listings per price segment, those without one left out."""
+    segment = F.col("aggregats.segmentation.prix_m2")
+    return aggregated.filter(segment.isNotNull()).groupBy(segment.alias("segment")).agg(
         F.count("*").alias("nombre")
     )
 
@@ -426,15 +427,17 @@ def weighted_attractiveness(
     location: Column, modernity: Column, dpe: Column, equipment: Column,
     weights: dict[str, float] = WEIGHTS, scale: float = 10,
 ) -> Column:
-    """Weighted mean, rounded to one decimal.  ``scale=10`` is the published function, which
-    saturates because the scores already run to 10; ``scale=1`` is what it means to say."""
+    """Weighted mean, rounded to one decimal; the sum and the mean keep two decimals on the way.
+
+    ``scale=10`` is the published function, which saturates because the scores already run to
+    10; ``scale=1`` is what it means to say.
+    """
     def exact(value) -> Column:
         return F.lit(str(value)).cast("decimal(6,3)")
 
     parts = {"emplacement": location, "modernite": modernity, "dpe": dpe, "equipements": equipment}
-    total = sum(
-        (c.cast("decimal(6,3)") * exact(weights[n]) for n, c in parts.items()), F.lit(0)
-    )
+    products = (c.cast("decimal(6,3)") * exact(weights[n]) for n, c in parts.items())
+    total = F.round(sum(products, F.lit(0)), 2)
     weight = exact(round(sum(weights.values()), 3))
     mean = F.round(total / weight * exact(scale), 2)
     return F.round(F.greatest(F.lit(0), F.least(F.lit(10), mean)), 1).cast("decimal(3,1)")

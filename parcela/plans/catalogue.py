@@ -39,7 +39,7 @@ RETURN concat_ws('_',
 CREATE OR REPLACE TEMPORARY FUNCTION calculer_score_attractivite_avance(
   a DECIMAL(6,3), b DECIMAL(6,3), c DECIMAL(6,3), d DECIMAL(6,3)) RETURNS DECIMAL(3,1)
 RETURN CAST(round(greatest(0, least(10,
-  round((a * 0.20 + b * 0.15 + c * 0.15 + d * 0.10) / 0.60 * 10, 2))), 1) AS DECIMAL(3,1));
+  round(round(a * 0.20 + b * 0.15 + c * 0.15 + d * 0.10, 2) / 0.60 * 10, 2))), 1) AS DECIMAL(3,1));
 CREATE OR REPLACE TEMPORARY FUNCTION calculer_rentabilite(
   prix DOUBLE, m2 DOUBLE, surface DOUBLE, charges DOUBLE)
 RETURNS STRUCT<loyer_estime: DOUBLE, rendement_annuel: DOUBLE, rentabilite_nette: DOUBLE>

@@ -116,12 +116,17 @@ def project_output_fields(
     fields: list[str] = OUTPUT_FIELDS,
     transaction: str = "acheter",
     property_type: str = "ancien",
+    present_only: bool = False,
 ) -> DataFrame:
     """The configured fields in order, "" where the input has none.
 
     Extraction date, transaction and property type are those of the run; the postal code is taken
-    from the location, or the title when there is no location.
+    from the location, or the title when there is no location.  ``present_only`` keeps just the
+    configured fields that the input has, as they are.
     """
+    if present_only:
+        return df.select(*[n for n in fields if n in df.columns])
+
     def given(name: str) -> Column:
         if name not in df.columns:
             return F.lit("")

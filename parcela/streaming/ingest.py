@@ -83,22 +83,30 @@ def message_source(df: DataFrame) -> Column:
 
 
 def aggregate_messages(
-    df: DataFrame, by: list[str] | None = None, kind: str = "stream_auto", environment: str = "prod"
+    df: DataFrame,
+    by: list[str] | None = None,
+    kind: str = "stream_auto",
+    environment: str = "prod",
+    queue: str = "queue_normalized",
+    at: Column | None = None,
 ) -> DataFrame:
     """One metadata row (JSON text) per group of messages, or one in all.
 
-    Messages are counted per source first; only those counts meet in the group's task.
+    ``at`` is the time of the aggregation and may name columns of ``by``.  Messages are counted per source first; only those counts meet in the group's task.
     """
     by = by or []
+    stamp = F.date_format(F.current_timestamp() if at is None else at, "yyyy-MM-dd'T'HH:mm:ss")
     per_source = df.withColumn("_s", message_source(df)).groupBy(*by, "_s").agg(
         F.count("*").alias("_n")
     )
     total = F.coalesce(F.sum("_n"), F.lit(0))
     fields = {
+        "aggregation_timestamp": stamp,
         "total_records": total,
         "sources": F.sort_array(F.collect_list("_s")),
         "aggregation_type": F.lit(kind),
         "environment": F.lit(environment),
+        "queue": F.lit(queue),
         "initial_count": total,
         "records_processed": total,
     }
@@ -124,7 +132,7 @@ def append_aggregation_log(
         stored = batch.sparkSession.read.schema(batch.schema).parquet(folder)
         stamp = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
         (
-            aggregate_messages(stored)
+            aggregate_messages(stored, at=stamp)
             .withColumns({"id": F.lit(batch_id).cast("bigint"), "created_at": stamp, "updated_at": stamp})
             .coalesce(1).write.mode("overwrite").parquet(batch_folder(log, batch_id))
         )
@@ -160,7 +168,8 @@ def latest_aggregations(log: DataFrame, n: int = 1) -> DataFrame:
     return (
         log.orderBy(F.desc("created_at"), F.desc("id")).limit(n)
         .select("id", _meta("total_records").alias("total_records"), _meta("sources").alias("sources"),
-                _meta("aggregation_type").alias("aggregation_type"), "created_at")
+                _meta("aggregation_type").alias("aggregation_type"),
+                _meta("aggregation_timestamp").alias("aggregation_time"), "created_at")
     )
 
 

@@ -184,3 +184,30 @@ def test_privacy_operators(spark, tmp_path):
     assert got == {"u1": 2, "u2": 1}
     audit = {(r["colonne"], r["motif"]): r["nombre"] for r in privacy.audit_sensitive_data(data, ["email"]).collect()}
     assert audit == {("email", "telephone"): 0, ("email", "email"): 1, ("email", "carte"): 0}
+
+
+def test_views_by_name(spark):
+    from contract import bindings
+    from parcela.plans import registration
+
+    sf = "/root/testdata/sf0.001"
+    names = registration.register_model(bindings.base_tables(spark, sf), registration.BASE_VIEWS)
+    assert "v_stats_type_bien" in names
+    assert spark.sql("SELECT * FROM v_stats_type_bien WHERE nombre_annonces > 10").count() == 6
+    assert spark.sql("SELECT * FROM v_stats_par_pieces WHERE pieces BETWEEN 1 AND 5").count() == 5
+    registration.register_model(bindings.commerce_tables(spark, sf), registration.COMMERCE_VIEWS)
+    assert spark.sql("SELECT * FROM v4").count() == 5
+    for name in names:
+        spark.table(name).limit(1).collect()
+
+
+def test_aggregate_views_by_name(spark):
+    from contract.registry import source
+    from parcela.plans import registration
+
+    tables = source(spark, "/root/testdata/sf0.001").gold
+    names = registration.register_model(tables, registration.AGGREGATE_VIEWS)
+    for name in registration.AGGREGATE_VIEWS:
+        assert name in names
+        assert spark.table(name).limit(1).count() == 1
+    assert spark.sql("SELECT * FROM v_biens_sous_cotes ORDER BY ecart_pourcentage LIMIT 3").count() == 3
