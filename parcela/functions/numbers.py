@@ -43,10 +43,6 @@ def without(c: Column, characters: str) -> Column:
     return F.translate(c, characters, "")
 
 
-def blank_to_null(c: Column) -> Column:
-    return F.when(strip(c) != "", c)
-
-
 def first_match(c: Column, pattern: str, group: int = 1) -> Column:
     """First match of ``pattern``, null when there is none."""
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))

@@ -11,7 +11,7 @@ from parcela.functions.numbers import first_match, strip
 from parcela.functions.text import clean_photo_url
 
 # Entities that page texts use, with what they stand for.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
+ENTITIES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 
 
 @dataclass(frozen=True)
@@ -151,10 +151,14 @@ def legend(html: Column, kind: str) -> Column:
     return F.coalesce(texts, F.array().cast("array<string>"))
 
 
-def gallery(html: Column) -> Column:
-    """Photos of the page's gallery as an array of structs, in page order."""
+def gallery_images(html: Column) -> Column:
+    """The image tags of the page's gallery."""
     block = first_match(html, r"(?is)<ul[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>(.*?)</ul>")
-    images = F.regexp_extract_all(block, F.lit(r"(?is)(<img[^>]+>)"), 1)
+    return F.regexp_extract_all(block, F.lit(r"(?is)(<img[^>]+>)"), 1)
+
+
+def gallery(images: Column) -> Column:
+    """Photos with an address as an array of structs, numbered among all images."""
     total = F.size(images)
 
     def photo(tag: Column, i: Column) -> Column:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from parcela.functions.numbers import first_match, strip
 from parcela.functions.pages import (
-    AGENT_RULES, COOWNERSHIP_LABELS, ENERGY_RULES, FieldRule, definition, gallery, legend,
-    select_fields,
+    AGENT_RULES, COOWNERSHIP_LABELS, ENERGY_RULES, FieldRule, definition, gallery, gallery_images,
+    legend, select_fields,
 )
 from parcela.functions.text import absolute_url, postal_code_anywhere
 
@@ -70,14 +70,16 @@ def extract_energy_panel(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def extract_gallery(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """One row per photo of each page."""
-    return pages.select(key, F.explode(gallery(F.col(html))).alias("_p")).select(key, "_p.*")
+    tags = pages.select(key, gallery_images(F.col(html)).alias("_i"))
+    return tags.select(key, F.explode(gallery(F.col("_i"))).alias("_p")).select(key, "_p.*")
 
 
 def photo_count(pages: DataFrame, html: str = "html", given: str = "nombre_photos") -> DataFrame:
-    """The gallery's size replaces a count of zero."""
-    return pages.withColumn(
-        given, F.when(F.col(given) == 0, F.size(gallery(F.col(html)))).otherwise(F.col(given))
-    )
+    """The number of images in the gallery replaces a count of zero."""
+    seen = pages.withColumn("_n", F.size(gallery_images(F.col(html))))
+    return seen.withColumn(
+        given, F.when((F.col(given) == 0) & (F.col("_n") > 0), F.col("_n")).otherwise(F.col(given))
+    ).drop("_n")
 
 
 def extract_fields(

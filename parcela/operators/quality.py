@@ -143,11 +143,3 @@ def fk_violations(child: DataFrame, parent: DataFrame, key: str, parent_key: str
     """Child rows whose non-null key has no parent."""
     parents = parent.select(F.col(parent_key or key).alias(key))
     return child.filter(F.col(key).isNotNull()).join(parents, key, "left_anti")
-
-
-def required(*conditions: Column) -> Column:
-    """Conjunction of conditions, for building rules by hand."""
-    out = F.lit(True)
-    for condition in conditions:
-        out = out & condition
-    return out
