@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcela.functions.numbers import price_per_m2_decimal
+from parcela.functions.numbers import double_to_decimal, price_per_m2_decimal
 from parcela.session import spread
 
 AS_OF = "2025-11-15T00:00:00"
@@ -57,7 +57,7 @@ def annonces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned base listings."""
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     seg, pri = F.col("c_mktsegment"), F.col("o_orderpriority")
-    price = _null_when(k % 11 == 0, F.col("o_totalprice").cast("decimal(12,2)"))
+    price = _null_when(k % 11 == 0, double_to_decimal(F.col("o_totalprice"), 12, 2))
     surface = _null_when(k % 17 == 3, (k * 37 % 191 + 9).cast("decimal(8,2)"))
     base = _orders(spark, sf_dir).select(
         k.alias("id_annonce"),
@@ -136,8 +136,9 @@ def commerce_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         ),
         "lignes_commande": table(spark, sf_dir, "lineitem").select(
             F.col("l_orderkey").alias("id_commande"), F.col("l_partkey").alias("id_boite"),
-            F.col("l_quantity").alias("quantite"), F.col("l_extendedprice").alias("prix_unitaire"),
-            F.col("l_discount").alias("taux_remise"),
+            double_to_decimal(F.col("l_quantity"), 8, 2).alias("quantite"),
+            double_to_decimal(F.col("l_extendedprice"), 12, 2).alias("prix_unitaire"),
+            double_to_decimal(F.col("l_discount"), 4, 3).alias("taux_remise"),
         ),
         "boites": part.select(
             F.col("p_partkey").alias("id_boite"), F.col("p_brand").alias("id_matiere"),

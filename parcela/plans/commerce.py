@@ -16,11 +16,14 @@ Tables = dict[str, DataFrame]
 
 
 def line_amount() -> Column:
-    """Quantity x unit price x (1 - discount)."""
+    """Unit price x (1 - discount) x quantity.
+
+    In this order the first product still fits a 64-bit decimal.
+    """
     quantity = F.col("quantite").cast("decimal(8,2)")
     price = F.col("prix_unitaire").cast("decimal(12,2)")
     kept = F.lit(1).cast("decimal(1,0)") - F.col("taux_remise").cast("decimal(4,3)")
-    return quantity * price * kept
+    return price * kept * quantity
 
 
 def _revenue(name: str = "chiffre_affaires") -> Column:

@@ -1,7 +1,8 @@
 WITH par_commande AS (
   SELECT id_commande,
-         SUM(CAST(quantite AS DECIMAL(8,2)) * CAST(prix_unitaire AS DECIMAL(12,2))
-             * (CAST(1 AS DECIMAL(1,0)) - CAST(taux_remise AS DECIMAL(4,3)))) AS montant
+         SUM(CAST(prix_unitaire AS DECIMAL(12,2))
+             * (CAST(1 AS DECIMAL(1,0)) - CAST(taux_remise AS DECIMAL(4,3)))
+             * CAST(quantite AS DECIMAL(8,2))) AS montant
   FROM lignes_commande GROUP BY id_commande
 )
 SELECT date_format(co.date_commande, 'yyyy-MM') AS mois,

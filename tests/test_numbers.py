@@ -93,3 +93,9 @@ def test_small_helpers(values, spark):
     assert out == [2.0, 2.0, 2.0, None, None]
     box = spark.range(1).select(num.exterior_surface(F.lit(10), F.lit(20), F.lit(30))).first()[0]
     assert box == Decimal("2200.00")
+
+
+def test_double_to_decimal(values):
+    items = [68423.46, 0.07, -12.5, 0.0, 499978.59, 1e9 + 0.01, None]
+    got = values(lambda c: num.double_to_decimal(c, 14, 2), items, "double")
+    assert got == [None if x is None else Decimal(f"{x:.2f}") for x in items]
