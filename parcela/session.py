@@ -48,3 +48,18 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def sizing(input_bytes: int, cores: int, target: int = 128 * 1024**2) -> dict[str, str]:
+    """Session settings for an input of that size.
+
+    Shuffles start with partitions of about ``target`` bytes, at least two per core; adaptive
+    execution joins small ones and splits skewed ones.
+    """
+    partitions = max(2 * cores, -(-input_bytes // target))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target),
+    }

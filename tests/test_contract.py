@@ -66,6 +66,25 @@ def test_no_python_and_no_cross_join(spark, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
+def test_nested_columns_are_pruned(spark):
+    plan = _plan(QUERIES["m08_market_stats"](spark, SF))
+    assert "struct<prix:struct<valeur:double>,surface:struct<valeur:double>>" in plan
+    assert "caracteristiques" not in plan
+
+
+def test_market_statistics_reach_listings_without_a_join(spark):
+    plan = _plan(QUERIES["m10_compare_to_market"](spark, SF))
+    assert "Join" not in plan
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_sizing():
+    from parcela.session import sizing
+
+    assert sizing(100 * 1024**4, 4000)["spark.sql.shuffle.partitions"] == "819200"
+    assert sizing(10, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(QUERIES["c02_chiffre_affaires_par_client"](spark, SF))
     assert "l_shipdate" not in plan
