@@ -264,11 +264,11 @@ add("t21_extract_gallery", lambda s: pages.extract_gallery(s.html, KEY))
 add("t22_extract_energy_panel", lambda s: pages.extract_energy_panel(s.html).drop("html"))
 
 PAGE_RULES = {
-    "titre": FieldRule(r"(?is)<h1>(.*?)</h1>"),
+    "titre": FieldRule(r"<h1>(.*?)</h1>"),
     "langue": FieldRule(r"<html lang=\"([a-z]+)\"", attribute=True),
     "liens": FieldRule(r"<a href=\"([^\"]*)\"", attribute=True, multiple=True),
     "honoraires": FieldRule(r"(honoraires)"),
-    "bloc": {"annonce": FieldRule(r"(?s)<div class=\"ad\">(.*?)</div>", regex=r"^(\w+)")},
+    "bloc": {"annonce": FieldRule(r"<div class=\"ad\">(.*?)</div>", regex=r"^(\w+)")},
     "absent": FieldRule(r"<marquee>(.*?)</marquee>"),
 }
 add("t23_extract_fields", lambda s: pages.extract_fields(s.table("pages"), PAGE_RULES).drop("html", "url"))

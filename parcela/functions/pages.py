@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +19,8 @@ ENTITIES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;"
 class FieldRule:
     """Where a field is found in a page.
 
-    ``pattern`` has one group: the element's inner HTML or the attribute value.  ``regex`` refines
+    ``pattern`` has one group: the element's inner HTML or the attribute value; its tag and
+    attribute names, written in lower case, match in any case.  ``regex`` refines
     the text; text it does not match is kept whole.  ``multiple`` gives every hit as an array.
     ``literal`` gives a fixed text.
     """
@@ -38,13 +40,31 @@ def text_of(inner_html: Column) -> Column:
     return F.when(inner_html.contains("<") | inner_html.contains("&"), text).otherwise(inner_html)
 
 
+def _both_cases(name: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name)
+
+
+def markup(pattern: str) -> str:
+    """A pattern whose tag and attribute names match in any case.
+
+    Only the names are spelled in both cases: a case-insensitive pattern would compare every
+    character of a page that way, and could not skip to the next ``<``.
+    """
+    def names(match: re.Match) -> str:
+        words = [_both_cases(w) for w in match[2].split("|")]
+        return f"<{match[1]}" + (words[0] if len(words) == 1 else f"(?:{'|'.join(words)})")
+
+    pattern = re.sub(r"<(/?)(?:\(\?:)?([a-z][a-z0-9|]*)(?:(?<=[a-z0-9])\))?", names, pattern)
+    return "(?s)" + re.sub(r"\b(class|href|src|alt)=", lambda m: f"{_both_cases(m[1])}=", pattern)
+
+
 def found(html: Column, rule: FieldRule) -> Column:
     """What the pattern of a rule finds: the first hit, or all of them."""
     if rule.literal is not None:
         return F.lit(rule.literal)
     if rule.multiple:
-        return F.regexp_extract_all(html, F.lit(rule.pattern), 1)
-    return first_match(html, rule.pattern)
+        return F.regexp_extract_all(html, F.lit(markup(rule.pattern)), 1)
+    return first_match(html, markup(rule.pattern))
 
 
 def refined(value: Column, rule: FieldRule) -> Column:
@@ -83,8 +103,8 @@ def select_fields(
 
 def definition(html: Column, label: str) -> Column:
     """Text of the ``<dd>`` that follows the ``<dt>`` holding the label, "" when absent."""
-    found = first_match(html, rf"(?isu)<dt[^>]*>[^<]*{label}[^<]*</dt>\s*<dd[^>]*>(.*?)</dd>")
-    return F.coalesce(strip(text_of(found)), F.lit(""))
+    pattern = rf"<dt[^>]*>[^<]*(?iu:{label})[^<]*</dt>\s*<dd[^>]*>(.*?)</dd>"
+    return F.coalesce(strip(text_of(first_match(html, markup(pattern)))), F.lit(""))
 
 
 # Labels of the co-ownership block.
@@ -97,64 +117,64 @@ COOWNERSHIP_LABELS = {
 # The agent block of a detail page.
 AGENT_RULES = {
     "conseiller_nom_complet": FieldRule(
-        r"(?is)<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>.*?<p[^>]*class=\"[^\"]*text-xl[^\"]*\"[^>]*>(.*?)</p>"
+        r"<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>.*?<p[^>]*class=\"[^\"]*text-xl[^\"]*\"[^>]*>(.*?)</p>"
     ),
     "conseiller_telephone": FieldRule(
-        r"(?is)<button[^>]*>\s*<span[^>]*>([^<]*\+33[^<]*)</span>", regex=r"(\+33[\d\s]+)"
+        r"<button[^>]*>\s*<span[^>]*>([^<]*\+33[^<]*)</span>", regex=r"(\+33[\d\s]+)"
     ),
     "conseiller_lien": FieldRule(
-        r"(?is)<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*href=\"([^\"]*)\"", attribute=True
+        r"<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*href=\"([^\"]*)\"", attribute=True
     ),
     "conseiller_photo": FieldRule(
-        r"(?is)<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>.*?<img[^>]*class=\"[^\"]*size-full[^\"]*\"[^>]*src=\"([^\"]*)\"",
+        r"<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>.*?<img[^>]*class=\"[^\"]*size-full[^\"]*\"[^>]*src=\"([^\"]*)\"",
         attribute=True,
     ),
-    "conseiller_note": FieldRule(r"(?is)<[a-z]+[^>]*class=\"[^\"]*rating[^\"]*\"[^>]*>(.*?)</"),
-    "conseiller_nombre_avis": FieldRule(r"(?is)<[a-z]+[^>]*class=\"[^\"]*avis[^\"]*\"[^>]*>(.*?)</"),
+    "conseiller_note": FieldRule(r"<[a-z]+[^>]*class=\"[^\"]*rating[^\"]*\"[^>]*>(.*?)</"),
+    "conseiller_nombre_avis": FieldRule(r"<[a-z]+[^>]*class=\"[^\"]*avis[^\"]*\"[^>]*>(.*?)</"),
 }
 
 # The energy panel of a detail page.
-_PANEL = r"(?is)<div[^>]*class=\"[^\"]*{kind}[^\"]*\"[^>]*>.*?<li[^>]*class=\"[^\"]*border-white[^\"]*\"[^>]*>\s*<span[^>]*>(.*?)</span>"
+_PANEL = r"<div[^>]*class=\"[^\"]*{kind}[^\"]*\"[^>]*>.*?<li[^>]*class=\"[^\"]*border-white[^\"]*\"[^>]*>\s*<span[^>]*>(.*?)</span>"
 ENERGY_RULES = {
     "dpe_classe_active": FieldRule(_PANEL.replace("{kind}", "panel-dpe")),
     "ges_classe_active": FieldRule(_PANEL.replace("{kind}", "panel-ges")),
     "dpe_consommation_energie_primaire": FieldRule(
-        r"(?is)border-epc-[A-G][^>]*>.*?<p[^>]*class=\"flex\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"border-epc-[A-G][^>]*>.*?<p[^>]*class=\"flex\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
     ),
     "dpe_consommation_energie_finale": FieldRule(
-        r"(?is)border-epc-[A-G][^>]*>.*?</p>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"border-epc-[A-G][^>]*>.*?</p>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
     ),
     "dpe_emissions": FieldRule(
-        r"(?is)border-epc-[A-G][^>]*>.*?<p[^>]*class=\"grid\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"border-epc-[A-G][^>]*>.*?<p[^>]*class=\"grid\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
     ),
     "ges_emissions": FieldRule(
-        r"(?is)border-ges-[A-G][^>]*>.*?<p[^>]*class=\"grid\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"border-ges-[A-G][^>]*>.*?<p[^>]*class=\"grid\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
     ),
     "depenses_energie_min": FieldRule(
-        r"(?is)<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
+        r"<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
     ),
     "depenses_energie_max": FieldRule(
-        r"(?is)<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>.*?</p>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
+        r"<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>.*?</p>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
     ),
-    "titre_section": FieldRule(r"(?is)<section[^>]*class=\"[^\"]*flex[^\"]*\"[^>]*>.*?<h3[^>]*>(.*?)</h3>"),
-    "dpe_description": FieldRule(r"(?is)<div[^>]*class=\"[^\"]*panel-dpe[^\"]*\"[^>]*>.*?<p[^>]*>(.*?)</p>"),
-    "ges_description": FieldRule(r"(?is)<div[^>]*class=\"[^\"]*panel-ges[^\"]*\"[^>]*>.*?<p[^>]*>(.*?)</p>"),
+    "titre_section": FieldRule(r"<section[^>]*class=\"[^\"]*flex[^\"]*\"[^>]*>.*?<h3[^>]*>(.*?)</h3>"),
+    "dpe_description": FieldRule(r"<div[^>]*class=\"[^\"]*panel-dpe[^\"]*\"[^>]*>.*?<p[^>]*>(.*?)</p>"),
+    "ges_description": FieldRule(r"<div[^>]*class=\"[^\"]*panel-ges[^\"]*\"[^>]*>.*?<p[^>]*>(.*?)</p>"),
     "annee_reference": FieldRule(literal="2025"),
 }
 
 
 def legend(html: Column, kind: str) -> Column:
     """Captions of an energy panel ("panel-dpe", "panel-ges")."""
-    block = first_match(html, rf"(?is)<div[^>]*class=\"[^\"]*{kind}[^\"]*\"[^>]*>(.*?)</div>")
-    hits = F.regexp_extract_all(block, F.lit(r"(?is)<em[^>]*>(.*?)</em>"), 1)
+    block = first_match(html, markup(rf"<div[^>]*class=\"[^\"]*{kind}[^\"]*\"[^>]*>(.*?)</div>"))
+    hits = F.regexp_extract_all(block, F.lit(markup(r"<em[^>]*>(.*?)</em>")), 1)
     texts = F.filter(F.transform(hits, lambda x: strip(text_of(x))), lambda x: x != "")
     return F.coalesce(texts, F.array().cast("array<string>"))
 
 
 def gallery_images(html: Column) -> Column:
     """The image tags of the page's gallery."""
-    block = first_match(html, r"(?is)<ul[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>(.*?)</ul>")
-    return F.regexp_extract_all(block, F.lit(r"(?is)(<img[^>]+>)"), 1)
+    block = first_match(html, markup(r"<ul[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>(.*?)</ul>"))
+    return F.regexp_extract_all(block, F.lit(markup(r"(<img[^>]+>)")), 1)
 
 
 def gallery(images: Column) -> Column:

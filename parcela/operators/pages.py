@@ -14,12 +14,12 @@ from parcela.functions.text import absolute_url, postal_code_anywhere
 
 # Markup of one listing card.
 CARD_RULES = {
-    "titre": FieldRule(r"(?is)<a[^>]*href=\"[^\"]*/annonce/[^\"]*\"[^>]*>\s*<h[23][^>]*>(.*?)</h[23]>"),
-    "lien": FieldRule(r"(?is)<a[^>]*href=\"([^\"]*/annonce/[^\"]*)\"", attribute=True),
-    "prix": FieldRule(r"(?is)<(?:p|strong)[^>]*>([^<]*€[^<]*)</(?:p|strong)>"),
-    "image_url": FieldRule(r"(?is)<img[^>]*src=\"([^\"]*property[^\"]*)\"", attribute=True),
-    "badges": FieldRule(r"(?is)<span[^>]*class=\"[^\"]*badge[^\"]*\"[^>]*>(.*?)</span>", multiple=True),
-    "caracteristiques": FieldRule(r"(?is)<li>(.*?)</li>", regex=r"(?U)^[•\s]*(.*?)\s*$", multiple=True),
+    "titre": FieldRule(r"<a[^>]*href=\"[^\"]*/annonce/[^\"]*\"[^>]*>\s*<h[23][^>]*>(.*?)</h[23]>"),
+    "lien": FieldRule(r"<a[^>]*href=\"([^\"]*/annonce/[^\"]*)\"", attribute=True),
+    "prix": FieldRule(r"<(?:p|strong)[^>]*>([^<]*€[^<]*)</(?:p|strong)>"),
+    "image_url": FieldRule(r"<img[^>]*src=\"([^\"]*property[^\"]*)\"", attribute=True),
+    "badges": FieldRule(r"<span[^>]*class=\"[^\"]*badge[^\"]*\"[^>]*>(.*?)</span>", multiple=True),
+    "caracteristiques": FieldRule(r"<li>(.*?)</li>", regex=r"(?U)^[•\s]*(.*?)\s*$", multiple=True),
 }
 
 

@@ -81,7 +81,7 @@ def test_market_statistics_reach_listings_without_a_join(spark):
 def test_sizing():
     from parcela.session import sizing
 
-    assert sizing(100 * 1024**4, 4000)["spark.sql.shuffle.partitions"] == "819200"
+    assert sizing(100 * 1024**4, 4000)["spark.sql.shuffle.partitions"] == "64000"
     assert sizing(10, 8)["spark.sql.shuffle.partitions"] == "16"
 
 
