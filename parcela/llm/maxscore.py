@@ -107,9 +107,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int = S
     part = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards))
     block = F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks))
     searched = rows.select("vec_id", "terms", part.alias("shard"),
-                           F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"))
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     asking = rows.where("asks").select("vec_id", "terms", block.alias("block"),
-                                       F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).cast("long").alias("shard"))
+                                       F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
 
     def cell(searched: pa.Table, asking: pa.Table) -> pa.Table:
         width = 1
@@ -136,10 +136,10 @@ def op7_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS c
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS c
   FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
 ), s AS (
   SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.c, d.c) AS BIGINT) AS score
   FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0

@@ -30,7 +30,8 @@ BITS = 18            # hashed terms
 FACTORS = 4
 SAMPLE_ROWS = 20_000  # labelled rows that the machine is fitted on, at most
 LEAST_TEXTS = 4      # a term in fewer texts of the sample is not learned
-EPOCHS = 6
+UNUSUAL = 3.0        # and so are terms whose share of toxic texts is within so many deviations of the mean
+EPOCHS = 8
 THRESHOLD = 0.3
 HELD_OUT = 2         # remainder of crc32(doc_id) modulo 4 that is never learned from
 
@@ -89,15 +90,18 @@ class Machine:
 def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     """Adaptive gradient steps on the logistic loss of mini-batches."""
     size = 1 << BITS
-    counts = np.zeros(size, np.int64)
-    for t in texts:
+    counts, toxic = np.zeros(size), np.zeros(size)
+    for t, label in zip(texts, labels, strict=True):
         counts[t] += 1
-    texts = [t[counts[t] >= LEAST_TEXTS] for t in texts]
-    rng = np.random.default_rng(seed)
+        toxic[t] += label
     rate = (labels.sum() + 0.5) / (len(labels) + 1)
+    unusual = np.abs(toxic - counts * rate) / np.sqrt(np.maximum(counts, 1) * rate * (1 - rate))
+    used_terms = (counts >= LEAST_TEXTS) & (unusual >= UNUSUAL)
+    texts = [t[used_terms[t]] for t in texts]
+    rng = np.random.default_rng(seed)
     bias = float(np.log(rate / (1 - rate)))
     linear = np.zeros(size)
-    factors = np.where(counts[:, None] >= LEAST_TEXTS, rng.normal(0, 0.01, (size, FACTORS)), 0)
+    factors = np.where(used_terms[:, None], rng.normal(0, 0.01, (size, FACTORS)), 0)
     g_linear, g_factors, g_bias = np.full(size, 1e-6), np.full((size, FACTORS), 1e-6), 1e-6
     for _ in range(EPOCHS):
         order = rng.permutation(len(texts))
@@ -114,7 +118,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
             score = bias + np.bincount(rows, linear[dims], n) + 0.5 * (scale[:, None] * (sums**2 - squares)).sum(1)
             error = 1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels[batch]
             used, place = np.unique(dims, return_inverse=True)
-            grad = np.bincount(place, error[rows], len(used)) / n + 1e-6 * linear[used]
+            grad = np.bincount(place, error[rows], len(used)) / n + 1e-5 * linear[used]
             g_linear[used] += grad**2
             linear[used] -= 0.3 * grad / np.sqrt(g_linear[used])
             through = (error * scale)[rows]
@@ -125,7 +129,6 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
                 factors[used, f] -= 0.05 * grad / np.sqrt(g_factors[used, f])
             g_bias += error.mean() ** 2
             bias -= 0.1 * error.mean() / np.sqrt(g_bias)
-    linear[counts < LEAST_TEXTS] = 0
     return Machine(float(bias), linear, factors)
 
 
