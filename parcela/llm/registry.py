@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from parcela.llm.bpe import op1_bpe
 from parcela.llm.decontaminate import op2_decontaminate
+from parcela.llm.jaccard import OP10_SQL, op10_jaccard
 from parcela.llm.lines import OP8_SQL, op8_lines
 from parcela.llm.maxscore import OP7_SQL, op7_maxscore
 from parcela.llm.pages import op9_pages
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_maxscore": op7_maxscore,
     "op8_lines": op8_lines,
     "op9_pages": op9_pages,
+    "op10_jaccard": op10_jaccard,
 }
 
-SQL = {"op4_urls": OP4_SQL, "op7_maxscore": OP7_SQL, "op8_lines": OP8_SQL}
+SQL = {"op4_urls": OP4_SQL, "op7_maxscore": OP7_SQL, "op8_lines": OP8_SQL, "op10_jaccard": OP10_SQL}
