@@ -24,7 +24,7 @@ doc_id are kept apart unless both represent their set, then they share the compo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +33,12 @@ from pyspark.sql import functions as F
 
 from parcela.llm.components import components
 from parcela.llm.shared import fresh, read, stored, text_key
-from parcela.llm.words import Words, mix, shingles, signed, slices
+from parcela.llm.words import Words, mix, ranges, shingles, signed, slices
 
 BLOCK_SETS = 2048    # sets of one component that a task searches together
+PAIRED = 64          # lists up to this length compare all their pairs, longer ones by a leader first
 HOT_COUNTERS = 4096  # shingles that a task's frequency summary holds
-BITMAP_WORDS = 4     # 64-bit words of the parity bitmap of a set
+BITMAP_BITS = 256, 4096  # least and most bits of the parity bitmap of a set; as many as shingles in between
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int):
@@ -55,13 +56,22 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int):
             document = np.concatenate([document, short])
             value = np.concatenate([value, shingles(words.hash, few)[first] ^ np.uint64(few)])
             length = np.concatenate([length, lengths[first + few] - lengths[first]])
-    order = np.lexsort((value, document))
+    order = by_document(document, value)
     document, value, length = document[order], value[order], length[order]
     new = np.ones(len(order), bool)
     new[1:] = (document[1:] != document[:-1]) | (value[1:] != value[:-1])
     return document[new], value[new], length[new]
 
 
+def by_document(document: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Order by document, then key."""
+    order = np.argsort(key)
+    owner = document[order]
+    if len(owner) and owner.max() < 1 << 16:
+        owner = owner.astype(np.uint16)  # these are sorted by counting
+    return order[np.argsort(owner, kind="stable")]
+
+
 def needed(n, num: int, den: int):
     """Least overlap of a set of n shingles with any set that it is linked with."""
     return -(-n * num // den)
@@ -73,7 +83,7 @@ def prefixes(document, value, length, n_documents: int, num: int, den: int, hot:
     rank = ((np.uint64(255) - np.minimum(length, 255).astype(np.uint64)) << np.uint64(55)) | (mix(value) >> np.uint64(9))
     if len(hot):
         rank |= (hot[np.minimum(np.searchsorted(hot, value), len(hot) - 1)] == value).astype(np.uint64) << np.uint64(63)
-    order = np.lexsort((rank, document))
+    order = by_document(document, rank)
     first = np.cumsum(sizes) - sizes
     nth = np.arange(len(order)) - first[document[order]]
     keep = nth < (times * (sizes - needed(sizes, num, den)) + 1)[document[order]]
@@ -88,6 +98,43 @@ def signature(value: np.ndarray, sizes: np.ndarray, salt: int) -> np.ndarray:
     return signed(sums[ends] - sums[ends - sizes])
 
 
+def parity_bitmap(value: np.ndarray) -> bytes:
+    """Bit i is set if an odd number of shingles has the remainder i."""
+    bits = min(max(BITMAP_BITS[0], 1 << int(len(value) - 1).bit_length()), BITMAP_BITS[1]) if len(value) else BITMAP_BITS[0]
+    odd = np.bincount((value & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+class Sketches:
+    """Sizes and parity bitmaps of sets; bitmaps also folded to half their bits."""
+
+    def __init__(self, n: np.ndarray, bitmaps: list[bytes]):
+        self.n = n.astype(np.int64)
+        self.words = np.array([len(b) // 8 for b in bitmaps], np.int64)
+        most = int(self.words.max(initial=1))
+        self.full = np.zeros((len(bitmaps), most), np.uint64)
+        self.half = np.zeros((len(bitmaps), most), np.uint64)
+        for words in np.unique(self.words):
+            at = np.flatnonzero(self.words == words)
+            rows = np.frombuffer(b"".join([bitmaps[i] for i in at]), np.uint64).reshape(-1, words)
+            self.full[at, :words] = rows
+            self.half[at, :words // 2] = rows[:, :words // 2] ^ rows[:, words // 2:]
+
+    def may_link(self, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
+        """Of pairs of sets, those whose sizes and bitmaps allow a link (as a mask)."""
+        small, large = np.minimum(self.n[a], self.n[b]), np.maximum(self.n[a], self.n[b])
+        good = small * den >= large * num
+        at = np.flatnonzero(good)
+        both = (small + large)[at]
+        most = both - 2 * -(-both * num // (num + den))
+        a, b = a[at], b[at]
+        left = np.where((self.words[a] > self.words[b])[:, None], self.half[a], self.full[a])
+        left ^= np.where((self.words[b] > self.words[a])[:, None], self.half[b], self.full[b])
+        # sizes of links differ by less than two, so one fold brings both to the same bits
+        good[at] = (np.bitwise_count(left).sum(axis=1, dtype=np.int64) <= most) | (np.abs(self.words[a] - self.words[b]) > np.minimum(self.words[a], self.words[b]))
+        return good
+
+
 class HotSummary:
     """Misra-Gries summary: every value whose share exceeds 1 / size is in it."""
 
@@ -108,7 +155,7 @@ def _survey(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary, total = HotSummary(HOT_COUNTERS), 0
-        names = ["doc_id", "tk", "n", "s1", "s2", "hot"]
+        names = ["doc_id", "tk", "n", "s1", "s2", "bitmap", "hot"]
         for batch in batches:
             pending = []
             for row, end, raw, offsets in slices(batch.column(2)):
@@ -120,8 +167,11 @@ def _survey(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 sums = []
                 for salt in (1, 2):
                     sums.append(pa.array(signature(value, sizes, salt)))
+                ends = np.cumsum(sizes)
+                bitmaps = [parity_bitmap(value[a:b]) for a, b in zip(ends - sizes, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, n), batch.column(1).slice(row, n), pa.array(sizes), *sums, pa.nulls(n, pa.bool_())],
+                    [batch.column(0).slice(row, n), batch.column(1).slice(row, n), pa.array(sizes), *sums,
+                     pa.array(bitmaps, pa.binary()), pa.nulls(n, pa.bool_())],
                     names=names)
             if pending:
                 summary.add(np.concatenate(pending))
@@ -130,13 +180,14 @@ def _survey(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
             counts = np.concatenate([summary.counts, [total]])
             flags = np.concatenate([np.ones(len(summary.values), bool), [False]])
             empty = pa.nulls(len(values), pa.int64())
-            yield pa.RecordBatch.from_arrays([empty, empty, pa.array(counts), pa.array(values), empty, pa.array(flags)], names=names)
+            yield pa.RecordBatch.from_arrays([empty, empty, pa.array(counts), pa.array(values), empty,
+                 pa.nulls(len(values), pa.binary()), pa.array(flags)], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, tk long, n long, s1 long, s2 long, hot boolean")
+    return docs.mapInArrow(run, "doc_id long, tk long, n long, s1 long, s2 long, bitmap binary, hot boolean")
 
 
 def _postings(docs: DataFrame, width: int, num: int, den: int, hot: np.ndarray) -> DataFrame:
-    """(token, set, n, b0..): the short lists; each task gives equal sets once."""
+    """(token, set): the short lists; each task gives equal sets once."""
     kept = docs.sparkSession.sparkContext.broadcast(hot)  # at most 2 * HOT_COUNTERS values
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,18 +203,10 @@ def _postings(docs: DataFrame, width: int, num: int, den: int, hot: np.ndarray)
                     if sizes[i] and s not in given:
                         given.add(s)
                         new[i] = True
-                bits = 64 * BITMAP_WORDS
-                odd = np.bincount(document * bits + (value % np.uint64(bits)).astype(np.int64), minlength=n * bits) & 1
-                bitmap = np.packbits(odd.astype(bool).reshape(n, bits), axis=1).view(np.int64)
                 at = at[new[document[at]]]
-                owner = document[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(value[at])), pa.array(sets[owner]), pa.array(sizes[owner].astype(np.int32)),
-                     *(pa.array(bitmap[owner, i]) for i in range(BITMAP_WORDS))],
-                    names=["token", "set", "n", *(f"b{i}" for i in range(BITMAP_WORDS))])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(value[at])), pa.array(sets[document[at]])], names=["token", "set"])
 
-    bitmaps = ", ".join(f"b{i} long" for i in range(BITMAP_WORDS))
-    return docs.mapInArrow(run, f"token long, set long, n int, {bitmaps}")
+    return docs.mapInArrow(run, "token long, set long")
 
 
 def _forest(n: int):
@@ -178,21 +221,17 @@ def _forest(n: int):
     return parent, find
 
 
-def spanning(sets: np.ndarray, n: np.ndarray, bitmap: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect the sets of one list wherever sizes and bitmaps allow a link."""
-    order = np.argsort(n, kind="stable")
-    sets, n, bitmap = sets[order], n[order].astype(np.int64), bitmap[order]
-    parent, find = _forest(len(sets))
+def spanning(rows: np.ndarray, sketches: Sketches, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect the rows of one long list wherever sizes and bitmaps allow a link."""
+    rows = rows[np.argsort(sketches.n[rows], kind="stable")]
+    n = sketches.n[rows]
+    parent, find = _forest(len(rows))
 
     def near(i: int, others: np.ndarray) -> np.ndarray:
-        both = n[others] + n[i]
-        most = both - 2 * -(-both * num // (num + den))
-        apart = np.bitwise_count(bitmap[others] ^ bitmap[i]).sum(axis=1, dtype=np.int64)
-        ratio = np.minimum(n[others], n[i]) * den >= np.maximum(n[others], n[i]) * num
-        return others[ratio & (apart <= most)]
+        return others[sketches.may_link(np.full(len(others), rows[i]), rows[others], num, den)]
 
-    leader = len(sets) // 2
-    rest = np.concatenate([np.arange(leader), np.arange(leader + 1, len(sets))])
+    leader = len(rows) // 2
+    rest = np.concatenate([np.arange(leader), np.arange(leader + 1, len(rows))])
     for j in near(leader, rest).tolist():
         parent[j] = leader
     for i in [j for j in rest.tolist() if parent[j] != leader]:
@@ -203,45 +242,90 @@ def spanning(sets: np.ndarray, n: np.ndarray, bitmap: np.ndarray, num: int, den:
             a, b = find(i), find(j)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    roots = np.array([find(i) for i in range(len(sets))])
-    moved = roots != np.arange(len(sets))
-    return sets[moved], sets[roots[moved]]
+    roots = np.array([find(i) for i in range(len(rows))])
+    moved = roots != np.arange(len(rows))
+    return rows[moved], rows[roots[moved]]
 
 
-def _candidates(postings: DataFrame, num: int, den: int) -> DataFrame:
-    names = ["token", "set", "n", *(f"b{i}" for i in range(BITMAP_WORDS))]
-
-    def edges(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        token, sets = rows[0], rows[1]
-        cuts = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
-        out_a, out_b = [], []
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if b - a < 2 or (sets[a:b] == sets[a]).all():
-                continue
-            own, place = np.unique(sets[a:b], return_index=True)
-            place = place + a
-            left, right = spanning(own, rows[2][place], np.stack([r[place] for r in rows[3:]], axis=1).view(np.uint64), num, den)
-            out_a.append(left)
-            out_b.append(right)
-        if out_a:
-            pair = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
+def _lists(rows: DataFrame, use: Callable[[pa.Table], Iterator[pa.RecordBatch]], out: str) -> DataFrame:
+    """Apply ``use`` to runs of whole lists: rows (token, ...) dealt and sorted by token."""
+    names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
+        held: pa.Table | None = None
         for batch in batches:
-            rows = [batch.column(c).to_numpy() for c in names]
-            if held is not None:
-                rows = [np.concatenate([x, y]) for x, y in zip(held, rows, strict=True)]
-            if not len(rows[0]):
+            if not batch.num_rows:
                 continue
-            last = int(np.searchsorted(rows[0], rows[0][-1]))  # the last list may go on
-            yield from edges([r[:last] for r in rows])
-            held = [r[last:].copy() for r in rows]
+            table = pa.Table.from_batches([batch]).select(names)
+            if held is not None:
+                table = pa.concat_tables([held, table]).combine_chunks()
+            token = table.column("token").to_numpy()
+            last = int(np.searchsorted(token, token[-1]))  # the last list may go on
+            yield from use(table.slice(0, last))
+            held = table.slice(last)
         if held is not None:
-            yield from edges(held)
+            yield from use(held)
+
+    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(run, out)
+
+
+def _shared(postings: DataFrame) -> DataFrame:
+    """(token, set) of the lists that hold more than one set."""
+
+    def use(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        token, sets = table.column("token").to_numpy(), table.column("set").to_numpy()
+        other = np.zeros(len(token), bool)
+        if len(token):
+            cuts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            low, high = np.minimum.reduceat(sets, cuts), np.maximum.reduceat(sets, cuts)
+            other = np.repeat(low != high, np.diff(np.r_[cuts, len(token)]))
+        yield pa.RecordBatch.from_arrays([pa.array(token[other]), pa.array(sets[other])], names=["token", "set"])
+
+    return _lists(postings, use, "token long, set long")
+
+
+def _candidates(postings: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): edges that connect all sets that meet in a list and may be linked."""
+
+    def use(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not table.num_rows:
+            return
+        token, sets, n = (table.column(c).to_numpy() for c in ("token", "set", "n"))
+        sketches = Sketches(n, table.column("bitmap").to_pylist())
+        cuts = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
+        sizes = np.diff(cuts)
+        rows = np.arange(len(token))
+        later = np.repeat(cuts[1:], sizes) - rows - 1
+        later[np.repeat(sizes > PAIRED, sizes)] = 0
+        pairs = [(np.repeat(rows, later), ranges(rows + 1, later))]  # all pairs of short lists, not emitted
+        pairs[0] = tuple(x[sketches.may_link(*pairs[0], num, den)] for x in pairs[0])
+        for i in np.flatnonzero(sizes > PAIRED):
+            pairs.append(spanning(rows[cuts[i]:cuts[i + 1]], sketches, num, den))
+        both = np.stack([sets[np.concatenate(x)] for x in zip(*pairs, strict=True)], axis=1)
+        both = np.unique(both[both[:, 0] != both[:, 1]], axis=0)
+        parent: dict[int, int] = {}
+        edges = []
+        for a, b in both.tolist():
+            while (up := parent.get(a, a)) != a:
+                a = up
+            while (up := parent.get(b, b)) != b:
+                b = up
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                edges.append((a, b))
+        if edges:
+            left, right = (pa.array(x, pa.int64()) for x in zip(*edges, strict=True))
+            yield pa.RecordBatch.from_arrays([left, right], names=["a", "b"])
+
+    shared = stored(_shared(postings), "shared-lists")
+    met = shared.join(sketches, F.col("set") == F.col("s1")).select("token", "set", "n", "bitmap")
+    return _lists(met, use, "a long, b long")
+
 
-    return postings.repartition("token").sortWithinPartitions("token").mapInArrow(run, "a long, b long")
+def shared(some: np.ndarray, others: np.ndarray) -> int:
+    """How many of some values are among others, which are sorted."""
+    at = np.searchsorted(others, some)
+    return int((others[np.minimum(at, len(others) - 1)] == some).sum())
 
 
 def linked(sets: list[np.ndarray], asks: np.ndarray, num: int, den: int) -> list[int]:
@@ -259,7 +343,7 @@ def linked(sets: list[np.ndarray], asks: np.ndarray, num: int, den: int) -> list
             parent[max(a, b)] = min(a, b)
 
     def is_link(i: int, j: int) -> bool:
-        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        both = shared(sets[i], sets[j])
         return den * both >= num * (sizes[i] + sizes[j] - both)
 
     leader = 0
@@ -270,6 +354,7 @@ def linked(sets: list[np.ndarray], asks: np.ndarray, num: int, den: int) -> list
     outside = [i for i in range(count) if asks[i] and find(i) != find(leader)]
     if not outside:
         return [find(i) for i in range(count)]
+    sketches = Sketches(sizes, [parity_bitmap(x) for x in sets])
     # inverted lists over the sets in order of size
     order = np.argsort(sizes, kind="stable")
     place = np.empty(count, np.int64)
@@ -290,21 +375,14 @@ def linked(sets: list[np.ndarray], asks: np.ndarray, num: int, den: int) -> list
         merged = np.sort(np.concatenate([owners[low[t]:high[t]] for t in short]))
         found, times = np.unique(merged, return_counts=True)
         good = (found >= smallest) & (found < largest) & (found != place[i])
-        mine = find(i)
-        for other, seen in zip(found[good].tolist(), times[good].tolist(), strict=True):
-            j = int(order[other])
-            if find(j) == mine:
+        seen = dict(zip(order[found[good]].tolist(), times[good].tolist(), strict=True))
+        others = order[found[good]]
+        for j in others[sketches.may_link(np.full(len(others), i), others, num, den)].tolist():
+            if find(j) == find(i):
                 continue
-            total, left = seen, len(long)
-            for t in long[::-1]:  # binary search in the long lists while the overlap can be reached
-                if total + left < least:
-                    break
-                left -= 1
-                a = low[t] + np.searchsorted(owners[low[t]:high[t]], other)
-                total += int(a < high[t] and owners[a] == other)
-            if total >= least and den * total >= num * (sizes[i] + sizes[j] - total):
+            total = seen[j] + shared(sets[i][long], sets[j])  # binary search for the long lists
+            if den * total >= num * (sizes[i] + sizes[j] - total):
                 join(i, j)
-                mine = find(i)
     return [find(i) for i in range(count)]
 
 
@@ -346,10 +424,12 @@ def join(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     hot = np.sort(often.select("s1").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))  # fewer than HOT_COUNTERS
 
     linkable = texts.where("doc_id IS NOT NULL")
-    edges = _candidates(_postings(linkable, width, num, den, hot), num, den)
+    classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n").agg(
+        F.min(F.struct("doc_id", "tk", "bitmap")).alias("r"))
+    classes = stored(classes.select("s1", "s2", "n", F.col("r.doc_id").alias("rep"), F.col("r.tk").alias("rep_tk"),
+                                    F.col("r.bitmap").alias("bitmap")), "classes")
+    edges = _candidates(_postings(linkable, width, num, den, hot), classes.select("s1", "n", "bitmap"), num, den)
     found = stored(components(edges), "candidates")
-    classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "tk")).alias("r"))
-    classes = stored(classes.select("s1", "s2", "n", F.col("r.doc_id").alias("rep"), F.col("r.tk").alias("rep_tk")), "classes")
     inside = stored(classes.join(found, F.col("s1") == F.col("node")).select(F.col("root").alias("comp"), "rep", "rep_tk"), "members")
     sizes = inside.groupBy("comp").agg(F.count("*").alias("size"), F.min("rep").alias("leader"))
     dealt = inside.join(sizes, "comp").where("size > 1")
