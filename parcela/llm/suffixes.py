@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from parcela.llm.repeats import Repeats, covered, keyed, with_spots
 from parcela.llm.shared import read
-from parcela.llm.words import ranges, slices
+from parcela.llm.words import BASE, inverse, powers, ranges, slices
 
-LENGTH, GRAM = 200, 32
+LENGTH, GRAM = 200, 100
 SYMBOL_BITS, PACKED = 9, 7  # a symbol (byte + 1, 0 between segments); symbols in one sort key
 
 
@@ -46,7 +46,16 @@ def ascends(symbols: np.ndarray) -> np.ndarray:
 
 
 def sorted_directly(places: np.ndarray, keys: np.ndarray, depth: int) -> np.ndarray:
-    """Places in the order of their suffixes up to ``depth`` symbols or the end of the segment."""
+    """Places in the order of their suffixes up to ``depth`` symbols or the end of the segment.
+
+    Groups whose strings have one hash over the whole depth are equal and are not sorted further.
+    """
+    sums = np.zeros(len(keys) + 1, np.uint64)
+    np.cumsum(keys.view(np.uint64) * powers(BASE, len(keys))[:-1], out=sums[1:])
+    ends = np.minimum(places + max(depth - PACKED, 0) + 1, len(keys))
+    whole = (sums[ends] - sums[places]) * powers(inverse(BASE), len(keys))[places]
+    hashes = np.zeros(len(keys), np.uint64)
+    hashes[places] = whole
     group = np.zeros(len(places), np.int64)
     order = places.copy()
     open_at = np.arange(len(places))
@@ -66,17 +75,30 @@ def sorted_directly(places: np.ndarray, keys: np.ndarray, depth: int) -> np.ndar
         for i in range(PACKED):
             ended |= (key >> np.int64(i * SYMBOL_BITS)) & last == 0
         group[open_at] = open_at[np.flatnonzero(fresh)][run]
-        open_at = open_at[(np.bincount(run)[run] > 1) & ~ended]
+        starts = np.flatnonzero(fresh)
+        of = hashes[order[open_at]]
+        alike = np.minimum.reduceat(of, starts) == np.maximum.reduceat(of, starts)
+        open_at = open_at[(np.bincount(run)[run] > 1) & ~ended & ~alike[run]]
     return order
 
 
-def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix order up to ``depth`` symbols, in two stages."""
+def suffix_array(symbols: np.ndarray, depth: int, ends: np.ndarray | None = None) -> np.ndarray:
+    """Suffix order up to ``depth`` symbols, in two stages.
+
+    ``ends``: of each segment, the place after the last suffix that is asked for.  Suffixes behind it are
+    left out, but for those up to the next that is smaller than its successor, which the others are induced from.
+    """
     if not len(symbols):
         return np.zeros(0, np.int64)
     up = ascends(symbols)
     keys = packed_symbols(symbols)
-    direct = sorted_directly(np.flatnonzero(up), keys, depth)
+    small = np.flatnonzero(up)
+    if ends is not None:
+        closes = np.append(np.flatnonzero(symbols == 0), len(symbols))
+        until = np.searchsorted(small, ends)  # the next one is sorted as well
+        limit = np.where(until < len(small), small[np.minimum(until, len(small) - 1)], len(symbols))
+        small = small[small <= limit[np.searchsorted(closes, small)]]
+    direct = sorted_directly(small, keys, depth)
     size = int(symbols.max()) + 1
     cuts = np.searchsorted(symbols[direct], np.arange(size + 1))
     induced: list[list[np.ndarray]] = [[] for _ in range(size)]
@@ -136,7 +158,7 @@ def repeated_strings(h: np.ndarray, rank: np.ndarray, start: np.ndarray, many: n
     data[inside] = np.concatenate(symbols) if symbols else 0
     text[inside] = data[inside].astype(np.uint16) + 1
     owner = np.repeat(np.arange(len(symbols)), lengths + 1)
-    order = suffix_array(text, LENGTH)
+    order = suffix_array(text, LENGTH, begin + np.maximum(lengths - LENGTH + 1, 0))
     offset = np.arange(len(text)) - begin[owner] if len(owner) else np.zeros(0, np.int64)
     order = order[offset[order] <= lengths[owner[order]] - LENGTH]
     group = np.cumsum(~same_strings(order, data, LENGTH)) - 1
