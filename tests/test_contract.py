@@ -9,11 +9,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from contract import oracle, registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registry.QUERIES, oracle.SQL
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +43,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 6
 
