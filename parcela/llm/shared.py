@@ -38,5 +38,8 @@ def fresh(name: str, *frames: DataFrame) -> str:
     return name if name.lower() not in taken else f"{name}_{uuid.uuid4().hex[:8]}"
 
 
-def hash_bytes(column: Column) -> Column:
-    return F.sha2(column, 256)
+def sampled(frame: DataFrame, by_hash: Column, rows: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of the frame's ``rows`` rows, those with the smallest hashes; each task drops the others."""
+    if rows <= wanted:
+        return frame
+    return frame.where(by_hash < F.lit(int((2 * wanted / rows - 1) * 2**63)))

@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcela.llm.shared import read
-from parcela.llm.words import Words, range_hash, prefix_sums, slices
+from parcela.llm.shared import read, sampled
+from parcela.llm.words import Words, prefix_sums, range_hash, slices
 
 BITS = 18            # hashed terms
 FACTORS = 4
@@ -150,7 +150,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     known = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("label"))
              .where(F.col("id").isNotNull() & F.col("label").isNotNull() & (remainder("id") != HELD_OUT))
              .groupBy("id").agg(F.max("label").alias("label")))
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
+    few = sampled(known, F.xxhash64("id"), known.count(), sample_rows + sample_rows // 10)
+    chosen = few.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     rows = _term_lists(texts.join(chosen, "id").select("id", "text", "label"))
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcela.llm.shared import read, text_key
+from parcela.llm.shared import read, sampled
 
 LIMIT_SAMPLE = 4096
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
@@ -83,7 +83,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", zones: int
                          path_of(F.col("url")).alias("path"))
     asked = asked.withColumn("key", host_key(F.col("host"))).withColumn("at", F.concat("key", "path"))
     order = F.xxhash64("page_id", "at")
-    sample = asked.select("at", order.alias("n")).orderBy(F.xxhash64("n"), "at").limit(LIMIT_SAMPLE)
+    sample = sampled(asked.select("at", order.alias("n")), F.xxhash64("n"), pages.count(), LIMIT_SAMPLE)
     seen = sorted((r[0], r[1]) for r in sample.collect())
     limits = sorted({seen[len(seen) * i // zones] for i in range(1, zones)}) if seen else []
 
