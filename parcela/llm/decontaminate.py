@@ -214,7 +214,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     key, ident = fresh("tk", docs), fresh("found_id", docs)
     found = found.select(F.col("doc_id").alias(ident), F.col("tk").alias(f"{key}_2"))
     marked = docs.withColumn(key, text_key("text"))
-    return marked.join(found, marked["doc_id"].eqNullSafe(found[ident]) & (marked[key] == found[f"{key}_2"]),
+    return marked.join(found.hint("merge"), marked["doc_id"].eqNullSafe(found[ident]) & (marked[key] == found[f"{key}_2"]),
                        "left_anti").drop(key)
 
 

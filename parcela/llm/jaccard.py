@@ -438,7 +438,7 @@ def join(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     own = F.when(F.col("rep") == F.col("leader"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(
         F.array(F.pmod(F.xxhash64("rep"), blocks)))
     dealt = dealt.select("comp", "rep", "rep_tk", (F.col("rep") == F.col("leader")).alias("leads"), blocks.alias("blocks"), own.alias("own"))
-    with_text = texts.join(dealt, (F.col("doc_id") == F.col("rep")) & (F.col("tk") == F.col("rep_tk"))).dropDuplicates(["rep", "rep_tk"])
+    with_text = texts.join(dealt.hint("merge"), (F.col("doc_id") == F.col("rep")) & (F.col("tk") == F.col("rep_tk"))).dropDuplicates(["rep", "rep_tk"])
     with_text = stored(with_text.select("comp", "rep", "leads", "blocks", "own", "text"), "candidate-texts")
     first = stored(_search(with_text.select("comp", F.explode("own").alias("block"), "rep", "text", F.lit(True).alias("asks"), "leads"),
                            width, num, den), "links")
@@ -472,7 +472,7 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) ->
     ident, code = fresh("lost_id", docs), fresh("lost_tk", docs)
     lost = lost.select(F.col("lost_id").alias(ident), F.col("lost_tk").alias(code))
     marked = docs.withColumn(key, text_key("text"))
-    return marked.join(lost, (marked["doc_id"] == lost[ident]) & (marked[key] == lost[code]), "left_anti").drop(key)
+    return marked.join(lost.hint("merge"), (marked["doc_id"] == lost[ident]) & (marked[key] == lost[code]), "left_anti").drop(key)
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

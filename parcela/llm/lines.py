@@ -69,7 +69,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.collect_set("number").alias("gone"), F.sum("n_lines").cast("int").alias("n_removed"))
     gone = stored(gone, "removed-chunks").withColumnsRenamed({"doc_id": "lost_id", "tk": "lost_tk"})
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text_key("text").alias("tk"))
-    met = rows.join(gone, F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("tk") == F.col("lost_tk")), "left")
+    met = rows.join(gone.hint("merge"), F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("tk") == F.col("lost_tk")), "left")
     met = met.select("row", "gone", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
                      F.when(F.col("gone").isNotNull(), F.col("row.text")).alias("text"))
     met = _once(chunked(met), "left", F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), "gone"))

@@ -206,7 +206,7 @@ class Repeats:
     def _wanted_texts(self, texts: DataFrame, wanted: DataFrame, single: bool) -> DataFrame:
         """The symbols of the wanted segments; with ``single`` one row for each of their windows."""
         spots = wanted.groupBy("doc_id", "tk").agg(F.collect_set(F.struct("h", "spot", "many")).alias("want"))
-        met = texts.join(spots.withColumnsRenamed({"doc_id": "want_id", "tk": "want_tk"}),
+        met = texts.join(spots.withColumnsRenamed({"doc_id": "want_id", "tk": "want_tk"}).hint("merge"),
                          (F.col("doc_id") == F.col("want_id")) & (F.col("tk") == F.col("want_tk")))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +306,7 @@ def with_spots(docs: DataFrame, spots: DataFrame) -> DataFrame:
     """doc_id, text and the spots of its spans for every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key("text").alias("tk"), F.coalesce("text", F.lit("")).alias("text"))
     spots = spots.withColumnsRenamed({"doc_id": "span_id", "tk": "span_tk"})
-    return rows.join(spots, (F.col("doc_id") == F.col("span_id")) & (F.col("tk") == F.col("span_tk")), "left").select("doc_id", "text", "spots")
+    return rows.join(spots.hint("merge"), (F.col("doc_id") == F.col("span_id")) & (F.col("tk") == F.col("span_tk")), "left").select("doc_id", "text", "spots")
 
 
 def covered(spots: list[int] | None) -> list[tuple[int, int]]:
