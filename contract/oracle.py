@@ -804,7 +804,7 @@ SQL["i13b_windowed_counts_batch"] = """WITH w AS (SELECT event_type, value, date
   SELECT debut, debut + INTERVAL 1 HOUR AS fin, event_type, COUNT(*) AS nombre, CAST(SUM(CAST(value AS DECIMAL(28,4))) AS DOUBLE) AS total FROM x GROUP BY 1, 2, 3"""
 SQL["i13_windowed_counts"] = """WITH w AS (SELECT event_type, value, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01 00:00:00') AS debut FROM events)
   SELECT debut, debut + INTERVAL 6 HOUR AS fin, event_type, COUNT(*) AS nombre, CAST(SUM(CAST(value AS DECIMAL(28,4))) AS DOUBLE) AS total FROM w
-  WHERE debut + INTERVAL 6 HOUR <= (SELECT MAX(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY 1, 2, 3"""
+  GROUP BY 1, 2, 3"""
 SQL["i13c_session_counts"] = """WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS o FROM events),
   s AS (SELECT user_id, ts, SUM(o) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM g)
   SELECT user_id, MIN(ts) AS debut, MAX(ts) + INTERVAL 6 HOUR AS fin, CAST(COUNT(*) AS BIGINT) AS nombre FROM s GROUP BY user_id, n"""

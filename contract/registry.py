@@ -749,11 +749,11 @@ def _(s: Source) -> DataFrame:
 def _(s: Source) -> DataFrame:
     counts = events.windowed_counts(_event_stream(s), "ts", ["event_type"], "6 hours", value="value")
     out = shared_dir(s.spark, "windows")
-    # complete windows leave the stream once the watermark passes them; the last ones stay open
-    q = counts.writeStream.format("parquet").option("path", out).option(
-        "checkpointLocation", shared_dir(s.spark, "ckpt")).outputMode("append").trigger(availableNow=True).start()
+    # update mode: windows still open at the watermark are in the result as well
+    q = counts.writeStream.foreachBatch(events.write_updates(out)).option(
+        "checkpointLocation", shared_dir(s.spark, "ckpt")).outputMode("update").trigger(availableNow=True).start()
     q.awaitTermination()
-    return s.spark.read.schema(counts.schema).parquet(out)
+    return events.latest_windows(s.spark.read.parquet(out), ["event_type"])
 
 
 add("i13b_windowed_counts_batch", lambda s: events.windowed_counts(

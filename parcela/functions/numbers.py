@@ -71,14 +71,15 @@ def python_round(x: Column, digits: int = 2) -> Column:
     ``round`` and ``bround`` look at the decimal text of the double and differ on about half a
     percent of price/surface quotients.  Here the fraction is taken as a 64-bit integer, so the
     scaled fraction is exact (from 1/16 upwards) and a tie is seen as a tie only if it is one.
+    From 2^52 on a double has no fraction and stays as it is.
     """
     scale = 10**digits
     bits = 63 - scale.bit_length()
-    size = F.abs(x)
+    size = F.when(F.abs(x) < F.lit(float(2**52)), F.abs(x))
     fraction = ((size - F.floor(size)) * F.lit(float(2**bits))).cast("bigint") * F.lit(scale)
     odd = F.shiftright(fraction, bits).bitwiseAND(F.lit(1))
     rounded = F.shiftright(fraction + F.lit(2 ** (bits - 1) - 1) + odd, bits)
-    return F.signum(x) * (F.floor(size) * F.lit(scale) + rounded) / F.lit(float(scale))
+    return F.coalesce(F.signum(x) * (F.floor(size) * F.lit(scale) + rounded) / F.lit(float(scale)), x)
 
 
 def normalise_price(c: Column) -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcela.functions.numbers import parse_iso_timestamp, strip
 from parcela.schemas import DATE_PATHS, REQUIRED_PATHS
+from parcela.session import shared_dir
 
 INSERTED, SKIPPED, ERROR = "inserted", "skipped", "error"
 
@@ -66,28 +68,34 @@ def upsert_new_by_key(
 ) -> DataFrame:
     """Append the new keys of a batch to a Parquet table; gives the counts by outcome.
 
-    The counts are computed from the table as it was, then the rows are appended.  Running the
-    same batch again appends nothing.
+    The batch is classified once against the table as it was (a table that is not there yet is
+    empty) and stored; counts and appended rows come from that one result.  Running the same batch
+    again appends nothing.
     """
     spark = batch.sparkSession
-    target = spark.read.schema(batch.schema).parquet(target_path)
-    # the counts are three rows; collected before the append, as they describe the state before it
-    counts = load_counts(target, batch, key).collect()
-    new_rows(target, batch, key).write.mode("append").parquet(target_path)
+    try:
+        target = spark.read.schema(batch.schema).parquet(target_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        target = spark.createDataFrame([], batch.schema)
+    placed = shared_dir(spark, "classified")
+    classify_by_key(target, batch, key).write.parquet(placed)
+    classified = spark.read.parquet(placed)
+    fresh = classified.filter(F.col("statut") == INSERTED)
+    fresh.select(*batch.columns).write.mode("append").parquet(target_path)
+    blank = batch.agg(F.count_if(strip(F.coalesce(F.col(key), F.lit(""))) == "")).first()[0]
+    total, added = classified.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.count_if(F.col("statut") == INSERTED)).first()
+    counts = [(INSERTED, added), (SKIPPED, total - added), (ERROR, blank)]
     return spark.createDataFrame(counts, "statut string, nombre bigint")
 
 
 def insert_aggregates_if_absent(
     listings: DataFrame, existing: DataFrame, batch: DataFrame, key: str = "reference"
 ) -> DataFrame:
-    """Aggregates of known listings that have none yet, one per listing."""
-    return (
-        batch.filter(strip(F.coalesce(F.col(key), F.lit(""))) != "")
-        .dropDuplicates([key])
-        .join(listings.select(key), key, "left_semi")
-        .join(existing.select(key), key, "left_anti")
-        .select(*batch.columns)
-    )
+    """Aggregates of known listings that have none yet, one per listing by the rule of ``classify_by_key``."""
+    known = listings.select(strip(F.col(key)).alias(key))
+    return new_rows(existing, batch, key).join(known, key, "left_semi").select(*batch.columns)
 
 
 def _has(schema: T.StructType, path: str) -> bool:

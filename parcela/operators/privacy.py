@@ -155,13 +155,16 @@ def erase_subject(data: DataFrame, requests: DataFrame, on: list[str]) -> DataFr
 
 
 def rectify_subject(
-    data: DataFrame, corrections: DataFrame, on: list[str], columns: list[str]
+    data: DataFrame, corrections: DataFrame, on: list[str], columns: list[str], order: str | None = None
 ) -> DataFrame:
     """Data with corrected values; a null correction leaves the value as it is.
 
-    One correction per key is used, the largest by its values, so no row is multiplied.
+    One whole correction per key is used, the last by ``order`` and then by its values, so no row
+    is multiplied and no two corrections are mixed.
     """
-    one = corrections.groupBy(*on).agg(*[F.max(c).alias(f"_new_{c}") for c in columns])
+    record = F.struct(*([F.col(order).alias("_order")] if order else []), *columns)
+    one = corrections.groupBy(*on).agg(F.max(record).alias("_new")).select(
+        *on, *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in columns])
     return data.join(one, on, "left").select(*[
         F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in columns else F.col(c)
         for c in data.columns

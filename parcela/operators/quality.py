@@ -9,7 +9,6 @@ from parcela.functions.numbers import strip
 from parcela.operators.quantiles import quantile_of, rank_counts
 
 # Constraints of the base model.
-ENERGY_CLASSES = ["A", "B", "C", "D", "E", "F", "G"]
 BASE_RULES = {
     "chk_prix_positif": "prix > 0 OR prix IS NULL",
     "chk_surface_positif": "surface > 0 OR surface IS NULL",
@@ -100,7 +99,7 @@ def quality_summary(
 ) -> DataFrame:
     """One row: mean, median and distribution of the quality score, missing-field counts."""
     # the score has one value per number of filled fields, so the cells are few
-    cells = prepared.groupBy(F.col(score).alias("score"), F.size(F.col(missing)).alias("manquants")).agg(
+    cells = prepared.groupBy(F.col(score).alias("score"), F.coalesce(F.size(F.col(missing)), F.lit(0)).alias("manquants")).agg(
         F.count("*").alias("_n")
     )
     s, m = F.col("score"), F.col("manquants")

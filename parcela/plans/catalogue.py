@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 _READ_ONLY = re.compile(r"^\s*(select|with)\b", re.IGNORECASE)
+_NOT_A_QUERY = re.compile(
+    r"\b(InsertInto\w*|Overwrite\w*|Append\w*|Merge\w*|Delete\w*|Update\w*|Create\w*|Drop\w*|ScriptTransformation|\w+Command)\b")
+_JVM_CALL = re.compile(r"'(?:\w+\.)*(java_method|reflect|try_reflect)\(", re.IGNORECASE)
 _COMMENTS = re.compile(r"--[^\n]*|/\*.*?\*/", re.DOTALL)
 
 # Functions for SQL users; each is a Catalyst expression, not a Python function.
@@ -80,10 +83,19 @@ def register_views(tables: dict[str, DataFrame]) -> list[str]:
     return sorted(tables)
 
 
-def is_read_only(text: str) -> bool:
-    """True for one SELECT or WITH statement."""
-    bare = _COMMENTS.sub(" ", text).strip().rstrip(";")
-    return bool(_READ_ONLY.match(bare)) and ";" not in re.sub(r"'[^']*'", "", bare)
+def is_read_only(spark: SparkSession, text: str) -> bool:
+    """True for one query over named tables: no writes, no files by path, no calls into the JVM.
+
+    The statement is parsed, not run; what the parser makes of it decides.
+    """
+    if not _READ_ONLY.match(_COMMENTS.sub(" ", text)):
+        return False
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text.strip().rstrip(";")).toString()
+    except Exception:  # does not parse: the error row of run_sql says so
+        return True
+    by_path = [r for r in re.findall(r"UnresolvedRelation \[([^\]]*)\]", plan) if "," in r]
+    return not by_path and not _NOT_A_QUERY.search(plan) and not _JVM_CALL.search(plan)
 
 
 def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -91,7 +103,7 @@ def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None
 
     A statement that is not a plain query, or that does not analyse, gives one row with the error.
     """
-    if not is_read_only(text):
+    if not is_read_only(spark, text):
         return spark.sql("SELECT :message AS erreur", args={"message": "only SELECT or WITH is allowed"})
     if tables:
         register_views(tables)

@@ -53,11 +53,10 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
 def sizing(shuffle_bytes: int, cores: int, target: int = 128 * 1024**2) -> dict[str, str]:
     """Session settings for a job whose largest shuffle moves that many bytes.
 
-    Shuffles start with partitions of about ``target`` bytes, two to sixteen per core (more would
-    cost more in blocks than they save in spilling); adaptive execution joins small ones and
-    splits skewed ones.
+    Shuffles start with partitions of about ``target`` bytes, at least two per core; adaptive
+    execution joins small ones and splits skewed ones.
     """
-    partitions = min(max(2 * cores, -(-shuffle_bytes // target)), 16 * cores)
+    partitions = max(2 * cores, -(-shuffle_bytes // target))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target),

@@ -76,15 +76,31 @@ def windowed_counts(
     )
 
 
-def session_counts(df: DataFrame, ts: str, key: str, gap: str = "30 minutes", slice_width: str = "5 minutes") -> DataFrame:
+def write_updates(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body for update mode: the windows a batch has changed, in a folder of its own."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+
+    return write
+
+
+def latest_windows(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """Every window as its last batch left it, open windows included."""
+    of = ["debut", "fin", *keys]
+    measures = [c for c in updates.columns if c not in [*of, "batch_id"]]
+    last = updates.groupBy(*of).agg(F.max(F.struct("batch_id", *measures)).alias("_last"))
+    return last.select(*of, *[F.col(f"_last.{c}").alias(c) for c in measures])
+
+
+def session_counts(df: DataFrame, ts: str, key: str, gap: str = "30 minutes") -> DataFrame:
     """Sessions per key: rows less than ``gap`` apart belong together.
 
-    Rows are first reduced to one per key and time slice (not longer than the gap, so a slice lies
-    within one session).  What then meets in a key's task is bounded by the time range over the
-    slice width, however many rows the key has.
+    Rows are first reduced to one per key and time slice as long as the gap, so a slice lies
+    within one session.  What then meets in a key's task is bounded by the time range over the
+    gap, however many rows the key has.
     """
     limit = F.expr(f"INTERVAL {gap}")
-    slices = df.filter(F.col(ts).isNotNull()).groupBy(key, F.window(ts, slice_width).alias("_w")).agg(
+    slices = df.filter(F.col(ts).isNotNull()).groupBy(key, F.window(ts, gap).alias("_w")).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count("*").alias("_n")
     )
     by_time = Window.partitionBy(key).orderBy("_first")

@@ -188,3 +188,46 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP DATABASE essai CASCADE")
+
+
+def test_rounding_never_raises(spark):
+    from pyspark.sql import functions as F
+
+    from parcela.functions.numbers import python_round
+
+    sizes = [0.0, 1e-9, 0.125, 2.675, 12345.675, 2.0**52, 99999999999999999999.0, 1e30, float("inf")]
+    sizes += [-x for x in sizes]
+    df = spark.createDataFrame([(x,) for x in sizes], "x double")
+    for r in df.select("x", python_round(F.col("x")).alias("y")).collect():
+        assert r.y == (round(r.x, 2) if abs(r.x) < 1e300 else r.x)
+
+
+def test_session_gap_below_five_minutes(spark):
+    import datetime as dt
+
+    from parcela.streaming import events
+
+    start = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("k", start), ("k", start + dt.timedelta(seconds=280)), ("k", start + dt.timedelta(seconds=300))], "k string, ts timestamp")
+    assert sorted(r["nombre"] for r in events.session_counts(df, "ts", "k", "1 minute").collect()) == [1, 2]
+
+
+def test_first_load_needs_no_table(spark, tmp_path):
+    from parcela.operators import load
+
+    batch = spark.createDataFrame([("a", 1), ("a", 1), (" ", 2), ("b", 3)], "reference string, x int")
+    path = f"{tmp_path}/target"
+    assert [tuple(r) for r in load.upsert_new_by_key(path, batch).collect()][0][1] == 2
+    assert spark.read.parquet(path).count() == 2
+    assert [tuple(r) for r in load.upsert_new_by_key(path, batch).collect()][0][1] == 0
+
+
+def test_only_queries_run(spark, tmp_path):
+    from parcela.plans.catalogue import run_sql
+
+    spark.range(3).createOrReplaceTempView("known")
+    for text in ("WITH a AS (SELECT 1 AS x) INSERT INTO known SELECT * FROM a", f"SELECT * FROM text.`{tmp_path}`",
+                 "SELECT java_method('java.lang.System', 'currentTimeMillis')", "SELECT (SELECT max(value) FROM text.`/etc/hosts`)",
+                 "SELECT 1; SELECT 2", "DROP VIEW known"):
+        assert run_sql(spark, text).columns == ["erreur"], text
+    assert run_sql(spark, "SELECT count(*) AS n FROM known -- all; of them").first()[0] == 3
