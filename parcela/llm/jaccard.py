@@ -270,18 +270,27 @@ def _lists(rows: DataFrame, use: Callable[[pa.Table], Iterator[pa.RecordBatch]],
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """(token, set) of the lists that hold more than one set."""
+    """(token, set) of the lists that hold more than one set; of lists with the same sets one.
+
+    Near copies meet in most of their lists.  A list is named by the sum of its sets' hashes; should two lists
+    get one name they are searched as one, which loses no pair.
+    """
 
     def use(table: pa.Table) -> Iterator[pa.RecordBatch]:
         token, sets = table.column("token").to_numpy(), table.column("set").to_numpy()
-        other = np.zeros(len(token), bool)
-        if len(token):
-            cuts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-            low, high = np.minimum.reduceat(sets, cuts), np.maximum.reduceat(sets, cuts)
-            other = np.repeat(low != high, np.diff(np.r_[cuts, len(token)]))
-        yield pa.RecordBatch.from_arrays([pa.array(token[other]), pa.array(sets[other])], names=["token", "set"])
-
-    return _lists(postings, use, "token long, set long")
+        order = np.lexsort((sets, token))
+        token, sets = token[order], sets[order]
+        new = np.ones(len(token), bool)
+        new[1:] = (token[1:] != token[:-1]) | (sets[1:] != sets[:-1])
+        token, sets = token[new], sets[new]
+        cuts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.zeros(0, np.int64)
+        sizes = np.diff(np.r_[cuts, len(token)])
+        names = np.add.reduceat(mix(sets.view(np.uint64)), cuts) if len(token) else np.zeros(0, np.uint64)
+        several = np.repeat(sizes > 1, sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(np.repeat(names, sizes))[several]), pa.array(sets[several])],
+                                         names=["token", "set"])
+
+    return _lists(postings, use, "token long, set long").distinct()
 
 
 def _candidates(postings: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
