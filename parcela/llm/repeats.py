@@ -134,7 +134,7 @@ class Repeats:
         return texts.mapInArrow(run, ROW)
 
     def _settled(self, rows: DataFrame, once: bool) -> DataFrame:
-        """Finished spans, and one row for each kind of segment of the anchors that have several.
+        """Finished spans, and one row for each kind of segment of the anchors that have several to compare.
 
         ``once``: rows of the same place are one occurrence.
         """
@@ -163,6 +163,10 @@ class Repeats:
                 mixed |= continued
             spans = done | (repeated & ~new) | (repeated & new & (not self.ordered) & ~done)
             wanted = new & mixed
+            if not self.ordered:  # every kind is repeated as a whole: nothing is left to compare
+                unknown = np.bincount(group, ~repeated & ~done)
+                settled = unknown[group] == 0
+                wanted &= ~settled | continued | (group == (group[-1] if len(group) else 0))  # the last may go on
             parts = [(spans, True), (wanted, False)]
             columns = [[], [], [], [], [], []]
             for mask, finished in parts:
@@ -199,9 +203,8 @@ class Repeats:
             if held is not None and held.num_rows:
                 yield settle(held.combine_chunks(), state)
 
-        dealt = rows.withColumn("part", F.coalesce("h", F.xxhash64("doc_id", "spot")))
-        return (dealt.repartition("part").sortWithinPartitions("h", "g", "doc_id", "tk", "spot").drop("part")
-                .mapInArrow(run, ROW))
+        dealt = rows.repartition(F.coalesce("h", F.xxhash64("doc_id", "spot")))
+        return dealt.sortWithinPartitions("h", "g", "doc_id", "tk", "spot").mapInArrow(run, ROW)
 
     def _wanted_texts(self, texts: DataFrame, wanted: DataFrame, single: bool) -> DataFrame:
         """The symbols of the wanted segments; with ``single`` one row for each of their windows."""
