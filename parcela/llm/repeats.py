@@ -206,11 +206,12 @@ class Repeats:
         dealt = rows.repartition(F.coalesce("h", F.xxhash64("doc_id", "spot")))
         return dealt.sortWithinPartitions("h", "g", "doc_id", "tk", "spot").mapInArrow(run, ROW)
 
-    def _wanted_texts(self, texts: DataFrame, wanted: DataFrame, single: bool) -> DataFrame:
-        """The symbols of the wanted segments; with ``single`` one row for each of their windows."""
-        spots = wanted.groupBy("doc_id", "tk").agg(F.collect_set(F.struct("h", "spot", "many")).alias("want"))
+    def _wanted_texts(self, texts: DataFrame, wanted: DataFrame) -> DataFrame:
+        """The symbols of the wanted segments; of those marked ``single`` one row without symbols for each window."""
+        spots = wanted.groupBy("doc_id", "tk").agg(F.collect_set(F.struct("h", "spot", "many", "single")).alias("want"))
         met = texts.join(spots.withColumnsRenamed({"doc_id": "want_id", "tk": "want_tk"}).hint("merge"),
                          (F.col("doc_id") == F.col("want_id")) & (F.col("tk") == F.col("want_tk")))
+        names = ["h", "g", "doc_id", "tk", "spot", "many", "symbols"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -219,31 +220,33 @@ class Repeats:
                     symbols = Symbols(raw, offsets, self.by_words)
                     cuts = want.offsets.to_numpy()[row:end + 1]
                     document = np.repeat(np.arange(end - row), np.diff(cuts))
-                    fields = {f: want.values.field(f).slice(cuts[0], cuts[-1] - cuts[0]) for f in ("h", "spot", "many")}
-                    h, spot, many = fields["h"].to_numpy(), fields["spot"].to_numpy(), fields["many"]
+                    h, spot, many, single = (want.values.field(f).slice(cuts[0], cuts[-1] - cuts[0]).to_numpy(zero_copy_only=False)
+                                             for f in ("h", "spot", "many", "single"))
+                    single = single.astype(bool)
                     start, stop = unpack(spot)
                     base = symbols.first[document]
-                    owner = pa.array(document + row)
-                    if single:
-                        count = stop - start - self.window + 1
-                        which = np.repeat(np.arange(len(spot)), count)
-                        begin = ranges(start, count)
+
+                    def rows(which, h, g, spot, values, document=document, row=row, batch=batch, many=many):
+                        owner = pa.array(document[which] + row)
+                        return pa.RecordBatch.from_arrays(
+                            [pa.array(h), pa.array(g), batch.column("doc_id").take(owner), batch.column("tk").take(owner), pa.array(spot),
+                             pa.array(many[which].astype(bool)), values], names=names)
+
+                    alone = np.flatnonzero(single)
+                    if len(alone):
+                        count = (stop - start)[alone] - self.window + 1
+                        which = np.repeat(alone, count)
+                        begin = ranges(start[alone], count)
                         at = begin + base[which]
                         hashes = symbols.hash(at, at + self.window)
                         second = mix(symbols.hash(at, at + self.window // 2) ^ np.uint64(STEP))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(signed(hashes)), pa.array(signed(second)), batch.column("doc_id").take(owner.take(pa.array(which))),
-                             batch.column("tk").take(owner.take(pa.array(which))),
-                             pa.array(pack(begin, np.zeros(len(begin), np.int64), np.full(len(begin), self.window))),
-                             many.take(pa.array(which))], names=["h", "g", "doc_id", "tk", "spot", "many"])
-                        continue
-                    values = [symbols.values[a:b].tobytes() for a, b in zip(base + start, base + stop, strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h), batch.column("doc_id").take(owner), batch.column("tk").take(owner), pa.array(spot),
-                         many, pa.array(values, pa.binary())], names=["h", "doc_id", "tk", "spot", "many", "symbols"])
-
-        columns = met.select("doc_id", "tk", "text", "want")
-        return columns.mapInArrow(run, ROW if single else "h long, doc_id long, tk long, spot long, many boolean, symbols binary")
+                        spots = pack(begin, np.zeros(len(begin), np.int64), np.full(len(begin), self.window))
+                        yield rows(which, signed(hashes), signed(second), spots, pa.nulls(len(which), pa.binary()))
+                    whole = np.flatnonzero(~single)
+                    values = [symbols.values[a:b].tobytes() for a, b in zip((base + start)[whole], (base + stop)[whole], strict=True)]
+                    yield rows(whole, h[whole], np.zeros(len(whole), np.int64), spot[whole], pa.array(values, pa.binary()))
+
+        return met.select("doc_id", "tk", "text", "want").mapInArrow(run, ROW + ", symbols binary")
 
     def _compared(self, segments: DataFrame) -> DataFrame:
         """Spans of the repeated windows among the segments of each anchor."""
@@ -285,17 +288,12 @@ class Repeats:
         finished = settled.where("h IS NULL").select("doc_id", "tk", "spot")
         wanted = settled.where("h IS NOT NULL")
         large = stored(wanted.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > SEGMENTS).select("h"), "large-anchors")
-        every = [finished]
-        if large.isEmpty():
-            few = wanted
-        else:
-            few = wanted.join(large, "h", "left_anti")
-            single = self._settled(self._wanted_texts(texts, wanted.join(large, "h", "left_semi"), True), True)
-            every.append(single.where("h IS NULL").select("doc_id", "tk", "spot"))
-        every.append(stored(self._compared(self._wanted_texts(texts, few, False)), "compared-spans"))
-        spans = every[0]
-        for more in every[1:]:
-            spans = spans.unionByName(more)
+        marked = wanted.join(large.withColumn("single", F.lit(True)), "h", "left").withColumn("single", F.coalesce("single", F.lit(False)))
+        # both kinds in one table: the texts are joined once, whether or not there are large anchors
+        segments = stored(self._wanted_texts(texts, marked), "wanted-segments")
+        windows = self._settled(segments.where("symbols IS NULL").drop("symbols"), True)
+        compared = stored(self._compared(segments.where("symbols IS NOT NULL").drop("g")), "compared-spans")
+        spans = finished.unionByName(windows.where("h IS NULL").select("doc_id", "tk", "spot")).unionByName(compared)
         return spans.groupBy("doc_id", "tk").agg(F.collect_set("spot").alias("spots"))
 
 
