@@ -1,9 +1,11 @@
 """Operator 9: main text of web pages by removal of site templates.
 
-Each page is read into its elements.  Subtrees outside the article (tag, class words, text and
-children hashed together) are counted per host over the distinct pages; those on at least ``LEAST_PAGES`` pages and a tenth of the
-host's pages are template and are left out, as are menus, forms, adverts and the like by tag or class.  The rest
-of the article, or of the body if no article is marked, gives the text: blocks in page order.
+Each page is read into its elements.  Subtrees (tag, class words, text and children hashed together) are counted per
+host, outside articles over the distinct pages and inside them over the distinct articles, so a story under many addresses is
+not taken for template; those on at least ``LEAST_PAGES`` and a tenth of the host's are template and are left out, as
+are menus, forms, adverts and the like by tag or class.  The article itself, what stands around it and the single cells
+of its tables are not counted, what is in them is.  The rest of the article, or of the body if no article is
+marked, gives the text: blocks in page order.
 
 Counts are combined before the shuffle, so a host with a third of all pages is no large group; the
 template of a host has at most ten times as many subtrees as a page.
@@ -48,6 +50,7 @@ search skip toolbar pagination pager""".split())
 DROPPED_ROLES = frozenset("""navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar
 note toolbar""".split())
 ARTICLE_TAGS = frozenset(["article", "main"])
+CELLS = frozenset(["td", "th"])
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
                  r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
@@ -56,7 +59,7 @@ WORD = re.compile(r"[a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "words", "dropped", "article", "digest", "hash", "block")
+    __slots__ = ("tag", "words", "dropped", "article", "kept", "digest", "hash", "block")
 
     def __init__(self, tag: str, attributes: str, inside: bool):
         self.tag = tag
@@ -68,6 +71,7 @@ class Element:
         self.dropped = not self.article and tag != "body" and tag != "html" and (
             tag in DROPPED_TAGS or not named.isdisjoint(DROPPED_WORDS) or role in DROPPED_ROLES
             or (not inside and (tag == "header" or "header" in named)))
+        self.kept = self.article or (inside and tag in CELLS)  # never template; nor is what an article stands in
         self.digest = hashlib.blake2b(f"{tag} {self.words}".encode(), digest_size=8)
         self.hash = 0
         self.block = tag not in INLINE
@@ -124,7 +128,10 @@ class Page:
             if m[3].endswith("/") and tag in ("svg", "path", "rect", "circle"):
                 continue
             element = Element(tag, m[3], any(e.article for e in stack))
-            self.has_article |= element.article
+            if element.article:
+                self.has_article = True
+                for outer in stack:
+                    outer.kept = True
             stack.append(element)
             if element.block:
                 self.pieces.append(("\0", ()))
@@ -164,10 +171,21 @@ class Page:
                 self._pop(stack)
             self._pop(stack)
 
-    def template_hashes(self) -> set[int]:
-        """Block subtrees that may be template: those outside the article, if there is one."""
-        return {e.hash for e, inside in self.elements
-                if e.block and not inside and e.tag not in ("html", "body", "head") and not (self.has_article and e.article)}
+    def template_hashes(self) -> tuple[set[int], set[int]]:
+        """Block subtrees that may be template: outside articles, and only inside them."""
+        found: tuple[set[int], set[int]] = set(), set()
+        for e, inside in self.elements:
+            if e.block and not e.kept and e.tag not in ("html", "body", "head"):
+                found[inside].add(e.hash)
+        return found[0], found[1] - found[0]
+
+    def article_number(self) -> int:
+        """Tells apart what stands in the page's articles."""
+        digest = hashlib.blake2b(digest_size=8)
+        for e, _ in self.elements:
+            if e.article:
+                digest.update(e.digest.digest())
+        return int.from_bytes(digest.digest(), "little", signed=True)
 
     def text(self, template: set[int]) -> str:
         verdicts: dict[int, bool] = {}
@@ -175,7 +193,7 @@ class Page:
         def dropped(element: Element) -> bool:
             key = id(element)
             if key not in verdicts:
-                verdicts[key] = element.dropped or (not element.article and element.hash in template)
+                verdicts[key] = element.dropped or (not element.kept and element.hash in template)
             return verdicts[key]
 
         blocks: list[str] = []
@@ -196,22 +214,33 @@ def site_templates(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, numbers, hashes = [], [], []
+            hosts, numbers, hashes, insides = [], [], [], []
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                page = Page(source)
+                outer, inner = page.template_hashes()
                 number = int.from_bytes(hashlib.blake2b(source.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
-                found = Page(source).template_hashes()
-                hosts += [host] * len(found)
-                numbers += [number] * len(found)
-                hashes += found
+                for inside, counted, found in ((False, number, outer), (True, page.article_number(), inner)):
+                    if inside and not page.has_article:
+                        continue
+                    rows: list[int | None] = [None, *found]  # the page or its article itself, and its subtrees
+                    hosts += [host] * len(rows)
+                    hashes += rows
+                    numbers += [counted] * len(rows)
+                    insides += [inside] * len(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(numbers, pa.int64())],
-                names=["host", "hash", "page"])
+                [pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(numbers, pa.int64()), pa.array(insides, pa.bool_())],
+                names=["host", "hash", "page", "inside"])
 
     asked = pages.select(host_of(F.col("url")).alias("host"), "html").where("host <> '' AND html IS NOT NULL")
-    found = asked.mapInArrow(run, "host string, hash long, page long")
-    on_pages = found.groupBy("host", "hash", "page").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count("*").alias("n"))
-    sizes = asked.groupBy("host", F.xxhash64("html").alias("page")).agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("pages"))
-    often = on_pages.join(sizes, "host").where((F.col("n") >= LEAST_PAGES) & (F.col("n") >= LEAST_SHARE * F.col("pages")))
+    found = asked.mapInArrow(run, "host string, hash long, page long, inside boolean")
+    counts = found.groupBy("host", "hash", "page", "inside").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(
+        F.count_if("inside").alias("articles"), F.count_if(~F.col("inside")).alias("pages"))
+    on_both = F.col("articles") + F.col("pages")
+    counts = stored(counts.where(F.col("hash").isNull() | (on_both >= LEAST_PAGES)), "subtree-counts")
+    sizes = counts.where("hash IS NULL").select("host", F.col("articles").alias("all_articles"), F.col("pages").alias("all_pages"))
+    often = counts.where("hash IS NOT NULL").join(sizes, "host").where(
+        (on_both >= LEAST_SHARE * F.col("all_pages"))
+        | ((F.col("articles") >= LEAST_PAGES) & (F.col("articles") >= LEAST_SHARE * F.col("all_articles"))))
     return often.groupBy("host").agg(F.collect_set("hash").alias("template"))
 
 

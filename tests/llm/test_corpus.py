@@ -159,6 +159,18 @@ def test_pages(spark):
     assert extract(frame).count() == len(rows) and extract(frame.where("page_id < 0")).count() == 0
 
 
+def test_pages_with_a_box_inside_the_article(spark):
+    box = "<div class=k7><b>Weekly picks</b><ul><li>Ten tips</li></ul></div>"
+    shell = "<html><body><div class=wrap><main>{}</main><div>Imprint</div></div></body>"
+    rows = [(i, f"http://h.example/{i}", shell.format(f"<h1>Title {i}</h1><p>Body {i}</p>{box}<table><tr><td>row {i}<td>0</table>")) for i in range(30)]
+    # one story under many addresses is no template, nor is a part of few articles
+    rows += [(100 + i, f"http://h.example/c{i}", f"<!-- {i} -->" + shell.format(f"<h1>Copy</h1><p>Same</p>{box}")) for i in range(20)]
+    rows += [(200 + i, f"http://h.example/d{i}", shell.format(f"<p>Seen twice</p><p>Own {200 + i}</p>")) for i in range(2)]
+    found = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == ({i: f"Title {i}\n\nBody {i}\n\nrow {i}\n\n0" for i in range(30)} | {100 + i: "Copy\n\nSame" for i in range(20)}
+                     | {200 + i: f"Seen twice\n\nOwn {200 + i}" for i in range(2)})
+
+
 def shingle_components(rows, width, num, den):
     sets = {}
     for doc, text, _ in rows:
