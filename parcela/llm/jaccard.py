@@ -12,7 +12,8 @@ has found.  Here that is done twice:
 2. Candidates fall into components; the sets of a component are searched together with inverted
    lists of its own, short lists merged and long ones probed by binary search, and each pair that reaches the
    overlap is a link.  A component that is too large for one task is searched in blocks, each with the same leader; sets that
-   are not connected to the leader are then searched against every block.
+   are not connected to the leader are dealt into blocks of their own, and each of these meets every block of the component in
+   a task of its own, where what the first search has connected is one from the start.  Long lists are searched the same way.
 
 Equal sets are one set from the start.  Pairs inside what is already connected need no search.
 
@@ -28,7 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcela.llm.components import components
@@ -36,6 +37,7 @@ from parcela.llm.shared import fresh, read, stored, text_key
 from parcela.llm.words import Words, mix, ranges, shingles, signed, slices
 
 BLOCK_SETS = 2048    # sets of one component that a task searches together
+LIST_SETS = 4096     # sets of one inverted list that a task searches together
 PAIRED = 64          # lists up to this length compare all their pairs, longer ones by a leader first
 HOT_COUNTERS = 4096  # shingles that a task's frequency summary holds
 BITMAP_BITS = 256, 4096  # least and most bits of the parity bitmap of a set; as many as shingles in between
@@ -252,19 +254,22 @@ def _lists(rows: DataFrame, use: Callable[[pa.Table], Iterator[pa.RecordBatch]],
     names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: list[pa.Table] = []
+        going = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([batch]).select(names)
-            if held is not None:
-                table = pa.concat_tables([held, table]).combine_chunks()
             token = table.column("token").to_numpy()
             last = int(np.searchsorted(token, token[-1]))  # the last list may go on
-            yield from use(table.slice(0, last))
-            held = table.slice(last)
-        if held is not None:
-            yield from use(held)
+            if last or going != token[-1]:
+                whole = [*held, table.slice(0, last)]
+                yield from use(pa.concat_tables(whole).combine_chunks())
+                held = []
+            held.append(table.slice(last))
+            going = token[-1]
+        if held:
+            yield from use(pa.concat_tables(held).combine_chunks())
 
     return rows.repartition("token").sortWithinPartitions("token").mapInArrow(run, out)
 
@@ -272,9 +277,11 @@ def _lists(rows: DataFrame, use: Callable[[pa.Table], Iterator[pa.RecordBatch]],
 def _shared(postings: DataFrame) -> DataFrame:
     """(token, set) of the lists that hold more than one set; of lists with the same sets one.
 
-    Near copies meet in most of their lists.  A list is named by the sum of its sets' hashes; should two lists
-    get one name they are searched as one, which loses no pair.
+    Near copies meet in most of their lists.  A list is named by the sum of its sets' hashes, a long one by an
+    aggregation; should two lists get one name they are searched as one, which loses no pair.
     """
+    postings = stored(postings, "postings")
+    long = stored(postings.groupBy("token").agg(F.count("*").alias("rows")).where(F.col("rows") > LIST_SETS).select("token"), "long-postings")
 
     def use(table: pa.Table) -> Iterator[pa.RecordBatch]:
         token, sets = table.column("token").to_numpy(), table.column("set").to_numpy()
@@ -290,7 +297,90 @@ def _shared(postings: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(signed(np.repeat(names, sizes))[several]), pa.array(sets[several])],
                                          names=["token", "set"])
 
-    return _lists(postings, use, "token long, set long").distinct()
+    if long.isEmpty():
+        return _lists(postings, use, "token long, set long").distinct()
+    lists = stored(postings.join(long, "token").distinct(), "long-lists")
+    names = lists.groupBy("token").agg(F.xxhash64(F.bit_xor(F.xxhash64("set")), F.count("*")).alias("name"))
+    named = lists.join(names, "token").select(F.col("name").alias("token"), "set")
+    return _lists(postings.join(long, "token", "left_anti"), use, "token long, set long").unionByName(named).distinct()
+
+
+def _rounds(members: DataFrame, payload: list[str], search: Callable[[DataFrame], DataFrame], most: int, purpose: str) -> DataFrame:
+    """(a, b): links that connect what ``search`` connects within each group, in tasks of about ``2 * most`` sets.
+
+    ``members`` (comp, rep, leads, blocks, own, payload) are stored sets of groups with a leader.  First each block is searched
+    with the leader; then blocks of the sets that are apart from it meet all blocks of a group that has several.
+    """
+    own = ["comp", "rep", *payload]
+    first = members.select(*own, "leads", F.explode("own").alias("block"), F.lit(0).cast("long").alias("asking"), F.lit(True).alias("asks"),
+                           F.col("rep").alias("tree"), F.lit(False).alias("known"))
+    first = stored(search(first), purpose)
+    state = first.groupBy("comp", "rep").agg(F.min("root").alias("tree"), F.max("main").alias("known"))
+    split = members.where("blocks > 1").join(state, ["comp", "rep"])
+    apart = state.where("NOT known").groupBy("comp").agg(F.ceil(F.count("*") / most).alias("groups"))
+    split = split.join(apart, "comp").withColumn("leads", F.lit(False))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    groups = F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))
+    flags = ["tree", "known"]
+    asking = split.where("NOT known").select(*own, "leads", every.alias("block"), F.pmod(F.xxhash64("rep", F.lit("asks")), "groups").alias("asking"),
+                                             F.lit(True).alias("asks"), *flags)
+    asked = split.select(*own, "leads", "groups", F.explode("own").alias("block"), *flags).select(
+        *own, "leads", "block", groups.alias("asking"), F.lit(False).alias("asks"), *flags)
+    second = search(asked.unionByName(asking))
+    return first.unionByName(second).select(F.col("rep").alias("a"), F.col("root").alias("b"))
+
+
+def _cells(members: DataFrame, roots: Callable[[pa.Table, np.ndarray, np.ndarray, np.ndarray], list[int]]) -> DataFrame:
+    """(comp, rep, root, main) of the rows of :func:`_rounds`; ``roots`` takes distinct sets, asks, tree and known of a cell."""
+
+    def cell(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("known", "descending"), ("leads", "descending"), ("rep", "ascending"), ("asks", "descending")])
+        reps = table.column("rep").to_numpy()
+        table = table.take(pa.array(np.flatnonzero(np.r_[True, reps[1:] != reps[:-1]]))).combine_chunks()
+        own = table.column("rep").to_numpy()
+        found = roots(table, *(table.column(c).to_numpy() for c in ("asks", "tree", "known")))
+        best: dict[int, int] = {}
+        for i, r in enumerate(found):
+            best[r] = min(best.get(r, own[i]), own[i])
+        return pa.table({"comp": table.column("comp"), "rep": own, "root": np.array([best[r] for r in found], np.int64),
+                         "main": np.array([r == found[0] for r in found], bool)})
+
+    return members.groupBy("comp", "block", "asking").applyInArrow(cell, "comp long, rep long, root long, main boolean")
+
+
+def _start(tree: np.ndarray, asks: np.ndarray, known: np.ndarray):
+    """Forest of a cell's sets with equal trees joined, and whether a set connected to the first one need not search.
+
+    It need not if the first one is known: a set that asks elsewhere finds it there, or is connected to the known ones too.
+    It need not either if all sets ask here.
+    """
+    parent, find = _forest(len(tree))
+    _, heads, place = np.unique(tree, return_index=True, return_inverse=True)
+    parent[:] = heads[place].tolist()
+    return parent, find, bool(known[0] or asks.all())
+
+
+def met(sketches: Sketches, asks: np.ndarray, tree: np.ndarray, known: np.ndarray, num: int, den: int) -> list[int]:
+    """Root of each set of a list after comparing all sets that ask, wherever sizes and bitmaps allow a link."""
+    parent, find, enough = _start(tree, asks, known)
+
+    def meet(i: int, others: np.ndarray) -> None:
+        for j in others[sketches.may_link(np.full(len(others), i), others, num, den)].tolist():
+            a, b = find(i), find(j)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+
+    meet(0, np.flatnonzero(asks | asks[0])[1 if asks[0] else 0:])
+    order = np.argsort(sketches.n, kind="stable")
+    n = sketches.n[order]
+    for i in np.flatnonzero(asks)[1 if asks[0] else 0:].tolist():
+        if enough and find(i) == find(0):
+            continue
+        low = np.searchsorted(n, needed(sketches.n[i], num, den))
+        high = np.searchsorted(n, sketches.n[i] * den // num, "right")
+        others = order[low:high]
+        meet(i, others[others != i])
+    return [find(i) for i in range(len(asks))]
 
 
 def _candidates(postings: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
@@ -326,9 +416,28 @@ def _candidates(postings: DataFrame, sketches: DataFrame, num: int, den: int) ->
             left, right = (pa.array(x, pa.int64()) for x in zip(*edges, strict=True))
             yield pa.RecordBatch.from_arrays([left, right], names=["a", "b"])
 
-    shared = stored(_shared(postings), "shared-lists")
-    met = shared.join(sketches, F.col("set") == F.col("s1")).select("token", "set", "n", "bitmap")
-    return _lists(met, use, "a long, b long")
+    lists = stored(_shared(postings), "shared-lists")
+    long = lists.groupBy("token").agg(F.count("*").alias("size"), F.min("set").alias("leader")).where(F.col("size") > LIST_SETS)
+    long = stored(long, "long-shared-lists")
+    sketched = F.col("set") == F.col("s1")
+    if long.isEmpty():
+        return _lists(lists.join(sketches, sketched).select("token", "set", "n", "bitmap"), use, "a long, b long")
+    short = lists.join(long, "token", "left_anti").join(sketches, sketched).select("token", "set", "n", "bitmap")
+    leads, blocks = F.col("set") == F.col("leader"), F.ceil(F.col("size") / LIST_SETS)
+    sets = lists.join(long, "token").join(sketches, sketched).select(
+        F.col("token").alias("comp"), F.col("set").alias("rep"), "n", "bitmap", leads.alias("leads"), blocks.alias("blocks"),
+        _dealt("set", leads, blocks).alias("own"))
+
+    def roots(table: pa.Table, asks: np.ndarray, tree: np.ndarray, known: np.ndarray) -> list[int]:
+        return met(Sketches(table.column("n").to_numpy(), table.column("bitmap").to_pylist()), asks, tree, known, num, den)
+
+    found = _rounds(stored(sets, "long-list-sets"), ["n", "bitmap"], lambda rows: _cells(rows, roots), LIST_SETS, "long-list-links")
+    return _lists(short, use, "a long, b long").unionByName(found)
+
+
+def _dealt(ident: str, leads: Column, blocks: Column) -> Column:
+    """Numbers of the blocks that a set stands in; the leader stands in every block of its group."""
+    return F.when(leads, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64(ident), blocks)))
 
 
 def shared(some: np.ndarray, others: np.ndarray) -> int:
@@ -337,14 +446,14 @@ def shared(some: np.ndarray, others: np.ndarray) -> int:
     return int((others[np.minimum(at, len(others) - 1)] == some).sum())
 
 
-def linked(sets: list[np.ndarray], asks: np.ndarray, num: int, den: int) -> list[int]:
+def linked(sets: list[np.ndarray], asks: np.ndarray, tree: np.ndarray, known: np.ndarray, num: int, den: int) -> list[int]:
     """Root of each set after searching the links of all sets that ask, within one task.
 
-    Roots are indexes; two sets have the same root if links connect them.
+    Roots are indexes; two sets have the same root if links connect them, or their trees are equal.
     """
     count = len(sets)
     sizes = np.array([len(s) for s in sets])
-    parent, find = _forest(count)
+    parent, find, enough = _start(tree, asks, known)
 
     def join(i: int, j: int) -> None:
         a, b = find(i), find(j)
@@ -357,10 +466,10 @@ def linked(sets: list[np.ndarray], asks: np.ndarray, num: int, den: int) -> list
 
     leader = 0
     for j in range(1, count):
-        if asks[j] or asks[leader]:
+        if (asks[j] or asks[leader]) and find(j) != find(leader):
             if min(sizes[leader], sizes[j]) * den >= max(sizes[leader], sizes[j]) * num and is_link(leader, j):
                 join(leader, j)
-    outside = [i for i in range(count) if asks[i] and find(i) != find(leader)]
+    outside = [i for i in range(count) if asks[i] and not (enough and find(i) == find(leader))]
     if not outside:
         return [find(i) for i in range(count)]
     sketches = Sketches(sizes, [parity_bitmap(x) for x in sets])
@@ -396,30 +505,17 @@ def linked(sets: list[np.ndarray], asks: np.ndarray, num: int, den: int) -> list
 
 
 def _search(members: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(comp, rep, root, leader_root) of rows (comp, block, rep, text, asks, leads), block by block."""
-    schema = "comp long, rep long, root long, main boolean"
+    """(comp, rep, root, main) of rows with a text, cell by cell."""
 
-    def block(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("leads", "descending"), ("rep", "ascending"), ("asks", "descending")])
-        reps, asks = table.column("rep").to_numpy(), table.column("asks").to_numpy(zero_copy_only=False)
-        first = np.r_[True, reps[1:] != reps[:-1]]
+    def roots(table: pa.Table, asks: np.ndarray, tree: np.ndarray, known: np.ndarray) -> list[int]:
         sets: list[np.ndarray] = []
-        text = table.column("text").combine_chunks()
-        for row, end, raw, offsets in slices(text):
+        for row, end, raw, offsets in slices(table.column("text").combine_chunks()):
             document, value, _ = shingle_sets(raw, offsets, width)
             cuts = np.searchsorted(document, np.arange(end - row + 1))
             sets += [value[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        keep = np.flatnonzero(first)
-        roots = linked([sets[i] for i in keep], asks[keep], num, den)
-        own = reps[keep]
-        best: dict[int, int] = {}
-        for i, r in enumerate(roots):
-            best[r] = min(best.get(r, own[i]), own[i])
-        comp = table.column("comp").to_numpy()[keep]
-        return pa.table({"comp": comp, "rep": own, "root": np.array([best[r] for r in roots], np.int64),
-                         "main": np.array([r == roots[0] for r in roots], bool)})
+        return linked(sets, asks, tree, known, num, den)
 
-    return members.groupBy("comp", "block").applyInArrow(block, schema)
+    return _cells(members, roots)
 
 
 def join(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -443,23 +539,11 @@ def join(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     sizes = inside.groupBy("comp").agg(F.count("*").alias("size"), F.min("rep").alias("leader"))
     dealt = inside.join(sizes, "comp").where("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK_SETS)
-    # the leader stands in every block of its component
-    own = F.when(F.col("rep") == F.col("leader"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(
-        F.array(F.pmod(F.xxhash64("rep"), blocks)))
-    dealt = dealt.select("comp", "rep", "rep_tk", (F.col("rep") == F.col("leader")).alias("leads"), blocks.alias("blocks"), own.alias("own"))
+    leads = F.col("rep") == F.col("leader")
+    dealt = dealt.select("comp", "rep", "rep_tk", leads.alias("leads"), blocks.alias("blocks"), _dealt("rep", leads, blocks).alias("own"))
     with_text = texts.join(dealt.hint("merge"), (F.col("doc_id") == F.col("rep")) & (F.col("tk") == F.col("rep_tk"))).dropDuplicates(["rep", "rep_tk"])
     with_text = stored(with_text.select("comp", "rep", "leads", "blocks", "own", "text"), "candidate-texts")
-    first = stored(_search(with_text.select("comp", F.explode("own").alias("block"), "rep", "text", F.lit(True).alias("asks"), "leads"),
-                           width, num, den), "links")
-    # what is not connected to the leader of a split component asks every block of it
-    apart = first.where("NOT main").select("rep").distinct()
-    split = with_text.where("blocks > 1")
-    asking = split.join(apart, "rep", "left_semi").select(
-        "comp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "rep", "text",
-        F.lit(True).alias("asks"), F.lit(False).alias("leads"))
-    asked = split.select("comp", F.explode("own").alias("block"), "rep", "text", F.lit(False).alias("asks"), F.lit(False).alias("leads"))
-    second = _search(asked.unionByName(asking), width, num, den)
-    links = first.unionByName(second).select(F.col("rep").alias("a"), F.col("root").alias("b"))
+    links = _rounds(with_text, ["text"], lambda rows: _search(rows, width, num, den), BLOCK_SETS, "links")
     joined = stored(components(links), "joined")
     classes = classes.join(joined, F.col("rep") == F.col("node"), "left").select(
         F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("n").alias("cn"), F.coalesce("root", "rep").alias("component"))

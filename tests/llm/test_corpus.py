@@ -217,6 +217,36 @@ def test_jaccard(spark, docs, no_docs, width, num, den, monkeypatch):
     assert jaccard.join(no_docs, width, num, den).count() == 0
 
 
+def test_jaccard_deals_what_is_apart_into_blocks(spark, monkeypatch):
+    """A chain whose ends are far from the leader; no task takes all sets that are apart from it."""
+    rows = variants(180)
+    expected = shingle_components(rows, 3, 90, 100)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 16)
+    monkeypatch.setattr(jaccard, "LIST_SETS", 48, raising=False)
+    largest = []
+    search = jaccard._search
+
+    def watched(members, *others):
+        cell = [c for c in ("comp", "block", "asking") if c in members.columns]
+        largest.append(members.groupBy(*cell).count().agg(F.max("count")).first()[0])
+        return search(members, *others)
+
+    monkeypatch.setattr(jaccard, "_search", watched)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r.component_id for r in jaccard.join(frame, 3, 90, 100).collect()}
+    assert found == {d: c for d, (_, c) in expected.items()} and set(found.values()) == {100}
+    assert len(largest) == 2 and max(largest) <= 80
+
+
+def test_linked_to_an_asking_leader_still_searches():
+    """The first set asks and is linked to the second; only the second is linked to the third, which does not ask."""
+    words = np.arange(1, 41, dtype=np.uint64)
+    sets = [words[:36], words[2:38], words[4:40]]
+    args = (np.array([True, True, False]), np.arange(3), np.zeros(3, bool))
+    assert jaccard.linked(sets, *args, 85, 100) == [0, 0, 0]
+    assert jaccard.linked(sets, np.ones(3, bool), *args[1:], 85, 100) == [0, 0, 0]
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(30)] + [(100, 101), (5, 5), (5, 4)]
     found = {r.node: r.root for r in components(spark.createDataFrame(path, "a long, b long")).collect()}
