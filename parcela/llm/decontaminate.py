@@ -3,14 +3,15 @@
 Words become template tokens: numbers, units and names turn into typed placeholders, the rest is
 lower-cased and freed of punctuation at its edges.  Windows of 13 tokens (a shorter item: its whole length) of documents and
 benchmark meet by hash.  A meeting counts if the values in the slots agree: each benchmark value stands for one value of the
-document and the other way round, over all windows of the item at that place.  So a question with
-other numbers or names is found, a chance meeting of placeholders is not.
+document over all windows of the item at that place; two benchmark values may stand for the same.  So a question with
+other numbers or names is found, a chance meeting of placeholders is not.  Windows with many slots and whole items of up to 13
+tokens also meet word for word, by the words in lower case instead of the template; such a meeting counts by itself.
 
 A bitmap of fixed size (``BITMAP_BITS``) holds the benchmark's window hashes and keeps windows that cannot meet
 from being shuffled; it is built by an aggregation and never grows.
 
 Defined results: null and empty texts and items have no windows; items of fewer than ``SHORTEST`` tokens are
-not searched; windows in which fewer than 60 % of the tokens are literal are not searched; equal
+not searched; windows in which fewer than 60 % of the tokens are literal are searched word for word only; equal
 items and equal rows count once each; rows of one doc_id with different texts are judged apart.
 """
 
@@ -40,6 +41,7 @@ UNIT_WORDS = """mm cm m km inch inches foot feet yard yards mile miles meter met
 kilometre kilometres g kg mg gram grams kilogram kilograms ton tons pound pounds ounce ounces l ml liter liters litre
 litres gallon gallons s sec second seconds min minute minutes h hr hour hours day days week weeks month months year
 years dollar dollars cent cents euro euros usd eur percent degree degrees mph kmh""".split()
+WORD_FOR_WORD = np.uint64(0xA5A5A5A5A5A5A500)
 NUMBER, UNIT, NAME = (np.uint64(x) for x in (0xA5A5A5A5A5A5A5A1, 0xA5A5A5A5A5A5A5A2, 0xA5A5A5A5A5A5A5A3))
 
 
@@ -108,50 +110,57 @@ def template(raw: np.ndarray, offsets: np.ndarray):
 
 
 def windows(raw: np.ndarray, offsets: np.ndarray, widths: list[int], whole_only: bool):
-    """Windows of a slice, width by width: document, position, hash, width, values, slots.
+    """Windows of a slice, width by width, as templates and word for word: document, position, hash, width, slots, verbatim, counted.
 
     With ``whole_only`` a document gives only the windows of its own width, the least of its number
-    of tokens and the largest width.
+    of tokens and the largest width, and word for word only those with many slots or of the whole document;
+    of a window that it gives both ways one is counted.  ``slots`` makes the values of chosen windows.
     """
     document, token, value, slot = template(raw, offsets)
     sizes = np.bincount(document, minlength=len(offsets) - 1)
     first = np.concatenate([[0], np.cumsum(sizes)])
+    slots = np.concatenate([[0], np.cumsum(slot)])
     for width in widths:
-        hashes = shingles(token, width) ^ np.uint64(width)
-        at = np.arange(len(hashes))
+        at = np.arange(max(len(token) - width + 1, 0))
         good = document[at] == document[at + width - 1] if len(at) else np.zeros(0, bool)
         if whole_only:
             good &= np.minimum(sizes[document[at]], max(widths)) == width
-        slots = np.concatenate([[0], np.cumsum(slot)])
-        good &= (slots[at + width] - slots[at]) <= (1 - LITERAL_SHARE) * width
-        at = at[good]
-        yield document[at], at - first[document[at]], hashes[at], width, at, value, slot
+        literal = (slots[at + width] - slots[at]) <= (1 - LITERAL_SHARE) * width
+        for verbatim in (False, True):
+            hashes = shingles(value if verbatim else token, width) ^ np.uint64(width) ^ (WORD_FOR_WORD if verbatim else np.uint64(0))
+            chosen = good & literal if not verbatim else good & (~literal | (sizes[document[at]] == width)) if whole_only else good
+            place = at[chosen]
+            counted = ~literal[place] if verbatim else np.ones(len(place), bool)
+            yield document[place], place - first[document[place]], hashes[place], width, _slots(place, width, value, slot, verbatim), verbatim, counted
 
 
-def _rows(at: np.ndarray, width: int, value: np.ndarray, slot: np.ndarray) -> pa.Array:
-    lists = [signed(value[a:a + width][slot[a:a + width]]).tolist() for a in at]
-    return pa.array(lists, pa.list_(pa.int64()))
+def _slots(place: np.ndarray, width: int, value: np.ndarray, slot: np.ndarray, verbatim: bool):
+    def rows(chosen: np.ndarray | slice) -> pa.Array:
+        lists = [[] if verbatim else signed(value[a:a + width][slot[a:a + width]]).tolist() for a in place[chosen]]
+        return pa.array(lists, pa.list_(pa.int64()))
 
+    return rows
 
-WINDOW = "wh long, at int, width int, slots array<long>"
+
+WINDOW = "wh long, at int, width int, slots array<long>, verbatim boolean"
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, n_windows, wh, at, width, slots) of the benchmark's items."""
+    """(item_id, wh, at, width, slots, verbatim, counted) of the benchmark's items."""
     kind = benchmark.schema["item_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, _, raw, offsets in slices(batch.column(1)):
-                for document, at, hashes, width, place, value, slot in windows(
+                for document, at, hashes, width, slots, verbatim, counted in windows(
                         raw, offsets, list(range(SHORTEST, WIDTH + 1)), True):
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(document + row)), pa.array(signed(hashes)),
                          pa.array(at.astype(np.int32)), pa.array(np.full(len(at), width, np.int32)),
-                         _rows(place, width, value, slot)],
-                        names=["item_id", "wh", "at", "width", "slots"])
+                         slots(slice(None)), pa.array(np.full(len(at), verbatim)), pa.array(counted)],
+                        names=["item_id", "wh", "at", "width", "slots", "verbatim", "counted"])
 
-    return benchmark.select("item_id", "text").distinct().mapInArrow(run, f"item_id {kind}, {WINDOW}")
+    return benchmark.select("item_id", "text").distinct().mapInArrow(run, f"item_id {kind}, {WINDOW}, counted boolean")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -175,7 +184,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         bits = kept.value.view(np.uint64)
         for batch in batches:
             for row, _, raw, offsets in slices(batch.column(2)):
-                for document, at, hashes, width, place, value, slot in windows(raw, offsets, widths, False):
+                for document, at, hashes, width, slots, verbatim, _ in windows(raw, offsets, widths, False):
                     spot = hashes >> np.uint64(64 - BITMAP_BITS)
                     hit = np.flatnonzero((bits[(spot >> np.uint64(6)).astype(np.int64)] >> (spot & np.uint64(63))) & np.uint64(1))
                     if not len(hit):
@@ -184,28 +193,30 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(signed(hashes[hit])),
                          pa.array(at[hit].astype(np.int32)), pa.array(np.full(len(hit), width, np.int32)),
-                         _rows(place[hit], width, value, slot)],
-                        names=["doc_id", "tk", "wh", "at", "width", "slots"])
+                         slots(hit), pa.array(np.full(len(hit), verbatim))],
+                        names=["doc_id", "tk", "wh", "at", "width", "slots", "verbatim"])
 
     found = docs.select("doc_id", text_key("text").alias("tk"), "text").mapInArrow(run, f"doc_id {kind}, tk long, {WINDOW}")
     found = found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "tk", "at"), F.lit(SALTS)))
-    sizes = items.groupBy("item_id").agg(F.count("*").alias("item_windows"))
+    sizes = items.groupBy("item_id").agg(F.count_if("counted").alias("item_windows"))
     known = items.join(sizes, "item_id").select(
-        "item_id", "item_windows", "wh", "width", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
+        "item_id", "item_windows", "wh", "width", "verbatim", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     pairs = F.arrays_zip("item_slots", "slots")
-    met = found.join(known, ["wh", "width", "salt"]).select(
-        "doc_id", "tk", "item_id", "item_windows", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", pairs.alias("pairs"))
+    met = found.join(known, ["wh", "width", "verbatim", "salt"]).select(
+        "doc_id", "tk", "item_id", "item_windows", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "verbatim", pairs.alias("pairs"))
     # repeated windows of repeated rows fall together in the set; a group is bounded by the item's length
     placed = met.groupBy("doc_id", "tk", "item_id", "item_windows", "shift").agg(
-        F.collect_set(F.struct("item_at", "pairs")).alias("windows"))
+        F.collect_set(F.struct("item_at", "verbatim", "pairs")).alias("windows"))
     every = F.array_distinct(F.flatten(F.transform("windows", lambda w: w["pairs"])))
-    placed = placed.select("doc_id", "tk", "item_id", "item_windows", F.size("windows").alias("n"), every.alias("pairs"))
-    sides = [F.size(F.array_distinct(F.col("pairs")[side])) for side in ("item_slots", "slots")]
-    agreed = placed.where((sides[0] == F.size("pairs")) & (sides[1] == F.size("pairs")))
-    same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
-    return agreed.groupBy("doc_id", "tk", "item_id", "item_windows").agg(
-        F.max("n").alias("n_windows"), F.max(same).alias("exact"))
+    placed = placed.select("doc_id", "tk", "item_id", "item_windows", "windows", every.alias("pairs"))
+    one_value = F.size(F.array_distinct(F.col("pairs")["item_slots"])) == F.size("pairs")
+    # windows that meet word for word count whether or not the others agree
+    placed = placed.withColumn("agreed", one_value).withColumn("windows", F.filter("windows", lambda w: F.col("agreed") | w["verbatim"]))
+    n = F.size(F.array_distinct(F.col("windows")["item_at"]))
+    same = ~F.col("agreed") | F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
+    return placed.where(F.size("windows") > 0).groupBy("doc_id", "tk", "item_id", "item_windows").agg(
+        F.max(n).alias("n_windows"), F.max(same).alias("exact"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

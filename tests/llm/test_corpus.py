@@ -58,6 +58,20 @@ def test_decontamination(spark, no_docs):
     assert drop_contaminated(frame, benchmark.where("item_id < 0")).count() == len(rows)
 
 
+def test_decontamination_word_for_word(spark):
+    items = ["If 12 boys and 8 girls share the sweets then how many sweets does every child get at the end of day",
+             "Compute 12 + 8 * 3 - 40 / 5 and 17", "Die Stadt Berlin hat viele alte Brücken", "Anna Bert Carl Dora Emil Frieda Gustav",
+             "Which river flows through the old town"]
+    texts = [items[0].replace("12", "10").replace("8", "10"), items[1], "so " + items[2], "with " + items[3], "he asked which river flows through the old town",
+             items[1].replace("17", "18"), "with Anna Bert Carl Dora Emil Frieda Hans", items[0].replace("12", "10").replace("sweets does", "pears does")]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame([(i, prose(i, 20) + " " + t + " " + prose(i + 40, 20)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in matches(docs, benchmark).collect()}
+    assert {k for k in found if k[0] < 7} == {(i, i) for i in range(5)}
+    assert [found[(i, i)].exact for i in range(5)] == [False, True, True, True, True]
+    assert all(found[(i, i)].n_windows == found[(i, i)].item_windows for i in range(1, 5))  # the first word of 0 looks like a name
+
+
 def test_urls(spark):
     urls = ["http://a.example.net/en/x?q#f", "https://EXAMPLE.NET/en/", "http://example.net/fr/", "http://net", "http://net/", None, "", "no host",
             "ftp://x.org/fr/1", "http://org/frx", "http://notexample.net/en/", "http://example.com/de/#", "a://b.example.com/de/x", "http://u.net/"]
