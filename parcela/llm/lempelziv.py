@@ -1,11 +1,12 @@
-"""Operator 5: substring deduplication by relative Lempel-Ziv parsing.
+"""Operator 5: substring deduplication by phrase look-up in the blocks of an anchor, in place of relative Lempel-Ziv parsing.
 
 The reference is the corpus itself: every distinct segment around an anchor (see ``repeats``) is an indexed block,
 held by its earliest occurrence.  A later document is factored against all blocks that share its anchors.  A copy of
 a whole block is one factor, found by its hash.  Against blocks that differ somewhere, each place looks up the earliest block with the
 same 20 words (binary search over the blocks' sorted phrases), and places that go on in the same block form one
-factor.  Where a factor ends, the next words are looked up anew, so windows across a boundary between factors count
-only if some block holds them in one piece.  Factors of 20 words or more are the duplicate spans; their words are compared.
+factor.  No longest match is extended and none is chosen at a boundary; windows across a boundary between factors count
+only if some block holds them in one piece.  Factors of 20 words or more are the duplicate spans; 64-bit hashes of their
+words are compared, so hashes decide.
 
 Defined results: null, empty and blank texts have no words; the earlier of equal windows is the one with the smaller
 doc_id, then the smaller text hash, then the earlier start; rows of equal id and text are one document; rows without a
@@ -45,7 +46,7 @@ def factors(h: np.ndarray, rank: np.ndarray, start: np.ndarray, many: np.ndarray
     reference = order[first] if len(order) else order
     earlier = (rank[owner[reference]] != rank[owner]) | (place[reference] != place)
     found = np.flatnonzero(earlier)
-    for i in range(WINDOW):  # words decide, not hashes
+    for i in range(WINDOW):  # hashes of the single words decide, not those of phrases
         if not len(found):
             break
         found = found[flat[at[found] + i] == flat[at[reference[found]] + i]]
