@@ -9,6 +9,7 @@ from parcela.llm.lempelziv import OP5_SQL, op5_substrings
 from parcela.llm.lines import OP8_SQL, op8_lines
 from parcela.llm.maxscore import OP7_SQL, op7_maxscore
 from parcela.llm.pages import op9_pages
+from parcela.llm.periodic import op11_periodic
 from parcela.llm.suffixes import op3_suffixes
 from parcela.llm.toxicity import op6_toxicity
 from parcela.llm.urls import OP4_SQL, op4_urls
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_pages": op9_pages,
     "op10_jaccard": op10_jaccard,
+    "op11_periodic": op11_periodic,
 }
 
 SQL = {"op4_urls": OP4_SQL, "op5_substrings": OP5_SQL, "op7_maxscore": OP7_SQL, "op8_lines": OP8_SQL, "op10_jaccard": OP10_SQL}
