@@ -12,6 +12,7 @@ from parcela.llm.pages import op9_pages
 from parcela.llm.periodic import op11_periodic
 from parcela.llm.suffixes import op3_suffixes
 from parcela.llm.toxicity import op6_toxicity
+from parcela.llm.turns import OP12_SQL, op12_turns
 from parcela.llm.urls import OP4_SQL, op4_urls
 
 QUERIES = {
@@ -26,6 +27,8 @@ QUERIES = {
     "op9_pages": op9_pages,
     "op10_jaccard": op10_jaccard,
     "op11_periodic": op11_periodic,
+    "op12_turns": op12_turns,
 }
 
-SQL = {"op4_urls": OP4_SQL, "op5_substrings": OP5_SQL, "op7_maxscore": OP7_SQL, "op8_lines": OP8_SQL, "op10_jaccard": OP10_SQL}
+SQL = {"op4_urls": OP4_SQL, "op5_substrings": OP5_SQL, "op7_maxscore": OP7_SQL, "op8_lines": OP8_SQL, "op10_jaccard": OP10_SQL,
+       "op12_turns": OP12_SQL}
