@@ -10,6 +10,7 @@ from parcela.llm.lines import OP8_SQL, op8_lines
 from parcela.llm.maxscore import OP7_SQL, op7_maxscore
 from parcela.llm.pages import op9_pages
 from parcela.llm.periodic import op11_periodic
+from parcela.llm.simhash import op13_simhash
 from parcela.llm.suffixes import op3_suffixes
 from parcela.llm.toxicity import op6_toxicity
 from parcela.llm.turns import OP12_SQL, op12_turns
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_jaccard": op10_jaccard,
     "op11_periodic": op11_periodic,
     "op12_turns": op12_turns,
+    "op13_simhash": op13_simhash,
 }
 
 SQL = {"op4_urls": OP4_SQL, "op5_substrings": OP5_SQL, "op7_maxscore": OP7_SQL, "op8_lines": OP8_SQL, "op10_jaccard": OP10_SQL,
