@@ -798,7 +798,10 @@ SQL["i09b_purge_counts"] = f"{LOG} SELECT COUNT(*) AS avant, COUNT(*) FILTER (cr
 SQL["i10_queue_depths"] = """SELECT queue, n AS elements, CASE WHEN n = 0 THEN 'vide' WHEN n < 10 THEN 'faible' ELSE 'charge' END AS etat
   FROM (SELECT q.queue, COUNT(e.event_id) AS n FROM (VALUES ('click'), ('view'), ('purchase'), ('absent')) q(queue) LEFT JOIN events e ON e.event_type = q.queue GROUP BY 1)"""
 SQL["i11_export_latest_sample"] = f"{LOG} SELECT id AS aggregation_id, CAST(total_records AS VARCHAR) AS data_count, '2025-11-15T00:00:00' AS export_timestamp FROM log ORDER BY created_at DESC LIMIT 1"
-SQL["i12_stream_dedup"] = "SELECT user_id, MIN(ts) AS ts FROM events GROUP BY 1"
+for _name in ("i12_stream_dedup", "i12b_stream_dedup_3_batches", "i12c_stream_dedup_30_batches"):
+    SQL[_name] = """WITH RECURSIVE k AS (SELECT user_id, MIN(ts) AS ts FROM events GROUP BY 1 UNION ALL
+  SELECT k.user_id, MIN(e.ts) AS ts FROM k JOIN events e ON e.user_id = k.user_id AND e.ts >= k.ts + INTERVAL 1 DAY GROUP BY k.user_id)
+  SELECT user_id, ts FROM k"""
 SQL["i13b_windowed_counts_batch"] = """WITH w AS (SELECT event_type, value, date_trunc('hour', ts) + INTERVAL 30 MINUTE * CAST(minute(ts) >= 30 AS INTEGER) AS s FROM events),
   x AS (SELECT event_type, value, s AS debut FROM w UNION ALL SELECT event_type, value, s - INTERVAL 30 MINUTE FROM w)
   SELECT debut, debut + INTERVAL 1 HOUR AS fin, event_type, COUNT(*) AS nombre, CAST(SUM(CAST(value AS DECIMAL(28,4))) AS DOUBLE) AS total FROM x GROUP BY 1, 2, 3"""

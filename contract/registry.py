@@ -20,7 +20,7 @@ from parcela.plans import catalogue, commerce, search, views
 from parcela.schemas import RAW_LISTING, REQUIRED_OUTPUT_FIELDS
 from parcela.session import shared_dir
 from parcela.sources import files, profile
-from parcela.streaming import events, ingest, layers
+from parcela.streaming import dedup, events, ingest, layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = "id_annonce"
@@ -737,14 +737,25 @@ def _event_stream(s: Source) -> DataFrame:
             .withColumn("ts", C("ts").cast("timestamp")))
 
 
-@query("i12_stream_dedup")
-def _(s: Source) -> DataFrame:
-    out = shared_dir(s.spark, "dedup")
-    ingest.run_available(
-        _event_stream(s), events.dedup_into(out, "user_id", "ts", "31 days"), shared_dir(s.spark, "ckpt"))
+def _deduplicated(s: Source, batches: int) -> DataFrame:
+    """Events of a user that follow a kept one by a day at least; the events arrive in so many parts, in time order."""
+    parts, land, out, ckpt = (shared_dir(s.spark, n) for n in ("parts", "land-events", "dedup", "ckpt"))
+    rows = s.table("events").withColumn("ts", C("ts").cast("timestamp"))
+    first, last = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    part = F.floor((F.unix_micros("ts") - first) * batches / (last - first + 1))
+    rows.withColumn("part", part).write.partitionBy("part").parquet(parts)
+    for i in range(batches):  # one file a part, younger than the one before
+        s.spark.read.schema(rows.schema).parquet(f"{parts}/part={i}").coalesce(1).write.parquet(f"{land}/{i}")
+    stream = s.spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(land)
+    ingest.run_available(stream, dedup.dedup_into(out, "user_id", "ts", "1 day"), ckpt)
     return s.spark.read.schema("user_id BIGINT, ts TIMESTAMP").parquet(out).select("user_id", "ts")
 
 
+add("i12_stream_dedup", lambda s: _deduplicated(s, 1))
+add("i12b_stream_dedup_3_batches", lambda s: _deduplicated(s, 3))
+add("i12c_stream_dedup_30_batches", lambda s: _deduplicated(s, 30))
+
+
 @query("i13_windowed_counts")
 def _(s: Source) -> DataFrame:
     counts = events.windowed_counts(_event_stream(s), "ts", ["event_type"], "6 hours", value="value")

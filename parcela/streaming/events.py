@@ -13,47 +13,12 @@ from parcela.streaming.ingest import batch_folder
 def stream_dedup(stream: DataFrame, key: str, ts: str, delay: str = "1 hour") -> DataFrame:
     """Native deduplication within the watermark.
 
-    All rows of a key meet in one task.  For keys that may hold a large part of the stream use
-    :func:`dedup_into`, which reduces them before the shuffle.
+    All rows of a key meet in one task, and late rows are dropped.  For keys that may hold a large part
+    of the stream, and for late rows, use :func:`parcela.streaming.dedup.dedup_into`.
     """
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def first_per_key(batch: DataFrame, key: str, ts: str) -> DataFrame:
-    """Earliest row of each key (ties by row hash), reduced on the map side."""
-    rank = F.struct(F.col(ts), F.xxhash64(*batch.columns))
-    others = [c for c in batch.columns if c != key]
-    return (
-        batch.groupBy(key).agg(F.min_by(F.struct(*others), rank).alias("_row"))
-        .select(key, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*batch.columns)
-    )
-
-
-def dedup_into(
-    path: str, key: str, ts: str, horizon: str = "7 days"
-) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: the first row of each key not stored within the horizon.
-
-    The batch is reduced to one row per key before the shuffle, then compared with the stored keys
-    of earlier batches whose time lies within ``horizon`` of the batch.  Running a batch again
-    gives the same rows, as its own folder is left out of the comparison and overwritten.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = first_per_key(batch, key, ts)
-        if batch_id > 0:
-            stored = (
-                spark.read.schema(f"{key} {batch.schema[key].dataType.simpleString()}, "
-                                  f"{ts} {batch.schema[ts].dataType.simpleString()}, batch_id BIGINT")
-                .parquet(path).filter(F.col("batch_id") < batch_id)
-            )
-            since = batch.agg(F.min(ts) - F.expr(f"INTERVAL {horizon}")).scalar()
-            fresh = fresh.join(stored.filter(F.col(ts) >= since).select(key), key, "left_anti")
-        fresh.write.mode("overwrite").parquet(batch_folder(path, batch_id))
-
-    return write
-
-
 def windowed_counts(
     stream: DataFrame,
     ts: str,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from parcela.operators import market, prepare
 from parcela.schemas import RAW_LISTING
-from parcela.streaming import events, ingest, layers
+from parcela.streaming import dedup, events, ingest, layers
 
 AT = "2025-01-01T00:00:00"
 
@@ -137,7 +137,7 @@ def test_dedup_over_batches(spark, tmp_path):
     t0 = dt.datetime(2024, 1, 1)
     land, out, ckpt = tmp_path / "land", str(tmp_path / "out"), str(tmp_path / "ckpt")
     schema = _event_folder(spark, land, [("a", t0, 1), ("a", t0 + dt.timedelta(hours=1), 2), ("b", t0, 3)])
-    body = events.dedup_into(out, "k", "ts", "7 days")
+    body = dedup.dedup_into(out, "k", "ts", "7 days")
 
     def run():
         ingest.run_available(spark.readStream.schema(schema).parquet(str(land)), body, ckpt)
