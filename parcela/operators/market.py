@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from parcela.functions.numbers import python_round
 from parcela.functions.text import contains_any
-from parcela.operators.quantiles import exact_quantiles, value_distribution
+from parcela.operators.quantiles import holds_rank, node, rank_counts, refined, value_distribution
+from parcela.session import shared_dir
 
 # Upper limits of the segments and their labels, the last one open.
 PRICE_LIMITS = [5000, 7000, 10000, 15000]
@@ -166,29 +167,88 @@ def _stable_mean(name: str) -> Column:
     return python_round(total / F.count(name))
 
 
-def market_stats(prepared: DataFrame, width: float = 1.0) -> DataFrame:
-    """One row of statistics over the listings with price and surface."""
-    priced = _priced(prepared)
-    median = exact_quantiles(priced, "prix_m2", {"mediane": 0.5}, width=width)
-    codes = prepared.select(F.col("localisation.code_postal").alias("c")).distinct().agg(
-        F.sort_array(F.collect_list("c")).alias("codes")
-    )
-    m2 = F.col("prix_m2")
-    return priced.agg(
-        _stable_mean("prix_m2").alias("prix_m2_moyen"),
-        python_round(F.min(m2)).alias("prix_m2_min"),
-        python_round(F.max(m2)).alias("prix_m2_max"),
-        python_round(F.stddev_pop(m2)).alias("ecart_type_prix_m2"),
-        F.count("*").alias("nombre_biens_analyses"),
-        _stable_mean("surface").alias("surface_moyenne"),
-        _stable_mean("prix").alias("prix_moyen"),
-        *_distribution(m2),
+def market_partials(prepared: DataFrame) -> DataFrame:
+    """Sums, extremes and counts per bucket of the price per m² and postal code, from one scan.
+
+    Listings without price or surface count for their postal code only (null bucket).  The partials of two
+    batches are one table: their rows simply stand together.
+    """
+    price, surface = F.col("prix.valeur"), F.col("surface.valeur")
+    known = (price != 0) & (surface != 0)
+    rows = prepared.select(
+        F.col("localisation.code_postal").alias("code_postal"), F.when(known, price).alias("prix"),
+        F.when(known, surface).alias("surface"), F.when(known, price / surface).alias("m2"))
+    rows = rows.select("*", node("m2").alias("noeud"), banded(F.col("m2"), DISTRIBUTION_LIMITS, DISTRIBUTION_LABELS).alias("tranche"))
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(F.col(name).cast("decimal(28,8)")), F.lit(0)).alias(f"somme_{name}")
+
+    return rows.groupBy("noeud", "code_postal").agg(
+        F.count("m2").alias("nombre"), total("m2"), total("prix"), total("surface"),
+        F.min("m2").alias("m2_min"), F.max("m2").alias("m2_max"),
+        (F.var_pop("m2") * F.count("m2")).alias("ecarts"),
+        *[F.count_if(F.col("tranche") == name).alias(f"distribution_{name}") for name in DISTRIBUTION_LABELS])
+
+
+def _nodes(partials: DataFrame) -> DataFrame:
+    """Buckets with the rank after their last value and the mean of everything: a few thousand rows."""
+    n, every = F.sum("nombre"), Window.partitionBy(F.lit(0))
+    sums = ["somme_m2", "somme_prix", "somme_surface", *[f"distribution_{x}" for x in DISTRIBUTION_LABELS]]
+    own = (F.col("somme_m2") / F.nullif(F.col("nombre"), F.lit(0))).cast("double")
+    rows = partials.where("noeud IS NOT NULL").withColumn("_own", own)
+    nodes = rows.groupBy("noeud").agg(
+        n.alias("_n"), *[F.sum(c).alias(c) for c in sums], F.min("m2_min").alias("m2_min"), F.max("m2_max").alias("m2_max"),
+        F.sum("ecarts").alias("_inner"), F.sum(F.col("nombre") * F.col("_own")).alias("_first"),
+        F.sum(F.col("nombre") * F.col("_own") * F.col("_own")).alias("_second"), F.min("_own").alias("_base"))
+    return nodes.withColumns({
+        "_end": F.sum("_n").over(every.orderBy("noeud").rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_total": F.sum("_n").over(every),
+        "_mean": (F.sum("somme_m2").over(every) / F.sum("_n").over(every)).cast("double")})
+
+
+def stats_of_partials(partials: DataFrame, values: DataFrame) -> DataFrame:
+    """The statistics row from the partials of any number of batches; of ``values`` (m2) only the median's bucket is used."""
+    nodes = _nodes(partials)
+    half = {"mediane": 0.5}
+    targets = nodes.filter(holds_rank(half)).select(F.col("noeud").alias("_b"), (F.col("_end") - F.col("_n")).alias("_before"), "_total")
+    median = refined(values.select(F.col("m2").alias("_v"), node("m2").alias("_b")), targets, half, [])
+    codes = partials.agg(F.sort_array(F.collect_set("code_postal")).alias("codes"))
+    count = F.sum("_n")
+
+    def mean(name: str) -> Column:
+        return python_round(F.sum(f"somme_{name}").cast("double") / F.nullif(count, F.lit(0)))
+
+    # a bucket's rows lie close together: their sums about the overall mean lose nothing
+    about = F.col("_inner") + F.col("_second") - 2 * F.col("_mean") * F.col("_first") + F.col("_n") * F.col("_mean") * F.col("_mean")
+    return nodes.agg(
+        mean("m2").alias("prix_m2_moyen"), python_round(F.min("m2_min")).alias("prix_m2_min"),
+        python_round(F.max("m2_max")).alias("prix_m2_max"),
+        python_round(F.sqrt(F.sum(about) / F.nullif(count, F.lit(0)))).alias("ecart_type_prix_m2"),
+        F.coalesce(count, F.lit(0)).alias("nombre_biens_analyses"),
+        mean("surface").alias("surface_moyenne"), mean("prix").alias("prix_moyen"),
+        *[F.coalesce(F.sum(f"distribution_{x}"), F.lit(0)).alias(f"distribution_{x}") for x in DISTRIBUTION_LABELS],
     ).withColumns({
         "prix_m2_median": median.select(python_round(F.col("mediane"))).scalar(),
         "arrondissements_uniques": codes.select("codes").scalar(),
     })
 
 
+def market_values(prepared: DataFrame) -> DataFrame:
+    """The prices per m² that :func:`stats_of_partials` looks the median up in."""
+    return _priced(prepared).select(F.col("prix_m2").alias("m2"))
+
+
+def market_stats(prepared: DataFrame) -> DataFrame:
+    """One row of statistics over the listings with price and surface.
+
+    One scan makes the partials, which are written to the shared folder and are what everything but the
+    median is computed from; one more reads the values of the median's bucket.
+    """
+    spark, path = prepared.sparkSession, shared_dir(prepared.sparkSession, "market-partials")
+    market_partials(prepared).write.parquet(path)
+    return stats_of_partials(spark.read.parquet(path), market_values(prepared))
+
+
 def _distribution(m2: Column) -> list[Column]:
     label = banded(m2, DISTRIBUTION_LIMITS, DISTRIBUTION_LABELS)
     return [F.count_if(label == name).alias(f"distribution_{name}") for name in DISTRIBUTION_LABELS]
@@ -473,34 +533,20 @@ def percentile_rank_approx(z: Column) -> Column:
     return F.greatest(F.lit(1), F.least(F.lit(99), F.lit(50) + shift))
 
 
-def percentile_rank_exact(
-    df: DataFrame, value: str, out: str = "rang_exact", width: float = 1.0
-) -> DataFrame:
-    """Share of rows with a smaller value, in percent (``percent_rank``), over the whole table.
+def percentile_rank_exact(df: DataFrame, value: str, out: str = "rang_exact") -> DataFrame:
+    """Share of rows with a smaller value, in percent (``percent_rank``), over the rows with a value.
 
-    Values are counted per bucket of fixed width.  The running count over buckets is short; the
-    running count inside a bucket meets one row per distinct value, however often it occurs.
+    Values are counted, and ranks come from the tree of :func:`rank_counts`.  Rows without a value have no
+    rank and take no part in the join.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_b", F.floor(F.col("_v").cast("double") / F.lit(float(width))))
-    )
-    buckets = counts.groupBy("_b").agg(F.sum("_n").alias("_size"))
-    one = Window.partitionBy(F.lit(0))
-    upto = one.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = buckets.select(
-        "_b", F.coalesce(F.sum("_size").over(upto), F.lit(0)).alias("_offset"),
-        F.sum("_size").over(one).alias("_total"),
-    )
-    inside = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    smaller = counts.withColumn("_before", before).join(offsets, "_b")
-    rank = (F.col("_before") + F.col("_offset")).cast("double") / F.nullif(
-        F.col("_total") - 1, F.lit(0)
-    ) * F.lit(100.0)
-    ranked = smaller.select("_v", F.coalesce(rank, F.lit(0.0)).alias(out))
-    return df.join(ranked, F.col(value) == F.col("_v"), "left").drop("_v")
+    known = df.filter(F.col(value).isNotNull())
+    counts = known.groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    ranked = rank_counts(counts, "_v", "_n")
+    smaller = (F.col("_end") - F.col("_n")).cast("double")
+    rank = smaller / F.nullif(F.col("_total") - 1, F.lit(0)) * F.lit(100.0)
+    ranked = ranked.select("_v", F.coalesce(rank, F.lit(0.0)).alias(out))
+    unknown = df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast("double"))
+    return known.join(ranked, F.col(value) == F.col("_v"), "left").drop("_v").unionByName(unknown)
 
 
 # How a recommendation of each type is ranked, and by when it should be done.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 import statistics
 from collections import Counter, defaultdict
 
@@ -51,6 +52,54 @@ def test_global_quantiles_and_empty(spark):
     assert [r["m"] for r in empty] in ([], [None])
 
 
+def test_quantiles_by_the_tree_over_a_wide_range(spark):
+    """Many distinct values of all sizes and signs, from buckets that differ by orders of magnitude."""
+    items = [random.choice([-1, 1]) * 10 ** random.uniform(-9, 12) for _ in range(3000)] + [0.0] * 40 + [5000 + i * 1e-7 for i in range(900)]
+    df = spark.createDataFrame([(v,) for v in items], "v double").repartition(6)
+    row = exact_quantiles(df, "v", {"a": 0.1, "m": 0.5, "b": 0.7, "z": 0.999}).first()
+    for name, p in (("a", 0.1), ("m", 0.5), ("b", 0.7), ("z", 0.999)):
+        assert row[name] == pytest.approx(_quantile(items, p), rel=1e-12)
+    got = sorted((r["v"], r["rang_exact"]) for r in market.percentile_rank_exact(df, "v").collect())
+    values = sorted(items)
+    first = {v: i for i, v in reversed(list(enumerate(values)))}
+    assert got == [(v, pytest.approx(first[v] / (len(values) - 1) * 100)) for v in values]
+
+
+def _listings(spark, rows):
+    return spark.createDataFrame(rows, "p double, s double, c string").select(
+        F.struct(F.col("p").alias("valeur")).alias("prix"), F.struct(F.col("s").alias("valeur")).alias("surface"),
+        F.struct(F.col("c").alias("code_postal")).alias("localisation"))
+
+
+def test_market_statistics_of_batches_stand_together(spark):
+    rows = [(random.choice([None, 0.0, random.uniform(5e4, 9e6)]) if i % 9 == 0 else random.lognormvariate(12, 0.8),
+             random.choice([None, random.uniform(9, 300)]) if i % 7 == 0 else float(random.randint(9, 200)),
+             random.choice(["75001", "75002", None, "92100"])) for i in range(4000)]
+    whole = _listings(spark, rows)
+    parts = [market.market_partials(_listings(spark, rows[i::3])) for i in range(3)]
+    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    m2 = [p / s for p, s, _ in rows if p and s]
+    values = spark.createDataFrame([(v,) for v in m2], "m2 double")
+    one, merged = market.market_stats(whole).first().asDict(), market.stats_of_partials(together, values).first().asDict()
+    assert one == merged
+    assert one["nombre_biens_analyses"] == len(m2) and one["prix_m2_median"] == round(statistics.median(m2), 2)
+    assert one["ecart_type_prix_m2"] == pytest.approx(statistics.pstdev(m2), abs=0.006)
+    assert one["arrondissements_uniques"] == ["75001", "75002", "92100"]
+    nothing = market.market_stats(whole.limit(0)).first()
+    assert nothing["nombre_biens_analyses"] == 0 and nothing["prix_m2_median"] is None
+
+
+def test_market_statistics_scan_the_listings_twice(spark, tmp_path):
+    """Once for the partials, once for the values of the median's bucket."""
+    path = str(tmp_path / "silver")
+    _listings(spark, [(float(i), 10.0, "75001") for i in range(100)]).write.parquet(path)
+    stats = market.market_stats(spark.read.parquet(path))
+    stats.collect()
+    plan = stats._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    ran = "".join(re.findall("== Final Plan ==(.*?)== Initial Plan ==", plan, re.DOTALL))
+    assert sum("FileScan" in line and "surface" in line and "somme" not in line for line in ran.splitlines()) == 1
+
+
 def test_exact_rank_with_a_hot_value(spark):
     items = [10.0] * 500 + [random.uniform(0, 30) for _ in range(700)] + [None]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(items)], "i int, v double")
