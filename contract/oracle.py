@@ -648,6 +648,7 @@ agg("m13_market_trends", f"""{py2(STABLE.format('gscore'))} AS score_global_moye
   {py2("CAST(SUM(CAST(COALESCE(prix_m2, 0) AS DECIMAL(28,8))) FILTER (gscore >= (SELECT quantile_cont(gscore, 0.9) FROM agg)) AS DOUBLE) / COUNT(*) FILTER (gscore >= (SELECT quantile_cont(gscore, 0.9) FROM agg))")} AS top_prix_m2_moyen""")
 agg("m13b_segment_distribution", "seg_p AS segment, COUNT(*) AS nombre", "WHERE seg_p IS NOT NULL GROUP BY 1")
 SQL["i14_medallion_layers"] = SQL["m13b_segment_distribution"]
+SQL["i14b_medallion_statistics"] = SQL["m08_market_stats"]
 agg("m14_biens_sous_cotes", "reference, pos AS positionnement, gap AS ecart_pourcentage", "WHERE pos IN ('tres_sous_cote', 'sous_cote')")
 agg("m14_biens_sur_cotes", "reference, pos AS positionnement, gap AS ecart_pourcentage", "WHERE pos IN ('tres_sur_cote', 'sur_cote')")
 agg("m14_opportunites_amelioration", "reference, 'Priorité: rénovation énergétique' AS recommandations", "WHERE dpe_classe_active IN ('F', 'G')")
@@ -794,6 +795,8 @@ SQL["i07_aggregation_report"] = f"{LOG} SELECT COUNT(*) AS total_aggregations, C
 SQL["i07b_distinct_sources"] = "SELECT DISTINCT event_type AS source FROM events"
 SQL["i08_hourly_activity"] = f"{LOG} SELECT created_at AS hour, COUNT(*) AS count FROM log WHERE created_at >= TIMESTAMP '2024-01-19 12:00:00' GROUP BY 1 ORDER BY 1 DESC LIMIT 6"
 SQL["i09_purge_old"] = f"{LOG} SELECT id, created_at FROM log WHERE created_at >= TIMESTAMP '2024-01-10 12:00:00'"
+SQL["i09c_purge_stored"] = f"""{LOG} SELECT id, to_json({{'aggregation_timestamp': strftime(created_at, '%Y-%m-%dT%H:%M:%S'), 'total_records': total_records, 'sources': CAST(sources AS JSON),
+  'aggregation_type': 'stream_auto', 'environment': 'prod', 'queue': 'queue_normalized', 'initial_count': total_records, 'records_processed': total_records}})::VARCHAR AS metadata, created_at FROM log WHERE created_at >= TIMESTAMP '2024-01-10 12:00:00'"""
 SQL["i09b_purge_counts"] = f"{LOG} SELECT COUNT(*) AS avant, COUNT(*) FILTER (created_at >= TIMESTAMP '2024-01-10 12:00:00') AS apres, COUNT(*) FILTER (created_at < TIMESTAMP '2024-01-10 12:00:00') AS supprimes FROM log"
 SQL["i10_queue_depths"] = """SELECT queue, n AS elements, CASE WHEN n = 0 THEN 'vide' WHEN n < 10 THEN 'faible' ELSE 'charge' END AS etat
   FROM (SELECT q.queue, COUNT(e.event_id) AS n FROM (VALUES ('click'), ('view'), ('purchase'), ('absent')) q(queue) LEFT JOIN events e ON e.event_type = q.queue GROUP BY 1)"""
@@ -842,6 +845,7 @@ def retention(names: tuple[str, ...]) -> str:
 
 
 SQL["g04_apply_retention"] = f"WITH {ANNONCES}, {KEPT} " + retention(("annonces", "caracteristiques", "images", "conseiller", "dpe", "copropriete"))
+SQL["g04c_retention_stored"] = SQL["g04_apply_retention"]
 SQL["g04b_retained_rows"] = f"SELECT nom_table, apres AS nombre, 'ok' AS statut FROM ({SQL['g04_apply_retention']})"
 SQL["g07_compliance_report"] = (
     f"WITH {ANNONCES}, {KEPT}, r AS ({retention(('annonces', 'dpe', 'copropriete'))}), u AS ({audit('text', 'conversations')}) "
@@ -855,4 +859,15 @@ SQL["g08d_rights_counts"] = f"WITH {ANNONCES}, {ASKED} SELECT type_demande, COUN
 SQL["g09_access_audit"] = "SELECT CAST(user_id AS VARCHAR) AS user_name, 'annonces' AS table_name, event_type AS action_type, CAST(ts AS DATE) AS jour, COUNT(*) AS acces FROM events GROUP BY 1, 2, 3, 4"
 base("g10_mask_contact", "SELECT id_annonce, nom_complet, photo, note FROM conseiller")
 base("g11_drop_direct_identifiers", "SELECT id_annonce, 'Anonyme' AS nom_complet, lien, note FROM conseiller")
-base("g12_retention_by_layer", f"SELECT 'brut' AS nom_table, COUNT(*) AS nombre, 'ok' AS statut FROM annonces WHERE date_extraction >= {CUTOFF} UNION ALL SELECT 'agrege', COUNT(*), 'ok' FROM annonces WHERE date_extraction >= TIMESTAMP '1996-06-15 00:00:00'")
+base("g12_retention_by_layer", f"""SELECT 'brut' AS nom_table, COUNT(*) AS nombre, 'ok' AS statut FROM annonces WHERE date_extraction >= {CUTOFF} OR date_extraction IS NULL
+  UNION ALL SELECT 'agrege', COUNT(*), 'ok' FROM (SELECT DISTINCT date_trunc('month', date_extraction) AS mois FROM annonces) WHERE mois >= TIMESTAMP '1996-06-15 00:00:00' OR mois IS NULL""")
+PEOPLE = """people AS (SELECT CASE WHEN c_custkey % 35 = 0 THEN ' ' ELSE c_name END AS nom, c_name AS nom_complet,
+  CASE WHEN c_custkey % 15 = 0 THEN 'sans arobase' ELSE 'client' || c_custkey || '@site.example' END AS email,
+  CASE c_custkey % 4 WHEN 0 THEN 'suppression' WHEN 1 THEN 'acces' WHEN 2 THEN 'rectification' ELSE 'autre' END AS type_demande FROM customer WHERE c_custkey % 5 = 0),
+valid AS (SELECT * FROM people WHERE trim(nom) <> '' AND contains(email, '@') AND type_demande <> 'autre')"""
+SQL["g08e_valid_requests"] = f"WITH {PEOPLE} SELECT * FROM valid"
+SQL["g08f_erase_stored"] = f"""WITH {ANNONCES}, {PEOPLE}, marked AS (SELECT nom_complet, nom_complet IN (SELECT nom_complet FROM valid WHERE type_demande = 'suppression') AS gone FROM conseiller)
+  SELECT couche, COUNT(*) FILTER (NOT gone) AS lignes, COUNT(DISTINCT nom_complet) FILTER (NOT gone) AS personnes, COUNT(*) FILTER (gone) AS supprimes
+  FROM (SELECT 'brut' AS couche, * FROM marked UNION ALL SELECT 'argent', * FROM marked UNION ALL SELECT DISTINCT 'or', * FROM marked) GROUP BY 1"""
+SQL["g08g_rectify_stored"] = f"""WITH {ANNONCES}, {PEOPLE} SELECT id_annonce, nom_complet, CASE WHEN nom_complet IN (SELECT nom_complet FROM valid WHERE type_demande = 'rectification')
+  THEN 'corrigé' ELSE telephone END AS telephone, lien, photo, note FROM conseiller"""

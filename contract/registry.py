@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from parcela.plans import catalogue, commerce, search, views
 from parcela.schemas import RAW_LISTING, REQUIRED_OUTPUT_FIELDS
 from parcela.session import shared_dir
 from parcela.sources import files, profile
+from parcela.sources.versions import PART, StoredTable, day_of, month_of
 from parcela.streaming import dedup, events, ingest, layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +117,20 @@ class Source:
             C("h").alias("created_at"),
         )
 
+    @cached_property
+    def medallion(self) -> str:
+        """Gold after two batches of listings, each taken through the layers when it arrives."""
+        land = shared_dir(self.spark, "land-listings")
+        bronze, silver, gold, ckpt = (shared_dir(self.spark, n) for n in ("bronze", "silver", "gold", "ckpt"))
+        rows = self.raw.select(KEY, F.to_json(F.struct(*RAW_LISTING.names)).alias("value"))
+        for part in (C(KEY) % 3 == 0, C(KEY) % 3 != 0):
+            rows.filter(part).select("value").write.mode("append").text(land)
+            stream = ingest.normalise_stream(ingest.collect_source(self.spark, land), "web", F.lit(bind.AS_OF).cast("timestamp"))
+            ingest.run_available(stream, layers.to_bronze(bronze), ckpt)
+            layers.bronze_to_silver(self.spark, bronze, silver, bind.AS_OF_YEAR)
+            layers.silver_to_gold(self.spark, silver, gold, bind.AS_OF)
+        return gold
+
     def envelopes(self, kind: str) -> DataFrame:
         """Events of one kind as JSON lines; every 17th is damaged."""
         e = self.table("events").filter(C("event_id") % 4 == ingest.KINDS.index(kind))
@@ -719,6 +734,17 @@ add("i07b_distinct_sources", lambda s: ingest.distinct_sources(s.log))
 LOG_NOW = "2024-01-20T12:00:00"
 add("i08_hourly_activity", lambda s: ingest.hourly_activity(s.log, LOG_NOW))
 add("i09_purge_old", lambda s: ingest.purge_old(s.log, LOG_NOW, 10).select("id", "created_at"))
+
+
+@query("i09c_purge_stored")
+def _(s: Source) -> DataFrame:
+    """The log after its old rows have left the files."""
+    table = StoredTable(s.spark, shared_dir(s.spark, "log"))
+    table.append(s.log, day_of("created_at"))
+    ingest.purge_stored(table, LOG_NOW, 10)
+    return table.read().select("id", "metadata", "created_at")
+
+
 add("i09b_purge_counts", lambda s: ingest.purge_counts(s.log, LOG_NOW, 10))
 add("i10_queue_depths", lambda s: ingest.queue_depths(
     s.table("events").select(C("event_type").alias("source")), ["click", "view", "purchase", "absent"]))
@@ -772,18 +798,8 @@ add("i13b_windowed_counts_batch", lambda s: events.windowed_counts(
 add("i13c_session_counts", lambda s: events.session_counts(s.table("events"), "ts", "user_id", "6 hours"))
 
 
-@query("i14_medallion_layers")
-def _(s: Source) -> DataFrame:
-    land = shared_dir(s.spark, "land-listings")
-    rows = s.raw.select(F.to_json(F.struct(*RAW_LISTING.names)).alias("value"))
-    rows.write.text(land)
-    bronze, silver, gold = (shared_dir(s.spark, n) for n in ("bronze", "silver", "gold"))
-    stream = _normalised(s, "web", ingest.collect_source(s.spark, land))
-    ingest.run_available(stream, layers.to_bronze(bronze), shared_dir(s.spark, "ckpt"))
-    layers.bronze_to_silver(s.spark, bronze, silver, bind.AS_OF_YEAR)
-    layers.silver_to_gold(s.spark, silver, gold, bind.AS_OF)
-    listings = s.spark.read.parquet(f"{gold}/listings")
-    return market.segment_distribution(listings)
+add("i14_medallion_layers", lambda s: market.segment_distribution(layers.gold_listings(s.spark, s.medallion).read()))
+add("i14b_medallion_statistics", lambda s: s.spark.read.parquet(f"{s.medallion}/market_stats"))
 
 
 # --- privacy ------------------------------------------------------------------------------
@@ -815,6 +831,18 @@ def _(s: Source) -> DataFrame:
     return privacy.compliance_report(kept, privacy.audit_sensitive_data(s.table("conversations"), ["text"]))
 
 
+@query("g04c_retention_stored")
+def _(s: Source) -> DataFrame:
+    """Rows before and after, every table stored by the month of its listing."""
+    tables = {n: StoredTable(s.spark, shared_dir(s.spark, f"retention-{n}")) for n in s.base}
+    dates = s.base["annonces"].select(KEY, month_of("date_extraction").alias(PART))
+    for name, table in tables.items():
+        rows = s.base[name].join(dates, KEY)
+        table.commit(0, add=table.stage(rows), schema=s.base[name].schema)
+    counts = privacy.apply_retention_stored(tables, RETENTION_NOW)
+    return counts.select("nom_table", "avant", "apres", "supprimes")
+
+
 def _requests(s: Source) -> DataFrame:
     return s.table("customer").filter(C("c_custkey") % 20 == 0).select(
         C("c_name").alias("nom_complet"),
@@ -827,6 +855,52 @@ add("g08c_rectify_subject", lambda s: privacy.rectify_subject(
     s.base["conseiller"], _requests(s).withColumn("telephone", F.lit("corrigé")), ["nom_complet"], ["telephone"]))
 add("g08d_rights_counts", lambda s: privacy.rights_counts(
     s.base["conseiller"], _requests(s), ["nom_complet"], "type_demande"))
+
+
+def _contact_layers(s: Source) -> dict[str, StoredTable]:
+    """Three stored layers that name persons: contacts, public contacts, listings per contact."""
+    people = s.base["conseiller"]
+    rows = {"brut": people, "argent": search.mask_contact(people),
+            "or": people.groupBy("nom_complet").agg(F.count("*").alias("annonces"))}
+    out = {}
+    for name, df in rows.items():
+        out[name] = StoredTable(s.spark, shared_dir(s.spark, f"contacts-{name}"), ["nom_complet"])
+        out[name].append(df.repartitionByRange(16, "nom_complet"), F.lit("all"))
+    return out
+
+
+def _people(s: Source) -> DataFrame:
+    """Requests as they come in: some without a name or a proper e-mail, some of no known type."""
+    k = C("c_custkey")
+    kind = F.when(k % 4 == 0, "suppression").when(k % 4 == 1, "acces").when(k % 4 == 2, "rectification").otherwise("autre")
+    return s.table("customer").filter(k % 5 == 0).select(
+        F.when(k % 35 == 0, " ").otherwise(C("c_name")).alias("nom"), C("c_name").alias("nom_complet"),
+        F.when(k % 15 == 0, "sans arobase").otherwise(F.concat(F.lit("client"), k.cast("string"), F.lit("@site.example"))).alias("email"),
+        kind.alias("type_demande"))
+
+
+add("g08e_valid_requests", lambda s: privacy.valid_requests(_people(s)))
+
+
+@query("g08f_erase_stored")
+def _(s: Source) -> DataFrame:
+    """Persons left in each layer after the valid requests for erasure, read back from the files."""
+    stored = _contact_layers(s)
+    asked = privacy.valid_requests(_people(s)).filter(C("type_demande") == "suppression")
+    done = privacy.erase_stored(stored, asked, "nom_complet").select("couche", "supprimes")
+    left = [t.read().agg(F.count("*").alias("lignes"), F.count_distinct("nom_complet").alias("personnes")).withColumn("couche", F.lit(n))
+            for n, t in stored.items()]
+    return reduce(DataFrame.unionByName, left).join(done, "couche")
+
+
+@query("g08g_rectify_stored")
+def _(s: Source) -> DataFrame:
+    stored = _contact_layers(s)
+    asked = privacy.valid_requests(_people(s)).filter(C("type_demande") == "rectification")
+    privacy.rectify_stored(stored, asked.withColumn("telephone", F.lit("corrigé")), "nom_complet", ["telephone"])
+    return stored["brut"].read()
+
+
 add("g09_access_audit", lambda s: privacy.access_audit(s.table("events").select(
     C("user_id").cast("string").alias("user_name"), F.lit("annonces").alias("table_name"),
     C("event_type").alias("action_type"), C("ts").alias("access_time"))))
@@ -836,9 +910,12 @@ add("g11_drop_direct_identifiers", lambda s: privacy.drop_direct_identifiers(s.b
 
 @query("g12_retention_by_layer")
 def _(s: Source) -> DataFrame:
+    """Raw listings for 24 months, monthly figures for 36, both taken out of their files."""
     a = s.base["annonces"]
-    kept = privacy.retention_by_layer({
-        "brut": (a, "date_extraction", privacy.RAW_MONTHS),
-        "agrege": (a, "date_extraction", privacy.AGGREGATED_MONTHS),
-    }, RETENTION_NOW)
-    return profile.table_count_report(kept)
+    monthly = a.groupBy(F.date_trunc("month", "date_extraction").alias("mois")).agg(F.count("*").alias("annonces"))
+    stored = {}
+    for name, df, date, months in (("brut", a, "date_extraction", privacy.RAW_MONTHS), ("agrege", monthly, "mois", privacy.AGGREGATED_MONTHS)):
+        stored[name] = (StoredTable(s.spark, shared_dir(s.spark, f"layer-{name}")), date, months)
+        stored[name][0].append(df, month_of(date))
+    privacy.purge_layers(stored, RETENTION_NOW)
+    return profile.table_count_report({n: t.read() for n, (t, _, _) in stored.items()})

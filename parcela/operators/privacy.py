@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from parcela.functions.numbers import strip, truncate_localisation
 from parcela.functions.privacy import (
     SENSITIVE_PATTERNS, anonymise_name, clean_location, has_sensitive, sensitive_count,
 )
+from parcela.sources.versions import StoredTable, purge_before, purge_children, rewrite_subjects
 
 KEY = "id_annonce"
 
@@ -108,6 +110,59 @@ def retention_counts(
     return rows.withColumn("supprimes", F.col("avant") - F.col("apres"))
 
 
+def retention_cutoff(as_of: str, days: int = RETENTION_DAYS, months: int = 0) -> str:
+    """The first moment that is kept, as text; whole days back, then whole months."""
+    at = pd.Timestamp(as_of) - pd.Timedelta(days=days) - pd.DateOffset(months=months)
+    return at.strftime("%Y-%m-%dT%H:%M:%S")
+
+
+def apply_retention_stored(
+    tables: dict[str, StoredTable], as_of: str, days: int = RETENTION_DAYS, parent: str = "annonces",
+    date: str = "date_extraction", key: str = KEY,
+) -> DataFrame:
+    """Retention in storage: expired listings and their children leave the files.
+
+    Every table is stored by the month of the listing, so whole months go without being read.  The parent goes first:
+    a run that ends in between is completed by running it again.
+    """
+    cutoff = retention_cutoff(as_of, days)
+    counts = [purge_before(tables[parent], date, cutoff).withColumn("nom_table", F.lit(parent))]
+    kept = tables[parent].read()
+    counts += [purge_children(t, key, kept, cutoff).withColumn("nom_table", F.lit(n)) for n, t in tables.items() if n != parent]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def purge_layers(layers: dict[str, tuple[StoredTable, str, int]], as_of: str) -> DataFrame:
+    """Each stored layer purged for its own term: (table, date column, months)."""
+    counts = [purge_before(table, date, retention_cutoff(as_of, 0, months)).withColumn("nom_table", F.lit(name))
+              for name, (table, date, months) in layers.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def erase_stored(layers: dict[str, StoredTable], requests: DataFrame, on: str) -> DataFrame:
+    """Erasure in every layer: only files that hold one of the persons are written anew, the old ones are removed."""
+    asked = requests.select(on).distinct()
+
+    def without(rows: DataFrame) -> DataFrame:
+        return rows.join(asked, on, "left_anti").select(*rows.columns)
+
+    rows = [(name, *rewrite_subjects(table, asked, on, without)) for name, table in layers.items()]
+    return asked.sparkSession.createDataFrame(rows, "couche STRING, fichiers_recrits INT, fichiers_intacts INT, supprimes LONG")
+
+
+def rectify_stored(
+    layers: dict[str, StoredTable], corrections: DataFrame, on: str, columns: list[str], order: str | None = None
+) -> DataFrame:
+    """Rectification in every layer that has the columns; see :func:`rectify_subject`."""
+    rows = []
+    for name, table in layers.items():
+        own = [c for c in columns if c in table.schema.names]
+        if own:
+            rows.append((name, *rewrite_subjects(
+                table, corrections, on, lambda r, own=own: rectify_subject(r, corrections, [on], own, order))[:2]))
+    return corrections.sparkSession.createDataFrame(rows, "couche STRING, fichiers_recrits INT, fichiers_intacts INT")
+
+
 def annonces_anonymisees(df: DataFrame, as_of: str, months: int = RAW_MONTHS) -> DataFrame:
     """Recent listings with a masked location."""
     cutoff = F.add_months(F.lit(as_of).cast("date"), -months)

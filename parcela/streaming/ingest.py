@@ -7,6 +7,7 @@ that is run again replaces what it wrote before.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from parcela.sources.versions import StoredTable, purge_before
+
 # Source kinds, queue names and the normalised envelope.
 KINDS = ["api", "file", "web", "database"]
 QUEUES = ["queue_api", "queue_file", "queue_web", "queue_db", "queue_normalized"]
@@ -210,6 +213,12 @@ def purge_old(log: DataFrame, as_of: str, days: int = LOG_PURGE_DAYS) -> DataFra
     return log.filter((F.col("created_at") >= since) | F.col("created_at").isNull())
 
 
+def purge_stored(log: StoredTable, as_of: str, days: int = LOG_PURGE_DAYS) -> DataFrame:
+    """Take old rows out of a stored log (parts by day) for good; counts before, after and removed."""
+    cutoff = dt.datetime.fromisoformat(as_of) - dt.timedelta(days=days)
+    return purge_before(log, "created_at", cutoff.isoformat())
+
+
 def purge_counts(log: DataFrame, as_of: str, days: int = LOG_PURGE_DAYS) -> DataFrame:
     since = F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days))
     old = F.coalesce(F.col("created_at") < since, F.lit(False))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from parcela.operators import market, prepare
 from parcela.schemas import RAW_LISTING
+from parcela.sources.versions import rewrite_subjects
 from parcela.streaming import dedup, events, ingest, layers
 
 AT = "2025-01-01T00:00:00"
@@ -188,17 +189,61 @@ def test_layers_end_to_end(spark, tmp_path):
     bronze, silver, gold, ckpt = (str(tmp_path / n) for n in ("bronze", "silver", "gold", "ckpt"))
     stream = ingest.normalise_stream(ingest.collect_source(spark, str(land)), "web")
     ingest.run_available(stream, layers.to_bronze(bronze), ckpt)
-    for _ in range(2):  # a repeated run replaces its rows
-        layers.bronze_to_silver(spark, bronze, silver, 2025, run=0)
-    layers.bronze_to_silver(spark, bronze, silver, 2025, run=1)  # nothing new
-    assert sorted(r["reference"] for r in spark.read.parquet(silver).collect()) == ["R1", "R2"]
+    assert layers.bronze_to_silver(spark, bronze, silver, 2025) == 1
+    assert layers.bronze_to_silver(spark, bronze, silver, 2025) == 0  # nothing new
+    assert sorted(r["reference"] for r in layers.silver_table(spark, silver).read().collect()) == ["R1", "R2"]
     layers.silver_to_gold(spark, silver, gold, AT)
-    rows = {r["reference"]: r for r in spark.read.parquet(f"{gold}/listings").collect()}
+    rows = {r["reference"]: r for r in layers.gold_listings(spark, gold).read().collect()}
     assert rows["R2"]["aggregats"]["performance"]["prix_m2"] == 4000.0
     assert rows["R1"]["prix"]["valeur"] is None  # an ordinary space is not removed by the document parser
     stats = spark.read.parquet(f"{gold}/market_stats").first()
     assert stats["nombre_biens_analyses"] == 1
-    prepared = spark.read.parquet(silver)
+    prepared = layers.silver_table(spark, silver).read()
     direct = market.aggregate_listings(prepared, AT).select("reference", "aggregats").collect()
     assert {r["reference"]: r["aggregats"] for r in direct} == {k: v["aggregats"] for k, v in rows.items()}
     assert prepare.prune_empty(prepared).count() == 2
+
+
+def test_layers_read_each_batch_once(spark, tmp_path):
+    """Gold after two batches equals one rebuild; a batch that silver has taken is not read again."""
+    def raw(i):
+        row = dict.fromkeys(RAW_LISTING.names, "")
+        row |= {"reference": f"R{i}", "titre": "Maison", "prix": f"{90_000 + i * 1111}", "surface": str(20 + i % 50), "pieces": "3",
+                "localisation": f"Paris (750{i % 20:02})", "date_extraction": f"2025-0{1 + i % 3}-02T00:00:00", "images": [],
+                "caracteristiques_detaillees": []}
+        return json.dumps(row)
+
+    def bronze_of(name, first, last):
+        lines = spark.createDataFrame([(raw(i),) for i in range(first, last)], "value string")
+        return lambda batch_id: layers.to_bronze(str(tmp_path / name))(ingest.normalise_stream(lines, "web"), batch_id)
+
+    paths = {n: str(tmp_path / n) for n in ("bronze", "silver", "gold", "whole", "silver1", "gold1")}
+
+    def step():
+        taken = layers.bronze_to_silver(spark, paths["bronze"], paths["silver"], 2025)
+        return taken, layers.silver_to_gold(spark, paths["silver"], paths["gold"], AT)
+
+    bronze_of("bronze", 0, 60)(0)
+    assert step()[0] == 1
+    for f in (tmp_path / "bronze" / "batch_id=0").glob("*.parquet"):
+        f.write_bytes(b"unreadable")  # whoever reads it again fails
+    assert step() == (0, 0)
+    bronze_of("bronze", 50, 100)(1)
+    taken, fresh = step()
+    assert taken == 1 and fresh > 0
+    bronze_of("whole", 0, 100)(0)
+    layers.bronze_to_silver(spark, paths["whole"], paths["silver1"], 2025)
+    layers.silver_to_gold(spark, paths["silver1"], paths["gold1"], AT)
+
+    def gold(name):
+        stats = spark.read.parquet(f"{paths[name]}/market_stats").first().asDict()
+        return stats, {r["reference"]: r["aggregats"] for r in layers.gold_listings(spark, paths[name]).read().collect()}
+
+    assert gold("gold") == gold("gold1") and len(gold("gold")[1]) == 100
+    # what leaves silver leaves the statistics
+    gone = spark.createDataFrame([("R7",)], "reference string")
+    silver = layers.silver_table(spark, paths["silver"])
+    rewrite_subjects(silver, gone, "reference", lambda r: r.join(gone, "reference", "left_anti").select(*r.columns))
+    layers.silver_to_gold(spark, paths["silver"], paths["gold"], AT)
+    stats, listings = gold("gold")
+    assert stats["nombre_biens_analyses"] == 99 and "R7" not in listings
