@@ -23,15 +23,11 @@ class Folder:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path)) if self.exists() else []
 
     def files(self, suffix: str = ".parquet") -> list[str]:
-        """Full names of all files below with that suffix."""
+        """Full names of all files below with that suffix; Spark lists them, their contents are not read."""
         if not self.exists():
             return []
-        found, left = [], self._fs.listFiles(self._path, True)
-        while left.hasNext():
-            name = left.next().getPath().toString()
-            if name.endswith(suffix):
-                found.append(name)
-        return sorted(found)
+        found = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
+        return sorted(r["path"] for r in found.load(self.path).select("path").collect())
 
     def remove(self) -> None:
         self._fs.delete(self._path, True)

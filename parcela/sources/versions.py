@@ -80,7 +80,8 @@ class StoredTable:
     def vacuum(self) -> int:
         """Remove what the current version does not name; the number of removed files."""
         current = set(self.files())
-        stale = [f for f in Folder(self.spark, f"{self.path}/data").files() if f not in current]
+        plain = {_plain(f) for f in current}
+        stale = [f for f in Folder(self.spark, f"{self.path}/data").files() if _plain(f) not in plain]
         for name in stale:
             Folder(self.spark, name).remove()
         for name in Folder(self.spark, f"{self.path}/_versions").names():
@@ -119,17 +120,14 @@ class StoredTable:
         rows = rows if part is None else rows.withColumn(PART, part)
         # rows of a part come together, large parts are split: few files, and no part in one task
         rows.hint("rebalance", PART).write.partitionBy(PART).parquet(folder)
-        files = Folder(self.spark, folder).files()
-        for key in self.keys if files else ():
-            held = self.spark.read.schema(rows.schema).parquet(*files).where(F.col(key).isNotNull())
-            hashed = held.select(F.xxhash64(key).alias("h"), F.col("_metadata.file_path").alias("file")).distinct()
-            hashed.withColumn("bucket", F.pmod("h", F.lit(BUCKETS))).repartition("bucket").write.partitionBy("bucket").parquet(
+        written = self.spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(folder)
+        file = F.col("_metadata.file_path").alias("file")
+        counts = written.groupBy(file).count().collect()  # one row per file
+        for key in self.keys if counts else ():
+            hashed = written.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h"), file).distinct()
+            hashed.withColumn("bucket", F.pmod("h", F.lit(BUCKETS))).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(
                 f"{self.path}/_subjects/{key}/stage={name}")
-        if not files:
-            return {}
-        counted = self.spark.read.schema(rows.schema).parquet(*files).groupBy(F.col("_metadata.file_path").alias("f")).count()
-        counts = {_plain(r["f"]): r["count"] for r in counted.collect()}  # one row per file
-        return {f: (_part_of(f), counts.get(_plain(f), 0)) for f in files}
+        return {r["file"]: (_part_of(r["file"]), r["count"]) for r in counts}
 
     def append(self, rows: DataFrame, part: Column, notes: Iterable[str] = ()) -> int:
         version = self.version
