@@ -9,13 +9,18 @@ merged.
 Every query meets every row, in cells of one query block and one shard of bounded size; nothing is
 broadcast.
 
-Defined results: vectors that are null or hold null or non-finite components, or components that exceed 32 bits
-after scaling, and null ids take no part; a shorter vector counts as zero beyond its end; rows of the
+Vectors with components so large that 64 bits could overflow in a sum are scored apart, in integers of any
+size; a score beyond 64 bits is given as the nearest one that fits.
+
+Defined results: vectors that are null or hold null or non-finite components, and null ids, take no part (nor
+do components above 2^1017, whose scaled value is not finite); a shorter vector counts as zero beyond its end; rows of the
 same id are never a query's candidates, and equal rows of one id count once.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,17 +34,43 @@ STEP = 16  # terms that are summed before the next look at the bounds
 
 
 def scaled(vector: str | Column, factor: int = 64) -> Column:
-    """floor(factor * component) of each component; null where the vector takes no part."""
+    """floor(factor * component) of each component, as whole doubles; null where the vector takes no part."""
     vector = F.col(vector) if isinstance(vector, str) else vector
     values = F.transform(vector, lambda x: x.cast("double") * factor)
-    limit = float(2**31)
-    sound = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < limit))
-    return F.when(sound, F.transform(values, lambda x: F.floor(x)))
+    sound = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = F.transform(values, lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x))
+    return F.when(sound, whole)
 
 
 def top_of_shard(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """Best k rows of one shard for each query: query numbers, row numbers, scores."""
-    limit = np.abs(rows).max(initial=0) * np.abs(queries).max(initial=0) * rows.shape[1]
+    """Best k rows of one shard for each query, and of the wide rows beside them: query ids, row ids, scores."""
+    most = np.sqrt(2.0**62 / max(1, rows.shape[1]))
+    wide, asks_wide = (np.abs(m).max(axis=1, initial=0) >= most for m in (rows, queries))
+    parts = [_bounded(ids[~wide], rows[~wide].astype(np.int64), query_ids[~asks_wide], queries[~asks_wide].astype(np.int64), k)]
+    if wide.any():
+        parts.append(_unbounded(ids[wide], rows[wide], query_ids, queries, k))
+    if asks_wide.any():
+        parts.append(_unbounded(ids[~wide], rows[~wide], query_ids[asks_wide], queries[asks_wide], k))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _unbounded(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
+    """The same in Python's integers, every row for every query."""
+    exact = [[int(x) for x in row] for row in rows.tolist()]
+    out = []
+    for query, vector in zip(query_ids.tolist(), ([int(x) for x in q] for q in queries.tolist()), strict=True):
+        used = [(i, x) for i, x in enumerate(vector) if x]
+        found = ((-sum(x * row[i] for i, x in used), vec) for vec, row in zip(ids.tolist(), exact, strict=True) if vec != query)
+        out += [(query, vec, min(max(-score, -2**63), 2**63 - 1)) for score, vec in heapq.nsmallest(k, found)]
+    columns = list(zip(*out, strict=True)) or [(), (), ()]
+    return tuple(np.array(c, np.int64) for c in columns)
+
+
+def _bounded(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
+    """Best k rows of one shard for each query: query ids, row ids, scores."""
+    if not len(rows) or not len(queries):
+        return (np.zeros(0, np.int64),) * 3
+    limit = float(np.abs(rows).max()) * float(np.abs(queries).max()) * rows.shape[1]
     kind = np.float64 if limit < 2.0**52 else np.int64
     rows, queries = rows.astype(kind), queries.astype(kind)
     high, low = rows.max(axis=0), rows.min(axis=0)
@@ -82,7 +113,7 @@ def top_of_shard(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queri
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    out = np.zeros((len(column), width), np.int64)
+    out = np.zeros((len(column), width))
     at = 0
     for chunk in column.chunks:
         cuts = chunk.offsets.to_numpy().astype(np.int64)
@@ -99,7 +130,7 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, shard_rows: int = SHARD_ROWS,
           block_queries: int = BLOCK_QUERIES) -> DataFrame:
-    """(query_id, rank, vec_id, score) over rows ``vec_id long, terms array<bigint>``."""
+    """(query_id, rank, vec_id, score) over rows ``vec_id long, terms array<double>`` of whole numbers."""
     rows = vectors.where("vec_id IS NOT NULL AND terms IS NOT NULL")
     rows = rows.groupBy("vec_id", "terms").agg(is_query.alias("asks"))
     n, asked = rows.agg(F.count("*"), F.count_if("asks")).first()

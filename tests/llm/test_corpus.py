@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import random
+
 import hashlib
 import re
 from collections import Counter
@@ -111,6 +114,22 @@ def test_toxicity(spark, no_docs):
     assert classify(no_docs, labels).count() == 0
 
 
+def test_top_k_with_vectors_of_any_size(spark):
+    """Wide components are scored in whole numbers; none is left out for its size."""
+    rnd = random.Random(4)
+    rows = [(i, [rnd.uniform(-1, 1) for _ in range(4)]) for i in range(60)]
+    rows += [(100, [4e7, 1.0, 0.0, 3.0]), (101, [4e7, 1.0, 0.0, 3.0]), (120, [-3e9, 2.5e9, 1e9, 0.25]), (121, [2.0**40, 1.0, 0.0, 0.0]),
+             (140, [1e200, 1.0, 1.0, 1.0]), (141, [float("nan"), 1.0, 1.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = maxscore.top_k(frame.select("vec_id", maxscore.scaled("embedding").alias("terms")), F.col("vec_id") % 20 == 0, 5, 16, 4)
+    whole = {i: [math.floor(64 * x) if abs(x) < 1e100 else 64 * int(x) for x in v] for i, v in rows if v[0] == v[0]}
+    expected = []
+    for q in (i for i in whole if i % 20 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)[:5]
+        expected += [(q, min(max(-s, -2**63), 2**63 - 1)) for s, i in scores]
+    assert sorted((r["query_id"], r["score"]) for r in found.collect()) == sorted(expected)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     data = rng.normal(0, 0.2, (300, 16))
@@ -126,7 +145,7 @@ def test_top_k(spark):
         best = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:20]
         expected |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
     assert set(map(tuple, found)) == expected and len(found) == len(expected)
-    assert maxscore.top_k(frame.where("vec_id < 0").select("vec_id", F.lit(None).cast("array<bigint>").alias("terms")), F.lit(True)).count() == 0
+    assert maxscore.top_k(frame.where("vec_id < 0").select("vec_id", F.lit(None).cast("array<double>").alias("terms")), F.lit(True)).count() == 0
 
 
 def test_lines(docs, no_docs):
