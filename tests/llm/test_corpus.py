@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
-
-import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -18,7 +18,7 @@ from parcela.llm.bpe import encode_digests, encode_texts, vocabulary_path
 from parcela.llm.components import components
 from parcela.llm.decontaminate import drop_contaminated, matches
 from parcela.llm.lines import dedup_lines, remove_repeats
-from parcela.llm.pages import extract
+from parcela.llm.pages import Page, extract, site_templates
 from parcela.llm.toxicity import classify, drop_toxic
 from parcela.llm.urls import judge, rule_table
 
@@ -204,6 +204,56 @@ def test_pages_with_a_box_inside_the_article(spark):
                      | {200 + i: f"Seen twice\n\nOwn {200 + i}" for i in range(2)})
 
 
+def main_text(source):
+    return Page(source).text(set())
+
+
+def test_pages_never_lose_the_article():
+    long = " ".join(f"word{i}" for i in range(60))
+    article = f"<article><h1>T</h1><p>{long}</p></article>"
+    expected = f"T\n\n{long}"
+    for shell in ("<div class='layout has-sidebar'>{}<aside>x</aside></div>", "<div class='sidebar-wrap'>{}</div>", "<form action=/s>{}<input></form>",
+                  "<div class=widget><nav>n</nav>{}</div><article class=tease>Short one</article>", "<div id=search><section class='menu'>{}</section></div>"):
+        assert main_text(f"<body><nav>menu</nav>{shell.format(article)}<footer>f</footer></body>") == expected
+    assert main_text(f"<body><div class='post comments-open'><p>{long}</p></div></body>") == long
+    assert main_text(f"<body><div class=post><p>{long}</p></div><article>Teaser</article></body>") == f"{long}\n\nTeaser"
+    assert main_text(f"<body><form><p>{long}</p></form></body>") == long  # nothing else is left
+    # comments are no article, however they are marked
+    assert main_text(f"<body>{article}<section class=comments><article>{long}</article><article>{long} more</article></section></body>") == expected
+
+
+def test_pages_with_letters_that_change_length_in_lower_case():
+    page = "<article>" + "<p>İstanbul İ</p>" * 60 + "<script>if (a<b) {}</SCRIPT><p>one</p><style>x</style><p>two</p></article>"
+    assert main_text(page).endswith("İ\n\none\n\ntwo")
+
+
+def test_deep_pages_take_time_in_proportion():
+    for tag in ("b", "div", "li", "p", "article", "td"):
+        start = time.perf_counter()
+        text = main_text("<article>" + f"<{tag}>x " * 100_000)
+        assert time.perf_counter() - start < 5 and text.count("x") == 100_000
+    assert main_text("<ul>" + "<li>a<b>" * 20_000).count("a") == 20_000
+    assert main_text("<p>" + "</div></q>" * 50_000 + "end") == "end"
+
+
+def test_template_counts_equal_brute_force(spark):
+    """Hosts' templates against hashes counted page by page, with repeated pages and tied counts."""
+    rnd = random.Random(8)
+    boxes = [f"<div class=b{i}><p>Box {i}</p></div>" for i in range(12)]
+    rows = []
+    for i in range(120):
+        chosen = [b for j, b in enumerate(boxes) if rnd.random() < (j + 1) / 14]
+        rows.append((i, f"http://h{i % 3}.example/{i}", f"<body>{''.join(chosen)}<p>Own {i % 100}</p></body>"))
+    rows += [(500, "http://h0.example/0", rows[0][2])] * 3
+    counts, pages = Counter(), Counter()
+    for host, source in {(u.split("/")[2], h) for _, u, h in rows}:
+        pages[host] += 1
+        counts.update((host, x) for x in Page(source).template_hashes()[0])
+    want = {(h, x) for (h, x), n in counts.items() if n >= 5 and n >= 0.1 * pages[h]}
+    found = site_templates(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    assert {(r["host"], x) for r in found for x in r["template"]} == want and want
+
+
 def shingle_components(rows, width, num, den):
     sets = {}
     for doc, text, _ in rows:
