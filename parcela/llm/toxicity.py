@@ -5,7 +5,8 @@ bytes.  The machine scores  b + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2),
 can weigh more than its parts.  Term weights are divided by the root of the number of *known* terms only in the
 pair part, so a long text does not drown a single insult.
 
-It is fitted in one task on a bounded sample of labelled rows (``SAMPLE_ROWS``, chosen by a hash of the
+Every term that occurs in ``LEAST_TEXTS`` texts takes part in pairs, whatever its own share of toxic texts; a weight of
+its own needs evidence of its own.  It is fitted in one task on a bounded sample of labelled rows (``SAMPLE_ROWS``, chosen by a hash of the
 id); every document is scored over its whole text.
 
 Defined results: null and empty texts have no terms and get the score of the intercept; labels that
@@ -30,7 +31,7 @@ BITS = 18            # hashed terms
 FACTORS = 4
 SAMPLE_ROWS = 20_000  # labelled rows that the machine is fitted on, at most
 LEAST_TEXTS = 4      # a term in fewer texts of the sample is not learned
-UNUSUAL = 3.0        # and so are terms whose share of toxic texts is within so many deviations of the mean
+UNUSUAL = 3.0        # a term has a weight of its own if its share of toxic texts is so many deviations off the mean
 EPOCHS = 8
 THRESHOLD = 0.3
 HELD_OUT = 2         # remainder of crc32(doc_id) modulo 4 that is never learned from
@@ -96,7 +97,8 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
         toxic[t] += label
     rate = (labels.sum() + 0.5) / (len(labels) + 1)
     unusual = np.abs(toxic - counts * rate) / np.sqrt(np.maximum(counts, 1) * rate * (1 - rate))
-    used_terms = (counts >= LEAST_TEXTS) & (unusual >= UNUSUAL)
+    used_terms = counts >= LEAST_TEXTS
+    alone = unusual >= UNUSUAL  # others count in pairs only: what is neutral alone may be toxic beside another
     texts = [t[used_terms[t]] for t in texts]
     rng = np.random.default_rng(seed)
     bias = float(np.log(rate / (1 - rate)))
@@ -118,15 +120,15 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
             score = bias + np.bincount(rows, linear[dims], n) + 0.5 * (scale[:, None] * (sums**2 - squares)).sum(1)
             error = 1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels[batch]
             used, place = np.unique(dims, return_inverse=True)
-            grad = np.bincount(place, error[rows], len(used)) / n + 1e-5 * linear[used]
+            grad = np.where(alone[used], np.bincount(place, error[rows], len(used)) / n + 1e-5 * linear[used], 0)
             g_linear[used] += grad**2
             linear[used] -= 0.3 * grad / np.sqrt(g_linear[used])
             through = (error * scale)[rows]
             for f in range(FACTORS):
                 grad = np.bincount(place, through * (sums[rows, f] - v[:, f]), len(used)) / n
-                grad += 1e-5 * factors[used, f]
+                grad += 1e-4 * factors[used, f]
                 g_factors[used, f] += grad**2
-                factors[used, f] -= 0.05 * grad / np.sqrt(g_factors[used, f])
+                factors[used, f] -= 0.5 * grad / np.sqrt(g_factors[used, f])
             g_bias += error.mean() ** 2
             bias -= 0.1 * error.mean() / np.sqrt(g_bias)
     return Machine(float(bias), linear, factors)

@@ -10,6 +10,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,7 +20,8 @@ from parcela.llm.components import components
 from parcela.llm.decontaminate import drop_contaminated, matches
 from parcela.llm.lines import dedup_lines, remove_repeats
 from parcela.llm.pages import Page, extract, site_templates
-from parcela.llm.toxicity import classify, drop_toxic
+from parcela.llm.toxicity import classify, drop_toxic, fit, terms
+from parcela.llm.words import slices
 from parcela.llm.urls import judge, rule_table
 
 from .conftest import corpus, prose
@@ -114,6 +116,35 @@ def test_toxicity(spark, no_docs):
     assert classify(no_docs, labels).count() == 0
 
 
+def test_toxicity_learns_pairs_of_terms_that_are_neutral_alone():
+    """Two words as often toxic as any text, and always toxic together, among texts with an insult of its own."""
+    rnd, texts, kinds = random.Random(2), [], []
+    for _ in range(16_000):
+        words, draw = [f"w{rnd.randrange(3000)}" for _ in range(8)], rnd.random()
+        kind = 0
+        if draw < 0.38:
+            words.insert(3, "zork" if draw < 0.18 or draw >= 0.36 else "blim")
+        if 0.36 <= draw < 0.38:
+            words.insert(5, "blim")
+            kind = 2
+        elif 0.38 <= draw < 0.46:
+            words.insert(7, "idiot")
+            kind = 1
+        texts.append(" ".join(words))
+        kinds.append(kind)
+    found = []
+    for _, end, raw, offsets in slices(pa.array(texts)):
+        rows, dims = terms(raw, offsets)
+        cuts = np.searchsorted(rows, np.arange(len(offsets)))
+        found += [dims[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    kinds = np.array(kinds)
+    machine = fit(found[:12_000], (kinds[:12_000] > 0).astype(float))
+    held, kind = found[12_000:], kinds[12_000:]
+    scores = machine.scores(np.repeat(np.arange(len(held)), [len(t) for t in held]), np.concatenate(held), len(held))
+    assert (scores[kind == 2] >= 0.3).mean() > 0.7 and (scores[kind == 1] >= 0.3).mean() > 0.97
+    assert (scores[kind == 0] >= 0.3).mean() < 0.005
+
+
 def test_top_k_with_vectors_of_any_size(spark):
     """Wide components are scored in whole numbers; none is left out for its size."""
     rnd = random.Random(4)
