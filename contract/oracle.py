@@ -785,6 +785,8 @@ for _i, _kind in enumerate(KINDS):
     SQL[f"i02_normalise_{_kind}"] = f"SELECT '{_kind}' AS source, 'standard_v1' AS format, 'normalization' AS processing_step, event_type AS origine, COUNT(*) AS nombre FROM events WHERE event_id % 4 = {_i} AND {GOOD} GROUP BY event_type"
 KIND_OF = "list_extract(['api', 'file', 'web', 'database'], CAST(event_id % 4 + 1 AS INTEGER))"
 SQL["i02b_rejected_lines"] = f"SELECT {KIND_OF} AS source, COUNT(*) AS nombre FROM events WHERE event_id % 17 = 3 GROUP BY 1"
+SQL["i02c_any_json"] = """SELECT forme, COUNT(*) AS messages, COUNT(*) FILTER (forme NOT IN ('suite', 'apostrophes', 'reste', 'coupe')) AS gardes
+  FROM (SELECT ['objet', 'cle_double', 'tableau', 'nombre', 'texte', 'suite', 'apostrophes', 'reste', 'non_nombre', 'coupe'][CAST(event_id % 10 + 1 AS INTEGER)] AS forme FROM events) GROUP BY 1"""
 SQL["i03_union_sources"] = f"SELECT {KIND_OF} AS source, COUNT(*) AS nombre FROM events WHERE {GOOD} GROUP BY 1"
 SQL["i04_aggregate_stream"] = f"SELECT CAST(COUNT(*) AS BIGINT) AS total_records, 'api|database|file|web' AS sources FROM events WHERE {GOOD}"
 LOG = """WITH log AS (SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS id, date_trunc('hour', ts) AS created_at, COUNT(*) AS total_records,

@@ -701,6 +701,23 @@ add("i02b_rejected_lines", lambda s: ingest.union_sources(
         F.count("*").alias("nombre")))
 
 
+@query("i02c_any_json")
+def _(s: Source) -> DataFrame:
+    """Messages of every form, kept or rejected, by form."""
+    k, name = C("event_id"), C("event_type")
+    forms = {
+        "objet": F.concat(F.lit('{"type": "'), name, F.lit('"}')), "cle_double": F.concat(F.lit('{"a": 1, "a": '), k.cast("string"), F.lit("}")),
+        "tableau": F.concat(F.lit("["), k.cast("string"), F.lit(', "'), name, F.lit('"]')), "nombre": k.cast("string"),
+        "texte": F.concat(F.lit('"l\'heure '), name, F.lit('"')), "suite": F.concat(k.cast("string"), F.lit("],["), k.cast("string")),
+        "apostrophes": F.concat(F.lit("{'a': "), k.cast("string"), F.lit("}")), "reste": F.concat(F.lit('{"a": 1} '), name),
+        "non_nombre": F.concat(F.lit('{"v": NaN, "n": '), k.cast("string"), F.lit("}")), "coupe": F.concat(F.lit('{"a": "'), name)}
+    form = F.element_at(F.array(*map(F.lit, forms)), (k % len(forms) + 1).cast("int"))
+    line = F.element_at(F.array(*forms.values()), (k % len(forms) + 1).cast("int"))
+    lines = s.table("events").select(form.alias("forme"), line.alias("value"))
+    kept = lines.withColumn("lisible", ingest.is_json(C("value")))
+    return kept.groupBy("forme").agg(F.count("*").alias("messages"), F.count_if("lisible").alias("gardes"))
+
+
 def _united_stream(s: Source) -> DataFrame:
     return ingest.union_sources(*[
         _normalised(s, k, ingest.collect_source(s.spark, _landed(s, k))) for k in ingest.KINDS])

@@ -3,16 +3,27 @@
 from __future__ import annotations
 
 import re
+from functools import cache
 
+from py4j.java_gateway import JavaObject, is_instance_of
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
-_READ_ONLY = re.compile(r"^\s*(select|with)\b", re.IGNORECASE)
-_NOT_A_QUERY = re.compile(
-    r"\b(InsertInto\w*|Overwrite\w*|Append\w*|Merge\w*|Delete\w*|Update\w*|Create\w*|Drop\w*|ScriptTransformation|\w+Command)\b")
-_JVM_CALL = re.compile(r"'(?:\w+\.)*(java_method|reflect|try_reflect)\(", re.IGNORECASE)
+_READ_ONLY = re.compile(r"^[\s(]*(select|with|from|values)\b", re.IGNORECASE)
 _COMMENTS = re.compile(r"--[^\n]*|/\*.*?\*/", re.DOTALL)
 
+# What a parsed query may consist of: nodes of plans, and what stands for names not looked up yet.
+_NODES = frozenset("""Project Filter Aggregate Sort GlobalLimit LocalLimit Offset Tail Join LateralJoin SubqueryAlias Distinct Deduplicate
+Union Except Intersect Window Generate Expand Sample Pivot Unpivot UnresolvedWith WithWindowDefinition OneRowRelation OneRowRelation$
+LocalRelation UnresolvedHint Values NaturalJoin UsingJoin PipeOperator RepartitionByExpression Repartition RebalancePartitions
+UnresolvedRelation UnresolvedHaving UnresolvedInlineTable UnresolvedSubqueryColumnAliases UnresolvedTableValuedFunction
+UnresolvedTVFAliases UnresolvedAttribute UnresolvedFunction UnresolvedStar UnresolvedStarExcept UnresolvedStarExceptOrReplace UnresolvedStarWithColumns UnresolvedRegex
+UnresolvedAlias UnresolvedOrdinal UnresolvedExtractValue UnresolvedNamedLambdaVariable UnresolvedSubqueryColumnAlias
+UnresolvedGenerator UnresolvedWindowExpression MultiAlias GetColumnByOrdinal NamedParameter PosParameter GroupingAnalytics
+UnresolvedGroupByAll JoinHint HintInfo JoinHint$ UnresolvedOrderByAll ResolvedStar UnresolvedUnpivot UnpivotExpr ParameterizedQuery""".split())
+#: Functions that call into the JVM.
+_REACH_OUT = frozenset(["java_method", "reflect", "try_reflect"])
+_TREES = "org.apache.spark.sql.catalyst."
+
 # Functions for SQL users; each is a Catalyst expression, not a Python function.
 SQL_FUNCTIONS = """
 CREATE OR REPLACE TEMPORARY FUNCTION nettoyer_prix(t STRING) RETURNS DECIMAL(12,2)
@@ -83,19 +94,63 @@ def register_views(tables: dict[str, DataFrame]) -> list[str]:
     return sorted(tables)
 
 
+def _parts(gateway, node) -> list:
+    """What a node of a parsed tree, a collection or a pair is made of."""
+    if is_instance_of(gateway, node, "scala.collection.Iterable"):
+        found = node.iterator()
+    elif is_instance_of(gateway, node, "scala.Product"):
+        found = node.productIterator()
+    else:
+        return []
+    out = []
+    while found.hasNext():
+        out.append(found.next())
+    return [x for x in out if isinstance(x, JavaObject)]
+
+
+def _forbidden(spark: SparkSession, tree) -> str | None:
+    """The first thing in a parsed query that only reading needs no, or None."""
+    left = [tree]
+    while left:
+        node = left.pop()
+        package, _, name = node.getClass().getName().rpartition(".")
+        if package.startswith("org.apache.spark.sql.execution") or (
+                package in (f"{_TREES}plans.logical", f"{_TREES}analysis") and name not in _NODES):
+            return name
+        if name == "UnresolvedRelation" and node.multipartIdentifier().size() > 1:
+            return "a table by path or from another catalogue"
+        if name in ("UnresolvedFunction", "UnresolvedTableValuedFunction"):
+            words = node.nameParts() if name == "UnresolvedFunction" else node.name()
+            function = words.apply(words.size() - 1).lower()
+            if function in _REACH_OUT or function not in _known_functions(spark.version) | _own_functions():
+                return f"function {function}"
+        left += _parts(spark.sparkContext._gateway, node)
+    return None
+
+
+@cache
+def _known_functions(version: str) -> frozenset[str]:
+    """Names of the functions that come with Spark."""
+    return frozenset(r[0] for r in SparkSession.active().sql("SHOW SYSTEM FUNCTIONS").collect())
+
+
+def _own_functions() -> set[str]:
+    return {n.lower() for n in re.findall(r"FUNCTION (\w+)", SQL_FUNCTIONS)}
+
+
 def is_read_only(spark: SparkSession, text: str) -> bool:
     """True for one query over named tables: no writes, no files by path, no calls into the JVM.
 
-    The statement is parsed, not run; what the parser makes of it decides.
+    The statement is parsed, not run, and every node and expression of the tree must be one that reading needs; literals,
+    aliases and comments are free.
     """
     if not _READ_ONLY.match(_COMMENTS.sub(" ", text)):
         return False
     try:
-        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text.strip().rstrip(";")).toString()
+        tree = spark._jsparkSession.sessionState().sqlParser().parsePlan(text.strip().rstrip(";"))
     except Exception:  # does not parse: the error row of run_sql says so
         return True
-    by_path = [r for r in re.findall(r"UnresolvedRelation \[([^\]]*)\]", plan) if "," in r]
-    return not by_path and not _NOT_A_QUERY.search(plan) and not _JVM_CALL.search(plan)
+    return _forbidden(spark, tree) is None
 
 
 def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -116,7 +171,7 @@ def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None
 def run_query_catalogue(
     spark: SparkSession, path: str, tables: dict[str, DataFrame] | None = None
 ) -> dict[str, DataFrame]:
-    """Every ``.sql`` file of a folder as a named frame; a failing query gives an empty one."""
+    """Every ``.sql`` file of a folder as a named frame; a failing query gives the row with its error."""
     if tables:
         register_views(tables)
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.sql").selectExpr(
@@ -124,8 +179,5 @@ def run_query_catalogue(
     )
     out: dict[str, DataFrame] = {}
     for row in files.orderBy("name").collect():  # the query files of one folder
-        try:
-            out[row["name"]] = spark.sql(row["value"].strip().rstrip(";"))
-        except Exception:
-            out[row["name"]] = spark.createDataFrame([], StructType([]))
+        out[row["name"]] = run_sql(spark, row["value"])
     return out

@@ -42,17 +42,36 @@ def collect_source(
     return reader.load(path)
 
 
-def is_json_object(c: Column) -> Column:
-    return F.coalesce(F.try_parse_json(c).isNotNull() & F.ltrim(c).startswith("{"), F.lit(False))
+_STRING = r'"[^"\\\\]*+(?:\\\\.[^"\\\\]*+)*+"'
+_NUMBER_WORDS = r"-?\bInfinity\b|\bNaN\b"
+
+
+def is_json(c: Column) -> Column:
+    """Whether a text is one JSON value of any kind and size: objects (keys may repeat), arrays, scalars.
+
+    The text is put into an array, once alone and once before another element: only a complete value gives
+    arrays of one and two elements.  The parser also knows single quotes, which a look at the text without its
+    strings rules out, and does not know NaN and Infinity, which are put aside there.
+    """
+    bare = F.regexp_replace(c, _STRING, '""')
+    words = bare.rlike(_NUMBER_WORDS)
+    text = F.when(words, F.regexp_replace(bare, _NUMBER_WORDS, "0")).otherwise(c)
+
+    def elements(*parts: Column | str) -> Column:
+        return F.json_array_length(F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]))
+
+    one = (elements("[", text, "]") == 1) & (elements("[", text, ",0]") == 2)
+    control = F.lit(r"[\x00-\x1f]")  # not inside strings
+    return F.coalesce(one & ~bare.contains("'") & (F.regexp_count(c, control) == F.regexp_count(bare, control)), F.lit(False))
 
 
 def normalise_stream(lines: DataFrame, kind: str, at: Column | None = None) -> DataFrame:
-    """Readable messages of one kind in the standard envelope.
+    """Readable messages of one kind (any JSON value) in the standard envelope.
 
     Messages of the "file" kind must hold ``data``.  Works on streams and batches alike.
     """
     value = F.col("value")
-    valid = is_json_object(value)
+    valid = is_json(value)
     if kind == "file":
         valid = valid & F.get_json_object(value, "$.data").isNotNull()
     stamp = F.current_timestamp() if at is None else at
@@ -69,7 +88,7 @@ def normalise_stream(lines: DataFrame, kind: str, at: Column | None = None) -> D
 def rejected_lines(lines: DataFrame, kind: str) -> DataFrame:
     """The messages that :func:`normalise_stream` leaves out, for a side table."""
     value = F.col("value")
-    valid = is_json_object(value)
+    valid = is_json(value)
     if kind == "file":
         valid = valid & F.get_json_object(value, "$.data").isNotNull()
     return lines.filter(~valid).select(F.lit(kind).alias("source"), "value")

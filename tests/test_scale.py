@@ -281,3 +281,39 @@ def test_only_queries_run(spark, tmp_path):
                  "SELECT 1; SELECT 2", "DROP VIEW known"):
         assert run_sql(spark, text).columns == ["erreur"], text
     assert run_sql(spark, "SELECT count(*) AS n FROM known -- all; of them").first()[0] == 3
+
+
+def test_read_only_gate_walks_the_tree(spark, tmp_path):
+    from parcela.plans.catalogue import is_read_only, register_sql_functions
+
+    wide = ", ".join(f"{i} AS c{i}" for i in range(40))
+    call = "java_method('java.lang.System', 'getProperty', 'user.home')"
+    refused = [
+        f"SELECT {wide}, {call} AS x", f"SELECT {wide} FROM t WHERE EXISTS (SELECT {call})", f"WITH a AS (SELECT {call} AS x) SELECT * FROM a",
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home')", "SELECT system.builtin.reflect('java.lang.System', 'exit', 0)",
+        f"SELECT sum(v) OVER w FROM t WINDOW w AS (PARTITION BY {call})", f"SELECT transform(array(1), x -> {call})",
+        "SELECT * FROM parquet.`/tmp/x`", "SELECT * FROM (SELECT * FROM csv.`/etc/passwd`) AS q", "SELECT * FROM other.t",
+        "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a", "SELECT TRANSFORM(v) USING 'cat' AS x FROM t", "DROP TABLE t",
+        f"VALUES ({call})", f"SELECT v FROM t ORDER BY {call}", f"SELECT v FROM t GROUP BY v HAVING {call} = 'x'", "SELECT my_python_udf(v) FROM t",
+    ]
+    assert [q for q in refused if is_read_only(spark, q)] == []
+    register_sql_functions(spark)
+    allowed = [
+        "SELECT * FROM t WHERE kind = 'Delete'", "SELECT v AS Updated, 1 AS `Drop` FROM t", "SELECT 'java_method(' AS CreateTable -- insert into",
+        f"SELECT {wide}", "(SELECT 1) UNION ALL (SELECT 2) ORDER BY 1 LIMIT 3", "WITH a AS (SELECT 1 AS x), b AS (SELECT * FROM a) SELECT * FROM b JOIN a USING (x)",
+        "SELECT kind, count(DISTINCT v) FILTER (WHERE v > 1) FROM t GROUP BY ROLLUP(kind) HAVING count(*) > 0",
+        "SELECT rank() OVER (PARTITION BY kind ORDER BY v) FROM t", "SELECT sum(v) OVER w FROM t WINDOW w AS (ORDER BY v)",
+        "SELECT x FROM t LATERAL VIEW explode(array(1, 2)) e AS x", "SELECT * FROM range(5)", "VALUES (1, 'a'), (2, 'b')",
+        "SELECT CASE WHEN v IN (SELECT max(v) FROM t) THEN 1 END, filter(array(1, 2), x -> x > 1) FROM t WHERE NOT EXISTS (SELECT 1 FROM t u WHERE u.v = t.v)",
+        "SELECT nettoyer_prix('1 000 €')", "SELECT * FROM t PIVOT (sum(v) FOR kind IN ('a', 'b'))", "SELECT t.* EXCEPT (v) FROM t CROSS JOIN t AS u",
+    ]
+    assert [q for q in allowed if not is_read_only(spark, q)] == []
+
+
+def test_catalogue_shows_the_error_of_a_failing_file(spark, tmp_path):
+    from parcela.plans.catalogue import run_query_catalogue
+
+    (tmp_path / "bad.sql").write_text("SELECT nothing_here FROM nowhere")
+    (tmp_path / "good.sql").write_text("SELECT 1 AS n;")
+    found = run_query_catalogue(spark, str(tmp_path))
+    assert found["good"].first()["n"] == 1 and found["bad"].columns == ["erreur"]

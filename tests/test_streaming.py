@@ -46,7 +46,31 @@ def test_normalise_keeps_good_and_rejects_bad(spark, landed):
     assert (row["source"], row["normalized"], row["format"], row["processing_step"]) == (
         "file", True, "standard_v1", "normalization")
     # other kinds need no "data"
-    assert ingest.normalise_stream(lines, "web").count() == 7
+    assert ingest.normalise_stream(lines, "web").count() == 9  # scalars and arrays as well
+
+
+def _reads(text):
+    try:
+        json.loads(text)
+    except ValueError:
+        return False
+    return True
+
+
+def test_any_json_value_is_a_message(values):
+    texts = ['{"a": 1}', '{"a": 1, "a": 2}', "[1, [2]]", "[]", "{}", "42", "-1.5e3", '"x"', "true", "null", " 7 ", '"a\\"b"', '{"a": "it\'s"}',
+             "NaN", "[-Infinity, NaN]", '{"NaN": "Infinity"}', '"\\u00e9"', '{"a": {"b": [{"c": null}]}}', '"\U0001f600"',
+             "", " ", "{broken", "{'a': 1}", "1,2", "1],[2", "1]", "[1", "]", '{"a": 1} x', '{"a": 1} {"b": 2}', "nan", "tru", "'x'", '{"a" 1}', "01",
+             '"a', '{"a": 1,}', "[1,]", "// x\n1", '"\\x"', "+1", ".5", "-", '{"a": NaNx}', '"a\tb"']
+    assert values(ingest.is_json, texts) == [_reads(t) for t in texts]
+    assert values(ingest.is_json, [None]) == [False]
+
+
+def test_a_message_of_any_size(spark):
+    big = spark.range(1).select(F.concat(F.lit('{"a": ['), F.repeat(F.lit('"it is, ", '), 13_000_000), F.lit('1]}')).alias("value"))
+    assert [r[0] for r in big.select(ingest.is_json(F.col("value"))).collect()] == [True]
+    cut = big.select(F.expr("substring(value, 1, length(value) - 1)").alias("value"))
+    assert [r[0] for r in cut.select(ingest.is_json(F.col("value"))).collect()] == [False]
 
 
 def test_stream_equals_batch_and_log_is_idempotent(spark, landed, tmp_path):
