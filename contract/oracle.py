@@ -211,14 +211,17 @@ base("s10_run_sql", "SELECT type_bien, COUNT(*) AS nombre FROM annonces WHERE pr
 base("s14_table_count_report", " UNION ALL ".join(
     f"SELECT '{t}' AS nom_table, COUNT(*) AS nombre, 'ok' AS statut FROM {t}"
     for t in ("annonces", "caracteristiques", "images", "conseiller", "dpe", "copropriete")))
-_COLUMNS = {
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
-    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
-}
-SQL["s12_profile_tables"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS nom_table, '{c}' AS colonne, CAST({i} AS INTEGER) AS position, (SELECT COUNT(*) FROM {t}) AS nombre"
-    for t, columns in _COLUMNS.items() for i, c in enumerate(columns, 1))
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+          "benchmark", "labels", "conversations")
+COLUMNS = """columns AS (SELECT table_name, column_name, CAST(ordinal_position AS INTEGER) AS position, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+  WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'DOUBLE[]' THEN 'array<double>' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+  WHEN 'DATE' THEN 'date' WHEN 'TINYINT' THEN 'tinyint' WHEN 'BOOLEAN' THEN 'boolean' ELSE data_type END AS type
+  FROM information_schema.columns WHERE table_name IN (""" + ", ".join(f"'{t}'" for t in TABLES) + "))"
+SQL["s12_profile_tables"] = f"WITH {COLUMNS}, n AS (" + " UNION ALL ".join(f"SELECT '{t}' AS nom_table, COUNT(*) AS nombre FROM {t}" for t in TABLES) + """)
+  SELECT nom_table, column_name AS colonne, position, type, true AS nullable, nombre FROM n JOIN columns ON nom_table = table_name"""
+SQL["s13_describe_catalogue_csv"] = f"""WITH {COLUMNS} SELECT 'spark' AS dbms, CAST(NULL AS VARCHAR) AS table_catalog, 'public' AS table_schema, table_name, column_name,
+  position AS ordinal_position, type AS data_type, CASE WHEN type = 'string' THEN 255 END AS character_maximum_length, CASE WHEN position = 1 THEN 'PRIMARY KEY' END AS constraint_type,
+  CAST(NULL AS VARCHAR) AS table_schema_2, CAST(NULL AS VARCHAR) AS table_name_2, CAST(NULL AS VARCHAR) AS column_name_2 FROM columns"""
 
 # --- commerce -------------------------------------------------------------------------------
 MONEY = "CAST(l_quantity AS DECIMAL(8,2)) * CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,3)))"
@@ -229,7 +232,7 @@ JOINED = "lineitem JOIN orders ON l_orderkey = o_orderkey"
 SQL["c02_chiffre_affaires_par_client"] = f"SELECT c_custkey AS id_client, c_name AS nom_client, {REVENUE} AS chiffre_affaires FROM {JOINED} JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"
 PER_MONTH = f"SELECT strftime(o_orderdate, '%Y-%m') AS mois, {REVENUE} AS chiffre_affaires FROM {JOINED} {{0}} GROUP BY 1"
 SQL["c03_chiffre_affaires_par_mois"] = PER_MONTH.format("WHERE year(o_orderdate) = 1998")
-SQL["s11_catalogue_chiffre_affaires_par_mois"] = PER_MONTH.format("")
+SQL["s11_catalogue_chiffre_affaires_par_mois"] = SQL["c03_chiffre_affaires_par_mois"]
 BOXES = "lineitem JOIN part ON l_partkey = p_partkey"
 BOX = "p_partkey AS id_boite, p_brand AS nom_matiere, p_type AS nom_couleur"
 SQL["c04_meilleures_boites_quantite"] = f"SELECT {BOX}, CAST(SUM(l_quantity) AS DOUBLE) AS quantite_vendue FROM {BOXES} GROUP BY 1, 2, 3 ORDER BY quantite_vendue DESC, id_boite LIMIT 5"
@@ -247,6 +250,9 @@ SQL["q08b_box_integrity"] = f"WITH b AS (SELECT {SIDES} FROM part) " + " UNION A
     f"SELECT 'chk_{n}' AS regle, COUNT(*) FILTER ({n}_mm > 1000) AS violations FROM b" for n in ("longueur", "largeur", "hauteur"))
 SQL["c11_boites_par_matiere"] = "SELECT p_brand AS nom_matiere, COUNT(*) AS nb_boites FROM part GROUP BY 1"
 SQL["s11_catalogue_boites_par_matiere"] = SQL["c11_boites_par_matiere"]
+for _number, _name in (("02", "chiffre_affaires_par_client"), ("04", "meilleures_boites_quantite"), ("05", "meilleures_boites_chiffre"),
+                       ("06", "chiffre_affaires_par_matiere"), ("07", "chiffre_affaires_par_couleur"), ("09", "quantite_moyenne_par_boite")):
+    SQL[f"s11_catalogue_{_name}"] = SQL[f"c{_number}_{_name}"]
 SQL["c11b_boites_par_couleur"] = "SELECT p_type AS nom_couleur, COUNT(*) AS nb_boites FROM part GROUP BY 1"
 SQL["c12_commandes_par_jour"] = "SELECT CAST(o_orderdate AS DATE) AS date_commande, COUNT(*) AS nb_commandes FROM orders GROUP BY 1"
 SQL["c12b_boites_par_client"] = f"SELECT c_name AS nom_client, CAST(SUM(l_quantity) AS DOUBLE) AS total_boites FROM {JOINED} JOIN customer ON o_custkey = c_custkey GROUP BY 1"
@@ -774,6 +780,8 @@ b AS (SELECT * FROM b0 UNION ALL SELECT * FROM b0 WHERE id_annonce % 8 = 0)"""
 FRESH = "SELECT DISTINCT ref, titre, CAST(prix AS DOUBLE) AS prix FROM b WHERE ref <> '' AND ref NOT IN (SELECT reference FROM known)"
 SQL["s07_load_counts"] = f"""WITH {LOAD}, fresh AS ({FRESH}) SELECT 'inserted' AS statut, (SELECT COUNT(*) FROM fresh) AS nombre
   UNION ALL SELECT 'skipped', (SELECT COUNT(*) FROM b WHERE ref <> '') - (SELECT COUNT(*) FROM fresh) UNION ALL SELECT 'error', (SELECT COUNT(*) FROM b WHERE ref = '')"""
+SQL["s07c_upsert_new_by_key"] = f"""WITH {LOAD} SELECT ref AS reference, titre, prix FROM ({FRESH})
+  UNION ALL SELECT reference, titre, CAST(prix AS DOUBLE) FROM annonces WHERE id_annonce % 3 = 0"""
 SQL["s07b_new_rows"] = f"WITH {LOAD} SELECT ref AS reference, titre, prix FROM ({FRESH})"
 agg("s08_insert_aggregates_if_absent", f"reference, {G1} AS score_global", "WHERE k % 3 = 0 AND k % 10 <> 6")
 
@@ -800,6 +808,7 @@ SQL["i09_purge_old"] = f"{LOG} SELECT id, created_at FROM log WHERE created_at >
 SQL["i09c_purge_stored"] = f"""{LOG} SELECT id, to_json({{'aggregation_timestamp': strftime(created_at, '%Y-%m-%dT%H:%M:%S'), 'total_records': total_records, 'sources': CAST(sources AS JSON),
   'aggregation_type': 'stream_auto', 'environment': 'prod', 'queue': 'queue_normalized', 'initial_count': total_records, 'records_processed': total_records}})::VARCHAR AS metadata, created_at FROM log WHERE created_at >= TIMESTAMP '2024-01-10 12:00:00'"""
 SQL["i09b_purge_counts"] = f"{LOG} SELECT COUNT(*) AS avant, COUNT(*) FILTER (created_at >= TIMESTAMP '2024-01-10 12:00:00') AS apres, COUNT(*) FILTER (created_at < TIMESTAMP '2024-01-10 12:00:00') AS supprimes FROM log"
+SQL["i15_archive_processed_files"] = "SELECT event_type AS origine, COUNT(*) AS messages, true AS archive FROM events GROUP BY 1"
 SQL["i10_queue_depths"] = """SELECT queue, n AS elements, CASE WHEN n = 0 THEN 'vide' WHEN n < 10 THEN 'faible' ELSE 'charge' END AS etat
   FROM (SELECT q.queue, COUNT(e.event_id) AS n FROM (VALUES ('click'), ('view'), ('purchase'), ('absent')) q(queue) LEFT JOIN events e ON e.event_type = q.queue GROUP BY 1)"""
 SQL["i11_export_latest_sample"] = f"{LOG} SELECT id AS aggregation_id, CAST(total_records AS VARCHAR) AS data_count, '2025-11-15T00:00:00' AS export_timestamp FROM log ORDER BY created_at DESC LIMIT 1"
@@ -850,8 +859,9 @@ SQL["g04_apply_retention"] = f"WITH {ANNONCES}, {KEPT} " + retention(("annonces"
 SQL["g04c_retention_stored"] = SQL["g04_apply_retention"]
 SQL["g04b_retained_rows"] = f"SELECT nom_table, apres AS nombre, 'ok' AS statut FROM ({SQL['g04_apply_retention']})"
 SQL["g07_compliance_report"] = (
-    f"WITH {ANNONCES}, {KEPT}, r AS ({retention(('annonces', 'dpe', 'copropriete'))}), u AS ({audit('text', 'conversations')}) "
-    "SELECT 'retention' AS volet, nom_table AS objet, 'supprimes' AS mesure, supprimes AS nombre FROM r UNION ALL SELECT 'audit', colonne, motif, nombre FROM u")
+    f"WITH {ANNONCES}, {KEPT}, r AS ({retention(('annonces', 'caracteristiques', 'images', 'conseiller', 'dpe', 'copropriete'))}), "
+    + "u AS (" + " UNION ALL ".join(f"SELECT '{t}.' || colonne AS colonne, motif, nombre FROM ({audit(c, t)})" for t, c in (("conversations", "text"), ("documents", "text"), ("pages", "html")))
+    + ") SELECT 'retention' AS volet, nom_table AS objet, 'supprimes' AS mesure, supprimes AS nombre FROM r UNION ALL SELECT 'audit', colonne, motif, nombre FROM u")
 base("g05_annonces_anonymisees", f"SELECT id_annonce, reference, titre, {dbl('prix')} AS prix, {dbl('surface')} AS surface, substr(localisation, 1, 3) || '***' AS localisation_secure, type_bien FROM annonces WHERE date_extraction >= {CUTOFF}")
 ASKED = "asked AS (SELECT c_name AS nom_complet, CASE WHEN c_custkey % 40 = 0 THEN 'suppression' ELSE 'acces' END AS type_demande FROM customer WHERE c_custkey % 20 = 0)"
 SQL["g08_access_subject"] = f"WITH {ANNONCES}, {ASKED} SELECT * FROM conseiller WHERE nom_complet IN (SELECT nom_complet FROM asked)"

@@ -20,6 +20,7 @@ from parcela.plans import catalogue, commerce, search, views
 from parcela.schemas import RAW_LISTING, REQUIRED_OUTPUT_FIELDS
 from parcela.session import shared_dir
 from parcela.sources import files, profile
+from parcela.sources.storage import Folder
 from parcela.sources.versions import PART, StoredTable, day_of, month_of
 from parcela.streaming import dedup, events, ingest, layers
 
@@ -117,6 +118,12 @@ class Source:
             C("h").alias("created_at"),
         )
 
+    @cached_property
+    def catalogue(self) -> dict[str, DataFrame]:
+        """The query files of the package over the shop tables."""
+        folder = os.path.join(os.path.dirname(catalogue.__file__), "sql")
+        return catalogue.run_query_catalogue(self.spark, folder, self.shop, {"annee": bind.DATA_YEAR})
+
     @cached_property
     def medallion(self) -> str:
         """Gold after two batches of listings, each taken through the layers when it arrives."""
@@ -619,6 +626,19 @@ def _batch(s: Source) -> tuple[DataFrame, DataFrame]:
 
 
 add("s07_load_counts", lambda s: load.load_counts(*_batch(s)))
+
+
+@query("s07c_upsert_new_by_key")
+def _(s: Source) -> DataFrame:
+    """The stored table after a batch has been loaded twice; the second load finds nothing new."""
+    known, batch = _batch(s)
+    path = shared_dir(s.spark, "loaded")
+    load.upsert_new_by_key(path, known)
+    for _ in range(2):
+        load.upsert_new_by_key(path, batch)
+    return s.spark.read.schema(batch.schema).parquet(path).select("reference", "titre", "prix")
+
+
 add("s07b_new_rows", lambda s: load.new_rows(*_batch(s)).select("reference", "titre", "prix"))
 
 
@@ -642,11 +662,31 @@ def _(s: Source) -> DataFrame:
 add("s10_run_sql", lambda s: catalogue.run_sql(
     s.spark, "SELECT type_bien, COUNT(*) AS nombre FROM annonces WHERE prix > 200000 GROUP BY type_bien",
     {"annonces": s.base["annonces"]}))
-_SQL_DIR = os.path.join(os.path.dirname(catalogue.__file__), "sql")
-for _name in ("commandes_par_client", "chiffre_affaires_par_mois", "boites_par_matiere", "commandes_par_jour_semaine"):
-    add(f"s11_catalogue_{_name}", lambda s, n=_name: catalogue.run_query_catalogue(s.spark, _SQL_DIR, s.shop)[n])
-add("s12_profile_tables", lambda s: profile.profile_tables(
-    s.spark, {n: s.table(n) for n in ("customer", "orders", "lineitem")}).select("nom_table", "colonne", "position", "nombre"))
+for _name in ("commandes_par_client", "chiffre_affaires_par_client", "chiffre_affaires_par_mois", "meilleures_boites_quantite",
+              "meilleures_boites_chiffre", "chiffre_affaires_par_matiere", "chiffre_affaires_par_couleur",
+              "commandes_par_jour_semaine", "quantite_moyenne_par_boite", "boites_par_matiere"):
+    add(f"s11_catalogue_{_name}", lambda s, n=_name: s.catalogue[n])
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+          "benchmark", "labels", "conversations")
+add("s12_profile_tables", lambda s: profile.profile_tables(s.spark, {n: s.table(n) for n in TABLES}))
+
+
+@query("s13_describe_catalogue_csv")
+def _(s: Source) -> DataFrame:
+    """The column metadata of every table, written as CSV with NULL for absent values and read back."""
+    columns = profile.profile_columns(s.spark, {n: s.table(n) for n in TABLES})
+    absent = F.lit(None).cast("string")
+    rows = columns.select(
+        F.lit("spark").alias("dbms"), absent.alias("table_catalog"), F.lit("public").alias("table_schema"), C("nom_table").alias("table_name"),
+        C("colonne").alias("column_name"), C("position").alias("ordinal_position"), C("type").alias("data_type"),
+        F.when(C("type") == "string", 255).alias("character_maximum_length"),
+        F.when(C("position") == 1, "PRIMARY KEY").alias("constraint_type"), absent.alias("table_schema_2"), absent.alias("table_name_2"),
+        absent.alias("column_name_2"))
+    path = shared_dir(s.spark, "catalogue-csv")
+    rows.write.option("header", True).option("nullValue", "NULL").csv(path)
+    return files.describe_catalogue_csv(s.spark, path)
+
+
 add("s14_table_count_report", lambda s: profile.table_count_report(s.base))
 
 
@@ -763,6 +803,23 @@ def _(s: Source) -> DataFrame:
 
 
 add("i09b_purge_counts", lambda s: ingest.purge_counts(s.log, LOG_NOW, 10))
+
+
+@query("i15_archive_processed_files")
+def _(s: Source) -> DataFrame:
+    """All events as files of one source; files whose batch is committed move to the archive."""
+    land, archive, out, ckpt = (shared_dir(s.spark, n) for n in ("land-archive", "archive", "archived", "ckpt"))
+    line = F.to_json(F.struct(C("event_type").alias("source"), C("props").alias("data")))
+    rows = s.table("events").select((C("event_id") % 4).alias("part"), line.alias("value"))
+    for part in range(4):  # a batch's files move once the next one begins
+        rows.filter(C("part") == part).select("value").coalesce(1).write.mode("append").text(land)
+        stream = ingest.collect_source(s.spark, land, archive=archive)
+        ingest.run_available(_normalised(s, "file", stream), layers.to_bronze(out), ckpt)
+    moved = len(Folder(s.spark, archive).files(".txt"))
+    kept = s.spark.read.schema(layers.BRONZE_SCHEMA).parquet(out).groupBy(F.get_json_object("data", "$.source").alias("origine"))
+    return kept.agg(F.count("*").alias("messages")).withColumn("archive", F.lit(moved > 0))
+
+
 add("i10_queue_depths", lambda s: ingest.queue_depths(
     s.table("events").select(C("event_type").alias("source")), ["click", "view", "purchase", "absent"]))
 
@@ -843,9 +900,10 @@ add("g06_audit_sensitive_data", lambda s: privacy.audit_sensitive_data(s.table("
 
 @query("g07_compliance_report")
 def _(s: Source) -> DataFrame:
-    base = {n: s.base[n] for n in ("annonces", "dpe", "copropriete")}
-    kept = privacy.retention_counts(base, RETENTION_NOW)
-    return privacy.compliance_report(kept, privacy.audit_sensitive_data(s.table("conversations"), ["text"]))
+    kept = privacy.retention_counts(s.base, RETENTION_NOW)
+    found = [privacy.audit_sensitive_data(s.table(t), [c]) for t, c in (("conversations", "text"), ("documents", "text"), ("pages", "html"))]
+    return privacy.compliance_report(kept, reduce(DataFrame.unionByName, [
+        df.withColumn("colonne", F.concat(F.lit(f"{t}."), C("colonne"))) for t, df in zip(("conversations", "documents", "pages"), found, strict=True)]))
 
 
 @query("g04c_retention_stored")

@@ -153,7 +153,9 @@ def is_read_only(spark: SparkSession, text: str) -> bool:
     return _forbidden(spark, tree) is None
 
 
-def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+def run_sql(
+    spark: SparkSession, text: str, tables: dict[str, DataFrame] | None = None, args: dict | None = None
+) -> DataFrame:
     """Rows of an ad-hoc query over the registered tables.
 
     A statement that is not a plain query, or that does not analyse, gives one row with the error.
@@ -163,15 +165,18 @@ def run_sql(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None
     if tables:
         register_views(tables)
     try:
-        return spark.sql(text.strip().rstrip(";"))
+        return spark.sql(text.strip().rstrip(";"), args=args)
     except Exception as error:  # the message goes back to the person who wrote the query
         return spark.sql("SELECT :message AS erreur", args={"message": str(error).splitlines()[0]})
 
 
 def run_query_catalogue(
-    spark: SparkSession, path: str, tables: dict[str, DataFrame] | None = None
+    spark: SparkSession, path: str, tables: dict[str, DataFrame] | None = None, args: dict | None = None
 ) -> dict[str, DataFrame]:
-    """Every ``.sql`` file of a folder as a named frame; a failing query gives the row with its error."""
+    """Every ``.sql`` file of a folder as a named frame; a failing query gives the row with its error.
+
+    ``args`` are values of named parameters (``:annee``) in the files.
+    """
     if tables:
         register_views(tables)
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.sql").selectExpr(
@@ -179,5 +184,5 @@ def run_query_catalogue(
     )
     out: dict[str, DataFrame] = {}
     for row in files.orderBy("name").collect():  # the query files of one folder
-        out[row["name"]] = run_sql(spark, row["value"])
+        out[row["name"]] = run_sql(spark, row["value"], args=args)
     return out
