@@ -480,6 +480,7 @@ raw("p24_clean_loader_row", f"""id_annonce, reference, titre, titre AS titre_com
 raw("g02_anonymise_names", "id_annonce, CASE WHEN k % 25 = 0 THEN 'Anonyme' ELSE 'Jean C.' END AS conseiller_nom")
 raw("g03_clean_location", "id_annonce, seg AS localisation_complete")
 raw("s01_read_listings_json", "reference, prix, surface, localisation, array_to_string(imgs, '|') AS images")
+SQL["s01b_read_json_arrays"] = f"SELECT *, CAST(1 AS BIGINT) AS rebuts FROM ({SQL['s01_read_listings_json']})"
 raw("s06_project_output_fields", "reference, '2025-11-15T00:00:00' AS date_extraction, 'acheter' AS type_transaction, 'ancien' AS type_bien, CASE WHEN k % 23 = 5 THEN code ELSE COALESCE(" + POSTAL + ", '') END AS code_postal, prix, '' AS badges")
 raw("s15_list_input_files", "CAST(COUNT(*) AS BIGINT) AS lignes, CAST(0 AS BIGINT) AS vides")
 raw("q05_filter_valid", "id_annonce, reference", f"WHERE k % 37 <> 0 AND prix <> '' AND localisation <> '' AND {POSTAL} IS NOT NULL")

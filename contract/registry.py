@@ -19,7 +19,7 @@ from parcela.operators import load, market, pages, prepare, privacy, quality, sh
 from parcela.plans import catalogue, commerce, search, views
 from parcela.schemas import RAW_LISTING, REQUIRED_OUTPUT_FIELDS
 from parcela.session import shared_dir
-from parcela.sources import files, profile
+from parcela.sources import arrays, files, profile
 from parcela.sources.storage import Folder
 from parcela.sources.versions import PART, StoredTable, day_of, month_of
 from parcela.streaming import dedup, events, ingest, layers
@@ -576,6 +576,20 @@ def _(s: Source) -> DataFrame:
     return good.select("reference", "prix", "surface", "localisation", "images")
 
 
+@query("s01b_read_json_arrays")
+def _(s: Source) -> DataFrame:
+    """The listings as files that hold one array each, and a broken file among them."""
+    path = shared_dir(s.spark, "listings-arrays")
+    rows = s.raw.drop(KEY).select(F.to_json(F.struct("*")).alias("j"), F.pmod(F.xxhash64("reference"), F.lit(7)).alias("f"))
+    whole = rows.groupBy("f").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ",\n"), F.lit("]")).alias("value"))
+    whole.select("f", "value").write.partitionBy("f").text(path)
+    s.spark.createDataFrame([('[{"reference": "cut',)], "value string").coalesce(1).write.text(f"{path}/f=900")
+    found, state = arrays.read_json_arrays(s.spark, path, RAW_LISTING)
+    good, bad = files.split_corrupt(found)
+    broken = state.agg(F.count_if(~C("lisible"))).scalar() + bad.agg(F.count("*")).scalar()
+    return good.select("reference", "prix", "surface", "localisation", "images").withColumn("rebuts", broken)
+
+
 @query("s02_read_snapshots")
 def _(s: Source) -> DataFrame:
     """Three runs, each with two thirds of the listings; rows per run and listings in all."""
