@@ -58,6 +58,35 @@ def markup(pattern: str) -> str:
     return "(?s)" + re.sub(r"\b(class|href|src|alt)=", lambda m: f"{_both_cases(m[1])}=", pattern)
 
 
+_TAG = r"^([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+_ATTRIBUTE = r"[a-zA-Z_:][a-zA-Z0-9_:.-]*\s*=\s*(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++)"
+#: A page with single-quoted or bare values, spaces around "=", or a class behind another attribute.
+_UNEVEN = (r"(?i)<[a-z][^<>]*?\s(?:(?:class|href|src|alt)\s*=\s*(?:'|[^\s\"'>])|(?:class|href|src|alt)(?:\s+=|=\s)"
+           r"|[a-z-]+\s*=\s*(?:\"[^\"]*\"|'[^']*')[^<>]*?\sclass\s*=)")
+
+
+def canonical(html: Column) -> Column:
+    """The page with every tag's attributes in one form: class first, then by name, values in double quotes.
+
+    Rules need not know the order of attributes nor their quotes.  Pages that are in that form are left as they are.
+    """
+    def attribute(text: Column) -> Column:
+        name = F.lower(F.regexp_extract(text, r"^([^=\s]+)", 1))
+        value = F.regexp_replace(F.regexp_extract(text, r"(?s)=\s*(.*)$", 1), "^[\"']|[\"']$", "")
+        for char, entity in (('"', "&quot;"), (">", "&gt;")):
+            value = F.replace(value, F.lit(char), F.lit(entity))
+        return F.struct((name != "class").alias("late"), name.alias("name"), value.alias("value"))
+
+    def tag(chunk: Column) -> Column:
+        pairs = F.sort_array(F.transform(
+            F.regexp_extract_all(F.regexp_extract(chunk, _TAG, 2), F.lit(_ATTRIBUTE), 0), attribute))
+        written = F.array_join(F.transform(pairs, lambda p: F.concat(F.lit(" "), p["name"], F.lit('="'), p["value"], F.lit('"'))), "")
+        whole = F.concat(F.regexp_extract(chunk, _TAG, 1), written, F.lit(">"), F.regexp_replace(chunk, _TAG, ""))
+        return F.when(chunk.rlike(_TAG) & F.regexp_extract(chunk, _TAG, 2).contains("="), whole).otherwise(chunk)
+
+    return F.when(html.rlike(_UNEVEN), F.array_join(F.transform(F.split(html, "<", -1), tag), "<")).otherwise(html)
+
+
 def found(html: Column, rule: FieldRule) -> Column:
     """What the pattern of a rule finds: the first hit, or all of them."""
     if rule.literal is not None:
@@ -139,22 +168,22 @@ ENERGY_RULES = {
     "dpe_classe_active": FieldRule(_PANEL.replace("{kind}", "panel-dpe")),
     "ges_classe_active": FieldRule(_PANEL.replace("{kind}", "panel-ges")),
     "dpe_consommation_energie_primaire": FieldRule(
-        r"border-epc-[A-G][^>]*>.*?<p[^>]*class=\"flex\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"border-epc-[A-G][^>]*>.*?<p[^>]*class=\"(?:[^\"]*\s)?flex(?:\s[^\"]*)?\"[^>]*>\s*<span[^>]*class=\"(?:[^\"]*\s)?text-base(?:\s[^\"]*)?\"[^>]*>(.*?)</span>"
     ),
     "dpe_consommation_energie_finale": FieldRule(
-        r"border-epc-[A-G][^>]*>.*?</p>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"border-epc-[A-G][^>]*>.*?</p>\s*<span[^>]*class=\"(?:[^\"]*\s)?text-base(?:\s[^\"]*)?\"[^>]*>(.*?)</span>"
     ),
     "dpe_emissions": FieldRule(
-        r"border-epc-[A-G][^>]*>.*?<p[^>]*class=\"grid\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"border-epc-[A-G][^>]*>.*?<p[^>]*class=\"(?:[^\"]*\s)?grid(?:\s[^\"]*)?\"[^>]*>\s*<span[^>]*class=\"(?:[^\"]*\s)?text-base(?:\s[^\"]*)?\"[^>]*>(.*?)</span>"
     ),
     "ges_emissions": FieldRule(
-        r"border-ges-[A-G][^>]*>.*?<p[^>]*class=\"grid\"[^>]*>\s*<span[^>]*class=\"text-base\"[^>]*>(.*?)</span>"
+        r"border-ges-[A-G][^>]*>.*?<p[^>]*class=\"(?:[^\"]*\s)?grid(?:\s[^\"]*)?\"[^>]*>\s*<span[^>]*class=\"(?:[^\"]*\s)?text-base(?:\s[^\"]*)?\"[^>]*>(.*?)</span>"
     ),
     "depenses_energie_min": FieldRule(
-        r"<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
+        r"<div[^>]*class=\"(?:[^\"]*\s)?text-sm(?:\s[^\"]*)?\"[^>]*>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
     ),
     "depenses_energie_max": FieldRule(
-        r"<div[^>]*class=\"text-sm\"[^>]*>\s*<p[^>]*>.*?</p>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
+        r"<div[^>]*class=\"(?:[^\"]*\s)?text-sm(?:\s[^\"]*)?\"[^>]*>\s*<p[^>]*>.*?</p>\s*<p[^>]*>(.*?)</p>", regex=r"(?U)(\d+\s*€)"
     ),
     "titre_section": FieldRule(r"<section[^>]*class=\"[^\"]*flex[^\"]*\"[^>]*>.*?<h3[^>]*>(.*?)</h3>"),
     "dpe_description": FieldRule(r"<div[^>]*class=\"[^\"]*panel-dpe[^\"]*\"[^>]*>.*?<p[^>]*>(.*?)</p>"),

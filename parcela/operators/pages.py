@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcela.functions.numbers import first_match, strip
 from parcela.functions.pages import (
-    AGENT_RULES, COOWNERSHIP_LABELS, ENERGY_RULES, FieldRule, definition, gallery, gallery_images,
+    AGENT_RULES, COOWNERSHIP_LABELS, ENERGY_RULES, FieldRule, canonical, definition, gallery, gallery_images,
     legend, select_fields,
 )
 from parcela.functions.text import absolute_url, postal_code_anywhere
@@ -23,11 +23,19 @@ CARD_RULES = {
 }
 
 
+PAGE = "_page"
+
+
+def _read(pages: DataFrame, html: str) -> DataFrame:
+    """The pages with their markup in one form beside them."""
+    return pages.withColumn(PAGE, canonical(F.col(html)))
+
+
 def extract_listing_fields_from_pages(
     pages: DataFrame, html: str = "html", base_url: str = "https://listings.example"
 ) -> DataFrame:
     """Raw listing fields of each card page; a missing element gives null."""
-    out = select_fields(pages, html, CARD_RULES)
+    out = select_fields(_read(pages, html), PAGE, CARD_RULES).drop(PAGE)
     features = F.col("caracteristiques")
 
     def feature(word: str, pattern: str, suffix: str):
@@ -51,32 +59,33 @@ def extract_listing_fields_from_pages(
 
 def extract_coownership_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     """Lots, expected charges and procedures of each page, "" when absent."""
-    return pages.withColumns({n: definition(F.col(html), label) for n, label in COOWNERSHIP_LABELS.items()})
+    found = {n: definition(F.col(PAGE), label) for n, label in COOWNERSHIP_LABELS.items()}
+    return _read(pages, html).withColumns(found).drop(PAGE)
 
 
 def extract_agent_fields(
     pages: DataFrame, html: str = "html", base_url: str = "https://listings.example"
 ) -> DataFrame:
     """Name, phone, link, photo, rating and number of reviews of the agent, "" when absent."""
-    out = select_fields(pages, html, AGENT_RULES, default="")
+    out = select_fields(_read(pages, html), PAGE, AGENT_RULES, default="").drop(PAGE)
     return out.withColumn("conseiller_lien", absolute_url(F.col("conseiller_lien"), base_url))
 
 
 def extract_energy_panel(pages: DataFrame, html: str = "html") -> DataFrame:
     """Active classes, consumptions, emissions, spending and legends, "" or empty when absent."""
-    out = select_fields(pages, html, ENERGY_RULES, default="")
-    return out.withColumns({f"legende_{k}": legend(F.col(html), f"panel-{k}") for k in ("dpe", "ges")})
+    out = select_fields(_read(pages, html), PAGE, ENERGY_RULES, default="")
+    return out.withColumns({f"legende_{k}": legend(F.col(PAGE), f"panel-{k}") for k in ("dpe", "ges")}).drop(PAGE)
 
 
 def extract_gallery(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """One row per photo of each page."""
-    tags = pages.select(key, gallery_images(F.col(html)).alias("_i"))
+    tags = _read(pages, html).select(key, gallery_images(F.col(PAGE)).alias("_i"))
     return tags.select(key, F.explode(gallery(F.col("_i"))).alias("_p")).select(key, "_p.*")
 
 
 def photo_count(pages: DataFrame, html: str = "html", given: str = "nombre_photos") -> DataFrame:
     """The number of images in the gallery replaces a count of zero."""
-    seen = pages.withColumn("_n", F.size(gallery_images(F.col(html))))
+    seen = _read(pages, html).withColumn("_n", F.size(gallery_images(F.col(PAGE)))).drop(PAGE)
     return seen.withColumn(
         given, F.when((F.col(given) == 0) & (F.col("_n") > 0), F.col("_n")).otherwise(F.col(given))
     ).drop("_n")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from parcela.functions.pages import FieldRule
@@ -71,3 +73,29 @@ def test_rules(table):
     assert out[1]["bloc_badge"] == ["Nouveau"]
     assert out[1]["champs_manquants"] == []
     assert sorted(out[3]["champs_manquants"]) == ["bloc_badge", "prix", "titre"]
+
+
+def _other_form(source):
+    """The same markup with attributes in the opposite order, in single quotes or bare."""
+    def turned(match):
+        pairs = re.findall(r'([a-z]+)="([^"]*)"', match[2])
+        written = [f"{n} = {v}" if re.fullmatch("[a-z]+", v) and i % 2 else f"{n}='{v}'" for i, (n, v) in enumerate(reversed(pairs))]
+        return f"<{match[1]} data-x='a > b' {' '.join(written)}>" if pairs else match[0]
+
+    return re.sub(r"<([A-Za-z0-9]+)([^>]*)>", turned, source)
+
+
+@pytest.mark.parametrize("extract", [pages.extract_listing_fields_from_pages, pages.extract_coownership_fields, pages.extract_agent_fields,
+                                     pages.extract_energy_panel, pages.photo_count])
+def test_fields_do_not_depend_on_the_form_of_attributes(spark, extract):
+    panel = """<section class="flex x"><h3>P</h3><div class="panel-dpe a"><p>Indice</p><em>bas</em><li class="border-white"><span>C</span></li></div>
+<aside class="border-epc-C"><p class="b flex"><span class="text-base bold">120</span></p><span class="text-base">90</span><p class="grid g"><span class="text-base">12</span></p></aside>
+<div class="text-sm m"><p>entre 900 € par an</p><p>et 1200 € par an</p></div></section>"""
+    for source in (CARD, DETAIL, panel):
+        other = _other_form(source)
+        assert other != source
+        df = spark.createDataFrame([(1, source, 0), (2, other, 0)], "id int, html string, nombre_photos int")
+        first, second = (r.asDict() for r in extract(df).drop("html").orderBy("id").collect())
+        assert {**first, "id": 0} == {**second, "id": 0}
+    row = pages.extract_energy_panel(spark.createDataFrame([(panel,)], "html string")).first()
+    assert (row["dpe_classe_active"], row["dpe_consommation_energie_primaire"], row["dpe_emissions"], row["depenses_energie_max"]) == ("C", "120", "12", "1200 €")
