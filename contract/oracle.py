@@ -188,6 +188,7 @@ SHOWN = "id_annonce, reference, CAST(prix AS DOUBLE) AS prix, CAST(surface AS DO
 base("q10_search_filter", f"SELECT {SHOWN} FROM annonces WHERE type_bien ILIKE '%urgent%' AND prix >= 100000 AND prix <= 300000 AND surface <= 150 AND (localisation ILIKE '%build%' OR localisation_complete ILIKE '%build%')")
 base("q11_page_results", f"SELECT {SHOWN} FROM annonces ORDER BY id_annonce DESC LIMIT 50 OFFSET 25")
 base("q12_text_search", f"SELECT {SHOWN} FROM annonces WHERE titre ILIKE '%machin%' OR description ILIKE '%machin%' OR localisation ILIKE '%machin%' ORDER BY id_annonce DESC LIMIT 100")
+SQL["q12b_indexed_text_search"] = SQL["q12_text_search"]
 base("q13_all_details", """SELECT id_annonce, 'caracteristiques' AS section, 0 AS ordre, 'valeur' AS champ, valeur FROM caracteristiques WHERE id_annonce IN (SELECT id_annonce FROM annonces)
   UNION ALL SELECT id_annonce, 'images', ordre, 'url', url FROM images WHERE id_annonce IN (SELECT id_annonce FROM annonces) """ + "".join(
     f"UNION ALL SELECT id_annonce, '{t}', 0, '{c}', CAST({c} AS VARCHAR) FROM {t} WHERE {c} IS NOT NULL "

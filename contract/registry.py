@@ -16,7 +16,7 @@ from parcela.functions import privacy as priv
 from parcela.functions import text as txt
 from parcela.functions.pages import FieldRule
 from parcela.operators import load, market, pages, prepare, privacy, quality, shred
-from parcela.plans import catalogue, commerce, search, views
+from parcela.plans import catalogue, commerce, search, trigrams, views
 from parcela.schemas import RAW_LISTING, REQUIRED_OUTPUT_FIELDS
 from parcela.session import shared_dir
 from parcela.sources import arrays, files, profile
@@ -356,6 +356,16 @@ add("q11_page_results", lambda s: search.page_results(s.base["annonces"], 50, 25
 add("q12_text_search", lambda s: search.text_search(s.base["annonces"], "machin").select(*SHOWN))
 
 
+@query("q12b_indexed_text_search")
+def _(s: Source) -> DataFrame:
+    """The same rows from the stored trigram index."""
+    path = shared_dir(s.spark, "trigrams")
+    trigrams.write_index(s.base["annonces"], path)
+    return trigrams.indexed_search(s.spark, path, "machin").select(*SHOWN)
+
+
+
+
 add("q13_all_details", lambda s: search.all_details(s.base))
 
 
