@@ -41,7 +41,12 @@ def path_of(url: str | Column) -> Column:
 
 
 def host_key(host: Column) -> Column:
-    """Labels in reverse order, each closed: every subdomain's key starts with its parent's."""
+    """Labels in reverse order, each closed: every subdomain's key starts with its parent's.
+
+    A host that holds the closing character itself is written with another pair of characters in its place.
+    """
+    for char, pair in (("\x01", "\x01\x02"), (END, "\x01\x01")):
+        host = F.replace(host, F.lit(char), F.lit(pair))
     return F.when(host == "", "").otherwise(
         F.concat(F.array_join(F.reverse(F.split(host, r"\.")), END), F.lit(END)))
 

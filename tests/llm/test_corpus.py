@@ -97,6 +97,18 @@ def test_urls(spark):
     assert judge(pages.where("page_id < 0"), rule_table(spark)).count() == 0
 
 
+def test_a_control_character_in_a_host_is_no_dot(spark):
+    hosts = ["example\x00x.net", "net\x00", "a\x00net", "a.net", "x\x01.example.net", "\x01\x01.net", "net.\x00", "b.net\x00.net"]
+    pages = spark.createDataFrame([(i, f"http://{h}/en/") for i, h in enumerate(hosts)], "page_id long, url string")
+    found = {r["page_id"]: r["rule"] for r in judge(pages, rule_table(spark), zones=3).collect()}
+    rules = {"net": "net/", "example.net": "example.net/en/"}
+    want = {}
+    for i, h in enumerate(hosts):
+        fits = [r for r in rules if h == r or h.endswith(f".{r}")]
+        want[i] = rules[max(fits, key=len)] if fits else None
+    assert found == want
+
+
 def test_toxicity(spark, no_docs):
     rows, marks = [], []
     for i in range(600):
