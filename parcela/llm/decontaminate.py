@@ -211,8 +211,9 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     every = F.array_distinct(F.flatten(F.transform("windows", lambda w: w["pairs"])))
     placed = placed.select("doc_id", "tk", "item_id", "item_windows", "windows", every.alias("pairs"))
     one_value = F.size(F.array_distinct(F.col("pairs")["item_slots"])) == F.size("pairs")
-    # windows that meet word for word count whether or not the others agree
-    placed = placed.withColumn("agreed", one_value).withColumn("windows", F.filter("windows", lambda w: F.col("agreed") | w["verbatim"]))
+    # windows that meet word for word, or with all their values, count whether or not the others agree
+    placed = placed.withColumn("agreed", one_value).withColumn("windows", F.filter(
+        "windows", lambda w: F.col("agreed") | w["verbatim"] | F.forall(w["pairs"], lambda p: p["item_slots"] == p["slots"])))
     n = F.size(F.array_distinct(F.col("windows")["item_at"]))
     same = ~F.col("agreed") | F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
     return placed.where(F.size("windows") > 0).groupBy("doc_id", "tk", "item_id", "item_windows").agg(

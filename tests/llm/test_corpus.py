@@ -55,9 +55,10 @@ def test_decontamination(spark, no_docs):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     found = {(r.doc_id, r.item_id): r for r in matches(frame, benchmark).collect()}
     assert found[(1, 1)].exact and not found[(2, 1)].exact
-    assert set(found) == {(1, 1), (2, 1)}  # 6: one value of the item stands for two of the document
+    # 6: one value of the item stands for two of the document, but the windows behind it are the item's
+    assert set(found) == {(1, 1), (2, 1), (6, 2)}
     extra = frame.withColumn("tk", F.lit("kept"))
-    assert sorted(r.doc_id for r in drop_contaminated(extra, benchmark).collect()) == [3, 4, 5, 6, 7]
+    assert sorted(r.doc_id for r in drop_contaminated(extra, benchmark).collect()) == [3, 4, 5, 7]
     assert drop_contaminated(extra, benchmark).columns == extra.columns
     assert matches(no_docs, benchmark).count() == 0
     assert drop_contaminated(frame, benchmark.where("item_id < 0")).count() == len(rows)
