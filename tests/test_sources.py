@@ -94,7 +94,7 @@ def test_ad_hoc_sql(spark, tmp_path):
     (tmp_path / "9.sql").write_text("SELECT nope FROM petite", encoding="utf-8")
     out = catalogue.run_query_catalogue(spark, str(tmp_path))
     assert out["1"].count() == 2
-    assert out["9"].columns == []
+    assert out["9"].columns == ["erreur"]  # the row says what failed
 
 
 def test_sql_functions(spark):
