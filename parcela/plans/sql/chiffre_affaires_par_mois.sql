@@ -8,6 +8,5 @@ WITH par_commande AS (
 SELECT date_format(co.date_commande, 'yyyy-MM') AS mois,
        CAST(SUM(p.montant) AS DOUBLE) AS chiffre_affaires
 FROM commandes co JOIN par_commande p ON co.id_commande = p.id_commande
-WHERE year(co.date_commande) = :annee
 GROUP BY date_format(co.date_commande, 'yyyy-MM')
 ORDER BY mois

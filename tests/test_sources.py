@@ -211,3 +211,21 @@ def test_aggregate_views_by_name(spark):
         assert name in names
         assert spark.table(name).limit(1).count() == 1
     assert spark.sql("SELECT * FROM v_biens_sous_cotes ORDER BY ecart_pourcentage LIMIT 3").count() == 3
+
+
+def test_catalogue_gives_the_revenue_of_every_year(spark):
+    import datetime as dt
+    import os
+
+    folder = os.path.join(os.path.dirname(catalogue.__file__), "sql")
+    tables = {
+        "clients": spark.createDataFrame([(1, "A")], "id_client long, nom_client string"),
+        "commandes": spark.createDataFrame(
+            [(1, 1, dt.date(1997, 5, 2)), (2, 1, dt.date(1998, 5, 3)), (3, 1, dt.date(2001, 1, 4))],
+            "id_commande long, id_client long, date_commande date"),
+        "lignes_commande": spark.createDataFrame(
+            [(i, 7, 2.0, 10.0 * i, 0.0) for i in (1, 2, 3)],
+            "id_commande long, id_boite long, quantite double, prix_unitaire double, taux_remise double"),
+    }
+    found = catalogue.run_query_catalogue(spark, folder, tables)["chiffre_affaires_par_mois"]
+    assert [tuple(r) for r in found.collect()] == [("1997-05", 20.0), ("1998-05", 40.0), ("2001-01", 60.0)]
