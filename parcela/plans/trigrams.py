@@ -9,7 +9,11 @@ about every row.  The index says nothing about patterns without three letters in
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +23,32 @@ BUCKETS = 64
 ROWS = 4096  # keys of a block
 
 
-def _grams(text: Column) -> Column:
-    low = F.lower(text)
-    places = F.sequence(F.lit(1), F.greatest(F.length(low) - 2, F.lit(1)))
-    found = F.transform(places, lambda i: F.substr(low, i, F.lit(3)))
-    return F.when(F.length(low) >= 3, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, column, block) of rows of (block, lower-case texts), each once per batch.
+
+    A gram is one number of three code points; those that reach over the end of a text are left out.
+    """
+    for batch in batches:
+        blocks = np.asarray(batch.column(0))
+        for name, texts in zip(batch.schema.names[1:], batch.columns[1:], strict=True):
+            for block in np.unique(blocks):
+                own = texts.filter(pa.array(blocks == block)).drop_null().unique()
+                joined = "\n".join(own.to_pylist()).encode("utf-32-le", "surrogatepass")
+                points = np.frombuffer(joined, dtype="<u4").astype(np.int64)
+                if len(points) < 3:
+                    continue
+                lengths = np.asarray(pc.utf8_length(own), dtype=np.int64)
+                inside = np.ones(len(points), dtype=bool)
+                ends = np.cumsum(lengths + 1)[:-1] - 1  # between two texts
+                for back in range(3):
+                    inside[ends[ends >= back] - back] = False
+                codes = np.unique((points[:-2] << 42 | points[1:-1] << 21 | points[2:])[inside[:-2]])
+                grams = np.stack([codes >> 42, codes >> 21 & 0x1FFFFF, codes & 0x1FFFFF], axis=1).astype("<u4")
+                whole = grams.tobytes().decode("utf-32-le", "surrogatepass")
+                found = [whole[i:i + 3] for i in range(0, len(whole), 3)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.string()), pa.array([name] * len(found), pa.string()), pa.array(np.full(len(found), block), pa.int64())],
+                    names=["gram", "colonne", "bloc"])
 
 
 def _bucket(gram: Column) -> Column:
@@ -33,14 +58,14 @@ def _bucket(gram: Column) -> Column:
 def write_index(df: DataFrame, path: str, key: str = KEY, columns: tuple[str, ...] = COLUMNS, rows: int = ROWS) -> None:
     """Store the listings in blocks and the index of their trigrams.
 
-    Grams are made distinct per block before the shuffle, so a gram of every row is one row per task and block.
+    Grams are made distinct per block and batch of rows before the shuffle, so a gram of every row is a few rows per block.
     """
     blocks = df.withColumn("bloc", F.floor(F.col(key) / rows).cast("long"))
     stored = blocks.repartitionByRange("bloc").sortWithinPartitions("bloc", key)
     stored.write.option("parquet.block.size", 16 * 1024**2).parquet(f"{path}/annonces")
     kept = df.sparkSession.read.schema(blocks.schema).parquet(f"{path}/annonces")
-    each = F.explode(F.array(*(F.struct(F.lit(c).alias("colonne"), _grams(F.col(c)).alias("g")) for c in columns))).alias("x")
-    grams = kept.select("bloc", each).select("bloc", "x.colonne", F.explode("x.g").alias("gram"))
+    low = kept.select("bloc", *(F.lower(F.col(c)).alias(c) for c in columns))
+    grams = low.mapInArrow(_grams, "gram string, colonne string, bloc long")
     lists = grams.groupBy("gram", "colonne", "bloc").agg(F.lit(1).alias("un")).select("gram", "colonne", "bloc")
     lists = lists.withColumn("seau", _bucket(F.col("gram"))).hint("rebalance", "seau").sortWithinPartitions("seau", "gram")
     lists.write.partitionBy("seau").parquet(f"{path}/trigrammes")

@@ -33,3 +33,15 @@ def test_only_candidate_blocks_are_read(spark, stored):
     assert candidate_blocks(spark, path, "nowhere").count() == 0 and candidate_blocks(spark, path, "ab") is None
     plan = indexed_search(spark, path, "unique phrase")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "bloc" in plan.split("PushedFilters")[1].split("]")[0]
+
+
+def test_grams_of_a_block_are_those_of_its_texts(spark):
+    import pyarrow as pa
+
+    from parcela.plans.trigrams import _grams
+
+    texts = ["maison", "a\nbc", "é", "", None, "\U0001f3e0xy", "mai", "maison"]
+    batch = pa.RecordBatch.from_pydict({"bloc": pa.array([1, 1, 1, 1, 2, 2, 2, 2], pa.int64()), "titre": texts})
+    found = [(r["gram"], r["bloc"]) for b in _grams(iter([batch])) for r in b.to_pylist()]
+    want = {(t[i:i + 3], 1 + n // 4) for n, t in enumerate(texts) if t for i in range(len(t) - 2)}
+    assert set(found) == want and len(found) == len(want)
