@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,6 +103,20 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_json_arrays(df: DataFrame, path: str, key: str, count: int) -> str:
+    """So many files of one JSON array each, an element per line, rows dealt to them by a hash of the key.
+
+    A file is written row by row from its sorted rows; no array is ever held as a whole.
+    """
+    rows = df.select(
+        F.to_json(F.struct("*")).alias("j"), F.pmod(F.xxhash64(key), F.lit(count)).alias("f"), F.xxhash64(key).alias("h"))
+    order = Window.partitionBy("f").orderBy("h", "j")
+    numbered = rows.select("f", "j", F.row_number().over(order).alias("n"), F.lead("f").over(order).isNull().alias("last"))
+    line = F.concat(F.when(F.col("n") == 1, "[").otherwise(""), "j", F.when(F.col("last"), "]").otherwise(","))
+    numbered.sortWithinPartitions("f", "n").select(line.alias("value"), "f").write.partitionBy("f").text(path)
+    return path
+
+
 def write_results(df: DataFrame, path: str, output_format: str = "parquet", stamp: str | None = None) -> str:
     writers = {"parquet": write_parquet, "csv": write_csv, "json": write_json}
     if output_format.lower() not in writers:

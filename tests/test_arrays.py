@@ -64,3 +64,16 @@ def test_broken_files_are_set_apart(spark, tmp_path, small_ranges):
 def test_effects_of_pieces():
     assert effect('{"a": "b', False) == (True, 1) and effect('c"}', True) == (False, -1)
     assert effect('x\\" y', True) == (True, 0) and effect('"[{"', False) == (False, 0) and effect("[[{]", False) == (False, 2)
+
+
+def test_written_arrays_hold_every_row(spark, tmp_path):
+    from parcela.sources.files import write_json_arrays
+
+    rows = [(None if i % 9 == 0 else f"R{i % 40}", TEXTS[i % len(TEXTS)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "reference string, titre string").repartition(4)
+    path = write_json_arrays(df, str(tmp_path / "out"), "reference", 5)
+    written = [p for p in (tmp_path / "out").rglob("*.txt") if p.stat().st_size]
+    assert len(written) <= 5 and sum(len(json.loads(p.read_text(encoding="utf-8"))) for p in written) == 300
+    found, state = read_json_arrays(spark, path, df.schema)
+    assert sorted(map(str, (tuple(r)[:2] for r in found.collect()))) == sorted(map(str, rows))
+    assert state.where("NOT lisible").count() == 0
