@@ -102,3 +102,12 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(search.search_filter(shown, min_prix=1000).select("id_annonce"))
     assert "GreaterThanOrEqual(o_totalprice,1000.0)" in plan.split("PushedFilters")[1]
     assert "o_orderpriority" not in plan.split("ReadSchema")[1]
+
+
+def test_a_query_builds_only_the_layers_it_reads(spark):
+    from parcela.operators import market
+
+    s = registry.Source(spark, SF)
+    assert market.segment_distribution(s.aggregated).count() > 0
+    assert {"html", "modules", "listings"} & set(s.__dict__) == {"listings"} and s.html and s.modules
+    assert not {"raw", "silver", "prepared"} & set(s.__dict__)
