@@ -271,3 +271,10 @@ def test_layers_read_each_batch_once(spark, tmp_path):
     layers.silver_to_gold(spark, paths["silver"], paths["gold"], AT)
     stats, listings = gold("gold")
     assert stats["nombre_biens_analyses"] == 99 and "R7" not in listings
+
+
+def test_bronze_is_compressed_by_zstd(spark, tmp_path):
+    from parcela.streaming.layers import to_bronze
+
+    to_bronze(str(tmp_path))(spark.createDataFrame([("x" * 100,)], "data string"), 3)
+    assert list(tmp_path.rglob("*.zstd.parquet"))
