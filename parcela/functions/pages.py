@@ -63,6 +63,9 @@ _ATTRIBUTE = r"[a-zA-Z_:][a-zA-Z0-9_:.-]*\s*=\s*(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>
 #: A page with single-quoted or bare values, spaces around "=", or a class behind another attribute.
 _UNEVEN = (r"(?i)<[a-z][^<>]*?\s(?:(?:class|href|src|alt)\s*=\s*(?:'|[^\s\"'>])|(?:class|href|src|alt)(?:\s+=|=\s)"
            r"|[a-z-]+\s*=\s*(?:\"[^\"]*\"|'[^']*')[^<>]*?\sclass\s*=)")
+#: What every such page holds, wherever it stands: looked for first, as it only stops at spaces.
+_SUSPECT = (r"\s(?:(?=[cChHsSaA])(?i:class|href|src|alt)(?:\s*=\s*(?:'|[^\s\"'>])|\s+=|=\s)"
+            r"|(?=[cC][lL][aA][sS][sS]\s*=)(?<!<[a-zA-Z0-9]{1,10}\s))")
 
 
 def canonical(html: Column) -> Column:
@@ -84,7 +87,7 @@ def canonical(html: Column) -> Column:
         whole = F.concat(F.regexp_extract(chunk, _TAG, 1), written, F.lit(">"), F.regexp_replace(chunk, _TAG, ""))
         return F.when(chunk.rlike(_TAG) & F.regexp_extract(chunk, _TAG, 2).contains("="), whole).otherwise(chunk)
 
-    return F.when(html.rlike(_UNEVEN), F.array_join(F.transform(F.split(html, "<", -1), tag), "<")).otherwise(html)
+    return F.when(html.rlike(_SUSPECT) & html.rlike(_UNEVEN), F.array_join(F.transform(F.split(html, "<", -1), tag), "<")).otherwise(html)
 
 
 def found(html: Column, rule: FieldRule) -> Column:
@@ -130,10 +133,9 @@ def select_fields(
     return hits.select(*pages.columns, *[value(n, r).alias(n) for n, r in rules.items()])
 
 
-def definition(html: Column, label: str) -> Column:
-    """Text of the ``<dd>`` that follows the ``<dt>`` holding the label, "" when absent."""
-    pattern = rf"<dt[^>]*>[^<]*(?iu:{label})[^<]*</dt>\s*<dd[^>]*>(.*?)</dd>"
-    return F.coalesce(strip(text_of(first_match(html, markup(pattern)))), F.lit(""))
+def definition_rule(label: str) -> FieldRule:
+    """The ``<dd>`` that follows the ``<dt>`` holding the label."""
+    return FieldRule(rf"<dt[^>]*>[^<]*(?iu:{label})[^<]*</dt>\s*<dd[^>]*>(.*?)</dd>")
 
 
 # Labels of the co-ownership block.
@@ -158,8 +160,8 @@ AGENT_RULES = {
         r"<a[^>]*class=\"[^\"]*flex-col[^\"]*\"[^>]*>.*?<img[^>]*class=\"[^\"]*size-full[^\"]*\"[^>]*src=\"([^\"]*)\"",
         attribute=True,
     ),
-    "conseiller_note": FieldRule(r"<[a-z]+[^>]*class=\"[^\"]*rating[^\"]*\"[^>]*>(.*?)</"),
-    "conseiller_nombre_avis": FieldRule(r"<[a-z]+[^>]*class=\"[^\"]*avis[^\"]*\"[^>]*>(.*?)</"),
+    "conseiller_note": FieldRule(r"<[a-z][^>]*class=\"[^\"]*rating[^\"]*\"[^>]*>(.*?)</"),
+    "conseiller_nombre_avis": FieldRule(r"<[a-z][^>]*class=\"[^\"]*avis[^\"]*\"[^>]*>(.*?)</"),
 }
 
 # The energy panel of a detail page.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcela.functions.numbers import first_match, strip
 from parcela.functions.pages import (
-    AGENT_RULES, COOWNERSHIP_LABELS, ENERGY_RULES, FieldRule, canonical, definition, gallery, gallery_images,
+    AGENT_RULES, COOWNERSHIP_LABELS, ENERGY_RULES, FieldRule, canonical, definition_rule, gallery, gallery_images,
     legend, select_fields,
 )
 from parcela.functions.text import absolute_url, postal_code_anywhere
@@ -59,8 +59,8 @@ def extract_listing_fields_from_pages(
 
 def extract_coownership_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     """Lots, expected charges and procedures of each page, "" when absent."""
-    found = {n: definition(F.col(PAGE), label) for n, label in COOWNERSHIP_LABELS.items()}
-    return _read(pages, html).withColumns(found).drop(PAGE)
+    rules = {n: definition_rule(label) for n, label in COOWNERSHIP_LABELS.items()}
+    return select_fields(_read(pages, html), PAGE, rules, default="").drop(PAGE)
 
 
 def extract_agent_fields(

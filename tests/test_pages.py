@@ -3,7 +3,9 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from parcela.functions import pages as page_rules
 from parcela.functions.pages import FieldRule
 from parcela.operators import pages
 
@@ -99,3 +101,19 @@ def test_fields_do_not_depend_on_the_form_of_attributes(spark, extract):
         assert {**first, "id": 0} == {**second, "id": 0}
     row = pages.extract_energy_panel(spark.createDataFrame([(panel,)], "html string")).first()
     assert (row["dpe_classe_active"], row["dpe_consommation_energie_primaire"], row["dpe_emissions"], row["depenses_energie_max"]) == ("C", "120", "12", "1200 €")
+
+
+def test_each_pattern_of_the_coownership_block_runs_once_per_page(table):
+    plan = pages.extract_coownership_fields(table)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Nombre de lots") == 1
+
+
+def test_every_uneven_page_is_suspected_first(spark):
+    gaps = ("", " ", "\n", " k ", " b='1' ", ' b="1" ')
+    tags = [f"<a{x}{name}{gap}={gap}{value}{y}class{z}=\"x\">" for x in gaps for name in ("class", "HREF", "b") for gap in ("", " ", "\n")
+            for value in ('"v"', "'v'", "v") for y in gaps for z in ("", " ")]
+    assert not page_rules._SUSPECT.startswith("(?i)")
+    df = spark.createDataFrame([(t,) for t in tags], "t string")
+    uneven = df.filter(F.col("t").rlike(page_rules._UNEVEN))
+    assert uneven.count() > 1000
+    assert uneven.filter(~F.col("t").rlike(page_rules._SUSPECT)).count() == 0
