@@ -5,12 +5,16 @@ its anchor, so equal windows have equal anchors at equal offsets and only about
 anchors.  The segment of an anchor holds all windows that may have chosen it.  Segments meet by the
 anchor's hash: what is alike in the whole segment is settled there and then, after copies have been combined
 in the task that reads them; anchors with different segments send one segment of each kind, with its text, to be
-compared symbol by symbol.  An anchor with more segments than one task should hold is split into its single windows.
+compared symbol by symbol.  The segments of an anchor with more of them than one task should hold are cut into parts
+by where the anchor lies in a window: windows that are equal lie in the same part, and a part has a longer run of symbols
+that all its windows hold, by which parts meet and are settled like segments.  Parts that still have too many
+kinds are cut once more, and only what is left then is split into its single windows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +26,7 @@ from parcela.llm.words import Words, inverse, mix, powers, prefix_sums, range_ha
 
 STEP = 0xC2B2AE3D27D4EB4F  # base of the hashes over symbols
 SEGMENTS = 4096            # segments of one anchor that are compared in one task
+PARTS = (4, 16)            # parts of a segment whose anchor has more, and of one whose part still has
 # a segment is one number: place of its anchor (45 bits), symbols before it (9), length (9)
 ROW = "h long, g long, doc_id long, tk long, spot long, many boolean"
 
@@ -206,11 +211,54 @@ class Repeats:
         dealt = rows.repartition(F.coalesce("h", F.xxhash64("doc_id", "spot")))
         return dealt.sortWithinPartitions("h", "g", "doc_id", "tk", "spot").mapInArrow(run, ROW)
 
+    @staticmethod
+    def _spots(wanted: DataFrame, *names: str) -> DataFrame:
+        """The wanted segments of each document."""
+        return wanted.groupBy("doc_id", "tk").agg(F.collect_set(F.struct(*names)).alias("want")).withColumnsRenamed(
+            {"doc_id": "want_id", "tk": "want_tk"})
+
+    @staticmethod
+    def _with_texts(texts: DataFrame, spots: DataFrame) -> DataFrame:
+        met = texts.join(spots, (F.col("doc_id") == F.col("want_id")) & (F.col("tk") == F.col("want_tk")))
+        return met.select("doc_id", "tk", "text", "want")
+
+    def _parts(self, texts: DataFrame, wanted: DataFrame, parts: int) -> DataFrame:
+        """The parts of the wanted segments, as rows of segments: h of the symbols that all windows of a part hold, g of the part."""
+        cuts_of_anchor = [i * (self.window - self.gram + 1) // parts for i in range(parts + 1)]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                want, found = batch.column("want"), []
+                ids, keys = batch.column("doc_id").to_numpy(), batch.column("tk").to_numpy()
+                for row, end, raw, offsets in slices(batch.column("text")):
+                    symbols = Symbols(raw, offsets, self.by_words)
+                    cuts = want.offsets.to_numpy()[row:end + 1]
+                    document = np.repeat(np.arange(end - row), np.diff(cuts))
+                    spot, many = (want.values.field(f).slice(cuts[0], cuts[-1] - cuts[0]).to_numpy(zero_copy_only=False)
+                                  for f in ("spot", "many"))
+                    place = spot >> 18
+                    start, stop = unpack(spot)
+                    for part, (low, high) in enumerate(zip(cuts_of_anchor[:-1], cuts_of_anchor[1:], strict=True)):
+                        first = np.maximum(start, place - (high - 1))  # windows of the part start from first to last
+                        last = np.minimum(stop - self.window, place - low)
+                        held = np.flatnonzero((first <= last) & (low < high))
+                        if not len(held):
+                            continue
+                        first, until, at = first[held], last[held] + self.window, place[held]
+                        base = symbols.first[document[held]]
+                        h = mix(symbols.hash(base + at - low, base + at - (high - 1) + self.window) + np.uint64(parts + part))
+                        g = mix(symbols.hash(base + first, base + until) + (at - first).astype(np.uint64))
+                        owner = document[held] + row
+                        found.append([signed(h), signed(g), ids[owner], keys[owner], pack(at, at - first, until - first),
+                                      many[held].astype(bool)])
+                if found:
+                    yield self._combined([np.concatenate(x) for x in zip(*found, strict=True)])
+
+        # stored, so that their size is known: few documents have large anchors, and then no text is shuffled
+        return self._with_texts(texts, stored(self._spots(wanted, "spot", "many"), "large-spots")).mapInArrow(run, ROW)
+
     def _wanted_texts(self, texts: DataFrame, wanted: DataFrame) -> DataFrame:
         """The symbols of the wanted segments; of those marked ``single`` one row without symbols for each window."""
-        spots = wanted.groupBy("doc_id", "tk").agg(F.collect_set(F.struct("h", "spot", "many", "single")).alias("want"))
-        met = texts.join(spots.withColumnsRenamed({"doc_id": "want_id", "tk": "want_tk"}).hint("merge"),
-                         (F.col("doc_id") == F.col("want_id")) & (F.col("tk") == F.col("want_tk")))
         names = ["h", "g", "doc_id", "tk", "spot", "many", "symbols"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +294,8 @@ class Repeats:
                     values = [symbols.values[a:b].tobytes() for a, b in zip((base + start)[whole], (base + stop)[whole], strict=True)]
                     yield rows(whole, h[whole], np.zeros(len(whole), np.int64), spot[whole], pa.array(values, pa.binary()))
 
-        return met.select("doc_id", "tk", "text", "want").mapInArrow(run, ROW + ", symbols binary")
+        spots = self._spots(wanted, "h", "spot", "many", "single").hint("merge")
+        return self._with_texts(texts, spots).mapInArrow(run, ROW + ", symbols binary")
 
     def _compared(self, segments: DataFrame) -> DataFrame:
         """Spans of the repeated windows among the segments of each anchor."""
@@ -282,13 +331,25 @@ class Repeats:
 
         return segments.repartition("h").sortWithinPartitions("h").mapInArrow(run, "doc_id long, tk long, spot long")
 
+    def _large(self, wanted: DataFrame) -> DataFrame:
+        """Anchors with more kinds of segments than one task compares."""
+        return wanted.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > SEGMENTS).select("h")
+
     def spans(self, texts: DataFrame) -> DataFrame:
         """(doc_id, tk, starts, ends): ranges of symbols covered by repeated windows, per text."""
         settled = stored(self._settled(self._segments(texts), self.ordered), "settled-segments")
         finished = settled.where("h IS NULL").select("doc_id", "tk", "spot")
         wanted = settled.where("h IS NOT NULL")
-        large = stored(wanted.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > SEGMENTS).select("h"), "large-anchors")
-        marked = wanted.join(large.withColumn("single", F.lit(True)), "h", "left").withColumn("single", F.coalesce("single", F.lit(False)))
+        large, marked = stored(self._large(wanted), "large-anchors"), []
+        for parts in PARTS:
+            marked.append(wanted.join(large, "h", "left_anti").withColumn("single", F.lit(False)))
+            cut = stored(self._settled(self._parts(texts, wanted.join(large, "h", "left_semi"), parts), True), "settled-parts")
+            finished = finished.unionByName(cut.where("h IS NULL").select("doc_id", "tk", "spot"))
+            wanted = cut.where("h IS NOT NULL")
+            large = stored(self._large(wanted), "large-parts")
+        marked.append(wanted.join(large.withColumn("single", F.lit(True)), "h", "left").withColumn(
+            "single", F.coalesce("single", F.lit(False))))
+        marked = reduce(DataFrame.unionByName, marked)
         # both kinds in one table: the texts are joined once, whether or not there are large anchors
         segments = stored(self._wanted_texts(texts, marked), "wanted-segments")
         windows = self._settled(segments.where("symbols IS NULL").drop("symbols"), True)

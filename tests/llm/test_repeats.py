@@ -11,10 +11,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcela.llm import repeats
+from parcela.llm.lempelziv import PARSER as WORDS
 from parcela.llm.lempelziv import remove_words
+from parcela.llm.repeats import keyed
+from parcela.llm.suffixes import FINDER as STRINGS
 from parcela.llm.suffixes import remove_strings, suffix_array
 
-from .conftest import corpus
+from .conftest import corpus, prose
 
 
 def by_strings(rows):
@@ -90,3 +93,33 @@ def test_suffix_array():
 
 def test_digest_is_of_the_kept_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+@pytest.mark.parametrize("finder", [STRINGS, WORDS])
+def test_a_large_anchor_makes_few_rows(spark, finder, monkeypatch):
+    """Segments that share an anchor and differ around it: parts, not one row for each window."""
+    shared, n = prose(50, 60), 40
+    docs = spark.createDataFrame([(i, f"{prose(1000 + i, 60)} {shared} {prose(2000 + i, 60)}") for i in range(n)], "doc_id long, text string")
+    texts = keyed(docs)
+    made, wanted_texts = [], repeats.Repeats._wanted_texts
+
+    def counted(self, texts, wanted):
+        out = wanted_texts(self, texts, wanted)
+        made.append((wanted.count(), out.count()))
+        return out
+
+    covers = {r.doc_id: repeats.covered(r.spots) for r in finder.spans(texts).collect()}
+    assert len(covers) == n - finder.ordered
+    monkeypatch.setattr(repeats.Repeats, "_wanted_texts", counted)
+    monkeypatch.setattr(repeats, "SEGMENTS", 10)
+    assert {r.doc_id: repeats.covered(r.spots) for r in finder.spans(texts).collect()} == covers
+    assert made[0][1] <= 10 * (made[0][0] + n)  # single windows at once: 2,567 (words) and 11,318 (bytes)
+
+
+@pytest.mark.parametrize("limit", [2, 8])
+def test_parts_of_large_anchors_equal_brute_force(docs, limit, monkeypatch):
+    monkeypatch.setattr(repeats, "SEGMENTS", limit)
+    found = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in remove_strings(docs).collect())
+    assert found == by_strings(corpus())
+    expected = by_words(corpus())
+    assert all((r.n_words, r.n_removed, r.kept) == expected[r.doc_id] for r in remove_words(docs).collect())
