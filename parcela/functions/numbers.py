@@ -61,8 +61,8 @@ def first_match(c: Column, pattern: str, group: int = 1) -> Column:
 
 def to_float(c: Column) -> Column:
     """Text to double; null where the text is not a plain decimal number."""
-    text = strip(c)
-    return F.when(text.rlike(_FLOAT), text.try_cast("double"))
+    # the match is the whole text or nothing, so the text is made once
+    return F.regexp_extract(strip(c), _FLOAT, 0).try_cast("double")
 
 
 def python_round(x: Column, digits: int = 2) -> Column:
@@ -75,11 +75,14 @@ def python_round(x: Column, digits: int = 2) -> Column:
     """
     scale = 10**digits
     bits = 63 - scale.bit_length()
-    size = F.when(F.abs(x) < F.lit(float(2**52)), F.abs(x))
-    fraction = ((size - F.floor(size)) * F.lit(float(2**bits))).cast("bigint") * F.lit(scale)
+    limit = F.lit(float(2**52))
+    # x is named as seldom as can be: every mention is one more copy of it in the plan and its code
+    size = F.least(F.abs(x), limit)
+    fraction = (size % F.lit(1.0) * F.lit(float(2**bits))).cast("bigint") * F.lit(scale)
     odd = F.shiftright(fraction, bits).bitwiseAND(F.lit(1))
     rounded = F.shiftright(fraction + F.lit(2 ** (bits - 1) - 1) + odd, bits)
-    return F.coalesce(F.signum(x) * (F.floor(size) * F.lit(scale) + rounded) / F.lit(float(scale)), x)
+    exact = F.signum(x) * (F.floor(size) * F.lit(scale) + rounded) / F.lit(float(scale))
+    return F.when(F.abs(x) < limit, exact).otherwise(x)
 
 
 def normalise_price(c: Column) -> Column:

@@ -69,23 +69,29 @@ def extract_proximity(c: Column) -> Column:
     )
 
 
-def floor_info(features: Column) -> Column:
+def lowered(texts: Column) -> Column:
+    """Every text in lower case; a column of its own where several functions look into it."""
+    return F.transform(texts, lambda x: F.lower(x))
+
+
+def floor_info(features: Column, low: Column | None = None) -> Column:
     """Floor, number of floors and lift; the last feature naming a floor wins.
 
-    "Sans ascenseur" counts as a lift: the word alone decides.
+    "Sans ascenseur" counts as a lift: the word alone decides.  ``low`` may give the features in lower case.
     """
-    lowered = F.transform(features, lambda x: F.lower(x))
-    named = F.try_element_at(F.filter(lowered, lambda x: x.rlike(_FLOOR)), F.lit(-1))
+    low = lowered(features) if low is None else low
+    # the plain word is looked for first: few features come to the pattern
+    named = F.try_element_at(F.filter(low, lambda x: x.contains("étage") & x.rlike(_FLOOR)), F.lit(-1))
     return F.struct(
         F.regexp_extract(named, _FLOOR, 1).try_cast("int").alias("etage"),
         F.regexp_extract(named, _FLOOR, 2).try_cast("int").alias("etage_total"),
-        F.coalesce(F.exists(lowered, lambda x: x.contains("ascenseur")), F.lit(False)).alias("ascenseur"),
+        F.coalesce(F.exists(low, lambda x: x.contains("ascenseur")), F.lit(False)).alias("ascenseur"),
     )
 
 
-def bedroom_count(features: Column) -> Column:
-    lowered = F.transform(features, lambda x: F.lower(x))
-    named = F.try_element_at(F.filter(lowered, lambda x: x.rlike(_BEDROOM)), F.lit(1))
+def bedroom_count(features: Column, low: Column | None = None) -> Column:
+    low = lowered(features) if low is None else low
+    named = F.try_element_at(F.filter(low, lambda x: x.contains("chambre") & x.rlike(_BEDROOM)), F.lit(1))
     return F.regexp_extract(named, _BEDROOM, 1).try_cast("int")
 
 
@@ -93,10 +99,11 @@ def _strings() -> Column:
     return F.array().cast("array<string>")
 
 
-def clean_features(features: Column) -> Column:
+def clean_features(features: Column, low: Column | None = None) -> Column:
     """Features not covered elsewhere, each once, in first-seen order."""
-    kept = F.filter(features, lambda x: ~contains_any(F.lower(x), COVERED_FEATURES))
-    return F.coalesce(F.array_distinct(kept), _strings())
+    low = lowered(features) if low is None else low
+    kept = F.zip_with(features, low, lambda x, y: F.when(~contains_any(y, COVERED_FEATURES), x))
+    return F.coalesce(F.array_distinct(F.array_compact(kept)), _strings())
 
 
 def before_query(url: Column) -> Column:
@@ -107,10 +114,17 @@ def clean_images(images: Column) -> Column:
     return F.coalesce(F.array_distinct(F.transform(images, before_query)), _strings())
 
 
-def parse_service_charge(c: Column) -> Column:
-    """Amount, unit and period of a service charge; all null when no amount is found."""
-    text = without(c, f"{NARROW_SPACE}{HARD_SPACE}")
-    low = F.lower(text)
+def charge_text(c: Column) -> Column:
+    return without(c, f"{NARROW_SPACE}{HARD_SPACE}")
+
+
+def parse_service_charge(c: Column, text: Column | None = None, low: Column | None = None) -> Column:
+    """Amount, unit and period of a service charge; all null when no amount is found.
+
+    ``text`` may give its :func:`charge_text` as a column and ``low`` the same in lower case: both are named many times.
+    """
+    text = charge_text(c) if text is None else text
+    low = F.lower(text) if low is None else low
     amount = F.replace(first_match(text, r"([0-9]+(?:[.,][0-9]+)?)"), F.lit(","), F.lit("."))
     yearly = contains_any(low, ["/ an", "annuel"])
     quarterly = contains_any(low, ["/ trim", "trimestriel"])

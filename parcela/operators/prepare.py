@@ -45,15 +45,19 @@ def prepare_listings(
     def optional(name: str) -> Column:
         return F.col(name) if name in raw.columns else F.lit(None).cast("string")
 
-    features = F.col("caracteristiques_detaillees")
-    parsed = raw.select(
+    features, low = F.col("caracteristiques_detaillees"), F.col("_bas")
+    charges = F.col("copropriete_charges_previsionnelles")
+    # texts that several fields look into are made once, as columns
+    parsed = raw.withColumns({
+        "_bas": txt.lowered(features), "_frais": txt.charge_text(charges), "_frais_bas": F.lower(txt.charge_text(charges)),
+    }).select(
         "*",
         num.normalise_price(F.col("prix")).alias("_prix"),
         num.normalise_number(F.col("surface")).alias("_surface"),
         num.normalise_number(F.col("pieces")).alias("_pieces"),
         txt.split_localisation(F.col("localisation")).alias("_lieu"),
-        txt.floor_info(features).alias("_etage"),
-        txt.bedroom_count(features).alias("_chambres"),
+        txt.floor_info(features, low).alias("_etage"),
+        txt.bedroom_count(features, low).alias("_chambres"),
         txt.clean_images(F.col("images")).alias("_images"),
         num.digits_to_int(F.col("annee_construction")).alias("_annee"),
     )
@@ -94,7 +98,7 @@ def prepare_listings(
             txt.extract_proximity(F.col("description")).alias("proximite"),
         ).alias("localisation"),
         "description",
-        txt.clean_features(features).alias("caracteristiques"),
+        txt.clean_features(features, low).alias("caracteristiques"),
         F.struct(
             F.col("_annee").alias("annee_construction"),
             (F.lit(as_of_year) - F.col("_annee")).alias("age_bien"),
@@ -105,7 +109,7 @@ def prepare_listings(
         F.struct(diagnostic("dpe"), diagnostic("ges")).alias("diagnostics"),
         F.struct(
             num.normalise_number(F.col("copropriete_nb_lots")).alias("nb_lots"),
-            txt.parse_service_charge(F.col("copropriete_charges_previsionnelles")).alias("charges"),
+            txt.parse_service_charge(charges, F.col("_frais"), F.col("_frais_bas")).alias("charges"),
             (~procedures if invert_procedures else procedures).alias("procedures_en_cours"),
         ).alias("copropriete"),
         F.struct(
