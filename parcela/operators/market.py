@@ -6,14 +6,19 @@ narrow pass over the data: no join, no window, no shuffle of the listings.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcela.functions.numbers import python_round
-from parcela.functions.text import contains_any
+from parcela.functions.text import contains_any, lowered
 from parcela.operators.quantiles import holds_rank, node, rank_counts, refined, value_distribution
 from parcela.session import shared_dir
 
+# Aggregated listings, or what makes them with the aggregates of the given paths only.
+Aggregated = DataFrame | Callable[[tuple[str, ...]], DataFrame]
+
 # Upper limits of the segments and their labels, the last one open.
 PRICE_LIMITS = [5000, 7000, 10000, 15000]
 PRICE_LABELS = ["economique", "moyen", "superieur", "premium", "luxe"]
@@ -139,7 +144,7 @@ def location_score(
 
 
 def modernity_score(dpe_score: Column, age: Column, features: Column, lift: Column) -> Column:
-    modern = F.size(F.filter(features, lambda x: contains_any(F.lower(x), MODERN_FEATURES)))
+    modern = F.size(F.filter(lowered(features), lambda x: contains_any(x, MODERN_FEATURES)))
     by_age = (
         F.when((age != 0) & (age < 10), 2.0).when((age != 0) & (age < 30), 1.0)
         .when(age > 50, -1.0).otherwise(0.0)
@@ -315,10 +320,12 @@ def aggregate_listings(
     stats: DataFrame | None = None,
     department: str = "suffix",
     version: str = "1.0",
+    only: tuple[str, ...] | None = None,
 ) -> DataFrame:
     """Every listing with its ``aggregats`` struct.
 
-    ``stats`` may be a stored row of :func:`market_stats`, which saves the first pass.
+    ``stats`` may be a stored row of :func:`market_stats`, which saves the first pass.  ``only`` names the aggregates a
+    reader wants (``scores.global``): Spark computes a struct as a whole once two of its fields are read.
     """
     stats = market_stats(prepared) if stats is None else stats
     market = stats.select(
@@ -342,38 +349,52 @@ def aggregate_listings(
             F.col("prix.au_m2"), F.col("_m.prix_m2_moyen"), F.col("_m.ecart_type_prix_m2")
         ),
     )
-    aggregates = F.struct(
-        profitability(
+    groups = {
+        "performance": lambda: profitability(
             F.col("prix.valeur"), F.col("surface.valeur"), F.col("copropriete.charges.valeur")
-        ).alias("performance"),
-        F.struct(
+        ),
+        "scores": lambda: F.struct(
             python_round(F.col("_lieu")).alias("emplacement"),
             python_round(F.col("_moderne")).alias("modernite"),
             python_round((F.col("_lieu") + F.col("_moderne")) / F.lit(2.0)).alias("global"),
-        ).alias("scores"),
-        F.struct(
+        ),
+        "segmentation": lambda: F.struct(
             segment_price_m2(F.col("prix.au_m2")).alias("prix_m2"),
             segment_surface(F.col("surface.valeur")).alias("surface"),
             segment_age(F.col(f"{b}.age_bien")).alias("age"),
-        ).alias("segmentation"),
-        F.col("_position").alias("analyse_marche"),
-        recommendations(
+        ),
+        "analyse_marche": lambda: F.col("_position"),
+        "recommandations": lambda: recommendations(
             F.col("_position.positionnement_marche"), F.col(f"{d}.classe"), F.col(f"{b}.etage"),
             F.col(f"{b}.ascenseur"), F.col("medias.nombre_photos"),
             F.col("medias.has_visite_virtuelle"),
-        ).alias("recommandations"),
-        F.struct(
+        ),
+        "metadata_aggregation": lambda: F.struct(
             F.lit(as_of).alias("date_aggregation"),
             F.lit(version).alias("algorithme_version"),
             F.struct(
                 F.col("_m.prix_m2_moyen").alias("prix_m2_moyen"),
                 F.col("_m.nombre_biens_analyses").cast("int").alias("nombre_biens_reference"),
             ).alias("marche_reference"),
-        ).alias("metadata_aggregation"),
-    )
+        ),
+    }
+    wanted: dict[str, list[str]] = {} if only is not None else dict.fromkeys(groups, [])
+    for group, _, name in (path.partition(".") for path in only or ()):
+        wanted.setdefault(group, []).append(name)
+
+    def made(group: str, names: list[str]) -> Column:
+        whole = groups[group]()
+        return F.struct(*[whole[n].alias(n) for n in names]) if names else whole
+
+    aggregates = F.struct(*[made(group, names).alias(group) for group, names in wanted.items()])
     return scored.withColumn("aggregats", aggregates).drop("_m", "_lieu", "_moderne", "_position")
 
 
+def narrowed(aggregated: Aggregated, *paths: str) -> DataFrame:
+    """Aggregated listings for a reader of the named aggregates; a table is taken as it is."""
+    return aggregated(paths) if callable(aggregated) else aggregated
+
+
 def document_view(aggregated: DataFrame) -> DataFrame:
     """Aggregated listings with the label spelling of the JSON documents."""
     a = F.col("aggregats")
@@ -385,9 +406,9 @@ def document_view(aggregated: DataFrame) -> DataFrame:
     return aggregated.withColumn("aggregats", a)
 
 
-def market_trends(aggregated: DataFrame) -> DataFrame:
+def market_trends(aggregated: Aggregated) -> DataFrame:
     """One row: means, correlation, top-decile count and price.  Missing values count as 0."""
-    rows = aggregated.select(
+    rows = narrowed(aggregated, "scores.global", "performance.prix_m2").select(
         F.coalesce(F.col("aggregats.scores.global"), F.lit(0.0)).alias("score"),
         F.coalesce(F.col("aggregats.performance.prix_m2"), F.lit(0.0)).alias("prix_m2"),
     )
@@ -414,16 +435,18 @@ def segment_distribution(aggregated: DataFrame) -> DataFrame:
     )
 
 
-def optimisation_report(aggregated: DataFrame) -> dict[str, DataFrame]:
+def optimisation_report(aggregated: Aggregated) -> dict[str, DataFrame]:
     """Three tables: under-priced, over-priced, and listings to improve."""
     position = F.col("aggregats.analyse_marche.positionnement_marche")
     gap = F.coalesce(F.col("aggregats.analyse_marche.ecart_pourcentage"), F.lit(0.0))
     advice = F.col("aggregats.recommandations.amelioration")
     placed = [F.col("reference"), position.alias("positionnement"), gap.alias("ecart_pourcentage")]
+    compared = narrowed(aggregated, "analyse_marche.positionnement_marche", "analyse_marche.ecart_pourcentage")
+    advised = narrowed(aggregated, "recommandations.amelioration")
     return {
-        "biens_sous_cotes": aggregated.filter(position.isin(UNDER)).select(*placed),
-        "biens_sur_cotes": aggregated.filter(position.isin(OVER)).select(*placed),
-        "opportunites_amelioration": aggregated.filter(F.size(advice) > 0).select(
+        "biens_sous_cotes": compared.filter(position.isin(UNDER)).select(*placed),
+        "biens_sur_cotes": compared.filter(position.isin(OVER)).select(*placed),
+        "opportunites_amelioration": advised.filter(F.size(advice) > 0).select(
             "reference", advice.alias("recommandations")
         ),
     }

@@ -170,7 +170,7 @@ def shred_modules(prepared: DataFrame, key: str = "reference") -> dict[str, Data
     }
 
 
-def shred_aggregates(aggregated: DataFrame, key: str = "reference") -> dict[str, DataFrame]:
+def shred_aggregates(aggregated: mkt.Aggregated, key: str = "reference") -> dict[str, DataFrame]:
     """The detail tables of the aggregate model; ``key`` stands for the aggregate's id."""
     c = F.col
     perf, seg, pos = "aggregats.performance", "aggregats.segmentation", "aggregats.analyse_marche"
@@ -180,8 +180,12 @@ def shred_aggregates(aggregated: DataFrame, key: str = "reference") -> dict[str,
     gross = F.coalesce(c(f"{perf}.rendement_annuel_estime"), F.lit(0.0))
     z = F.coalesce(c(f"{pos}.z_score_prix_m2"), F.lit(0.0))
     meta = "aggregats.metadata_aggregation"
+    segments = [f"segmentation.{n}" for n in ("prix_m2", "surface", "age")]
+
     return {
-        "aggregats_principaux": aggregated.select(
+        "aggregats_principaux": mkt.narrowed(
+            aggregated, "metadata_aggregation.date_aggregation", "metadata_aggregation.algorithme_version", "scores.global", *segments
+        ).select(
             key,
             parse_iso_timestamp(c(f"{meta}.date_aggregation")).alias("date_aggregation"),
             c(f"{meta}.algorithme_version").alias("algorithme_version"),
@@ -191,7 +195,8 @@ def shred_aggregates(aggregated: DataFrame, key: str = "reference") -> dict[str,
             ).alias("segment_marche_global"),
             F.lit("a_analyser").alias("statut_optimisation"),
         ),
-        "performance_financiere": aggregated.select(
+        "performance_financiere": mkt.narrowed(aggregated, *[f"performance.{n}" for n in (
+            "prix_m2", "loyer_estime_mensuel", "rendement_annuel_estime", "rentabilite_nette", "charges_annuelles")]).select(
             key,
             _decimal(c(f"{perf}.prix_m2"), 10, 2).alias("prix_m2_calcule"),
             _decimal(c(f"{perf}.loyer_estime_mensuel"), 10, 2).alias("loyer_estime_mensuel"),
@@ -201,7 +206,7 @@ def shred_aggregates(aggregated: DataFrame, key: str = "reference") -> dict[str,
             mkt.profit_ratio(net).alias("ratio_rentabilite"),
             mkt.yield_level(gross).alias("niveau_rendement"),
         ),
-        "scores_avances": aggregated.select(
+        "scores_avances": mkt.narrowed(aggregated, "scores.emplacement", "scores.modernite").select(
             key,
             _decimal(c("aggregats.scores.emplacement"), 3, 1).alias("score_emplacement"),
             _decimal(c("aggregats.scores.modernite"), 3, 1).alias("score_modernite"),
@@ -219,7 +224,7 @@ def shred_aggregates(aggregated: DataFrame, key: str = "reference") -> dict[str,
                 for n, w in mkt.WEIGHTS.items()
             ],
         ),
-        "segmentation": aggregated.select(
+        "segmentation": mkt.narrowed(aggregated, *segments).select(
             key,
             c(f"{seg}.prix_m2").alias("segment_prix_m2"),
             c(f"{seg}.surface").alias("segment_surface"),
@@ -227,7 +232,10 @@ def shred_aggregates(aggregated: DataFrame, key: str = "reference") -> dict[str,
             mkt.target_segment(c(f"{seg}.prix_m2"), age, lift, floor).alias("segment_cible"),
             mkt.potential_segment(c("diagnostics.dpe.score"), age).alias("segment_potentiel"),
         ),
-        "analyse_marche": aggregated.select(
+        "analyse_marche": mkt.narrowed(
+            aggregated, *[f"analyse_marche.{n}" for n in ("positionnement_marche", "z_score_prix_m2", "ecart_pourcentage", "prix_m2_marche_reference")],
+            "metadata_aggregation.marche_reference",
+        ).select(
             key,
             c(f"{pos}.positionnement_marche").alias("positionnement_marche"),
             _decimal(z, 5, 2).alias("z_score_prix_m2"),
@@ -241,7 +249,7 @@ def shred_aggregates(aggregated: DataFrame, key: str = "reference") -> dict[str,
     }
 
 
-def shred_recommendations(aggregated: DataFrame, key: str = "reference") -> DataFrame:
+def shred_recommendations(aggregated: mkt.Aggregated, key: str = "reference") -> DataFrame:
     """One row per recommendation, with its priority, action, impact and delay."""
     kinds = ["prix", "marketing", "amelioration", "ciblage"]
 
@@ -254,7 +262,8 @@ def shred_recommendations(aggregated: DataFrame, key: str = "reference") -> Data
 
     kind, text = F.col("type_recommandation"), F.col("description")
     return (
-        aggregated.select(key, F.inline(F.concat(*[tagged(k) for k in kinds])))
+        mkt.narrowed(aggregated, *[f"recommandations.{k}" for k in kinds])
+        .select(key, F.inline(F.concat(*[tagged(k) for k in kinds])))
         .filter(text != "")
         .withColumns({
             "priorite": mkt.recommendation_priority(kind),
@@ -265,7 +274,7 @@ def shred_recommendations(aggregated: DataFrame, key: str = "reference") -> Data
     )
 
 
-def flat_aggregates(aggregated: DataFrame, key: str = "reference") -> DataFrame:
+def flat_aggregates(aggregated: mkt.Aggregated, key: str = "reference") -> DataFrame:
     """The wide aggregate table of the prepared model: one row per listing."""
     c = F.col
     perf, seg, pos = "aggregats.performance", "aggregats.segmentation", "aggregats.analyse_marche"
@@ -276,7 +285,13 @@ def flat_aggregates(aggregated: DataFrame, key: str = "reference") -> DataFrame:
         f"recommandations_{k}": F.to_json(c(f"aggregats.recommandations.{k}"))
         for k in ("prix", "marketing", "amelioration", "ciblage")
     }
-    return aggregated.select(
+    read = mkt.narrowed(
+        aggregated, *[f"performance.{n}" for n in ("prix_m2", "loyer_estime_mensuel", "rendement_annuel_estime", "rentabilite_nette")],
+        *[f"scores.{n}" for n in ("emplacement", "modernite", "global")], *[f"segmentation.{n}" for n in ("prix_m2", "surface", "age")],
+        *[f"analyse_marche.{n}" for n in ("positionnement_marche", "z_score_prix_m2", "ecart_pourcentage", "prix_m2_marche_reference")],
+        *[f"recommandations.{k}" for k in ("prix", "marketing", "amelioration", "ciblage")],
+    )
+    return read.select(
         key,
         _decimal(c(f"{perf}.prix_m2"), 10, 2).alias("prix_m2_calcule"),
         _decimal(c(f"{perf}.loyer_estime_mensuel"), 10, 2).alias("loyer_estime_mensuel"),

@@ -317,3 +317,51 @@ def test_catalogue_shows_the_error_of_a_failing_file(spark, tmp_path):
     (tmp_path / "good.sql").write_text("SELECT 1 AS n;")
     found = run_query_catalogue(spark, str(tmp_path))
     assert found["good"].first()["n"] == 1 and found["bad"].columns == ["erreur"]
+
+
+def _listings(spark):
+    from parcela.operators import prepare
+    from parcela.schemas import RAW_LISTING
+
+    row = {f.name: ([] if f.dataType.typeName() == "array" else "") for f in RAW_LISTING.fields}
+    rows = [
+        {**row, "reference": "R1", "prix": "100 000 €".replace(" ", " "), "surface": "20", "localisation": "Paris (75011)",
+         "copropriete_charges_previsionnelles": "1 200 € / an",
+         "caracteristiques_detaillees": ["Étage 2 sur 9", "Cave", None, "3 CHAMBRES", "Cave", "Digicode"]},
+        {**row, "reference": "R2", "prix": "nan", "surface": "12\n", "caracteristiques_detaillees": None},
+        {**row, "reference": None, "prix": None, "dpe_classe_active": "G"},
+    ]
+    return prepare.prepare_listings(spark.createDataFrame(rows, RAW_LISTING), 2025)
+
+
+def test_named_aggregates_equal_the_whole_and_leave_out_the_rest(spark):
+    from parcela.operators import market, shred
+
+    prepared = _listings(spark)
+    stats = spark.sql("SELECT 6000D prix_m2_moyen, 1000D ecart_type_prix_m2, 3L nombre_biens_analyses")
+    whole = market.aggregate_listings(prepared, "2025-11-15T00:00:00", stats)
+
+    def some(only):
+        return market.aggregate_listings(prepared, "2025-11-15T00:00:00", stats, only=only)
+
+    tables = shred.shred_aggregates(whole), shred.shred_aggregates(some)
+    for name in tables[0]:
+        assert sorted(map(str, tables[0][name].collect())) == sorted(map(str, tables[1][name].collect()))
+    flat = [sorted(map(str, shred.flat_aggregates(a).collect())) for a in (whole, some)]
+    assert flat[0] == flat[1]
+    plan = tables[1]["aggregats_principaux"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "tres_sous_cote" not in plan and market.MORE_PHOTOS not in plan and "loyer_estime_mensuel" not in plan
+
+
+def test_texts_and_numbers_are_made_once(spark):
+    from parcela.functions import numbers
+
+    prepared = _listings(spark)
+    first, second, _ = prepared.collect()
+    assert first.caracteristiques == ["Cave", "Digicode"] and first.batiment.etage == 2 and first.composition.chambres == 3
+    assert (first.copropriete.charges.valeur, first.copropriete.charges.periode) == (1200.0, "annuel")
+    assert (first.prix.valeur, second.prix.valeur, second.surface.valeur, second.caracteristiques) == (100000.0, None, 12.0, [])
+    plan = prepared.select("caracteristiques", "batiment", "copropriete.charges")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 2
+    x = spark.range(1).select(numbers.python_round(F.col("id") / 3))._jdf.queryExecution().analyzed().toString()
+    assert x.count("id#") <= 12
