@@ -77,3 +77,32 @@ def test_written_arrays_hold_every_row(spark, tmp_path):
     found, state = read_json_arrays(spark, path, df.schema)
     assert sorted(map(str, (tuple(r)[:2] for r in found.collect()))) == sorted(map(str, rows))
     assert state.where("NOT lisible").count() == 0
+
+
+@pytest.mark.parametrize("border", [",", "},", "}},"])
+def test_elements_are_the_same_with_any_border(spark, tmp_path, small_ranges, border):
+    """Objects, nested ones, scalars and texts that hold the border, quotes and runs of backslashes, in many ranges."""
+    rnd, want = random.Random(2), []
+    texts = [*TEXTS, "},", "}", '"},', "\\},", '\\\\"', "a\\" * 5, "},{", "é},ü"]
+    for i, indent in enumerate([None, 1]):
+        values = [{"t": rnd.choice(texts), "n": [{"u": rnd.choice(texts)}, rnd.choice(texts)], "z": i} for _ in range(200)]
+        values[20:20] = [{}, [], "x},", 5, None, ["},"], "y" * 2500, {"k": {"l": {}}}]
+        want += values
+        (tmp_path / f"f{i}.json").write_text(json.dumps(values, indent=indent, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "broken.json").write_text(json.dumps(want)[:-9])
+    (tmp_path / "slash.json").write_text('[{"a": 1}, \\"]')
+    elements, files = array_elements(spark, str(tmp_path), border)
+    key = lambda v: json.dumps(v, sort_keys=True)
+    assert sorted(key(json.loads(r["text"])) for r in elements.collect()) == sorted(map(key, want))
+    state = {r["file"].rsplit("/", 1)[1]: r["lisible"] for r in files.collect()}
+    assert state == {"f0.json": True, "f1.json": True, "broken.json": False, "slash.json": False}
+
+
+def test_arrays_are_cut_and_parsed_once(spark, tmp_path):
+    """Readable rows and rejects come from stored rows, not from the files again."""
+    (tmp_path / "a.json").write_text('[{"a": 1}, {"a": "x"}, {"a": 3}]')
+    rows, _ = read_json_arrays(spark, str(tmp_path), T.StructType([T.StructField("a", T.LongType())]))
+    plan = rows._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "from_json" not in plan
+    assert sorted(r["a"] for r in rows.where("_corrupt_record IS NULL").collect()) == [1, 3]
+    assert rows.where("_corrupt_record IS NOT NULL").count() == 1
