@@ -319,7 +319,7 @@ def test_catalogue_shows_the_error_of_a_failing_file(spark, tmp_path):
     assert found["good"].first()["n"] == 1 and found["bad"].columns == ["erreur"]
 
 
-def _listings(spark):
+def _odd_listings(spark):
     from parcela.operators import prepare
     from parcela.schemas import RAW_LISTING
 
@@ -337,7 +337,7 @@ def _listings(spark):
 def test_named_aggregates_equal_the_whole_and_leave_out_the_rest(spark):
     from parcela.operators import market, shred
 
-    prepared = _listings(spark)
+    prepared = _odd_listings(spark)
     stats = spark.sql("SELECT 6000D prix_m2_moyen, 1000D ecart_type_prix_m2, 3L nombre_biens_analyses")
     whole = market.aggregate_listings(prepared, "2025-11-15T00:00:00", stats)
 
@@ -356,7 +356,7 @@ def test_named_aggregates_equal_the_whole_and_leave_out_the_rest(spark):
 def test_texts_and_numbers_are_made_once(spark):
     from parcela.functions import numbers
 
-    prepared = _listings(spark)
+    prepared = _odd_listings(spark)
     first, second, _ = prepared.collect()
     assert first.caracteristiques == ["Cave", "Digicode"] and first.batiment.etage == 2 and first.composition.chambres == 3
     assert (first.copropriete.charges.valeur, first.copropriete.charges.periode) == (1200.0, "annuel")
