@@ -97,9 +97,9 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_json(df: DataFrame, path: str) -> str:
-    """JSON lines without null keys."""
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, compression: str | None = None) -> str:
+    """JSON lines without null keys; a file of a compression such as gzip is read by one task."""
+    df.write.mode("overwrite").json(path, compression=compression)
     return path
 
 

@@ -229,3 +229,38 @@ def test_catalogue_gives_the_revenue_of_every_year(spark):
     }
     found = catalogue.run_query_catalogue(spark, folder, tables)["chiffre_affaires_par_mois"]
     assert [tuple(r) for r in found.collect()] == [("1997-05", 20.0), ("1998-05", 40.0), ("2001-01", 60.0)]
+
+
+def _shop_folder(spark, folder, n):
+    """Orders and customers with repeated and null values."""
+    import datetime as dt
+
+    orders = [(i, i % 7 if i % 9 else None, "O", 100.0 * i, dt.datetime(1995, 1 + i % 12, 3), "1-URGENT") for i in range(n)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+                          ).write.parquet(f"{folder}/orders.parquet")
+    customers = [(i, f"Customer {i}", 1, 1.0, ["BUILDING", "MACHINERY"][i % 2]) for i in range(7)]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+                          ).write.parquet(f"{folder}/customer.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["s05_write_json"])
+def test_json_lines_leave_little_on_disk(spark, tmp_path, monkeypatch, name):
+    """Lines are compressed, nothing else is stored, and every listing with a customer is read back."""
+    from contract import registry
+
+    made = {}
+
+    def shared(_, purpose):
+        return made.setdefault(purpose, str(tmp_path / purpose))
+
+    monkeypatch.setattr(registry, "shared_dir", shared)
+    got = registry.QUERIES[name](spark, _shop_folder(spark, tmp_path / "in", 900))
+    assert got.count() == 800 and got.columns[0] in ("reference", "id_annonce")
+    assert len(made) == 1
+    (folder,) = made.values()
+    data = [p for p in (tmp_path / folder).rglob("part-*")]
+    assert data and all(p.name.endswith(".json.gz") for p in data)
+    plain = str(tmp_path / "plain")
+    files.write_json(spark.read.json(folder), plain)
+    assert sum(p.stat().st_size for p in data) * 3 < sum(p.stat().st_size for p in (tmp_path / "plain").rglob("part-*.json"))
