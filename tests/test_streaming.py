@@ -278,3 +278,45 @@ def test_bronze_is_compressed_by_zstd(spark, tmp_path):
 
     to_bronze(str(tmp_path))(spark.createDataFrame([("x" * 100,)], "data string"), 3)
     assert list(tmp_path.rglob("*.zstd.parquet"))
+
+
+def _plan(df, kind="optimizedPlan"):
+    return getattr(df._jdf.queryExecution(), kind)().toString()
+
+
+def test_envelopes_are_parsed_once(spark):
+    """A filter on the fields does not parse the text again; inner data is found however its key is written."""
+    from parcela.operators.quality import filter_valid
+
+    texts = ['{"reference": "R1", "titre": "a"}', '{"data": {"reference": "R2", "titre": "b", "images": ["x"]}}',
+             '{"d\\u0061ta": {"reference": "R3", "titre": "c"}}', '{"reference": "R4", "titre": "data"}', "{'data': {'reference': 'R5', 'titre': 'd'}}",
+             '{"reference": " ", "titre": "e"}', '{"reference": "R6"}', "5", "", None]
+    bronze = spark.createDataFrame([(t,) for t in texts], "data string")
+    valid = filter_valid(layers.raw_from_envelopes(bronze), ["titre"])
+    assert [r["reference"] for r in valid.collect()] == ["R1", "R2", "R3", "R4", "R5"]
+    assert _plan(valid).count("from_json(") == 1
+    assert layers.raw_from_envelopes(bronze).count() == len(texts)
+
+
+def test_plain_objects_need_no_second_look(spark, values):
+    """What the strict parser takes is taken as before, and what only the lenient one takes is still left out."""
+    good = ['{"a": "it is"}', '{"a": "it\'s"}', '{"a": 1, "a": [2, {"b": null}]}', "{}", '{"a": "x\\n"}', '{"a":\t1}', '{"a": "NaN"}', '{"a": "é"}']
+    bad = ["{'a': 1}", '{"a": 1}]', '{"a": 1},0] x', '{"a": 1} x', '{"a": "x\ty"}', '{"a": "\\x"}', '{"a": 1}{"b": 2}', '{"a": 1},{"b": 2}', "{a: 1}", '{"a": 1']
+    assert values(ingest.is_json, good) == [True] * len(good) and values(ingest.is_json, bad) == [False] * len(bad)
+    lines = spark.createDataFrame([(good[0],)], "value string")
+    found = _plan(lines.filter(ingest.is_json(F.col("value"))))
+    assert found.index("from_json(") < found.index("regexp_replace(")  # the patterns come last
+
+
+def test_new_rows_are_passed_on_as_they_are(spark):
+    """The row of a key is that of ``classify_by_key``, of a hot key too, without an aggregate of whole rows."""
+    from parcela.operators import load
+
+    rows = [("hot" if i % 3 == 0 else None if i % 17 == 0 else f" R{i % 40} ", i % 5 if i % 4 else None, [f"x{i % 11}"]) for i in range(900)]
+    batch = spark.createDataFrame(rows + rows[:50], "reference string, n int, v array<string>").repartition(5)
+    target = spark.createDataFrame([("R1",), (" R2",), (None,), ("R2",)], "reference string")
+    for order in (None, "n"):
+        placed = load.classify_by_key(target, batch, order=order).filter(F.col("statut") == load.INSERTED)
+        new = load.new_rows(target, batch, order=order)
+        assert sorted(map(str, new.collect())) == sorted(map(str, placed.select("reference", "n", "v").collect()))
+        assert new.columns == batch.columns and "min_by" not in _plan(new) and "WindowGroupLimit" in _plan(new)
