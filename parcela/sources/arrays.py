@@ -179,7 +179,7 @@ def _cutter(starts: dict[tuple[str, int], tuple[bool, int, bool]], border: bytes
                 """What is held, if it is asked for: an element, or a fragment of one."""
                 if whole != (begins and closes):
                     return []
-                text = _bare(b"".join(held), level if begins else 1, after if closes else 1)  # noqa: B023
+                text = _bare(b"".join(held), level if begins else 1, after)  # noqa: B023
                 return [(file, text) if whole else (file, text, block, part, begins)]  # noqa: B023
 
             for data in chunks:

@@ -106,3 +106,14 @@ def test_arrays_are_cut_and_parsed_once(spark, tmp_path):
     assert "MapInArrow" not in plan and "from_json" not in plan
     assert sorted(r["a"] for r in rows.where("_corrupt_record IS NULL").collect()) == [1, 3]
     assert rows.where("_corrupt_record IS NOT NULL").count() == 1
+
+
+@pytest.mark.parametrize("border", [",", "},"])
+def test_arrays_one_after_the_other(spark, tmp_path, small_ranges, border):
+    """Their brackets are not part of any element, wherever the ranges end."""
+    want = [[{"a": i, "t": "x" * (i % 60)} for i in range(n)] for n in range(60)]
+    (tmp_path / "many.json").write_text(",".join(json.dumps(v) for v in want))
+    elements, files = array_elements(spark, str(tmp_path), border)
+    found = [json.loads(r["text"]) for r in elements.collect()]
+    assert sorted(map(str, found)) == sorted(str(x) for v in want for x in v)
+    assert files.first()["lisible"] and files.first()["tranches"] > 10
